@@ -1,0 +1,141 @@
+"""Landing data derived from the driver's TPC-H-like tables.
+
+The tables have other names than the landing files and no defects, so each text below builds one
+landing input and injects defects by key. ``{orders}`` and the like stand for the tables. The texts
+are plain enough for any SQL engine; the checks build on them as well.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sluiceway.sources.schemas import RESCUE
+
+SQL = {
+    "dim_zone": """
+SELECT CAST(n_nationkey AS STRING) AS zone_id, n_name AS zone_name, r_name AS region,
+       CAST(100000 + n_nationkey * 10000 AS INT) AS population_served,
+       CAST(CASE WHEN n_regionkey % 2 = 0 THEN 4 ELSE 6 END AS INT) AS sla_response_hours,
+       n_nationkey <> 24 AS is_current
+FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
+    "bills": """
+SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(c_custkey AS STRING) END AS account_id,
+       CASE WHEN o_orderkey % 89 = 0 THEN NULL ELSE CAST(o_orderkey % 2 AS STRING) END AS meter_id,
+       CAST(o_orderdate AS DATE) AS billing_period, n_name AS service_zone,
+       CAST(CASE WHEN o_orderkey % 83 = 0 THEN NULL WHEN o_orderkey % 47 = 0 THEN -5
+            ELSE floor(o_totalprice / 40) END AS DECIMAL(18,2)) AS consumption_value,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'l' ELSE 'm3' END AS consumption_unit,
+       CASE WHEN o_orderkey % 79 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS amount_billed,
+       CASE o_orderstatus WHEN 'F' THEN 'Paid' WHEN 'P' THEN 'PEND' ELSE 'OS' END AS payment_status,
+       c_name AS customer_name, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS address,
+       o_orderstatus AS contact_number, o_orderkey AS seq
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey""",
+    "invoice_headers": """
+SELECT CAST(o_orderkey AS STRING) AS invoice_id, c_mktsegment AS cost_center,
+       CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE c_custkey END AS vendor_id, c_name AS vendor_name,
+       n_name AS site_zone,
+       CASE WHEN o_orderkey % 30 = 0 THEN '' WHEN o_orderkey % 31 = 0 THEN NULL ELSE 'SGD' END AS currency,
+       CASE WHEN o_orderkey % 101 = 0 THEN 'n/a' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS invoice_date,
+       CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL
+            ELSE concat('P', substring(o_orderpriority, 1, 1)) END AS project_code
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey""",
+    "invoice_lines": """
+SELECT CAST(l_orderkey AS STRING) AS invoice_id, l_linenumber AS line_no,
+       CASE WHEN l_partkey % 53 = 0 THEN NULL ELSE p_type END AS description,
+       CAST(CASE WHEN l_orderkey % 61 = 0 THEN -l_quantity WHEN l_orderkey % 67 = 0 THEN NULL
+            ELSE l_quantity END AS INT) AS qty,
+       CAST(p_retailprice AS DECIMAL(18,2)) AS unit_cost
+FROM {lineitem} JOIN {part} ON l_partkey = p_partkey""",
+    "works_orders": """
+SELECT l_returnflag AS layout, concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS work_order_id,
+       CASE WHEN l_orderkey % 43 = 0 THEN 'NOWHERE' ELSE n_name END AS zone, p_type AS description,
+       CASE WHEN l_orderkey % 103 = 0 THEN 'n/a' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END AS completion_date,
+       CASE WHEN l_orderkey % 71 = 0 THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS cost,
+       concat('SGD ', CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)) AS charge
+FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey
+     JOIN {nation} ON s_nationkey = n_nationkey""",
+    "readings": """
+SELECT CASE WHEN event_id % 73 = 0 THEN NULL ELSE user_id END AS sensor_id, user_id % 16 AS location_id,
+       CASE WHEN event_id % 59 = 0 THEN 'bad'
+            ELSE CAST(date_trunc('hour', ts - INTERVAL '24' YEAR) AS STRING) END AS reading_time,
+       concat('NATION_', CAST(CASE WHEN event_id % (2 + user_id % 16) = 0 THEN event_id % 25
+                              ELSE user_id % 16 END AS STRING)) AS zone,
+       CASE WHEN event_type IN ('click', 'view') THEN 'pressure' ELSE 'flow' END AS reading_type,
+       CASE WHEN event_type = 'error' AND event_id % 7 = 0 THEN NULL ELSE CAST(value AS DECIMAL(18,2)) END
+           AS reading_value,
+       event_id AS seq
+FROM {events}""",
+    "zone_master": """
+SELECT CAST(n_nationkey AS STRING) AS zone_id, n_name AS zone_name, CAST(NULL AS STRING) AS district, r_name AS region,
+       CAST(100000 + n_nationkey * 10000 AS INT) AS population_served, CAST(NULL AS STRING) AS district_manager,
+       CAST(CASE WHEN n_regionkey % 2 = 0 THEN 4 ELSE 6 END AS INT) AS sla_response_hours,
+       min(CAST(o_orderdate AS DATE)) AS effective_from, CAST(NULL AS DATE) AS effective_to, TRUE AS is_current
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
+     JOIN {region} ON n_regionkey = r_regionkey
+GROUP BY n_nationkey, n_name, r_name, n_regionkey""",
+}
+
+TABLES = "region nation customer supplier part orders lineitem events".split()
+
+
+class Landing:
+    """The landing inputs of one directory of driver tables; amounts are doubles, as the files declare them."""
+
+    def __init__(self, spark: SparkSession, directory: str):
+        self.spark = spark
+        self.directory = directory
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.directory.rstrip('/')}/{name}.parquet")
+
+    def _derive(self, name: str) -> DataFrame:
+        text = SQL[name]
+        derived = self.spark.sql(text, **{t: self.table(t) for t in TABLES if f"{{{t}}}" in text})
+        amounts = {f.name for f in derived.schema.fields if f.dataType.typeName() == "decimal"}
+        return derived.select(*[F.col(c).cast("double") if c in amounts else F.col(c) for c in derived.columns])
+
+    def zones(self) -> DataFrame:
+        return self._derive("dim_zone")
+
+    def zone_master(self) -> DataFrame:
+        """The zones that have customers, in force since their first order."""
+        return self._derive("zone_master")
+
+    def bills(self) -> DataFrame:
+        return self._derive("bills").withColumn(RESCUE, F.lit(None).cast("string"))
+
+    def readings(self) -> DataFrame:
+        readings = self._derive("readings").withColumnRenamed("reading_time", "timestamp")
+        return readings.withColumn(RESCUE, F.lit(None).cast("string"))
+
+    def invoice_headers(self) -> DataFrame:
+        """Invoice records without lines, the vendor nested."""
+        vendor = F.struct(F.col("vendor_id").alias("id"), F.col("vendor_name").alias("name"))
+        return self._derive("invoice_headers").withColumn("vendor", vendor).drop("vendor_id", "vendor_name")
+
+    def invoice_line_records(self) -> DataFrame:
+        """Invoice records that hold one line each, so that no invoice is gathered in one place."""
+        item = F.struct("line_no", "description", "qty", "unit_cost")
+        return self._derive("invoice_lines").select("invoice_id", F.array(item).alias("line_items"))
+
+    def invoice_records(self) -> DataFrame:
+        """Full invoice records: header, vendor, one line each; an order without lines has NULL."""
+        joined = self.invoice_headers().join(self.invoice_line_records(), "invoice_id", "left")
+        return joined.withColumn(RESCUE, F.lit(None).cast("string"))
+
+    def works_orders(self) -> dict[str, DataFrame]:
+        """The three contractors' layouts, by return flag."""
+        source = self._derive("works_orders")
+        headers = {
+            "contractor_a": ("A", ["work_order_id", "site_location", "work_description", "date_completed", "cost_sgd"]),
+            "contractor_b": ("N", ["WO_Number", "Location", "Desc", "CompletionDate", "Amount"]),
+            "contractor_c": ("R", ["id", "loc_id", "notes", "completed_on", "charge"]),
+        }
+        plain = ["work_order_id", "zone", "description", "completion_date"]
+        layouts = {}
+        for name, (flag, columns) in headers.items():
+            last = "charge" if name == "contractor_c" else "cost"
+            rows = source.where(F.col("layout") == flag).select(*plain, last)
+            layouts[name] = rows.toDF(*columns).withColumn(RESCUE, F.lit(None).cast("string"))
+        return layouts
