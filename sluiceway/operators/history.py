@@ -121,3 +121,23 @@ def erase(df: DataFrame, erased: DataFrame, key: str) -> DataFrame:
 def retain(df: DataFrame, ended_on: str, cutoff: dt.date) -> DataFrame:
     """Keep versions that are open or ended on or after the cut-off."""
     return df.where(F.col(ended_on).isNull() | (F.col(ended_on) >= F.lit(cutoff)))
+
+
+def as_of_version(facts: DataFrame, versions_: DataFrame, key: str, day: str, columns: Sequence[str]) -> DataFrame:
+    """Facts with the details in force on their day; facts older than the first version are left out.
+
+    Days that occur in facts are resolved once per key and day: version starts and fact days go
+    through one ordered window that carries the last version forward, at most two rows per key
+    and day. The result is joined back to the facts by key and day.
+    """
+    starts = versions_.select(
+        key, F.col("effective_from").alias("_day"), F.struct(*columns, "effective_to").alias("_version")
+    )
+    asked = facts.select(key, F.col(day).alias("_day")).distinct().withColumn("_version", F.lit(None).cast(starts.schema["_version"].dataType))
+    ordered = Window.partitionBy(key).orderBy("_day", F.col("_version").isNull())
+    carried = starts.unionByName(asked).withColumn("_held", F.last("_version", ignorenulls=True).over(ordered))
+    in_force = F.col("_held.effective_to").isNull() | (F.col("_held.effective_to") >= F.col("_day"))
+    resolved = carried.where(F.col("_version").isNull() & F.col("_held").isNotNull() & in_force).select(
+        key, F.col("_day").alias(day), *[F.col(f"_held.{c}").alias(c) for c in columns]
+    )
+    return facts.join(resolved, [key, day])

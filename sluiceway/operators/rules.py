@@ -69,12 +69,12 @@ def fail_on_violation(df: DataFrame, rule_set: Sequence[Rule]) -> DataFrame:
     """Stop the job at the first row that breaks a rule, with the rule's name in the error.
 
     The optimizer may move a plain filter below joins and other filters, where it would meet rows
-    that never reach this frame and stop on them. It does not move a filter that is not
-    deterministic; the random draw, never below zero, is there for that alone.
+    that never reach this frame and stop on them. It leaves a filter that is not deterministic
+    where it stands; the partition number, never below zero, is there for that alone.
     """
     if not rule_set:
         return df
-    verdict = F.when(F.rand(0) < 0, F.lit(False))
+    verdict = F.when(F.spark_partition_id() < 0, F.lit(False))
     for rule in rule_set:
         stop = F.raise_error(F.lit(f"rule {rule.name} is broken: {rule.predicate}")).cast("boolean")
         verdict = verdict.when(~rule.passes(), stop)

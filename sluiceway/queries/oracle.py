@@ -239,9 +239,9 @@ QUALIFY row_number() OVER (PARTITION BY account_id, billing_period ORDER BY cust
                            address DESC NULLS LAST, contact_number DESC NULLS LAST) = 1""",
     "pii_changes": """
 SELECT * FROM pii_daily
+WINDOW w AS (PARTITION BY account_id ORDER BY billing_period)
 QUALIFY row_number() OVER w = 1 OR customer_name IS DISTINCT FROM lag(customer_name) OVER w
-        OR address IS DISTINCT FROM lag(address) OVER w OR contact_number IS DISTINCT FROM lag(contact_number) OVER w
-WINDOW w AS (PARTITION BY account_id ORDER BY billing_period)""",
+        OR address IS DISTINCT FROM lag(address) OVER w OR contact_number IS DISTINCT FROM lag(contact_number) OVER w""",
     "pii_history": """
 SELECT account_id, customer_name, address, contact_number, billing_period AS effective_from,
        CAST(lead(billing_period) OVER w - INTERVAL 1 DAY AS DATE) AS effective_to,
@@ -264,5 +264,7 @@ def with_inputs(sql: str) -> str:
     visit(sql)
     if not needed:
         return sql.strip()
+    if sql.strip().upper().startswith("WITH "):
+        sql = ", " + sql.strip()[5:]
     ctes = ",\n".join(f"{name} AS ({INPUTS[name].strip()})" for name in needed)
     return f"WITH {ctes}\n{sql.strip()}"

@@ -85,9 +85,12 @@ class Landing:
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory.rstrip('/')}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.directory.rstrip('/')}/{name}.parquet")
+        return self._tables[name]
 
     def _derive(self, name: str) -> DataFrame:
         text = SQL[name]
