@@ -1 +1,182 @@
-"""Placeholder."""
+"""Streams: landing files written from the driver's tables, read back as streams, run to the end.
+
+Each result equals its batch twin, which is what the SQL computes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sluiceway import config
+from sluiceway.operators.quarantine import bad_rows, good_rows
+from sluiceway.operators.rules import DROP, enforce, keep_valid, with_action
+from sluiceway.plans import contractors, finance, network
+from sluiceway.queries.oracle import BILL_FIELDS, PROCESSED, WORKS_OK, all_hold, all_reasons
+from sluiceway.queries.registry import SETTINGS, query
+from sluiceway.sources import files, schemas
+from sluiceway.sources.schemas import RESCUE
+from sluiceway.sources.tables import scratch
+from sluiceway.streaming import flows
+
+
+def landed_csv(df: DataFrame) -> str:
+    path = f"{scratch(df.sparkSession)}/landing"
+    df.write.option("header", True).csv(path)
+    return path
+
+
+def run(stream: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    base = scratch(stream.sparkSession)
+    return flows.run_available(stream, f"{base}/table", f"{base}/checkpoint", partition_by)
+
+
+def contractor_streams(inputs) -> dict[str, DataFrame]:
+    """Each contractor's layout, written as CSV with its own headers and read back as a stream."""
+    return {
+        name: files.csv_files(inputs.spark, landed_csv(df.drop(RESCUE)), schemas.WORKS_ORDERS[name], stream=True)
+        for name, df in inputs.works_orders().items()
+    }
+
+
+def bill_files(inputs) -> str:
+    """Bills as CSV; a missing consumption is written as text that does not fit the number column."""
+    bills = inputs.bills().select(*schemas.BILLS.names)
+    return landed_csv(bills.withColumn("consumption_value", F.coalesce(F.col("consumption_value").cast("string"), F.lit("n/a"))))
+
+
+@query(
+    "S-01, S-05, T-01, M-01, D-01",
+    f"SELECT {BILL_FIELDS}, consumption_value IS NULL AS is_rescued FROM in_bills",
+)
+def stream_ingest_csv(inputs):
+    stream = files.csv_files(inputs.spark, bill_files(inputs), schemas.BILLS, stream=True)
+    landed = run(enforce(stream, config.BILL_LANDING))
+    return landed.withColumn("is_rescued", F.col(RESCUE).isNotNull()).drop(RESCUE)
+
+
+@query("M-32, D-03: the older variant drops rescued lines", f"SELECT {BILL_FIELDS} FROM in_bills WHERE consumption_value IS NOT NULL")
+def stream_ingest_csv_drop(inputs):
+    stream = files.csv_files(inputs.spark, bill_files(inputs), schemas.BILLS, stream=True)
+    return run(keep_valid(stream, config.BILL_LANDING).drop(RESCUE))
+
+
+@query("S-02, S-10, M-03..M-05", "SELECT * EXCLUDE (zone_id) FROM incoming_orders")
+def stream_contractor_csv(inputs):
+    return run(contractors.conformed_orders(contractor_streams(inputs)))
+
+
+@query(
+    "S-03, M-06",
+    """SELECT CAST(sensor_id AS VARCHAR) AS sensor_id, CAST(location_id AS VARCHAR) AS location_id, reading_time AS "timestamp",
+    zone, reading_type, CAST(reading_value AS DOUBLE) AS reading_value, CAST(NULL AS VARCHAR) AS _rescued_data FROM in_readings""",
+)
+def stream_jsonl(inputs):
+    path = f"{scratch(inputs.spark)}/landing"
+    inputs.readings().drop(RESCUE, "seq").write.json(path)
+    return run(enforce(files.json_lines(inputs.spark, path, schemas.READINGS, stream=True), config.READING_LANDING))
+
+
+def invoice_stream(inputs) -> DataFrame:
+    path = f"{scratch(inputs.spark)}/landing"
+    files.write_pages(inputs.invoice_records().drop(RESCUE), path)
+    return files.invoice_pages(inputs.spark, path, stream=True)
+
+
+@query(
+    "S-04, M-02, C-11",
+    """SELECT h.invoice_id, CAST(h.vendor_id AS VARCHAR) AS vendor_id, h.vendor_name, h.currency, h.invoice_date, l.line_no, l.description,
+    l.qty, CAST(l.unit_cost AS DOUBLE) AS unit_cost FROM in_invoice_headers h JOIN in_invoice_lines l USING (invoice_id)""",
+)
+def stream_paged_json(inputs):
+    landed = run(invoice_stream(inputs))
+    return landed.select(
+        "invoice_id",
+        F.col("vendor.id").alias("vendor_id"),
+        F.col("vendor.name").alias("vendor_name"),
+        "currency",
+        "invoice_date",
+        F.explode("line_items").alias("line"),
+    ).select("invoice_id", "vendor_id", "vendor_name", "currency", "invoice_date", "line.*")
+
+
+@query("T-03, U-06: an invoice is in as many pages as it has lines", "SELECT * REPLACE (CAST(vendor_id AS VARCHAR) AS vendor_id) FROM incoming_headers")
+def stream_dedup(inputs):
+    return run(flows.once_per_key(finance.flatten_headers(invoice_stream(inputs)), "invoice_id"))
+
+
+@query("T-03 with lanes for hot invoices", "SELECT * REPLACE (CAST(vendor_id AS VARCHAR) AS vendor_id) FROM incoming_headers")
+def stream_dedup_lanes(inputs):
+    thinned = flows.once_per_key(invoice_stream(inputs), "invoice_id", [files.SOURCE_FILE, "line_items"], salts=16)
+    return run(finance.flatten_headers(thinned))
+
+
+@query(
+    "T-03 with a watermark: readings delivered twice",
+    """SELECT seq, CAST(sensor_id AS BIGINT) AS sensor_id, reading_ts, reading_type FROM parsed_readings WHERE reading_ts IS NOT NULL""",
+)
+def stream_dedup_watermark(inputs):
+    path = f"{scratch(inputs.spark)}/landing"
+    parsed = network.parsed_readings(inputs.readings()).where("reading_ts IS NOT NULL")
+    once = parsed.select("seq", "sensor_id", "reading_ts", "reading_type")
+    once.unionByName(once).write.parquet(path)
+    stream = files.stored_files(inputs.spark, path, once.schema, stream=True)
+    return run(flows.once_per_key_within(stream, "seq", "reading_ts", "2 hours"))
+
+
+@query("T-02, S-09: explode and rules on a stream over a stored table", "SELECT * FROM lines")
+def stream_lines(inputs):
+    path = f"{scratch(inputs.spark)}/landing"
+    inputs.invoice_line_records().write.parquet(path)
+    return run(finance.line_items(files.stored_files(inputs.spark, path, stream=True)))
+
+
+@query("T-04, J-03", "SELECT * FROM incoming_orders WHERE contractor_source = 'contractor_a'")
+def stream_enrich(inputs):
+    stream = contractor_streams(inputs)["contractor_a"]
+    one = contractors.conform_sources({"contractor_a": stream}, {"contractor_a": contractors.registry()["contractor_a"]}, "contractor_source")
+    return run(contractors.with_zone_id(one, inputs.zones(), SETTINGS)).select(*contractors.ORDER, "zone_id")
+
+
+@query("T-05, U-07", "SELECT * FROM orders_done")
+def stream_multi_flow(inputs):
+    stream = flows.works_orders_stream(contractor_streams(inputs), inputs.zones(), SETTINGS)
+    return run(keep_valid(stream, with_action(config.works_rules(SETTINGS), DROP)))
+
+
+@query(
+    "T-06, D-11: both sides of one pass",
+    f"""SELECT *, CASE WHEN {all_hold(WORKS_OK)} THEN NULL ELSE {all_reasons(WORKS_OK)} END AS _quarantine_reason,
+    CASE WHEN NOT ({all_hold(WORKS_OK)}) THEN {PROCESSED} END AS _quarantined_at FROM incoming_orders""",
+)
+def stream_split(inputs):
+    stream = flows.works_orders_stream(contractor_streams(inputs), inputs.zones(), SETTINGS)
+    base = scratch(inputs.spark)
+    routed = flows.split_stream(stream, config.works_rules(SETTINGS), SETTINGS, f"{base}/table", f"{base}/checkpoint")
+    return good_rows(routed).unionByName(bad_rows(routed), allowMissingColumns=True)
+
+
+@query("C-07, T-07: votes stored per batch and merged", "SELECT * FROM locations")
+def stream_location_votes(inputs):
+    """Two deliveries to one folder, one run of the stream after each."""
+    base = scratch(inputs.spark)
+    readings = inputs.readings()
+    for kind in ["pressure", "flow"]:
+        readings.where(F.col("reading_type") == kind).write.mode("append").parquet(f"{base}/landing")
+        stream = files.stored_files(inputs.spark, f"{base}/landing", readings.schema, stream=True)
+        votes = flows.store_votes(stream, "location_id", "zone", f"{base}/votes", f"{base}/checkpoint")
+    return network.location_zone_from_votes(votes, SETTINGS)
+
+
+@query(
+    "S-06, S-07: a second delivery lacks one column and brings another",
+    """SELECT account_id, CASE WHEN contact_number = 'F' THEN meter_id END AS meter_id, billing_period, service_zone,
+    CASE WHEN contact_number <> 'F' THEN customer_name END AS channel FROM in_bills""",
+)
+def schema_drift(inputs):
+    bills = inputs.bills().select("account_id", "meter_id", "billing_period", "service_zone", "customer_name", "contact_number")
+    first = bills.where("contact_number = 'F'").select("account_id", "meter_id", "billing_period", "service_zone")
+    second = bills.where("contact_number <> 'F'").select(
+        "account_id", "billing_period", "service_zone", F.col("customer_name").alias("channel")
+    )
+    return files.csv_deliveries(inputs.spark, [landed_csv(first), landed_csv(second)], schemas.BILLS).drop(RESCUE)

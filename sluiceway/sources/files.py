@@ -6,6 +6,7 @@ whole text goes to the rescue column; nothing is lost at landing.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,6 +14,8 @@ from pyspark.sql.types import StructType
 from sluiceway.operators.conform import explode_records, union_all
 from sluiceway.sources.schemas import INVOICE_PAGE, RESCUE, with_hints, with_rescue
 
+SOURCE_FILE = "_source_file"
+
 
 def _reader(spark: SparkSession, schema: StructType, stream: bool):
     reader = spark.readStream if stream else spark.read
@@ -29,9 +32,9 @@ def json_lines(spark: SparkSession, path: str, schema: StructType, stream: bool
 
 
 def invoice_pages(spark: SparkSession, path: str, stream: bool = False, schema: StructType = INVOICE_PAGE) -> DataFrame:
-    """One JSON document per file, ``{"data": [record, ...]}``; one row per record."""
+    """One JSON document per file, ``{"data": [record, ...]}``; one row per record, with the file it came from."""
     pages = _reader(spark, schema, stream).option("multiLine", True).json(path)
-    return explode_records(pages, "data", [RESCUE])
+    return explode_records(pages.withColumn(SOURCE_FILE, F.col("_metadata.file_path")), "data", [RESCUE, SOURCE_FILE])
 
 
 def stored_files(spark: SparkSession, path: str, schema: StructType | None = None, stream: bool = False) -> DataFrame:
@@ -76,3 +79,20 @@ def csv_deliveries(spark: SparkSession, paths: list[str], declared: StructType)
 def with_row_id(df: DataFrame) -> DataFrame:
     """Stamp an id at landing, so that exact copies of a line can be told apart later."""
     return df.withColumn("_row_id", F.expr("uuid()"))
+
+
+def write_pages(records: DataFrame, path: str, page_rows: int = 5000) -> None:
+    """Write records as paged documents, one per file, at most ``page_rows`` records each.
+
+    Records are turned to JSON by Spark; Python only joins the texts of one Arrow batch, so a page
+    never holds more than a batch.
+    """
+
+    def pages(batches):
+        for batch in batches:
+            for start in range(0, len(batch), page_rows):
+                body = ",".join(batch["record"].iloc[start : start + page_rows])
+                yield pd.DataFrame({"value": ['{"data":[' + body + "]}"]})
+
+    texts = records.select(F.to_json(F.struct(*records.columns)).alias("record")).mapInPandas(pages, "value string")
+    texts.write.option("maxRecordsPerFile", 1).text(path)
