@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sluiceway.operators.conform import explode_records, union_all
+from sluiceway.operators.conform import union_all
 from sluiceway.sources.schemas import INVOICE_PAGE, RESCUE, with_hints, with_rescue
 
 SOURCE_FILE = "_source_file"
@@ -32,9 +32,18 @@ def json_lines(spark: SparkSession, path: str, schema: StructType, stream: bool
 
 
 def invoice_pages(spark: SparkSession, path: str, stream: bool = False, schema: StructType = INVOICE_PAGE) -> DataFrame:
-    """One JSON document per file, ``{"data": [record, ...]}``; one row per record, with the file it came from."""
+    """One JSON document per file, ``{"data": [record, ...]}``; one row per record, with the file it came from.
+
+    The rescue text of a page is the whole page, so it stands on the page's first row only. A page
+    that cannot be read at all gives one row, empty but for that text.
+    """
     pages = _reader(spark, schema, stream).option("multiLine", True).json(path)
-    return explode_records(pages.withColumn(SOURCE_FILE, F.col("_metadata.file_path")), "data", [RESCUE, SOURCE_FILE])
+    unreadable = F.when(F.col(RESCUE).isNotNull(), F.array(F.lit(None)))
+    records = pages.select(
+        RESCUE, F.col("_metadata.file_path").alias(SOURCE_FILE), F.posexplode(F.coalesce("data", unreadable))
+    )
+    rescue = F.when(F.col("pos") == 0, F.col(RESCUE))
+    return records.select(rescue.alias(RESCUE), SOURCE_FILE, "col.*")
 
 
 def stored_files(spark: SparkSession, path: str, schema: StructType | None = None, stream: bool = False) -> DataFrame:
