@@ -52,17 +52,29 @@ def versions(
 
 
 def version_faults(df: DataFrame, key: str) -> DataFrame:
-    """Keys whose history is broken: not one current version, overlapping spans, or from > to."""
-    ordered = Window.partitionBy(key).orderBy("effective_from")
-    spans = df.withColumn("_next", F.lead("effective_from").over(ordered))
-    overlap = F.coalesce("effective_to", F.lit(dt.date(9999, 12, 31))) >= F.col("_next")
+    """Keys whose history is broken: not one current version, overlapping spans, or from > to.
+
+    Equal spans are counted into one row before the window. The copies of a span overlap each
+    other, and the last one may overlap the next span.
+    """
+    span = ["effective_from", "effective_to", "is_current"]
+    end = F.coalesce("effective_to", F.lit(dt.date(9999, 12, 31)))
+    ordered = Window.partitionBy(key).orderBy("effective_from", F.col("effective_to").asc_nulls_last(), "is_current")
+    spans = (
+        df.groupBy(key, *span)
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("following", F.lead("effective_from").over(ordered))
+    )
+    among_copies = F.when(end >= F.col("effective_from"), F.col("copies") - 1).otherwise(0)
+    into_next = F.when(end >= F.col("following"), 1).otherwise(0)
+    inverted = F.when(F.col("effective_from") > F.col("effective_to"), F.col("copies")).otherwise(0)
     return (
         spans.groupBy(key)
         .agg(
-            F.count(F.lit(1)).alias("version_count"),
-            F.count_if(F.col("is_current")).alias("current_count"),
-            F.count_if(overlap).alias("overlap_count"),
-            F.count_if(F.col("effective_from") > F.col("effective_to")).alias("inverted_count"),
+            F.sum("copies").alias("version_count"),
+            F.sum(F.when(F.col("is_current"), F.col("copies")).otherwise(0)).alias("current_count"),
+            F.sum(among_copies + into_next).alias("overlap_count"),
+            F.sum(inverted).alias("inverted_count"),
         )
         .where("current_count <> 1 OR overlap_count > 0 OR inverted_count > 0")
     )

@@ -17,13 +17,14 @@ from sluiceway.sources.tables import overwrite
 
 @dataclass(frozen=True)
 class Bronze:
-    """The landed inputs of one run; stored tables."""
+    """The landed inputs of one run; stored tables. ``row_id`` names a column that is unique per reading."""
 
     bills: DataFrame
     invoices: DataFrame
     works_orders: Mapping[str, DataFrame]
     readings: DataFrame
     zones: DataFrame
+    row_id: str | None = None
 
 
 def _routed(df: DataFrame, rule_set, settings: Settings, path: str, cluster_by: list[str]):
@@ -66,7 +67,7 @@ def daily_refresh(bronze: Bronze, base: str, settings: Settings) -> dict[str, Da
 
     locations = publish("silver.dim_location_zone", network.location_zone(bronze.readings, settings), ["location_id"])
     readings = publish(
-        "silver.network_telemetry", network.telemetry(bronze.readings, locations, settings), ["location_id", "month_start_date"]
+        "silver.network_telemetry", network.telemetry(bronze.readings, locations, settings, bronze.row_id), ["location_id", "month_start_date"]
     )
     publish("silver.quarantine_network_telemetry", network.telemetry_quarantine(bronze.readings, settings), ["quarantine_reason"])
     publish("silver.dq_metrics_network_telemetry", network.telemetry_dq(readings), ["rule"])

@@ -50,7 +50,8 @@ def pii_scd1(inputs):
     """SELECT account_id, count(*) AS version_count, count(*) FILTER (is_current) AS current_count,
     count(*) FILTER (coalesce(effective_to, DATE '9999-12-31') >= following) AS overlap_count,
     count(*) FILTER (effective_from > effective_to) AS inverted_count
-    FROM (SELECT *, lead(effective_from) OVER (PARTITION BY account_id ORDER BY effective_from) AS following
+    FROM (SELECT *, lead(effective_from) OVER (PARTITION BY account_id
+          ORDER BY effective_from, effective_to NULLS LAST, is_current) AS following
           FROM (SELECT account_id, effective_from, effective_to, is_current FROM pii_history
                 UNION ALL
                 SELECT account_id, effective_from, effective_to, is_current FROM pii_history WHERE is_current

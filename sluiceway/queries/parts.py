@@ -105,7 +105,7 @@ part("date_window", "P-18, F-04", f"SELECT invoice_id, invoice_date FROM incomin
 # --- joins -------------------------------------------------------------------
 
 part("inner_join", "J-01", "SELECT l.*, h.site_zone FROM lines l JOIN headers h ON l.invoice_id = h.invoice_id",
-     lambda i: i.lines().join(i.headers().select("invoice_id", "site_zone"), "invoice_id"))
+     lambda i: i.lines().join(i.stored_headers().select("invoice_id", "site_zone"), "invoice_id"))
 
 part("left_join", "J-02", "SELECT seq, r.location_id, zone, resolved_zone FROM in_readings r LEFT JOIN locations l ON r.location_id = l.location_id",
      lambda i: i.readings().select("seq", "location_id", "zone").join(
@@ -130,7 +130,7 @@ part("left_join_then_not_null", "J-06", "SELECT seq, location_id, resolved_zone
          i.locations().select("location_id", "resolved_zone"), "location_id", "left").where("resolved_zone IS NOT NULL"))
 
 part("existence_check", "J-07", "SELECT * FROM lines WHERE invoice_id IN (SELECT invoice_id FROM headers)",
-     lambda i: i.lines().join(i.headers().select("invoice_id"), "invoice_id", "left_semi"))
+     lambda i: i.lines().join(i.stored_headers().select("invoice_id"), "invoice_id", "left_semi"))
 
 # --- aggregates --------------------------------------------------------------
 
@@ -274,8 +274,8 @@ part("guarded_ratio", "F-13, F-14",
      AS billed_per_m3 FROM billing_mart""",
      lambda i: i.billing_mart().select("service_zone", "month_start_date", m.ratio("total_billed", "total_consumption", 4).alias("billed_per_m3")))
 
-part("casts", "F-15", "SELECT invoice_id, line_no, qty, CAST(qty AS VARCHAR) AS qty_text, CAST(unit_cost AS DOUBLE) AS unit_cost, CAST(unit_cost AS INT) AS whole_cost FROM in_invoice_lines WHERE unit_cost < 900",
-     lambda i: finance.incoming_lines(i.invoice_line_records()).where("unit_cost < 900").select(
+part("casts", "F-15", "SELECT invoice_id, line_no, qty, CAST(qty AS VARCHAR) AS qty_text, CAST(unit_cost AS DOUBLE) AS unit_cost, CAST(trunc(unit_cost) AS INT) AS whole_cost FROM in_invoice_lines",
+     lambda i: finance.incoming_lines(i.invoice_line_records()).select(
          "invoice_id", "line_no", "qty", F.col("qty").cast("string").alias("qty_text"), "unit_cost", c.whole_number("unit_cost").alias("whole_cost")))
 
 part("explode_lines", "F-16, C-11", "SELECT invoice_id, line_no, description, qty, CAST(unit_cost AS DOUBLE) AS unit_cost FROM in_invoice_lines",

@@ -59,6 +59,10 @@ class Inputs(Landing):
     def headers(self) -> DataFrame:
         return finance.invoices(self.invoice_headers(), SETTINGS)
 
+    def stored_headers(self) -> DataFrame:
+        """For joins with single lines: a stored side lets adaptive execution split a hot invoice."""
+        return store(self.headers())
+
     def lines(self) -> DataFrame:
         return finance.line_items(self.invoice_line_records())
 

@@ -9,10 +9,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from sluiceway.operators.conform import union_all
-from sluiceway.sources.schemas import INVOICE_PAGE, RESCUE, with_hints, with_rescue
+from sluiceway.sources.schemas import INVOICE_PAGE, RESCUE, TEXT, with_hints, with_rescue
 
 SOURCE_FILE = "_source_file"
 
@@ -64,9 +64,9 @@ def header_schema(spark: SparkSession, path: str, declared: StructType) -> Struc
 
     Only the header line is read.
     """
+    known = {field.name: field for field in declared.fields}
     names = spark.read.option("header", True).csv(path).columns
-    known = {field.name: field.dataType.simpleString() for field in declared.fields}
-    return StructType.fromDDL(", ".join(f"`{name}` {known.get(name, 'string')}" for name in names))
+    return StructType([known.get(name, StructField(name, TEXT)) for name in names])
 
 
 def drift(spark: SparkSession, declared: StructType, actual: StructType) -> DataFrame:

@@ -123,9 +123,15 @@ class Landing:
         return self._derive("invoice_lines").select("invoice_id", F.array(item).alias("line_items"))
 
     def invoice_records(self) -> DataFrame:
-        """Full invoice records: header, vendor, one line each; an order without lines has NULL."""
-        joined = self.invoice_headers().join(self.invoice_line_records(), "invoice_id", "left")
-        return joined.withColumn(RESCUE, F.lit(None).cast("string"))
+        """Full invoice records: header, vendor, one line each; an order without lines has NULL.
+
+        An inner join and the headers that found no line, rather than one outer join: adaptive
+        execution can split an invoice with very many lines in the former only.
+        """
+        headers, lines = self.invoice_headers(), self.invoice_line_records()
+        without = headers.join(lines.select("invoice_id").distinct(), "invoice_id", "left_anti")
+        records = lines.join(headers, "invoice_id").unionByName(without, allowMissingColumns=True)
+        return records.withColumn(RESCUE, F.lit(None).cast("string"))
 
     def works_orders(self) -> dict[str, DataFrame]:
         """The three contractors' layouts, by return flag."""

@@ -2,54 +2,95 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 RESCUE = "_rescued_data"
+TEXT, NUMBER, WHOLE, DAY, FLAG = StringType(), DoubleType(), IntegerType(), DateType(), BooleanType()
+
+
+def struct(**columns: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in columns.items()])
 
-BILLS = StructType.fromDDL(
-    "account_id STRING, meter_id STRING, billing_period DATE, service_zone STRING, consumption_value DOUBLE, "
-    "consumption_unit STRING, amount_billed DOUBLE, payment_status STRING, customer_name STRING, address STRING, "
-    "contact_number STRING"
+
+BILLS = struct(
+    account_id=TEXT,
+    meter_id=TEXT,
+    billing_period=DAY,
+    service_zone=TEXT,
+    consumption_value=NUMBER,
+    consumption_unit=TEXT,
+    amount_billed=NUMBER,
+    payment_status=TEXT,
+    customer_name=TEXT,
+    address=TEXT,
+    contact_number=TEXT,
 )
 
 WORKS_ORDERS = {
-    "contractor_a": StructType.fromDDL(
-        "work_order_id STRING, site_location STRING, work_description STRING, date_completed STRING, cost_sgd DOUBLE"
-    ),
-    "contractor_b": StructType.fromDDL(
-        "WO_Number STRING, Location STRING, `Desc` STRING, CompletionDate STRING, Amount DOUBLE"
-    ),
-    "contractor_c": StructType.fromDDL(
-        "id STRING, loc_id STRING, notes STRING, completed_on STRING, charge STRING"
+    "contractor_a": struct(
+        work_order_id=TEXT, site_location=TEXT, work_description=TEXT, date_completed=TEXT, cost_sgd=NUMBER
     ),
+    "contractor_b": struct(WO_Number=TEXT, Location=TEXT, Desc=TEXT, CompletionDate=TEXT, Amount=NUMBER),
+    "contractor_c": struct(id=TEXT, loc_id=TEXT, notes=TEXT, completed_on=TEXT, charge=TEXT),
 }
 
-READINGS = StructType.fromDDL(
-    "sensor_id STRING, location_id STRING, `timestamp` STRING, zone STRING, reading_type STRING, reading_value DOUBLE"
+READINGS = struct(
+    sensor_id=TEXT, location_id=TEXT, timestamp=TEXT, zone=TEXT, reading_type=TEXT, reading_value=NUMBER
 )
 
-INVOICE_PAGE = StructType.fromDDL(
-    "data ARRAY<STRUCT<invoice_id: STRING, invoice_date: STRING, cost_center: STRING, currency: STRING, "
-    "site_zone: STRING, project_code: STRING, vendor: STRUCT<id: STRING, name: STRING>, "
-    "line_items: ARRAY<STRUCT<line_no: INT, description: STRING, qty: INT, unit_cost: DOUBLE>>>>"
+INVOICE_LINE = struct(line_no=WHOLE, description=TEXT, qty=WHOLE, unit_cost=NUMBER)
+
+INVOICE = struct(
+    invoice_id=TEXT,
+    invoice_date=TEXT,
+    cost_center=TEXT,
+    currency=TEXT,
+    site_zone=TEXT,
+    project_code=TEXT,
+    vendor=struct(id=TEXT, name=TEXT),
+    line_items=ArrayType(INVOICE_LINE),
 )
 
-ZONE_MASTER = StructType.fromDDL(
-    "zone_id STRING NOT NULL COMMENT 'Short code', zone_name STRING NOT NULL COMMENT 'Name as the sources write it', "
-    "district STRING COMMENT 'Neighbourhood', region STRING COMMENT 'Part of the city', "
-    "population_served INT COMMENT 'Estimated residents', district_manager STRING COMMENT 'Person in charge', "
-    "sla_response_hours INT COMMENT 'Response target in hours', effective_from DATE NOT NULL COMMENT 'First day', "
-    "effective_to DATE COMMENT 'Last day, empty while in force', is_current BOOLEAN NOT NULL COMMENT 'In force'"
+INVOICE_PAGE = struct(data=ArrayType(INVOICE))
+
+
+def _described(name: str, kind: DataType, comment: str, required: bool = False) -> StructField:
+    return StructField(name, kind, not required, {"comment": comment})
+
+
+ZONE_MASTER = StructType(
+    [
+        _described("zone_id", TEXT, "Short code", required=True),
+        _described("zone_name", TEXT, "Name as the sources write it", required=True),
+        _described("district", TEXT, "Neighbourhood"),
+        _described("region", TEXT, "Part of the city"),
+        _described("population_served", WHOLE, "Estimated residents"),
+        _described("district_manager", TEXT, "Person in charge"),
+        _described("sla_response_hours", WHOLE, "Response target in hours"),
+        _described("effective_from", DAY, "First day in force", required=True),
+        _described("effective_to", DAY, "Last day in force, empty while current"),
+        _described("is_current", FLAG, "In force now", required=True),
+    ]
 )
 
 
 def with_rescue(schema: StructType) -> StructType:
     """The schema plus the text column that takes lines which do not fit it."""
-    return StructType([*schema.fields, *StructType.fromDDL(f"{RESCUE} STRING").fields])
+    return StructType([*schema.fields, StructField(RESCUE, TEXT)])
 
 
 def with_hints(inferred: StructType, hints: str) -> StructType:
     """An inferred schema with the types of the hinted columns forced; hinted columns not seen are added."""
     forced = {field.name: field.dataType for field in StructType.fromDDL(hints).fields}
     fields = [StructField(f.name, forced.pop(f.name, f.dataType), f.nullable) for f in inferred.fields]
-    return StructType([*fields, *[StructField(name, kind, True) for name, kind in forced.items()]])
+    return StructType([*fields, *[StructField(name, kind) for name, kind in forced.items()]])
