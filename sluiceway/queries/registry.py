@@ -13,7 +13,7 @@ from sluiceway.plans import billing, contractors, finance, network
 from sluiceway.plans.scorecard import Marts
 from sluiceway.queries.oracle import with_inputs
 from sluiceway.sources.landing import Landing
-from sluiceway.sources.tables import store
+from sluiceway.sources.tables import store, store_all
 
 SETTINGS = Settings(
     as_of=dt.date(2001, 6, 30),
@@ -89,8 +89,12 @@ class Inputs(Landing):
         """The four marts, stored: the scorecard reads each of them twice."""
         locations = self.locations()
         return Marts(
-            billing=store(self.billing_mart()),
-            spend=store(self.spend_mart()),
-            contractor=store(self.contractor_mart()),
-            network=store(network.network_diagnostic(self.telemetry(locations), locations, SETTINGS)),
+            **store_all(
+                {
+                    "billing": self.billing_mart(),
+                    "spend": self.spend_mart(),
+                    "contractor": self.contractor_mart(),
+                    "network": network.network_diagnostic(self.telemetry(locations), locations, SETTINGS),
+                }
+            )
         )

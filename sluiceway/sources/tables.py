@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -40,6 +41,13 @@ def store(df: DataFrame, name: str = "part") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_all(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Store several independent frames, their jobs side by side."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        stored = {name: pool.submit(store, df, name) for name, df in frames.items()}
+        return {name: job.result() for name, job in stored.items()}
+
+
 def overwrite(
     df: DataFrame, path: str, cluster_by: Sequence[str] = (), spread: Sequence[str] = (), partition_by: Sequence[str] = ()
 ) -> DataFrame:
