@@ -62,7 +62,7 @@ def is_known_status(c: Column | str, codes: dict[str, list[str]] | None = None)
 
 def charge_amount(c: Column | str, prefix: str = config.CHARGE_PREFIX) -> Column:
     """``SGD 123.45`` to 123.45; a charge without the prefix is read as a plain number."""
-    return F.regexp_replace(col(c).cast("string"), prefix, "").try_cast("double")
+    return F.replace(col(c).cast("string"), F.lit(prefix), F.lit("")).try_cast("double")
 
 
 def code_in_name(c: Column | str, start: int, length: int) -> Column:

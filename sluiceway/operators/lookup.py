@@ -1,4 +1,4 @@
-"""Joins against reference data: broadcast only what was counted, salt what is hot."""
+"""Joins against reference data, and what to do when the facts have a hot key."""
 
 from __future__ import annotations
 
@@ -9,16 +9,12 @@ from pyspark.sql import functions as F
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """Does the frame hold at most ``max_rows`` rows? Reads no more than that many and one."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast if the frame was counted and is small; else leave the choice to Spark.
+    """Does the frame hold at most ``max_rows`` rows? Reads no more than that many and one.
 
+    The check before a broadcast hint on a stream, which has no adaptive execution to measure.
     Give it a stored table or a short query over one: counting runs a job.
     """
-    return F.broadcast(df) if fits(df, max_rows) else df
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def lookup(
@@ -26,24 +22,21 @@ def lookup(
     dimension: DataFrame,
     fact_key: str,
     dimension_key: str,
-    max_rows: int,
     how: str = "left",
     spread: Sequence[str] = (),
     salts: int = 1,
 ) -> DataFrame:
     """Join reference columns to facts and drop the dimension's key.
 
-    A dimension of at most ``max_rows`` rows is broadcast and the facts are not shuffled. Beyond
-    that the join is a sort-merge join, whose hot keys adaptive execution splits. A streaming plan
-    has no such split, so ``salts`` can spread the facts by a hash of ``spread`` and repeat the
-    dimension once per salt.
+    Without ``salts`` Spark picks the join: it broadcasts a dimension that is below its size limit,
+    by the size of the stored table or by what adaptive execution has measured, and otherwise
+    splits hot keys of a sort-merge join. A streaming plan cannot split, so ``salts`` spreads the
+    facts by a hash of ``spread`` and repeats the dimension once per salt.
     """
     right = dimension.withColumnRenamed(dimension_key, "_lookup_key")
-    if fits(right, max_rows):
-        return fact.join(F.broadcast(right), F.col(fact_key) == F.col("_lookup_key"), how).drop("_lookup_key")
     if salts <= 1:
         return fact.join(right, F.col(fact_key) == F.col("_lookup_key"), how).drop("_lookup_key")
-    salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     repeated = right.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     on = (F.col(fact_key) == F.col("_lookup_key")) & (F.col("_salt") == F.col("_lookup_salt"))
-    return salted_fact.join(repeated, on, how).drop("_lookup_key", "_lookup_salt", "_salt")
+    return salted.join(repeated, on, how).drop("_lookup_key", "_lookup_salt", "_salt")

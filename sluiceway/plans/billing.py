@@ -12,7 +12,6 @@ from sluiceway.functions.masking import tag_columns
 from sluiceway.functions.measures import MEASURE_PLACES, percent, total
 from sluiceway.operators import history
 from sluiceway.operators.dedup import flag_duplicates, keep_first
-from sluiceway.operators.lookup import sized
 from sluiceway.operators.quarantine import FIRST, quarantine
 from sluiceway.operators.rules import all_pass, dq_metrics, enforce, fail_on_violation, flag_known, keep_valid, with_action
 
@@ -66,10 +65,9 @@ def superseded_bills(bronze: DataFrame, settings: Settings, row_id: str | None =
     return flagged.where(F.col("superseded") & all_pass(config.BILL_HARD)).select(*FACTS)
 
 
-def billing_dq(consumption: DataFrame, zones: DataFrame, settings: Settings, by: tuple[str, ...] = ()) -> DataFrame:
+def billing_dq(consumption: DataFrame, zones: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Soft checks beside the data; a zone is known if it is current in the zone master."""
-    names = sized(history.current(zones).select("zone_name"), settings.dimension_rows)
-    flagged = flag_known(consumption, "service_zone", names, "zone_name")
+    flagged = flag_known(consumption, "service_zone", history.current(zones), "zone_name")
     return dq_metrics(flagged, config.BILL_SOFT, "billing_consumption", by)
 
 

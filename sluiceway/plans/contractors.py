@@ -13,7 +13,7 @@ from sluiceway.functions import conforming as c
 from sluiceway.functions.measures import total
 from sluiceway.operators import history
 from sluiceway.operators.conform import conform_sources
-from sluiceway.operators.lookup import lookup
+from sluiceway.operators.lookup import fits, lookup
 from sluiceway.operators.quarantine import quarantine
 from sluiceway.operators.rules import enforce, keep_valid
 
@@ -38,12 +38,18 @@ def conformed_orders(sources: Mapping[str, DataFrame]) -> DataFrame:
     return conform_sources(sources, registry(), "contractor_source").select(*ORDER)
 
 
-def with_zone_id(orders: DataFrame, zones: DataFrame, settings: Settings, salts: int = 1) -> DataFrame:
-    """Add the id of the current zone of that name; NULL if there is none. Works on streams."""
+def with_zone_id(orders: DataFrame, zones: DataFrame, settings: Settings) -> DataFrame:
+    """Add the id of the current zone of that name; NULL if there is none.
+
+    On a stream the zones are counted first: up to the setting's number of rows they are
+    broadcast, beyond it the orders of a hot zone are salted.
+    """
     names = history.current(zones).select("zone_id", F.col("zone_name").alias("_zone_name"))
-    return lookup(
-        orders, names, "zone", "_zone_name", settings.dimension_rows, spread=["work_order_id", "cost"], salts=salts
-    )
+    if not orders.isStreaming:
+        return lookup(orders, names, "zone", "_zone_name")
+    if fits(names, settings.dimension_rows):
+        return lookup(orders, F.broadcast(names), "zone", "_zone_name")
+    return lookup(orders, names, "zone", "_zone_name", spread=ORDER, salts=settings.salts)
 
 
 def works_orders(sources: Mapping[str, DataFrame], zones: DataFrame, settings: Settings) -> DataFrame:

@@ -11,7 +11,6 @@ from sluiceway.functions import conforming as c
 from sluiceway.functions.measures import MEASURE_PLACES, mean_of_parts, percent
 from sluiceway.operators import history, resolve
 from sluiceway.operators.dedup import flag_duplicates
-from sluiceway.operators.lookup import sized
 from sluiceway.operators.quarantine import FIRST, quarantine
 from sluiceway.operators.rules import FAIL, dq_metrics, fail_on_violation, flag_known, keep_valid, with_action
 
@@ -43,16 +42,15 @@ def location_zone_from_votes(counted: DataFrame, settings: Settings) -> DataFram
 
 
 def location_dq(locations: DataFrame, zones: DataFrame, settings: Settings) -> DataFrame:
-    names = sized(history.current(zones).select("zone_name"), settings.dimension_rows)
-    flagged = flag_known(locations, "resolved_zone", names, "zone_name")
+    flagged = flag_known(locations, "resolved_zone", history.current(zones), "zone_name")
     return dq_metrics(flagged, config.location_rules(settings), "dim_location_zone")
 
 
 def telemetry(bronze: DataFrame, locations: DataFrame, settings: Settings, row_id: str | None = None) -> DataFrame:
     """Valid readings with duplicate and uncertain-zone flags; nothing valid is dropped.
 
-    ``locations`` should be a stored table: it is then broadcast while small, and joined by sort
-    and merge with adaptive skew handling when it is not.
+    ``locations`` should be a stored table: Spark then knows its size, broadcasts it while it is
+    small, and beyond that splits a hot location in a sort-merge join.
     """
     valid = keep_valid(parsed_readings(bronze), config.READING_HARD).withColumn(
         "month_start_date", c.month_start("reading_ts")
@@ -60,7 +58,7 @@ def telemetry(bronze: DataFrame, locations: DataFrame, settings: Settings, row_i
     tie_break = ["reading_value", "reading_type", "location_id", "zone", *([row_id] if row_id else [])]
     narrow = valid.select(*READING_KEY, "month_start_date", *tie_break)
     flagged = flag_duplicates(narrow, READING_KEY, tie_break, tie_break, settings.salts)
-    joined = flagged.join(sized(locations, settings.dimension_rows), "location_id", "left")
+    joined = flagged.join(locations, "location_id", "left")
     return joined.withColumn("zone_is_uncertain", resolve.zone_uncertain()).select(*READING)
 
 
@@ -72,7 +70,7 @@ def telemetry_dq(readings: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return dq_metrics(readings, config.READING_SOFT, "network_telemetry", by)
 
 
-def _per_location(readings: DataFrame, locations: DataFrame, settings: Settings) -> DataFrame:
+def _per_location(readings: DataFrame, locations: DataFrame) -> DataFrame:
     """Partial sums and counts per location and month, with the location's zone.
 
     Summing before the join makes the joined side as small as locations times months. Only
@@ -92,17 +90,17 @@ def _per_location(readings: DataFrame, locations: DataFrame, settings: Settings)
         F.count_if(fresh & ~F.col("zone_is_uncertain")).alias("reliable_count"),
         F.count_if(F.col("zone_is_uncertain")).alias("uncertain_count"),
     )
-    resolved = sized(locations.where("resolved_zone IS NOT NULL"), settings.dimension_rows)
+    resolved = locations.where("resolved_zone IS NOT NULL")
     return partial.join(resolved, "location_id").withColumnRenamed("resolved_zone", "zone")
 
 
-def network_health(readings: DataFrame, locations: DataFrame, settings: Settings) -> DataFrame:
+def network_health(readings: DataFrame, locations: DataFrame) -> DataFrame:
     """Mean pressure and flow from trusted locations, duplicates left out.
 
     Trust is that of the location: a reading that names another zone still counts.
     """
     mart = (
-        _per_location(readings, locations.where("NOT is_ambiguous"), settings)
+        _per_location(readings, locations.where("NOT is_ambiguous"))
         .where("fresh_count > 0")
         .groupBy("zone", "month_start_date")
         .agg(
@@ -114,10 +112,10 @@ def network_health(readings: DataFrame, locations: DataFrame, settings: Settings
     return fail_on_violation(mart, config.NETWORK_MART)
 
 
-def network_diagnostic(readings: DataFrame, locations: DataFrame, settings: Settings) -> DataFrame:
+def network_diagnostic(readings: DataFrame, locations: DataFrame) -> DataFrame:
     """All readings of resolved locations, with how many of them can be relied on."""
     mart = (
-        _per_location(readings, locations, settings)
+        _per_location(readings, locations)
         .groupBy("zone", "month_start_date")
         .agg(
             mean_of_parts("pressure_sum", "pressure_count", MEASURE_PLACES).alias("avg_pressure"),

@@ -50,7 +50,7 @@ def daily_refresh(bronze: Bronze, base: str, settings: Settings) -> dict[str, Da
     bills = publish("silver.billing_consumption", billing.billing_consumption(bronze.bills), ["service_zone", "month_start_date"])
     publish("silver.customer_pii", billing.customer_pii(bronze.bills), ["account_id"])
     publish("silver.quarantine_billing_consumption", billing.billing_quarantine(bronze.bills, settings), ["quarantine_reason"])
-    publish("silver.dq_metrics_billing_consumption", billing.billing_dq(bills, bronze.zones, settings), ["rule"])
+    publish("silver.dq_metrics_billing_consumption", billing.billing_dq(bills, bronze.zones), ["rule"])
 
     headers = publish_routed(
         "silver.finance_invoices", finance.incoming_invoices(bronze.invoices), config.invoice_rules(settings), ["site_zone", "invoice_date"]
@@ -78,7 +78,7 @@ def daily_refresh(bronze: Bronze, base: str, settings: Settings) -> dict[str, Da
         contractor=publish("gold.contractor_by_zone_month", contractors.contractor_by_zone_month(orders), ["zone", "completion_month"]),
         network=publish(
             "gold.network_health_diagnostic_by_zone_month",
-            network.network_diagnostic(readings, locations, settings),
+            network.network_diagnostic(readings, locations),
             ["zone", "month_start_date"],
         ),
     )
@@ -89,7 +89,7 @@ def daily_refresh(bronze: Bronze, base: str, settings: Settings) -> dict[str, Da
     )
     publish("gold.works_by_zone_type_month", contractors.works_by_zone_type_month(orders), ["zone", "completion_month"])
     publish(
-        "gold.network_health_by_zone_month", network.network_health(readings, locations, settings), ["zone", "month_start_date"]
+        "gold.network_health_by_zone_month", network.network_health(readings, locations), ["zone", "month_start_date"]
     )
     publish("gold.zone_performance_monthly", scorecard.zone_performance(bronze.zones, marts, settings), ["zone_name", "month_start_date"])
     return out

@@ -87,7 +87,7 @@ _BILL_SOFT = {
 
 @query("M-09, D-13, P-12", metrics_sql("consumption", "billing_consumption", _BILL_SOFT))
 def billing_dq_metrics(inputs):
-    return billing.billing_dq(inputs.consumption(), inputs.zones(), SETTINGS)
+    return billing.billing_dq(inputs.consumption(), inputs.zones())
 
 
 @query(
@@ -333,13 +333,13 @@ def telemetry_dq_metrics(inputs):
 )
 def network_health(inputs):
     locations = inputs.locations()
-    return network.network_health(inputs.telemetry(locations), locations, SETTINGS)
+    return network.network_health(inputs.telemetry(locations), locations)
 
 
 @query("M-29, J-06", "SELECT * FROM network_mart")
 def network_diagnostic(inputs):
     locations = inputs.locations()
-    return network.network_diagnostic(inputs.telemetry(locations), locations, SETTINGS)
+    return network.network_diagnostic(inputs.telemetry(locations), locations)
 
 
 # --- scorecard -------------------------------------------------------------

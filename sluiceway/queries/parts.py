@@ -45,7 +45,7 @@ part("derived_columns", "P-03", "SELECT seq, month_start_date, consumption_m3, a
 
 part("drop_after_join", "P-04", "SELECT h.invoice_id, h.site_zone, z.region FROM in_invoice_headers h JOIN in_dim_zone z ON h.site_zone = z.zone_name",
      lambda i: lookup.lookup(i.invoice_headers().select("invoice_id", "site_zone"), i.zones().select("zone_name", "region"),
-                             "site_zone", "zone_name", SETTINGS.dimension_rows, "inner"))
+                             "site_zone", "zone_name", "inner"))
 
 part("nested_field", "P-05", "SELECT invoice_id, vendor_id, vendor_name FROM in_invoice_headers",
      lambda i: i.invoice_headers().select("invoice_id", F.col("vendor.id").alias("vendor_id"), F.col("vendor.name").alias("vendor_name")))
@@ -109,14 +109,14 @@ part("inner_join", "J-01", "SELECT l.*, h.site_zone FROM lines l JOIN headers h
 
 part("left_join", "J-02", "SELECT seq, r.location_id, zone, resolved_zone FROM in_readings r LEFT JOIN locations l ON r.location_id = l.location_id",
      lambda i: i.readings().select("seq", "location_id", "zone").join(
-         lookup.sized(i.locations().select("location_id", "resolved_zone"), SETTINGS.dimension_rows), "location_id", "left"))
+         i.locations().select("location_id", "resolved_zone"), "location_id", "left"))
 
-part("sized_lookup", "J-03, C-06", "SELECT work_order_id, zone, cost, zone_id FROM incoming_orders",
+part("zone_lookup", "J-03, C-06", "SELECT work_order_id, zone, cost, zone_id FROM incoming_orders",
      lambda i: contractors.with_zone_id(incoming_orders(i), i.zones(), SETTINGS).select("work_order_id", "zone", "cost", "zone_id"))
 
 part("salted_lookup", "J-03 with a dimension that is not broadcast", "SELECT work_order_id, zone, cost, zone_id FROM incoming_orders",
      lambda i: lookup.lookup(incoming_orders(i).select("work_order_id", "zone", "cost"),
-                             history.current(i.zones()).select("zone_id", "zone_name"), "zone", "zone_name", 0,
+                             history.current(i.zones()).select("zone_id", "zone_name"), "zone", "zone_name",
                              spread=["work_order_id", "cost"], salts=8))
 
 part("two_column_left_join", "J-04",

@@ -94,7 +94,7 @@ class Inputs(Landing):
                     "billing": self.billing_mart(),
                     "spend": self.spend_mart(),
                     "contractor": self.contractor_mart(),
-                    "network": network.network_diagnostic(self.telemetry(locations), locations, SETTINGS),
+                    "network": network.network_diagnostic(self.telemetry(locations), locations),
                 }
             )
         )

@@ -76,11 +76,9 @@ def split_stream(
     return run_available(with_verdict(stream, rule_set, settings.processed_at), path, checkpoint, ["_verdict"])
 
 
-def works_orders_stream(
-    sources: Mapping[str, DataFrame], zones: DataFrame, settings: Settings, salts: int = 1
-) -> DataFrame:
+def works_orders_stream(sources: Mapping[str, DataFrame], zones: DataFrame, settings: Settings) -> DataFrame:
     """All contractors' streams as one, conformed and enriched from the stored zone table."""
-    return contractors.with_zone_id(contractors.conformed_orders(sources), zones, settings, salts)
+    return contractors.with_zone_id(contractors.conformed_orders(sources), zones, settings)
 
 
 def store_votes(stream: DataFrame, key: str, label: str, path: str, checkpoint: str) -> DataFrame:

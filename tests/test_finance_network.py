@@ -130,10 +130,10 @@ def test_trusted_mart_trusts_the_location(spark):
     locations = spark.createDataFrame([("l", "A", 90.0, False), ("u", "B", 60.0, True)], LOCATIONS)
     df = readings(spark, reading(zone="X", value=4.0), reading("u", value=9.0, ts="2024-01-01 01:00:00"), reading("u", value=9.0, ts="2024-01-01 01:00:00"))
     telemetry = network.telemetry(df, locations, SETTINGS)
-    health = network.network_health(telemetry, locations, SETTINGS).collect()
+    health = network.network_health(telemetry, locations).collect()
     assert [(r.zone, r.avg_flow, r.avg_pressure, r.reading_count) for r in health] == [("A", 4.0, None, 1)]
     diagnostic = {r.zone: (r.total_readings, r.reliable_readings, r.reliability_pct, r.duplicate_count, r.zone_uncertain_count)
-                  for r in network.network_diagnostic(telemetry, locations, SETTINGS).collect()}
+                  for r in network.network_diagnostic(telemetry, locations).collect()}
     assert diagnostic == {"A": (1, 0, 0.0, 0, 1), "B": (2, 0, 0.0, 1, 2)}
 
 

@@ -54,6 +54,11 @@ def test_telemetry_joins_locations_without_shuffling_readings_for_it(spark):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+def test_works_orders_are_not_shuffled(spark):
+    plan = plan_of(spark, "works_orders")
+    assert "BroadcastHashJoin [zone" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_spine_has_no_join(spark):
     zones = spark.createDataFrame(
         [("A", "r", 1, 4, True)],

@@ -5,9 +5,12 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from sluiceway.config import Settings
 from sluiceway.operators import dedup, layout, lookup, resolve
-from sluiceway.plans import finance
+from sluiceway.plans import contractors, finance
+from sluiceway.sources import files
 from sluiceway.sources.schemas import INVOICE
+from sluiceway.streaming import flows
 
 random.seed(7)
 HOT = [(0, random.randint(0, 50), i) for i in range(2000)]
@@ -61,21 +64,31 @@ def test_hot_key_is_spread_over_tasks(spark, df):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize(("max_rows", "salts"), [(10_000, 1), (0, 1), (0, 7)])
-def test_lookup_is_the_same_by_every_way(spark, df, how, max_rows, salts):
+@pytest.mark.parametrize("salts", [1, 7])
+def test_lookup_is_the_same_by_every_way(spark, df, how, salts):
     dimension = spark.createDataFrame([(k, f"n{k}") for k in range(0, 900, 2)], "key int, name string")
     names = {k: f"n{k}" for k in range(0, 900, 2)}
-    got = lookup.lookup(df, dimension, "k", "key", max_rows, how, ["id"], salts)
+    got = lookup.lookup(df, dimension, "k", "key", how, ["id"], salts)
     assert got.columns == ["k", "v", "id", "name"]
     expected = Counter((k, v, i, names.get(k)) for k, v, i in ROWS if how == "left" or k in names)
     assert Counter(tuple(r) for r in got.collect()) == expected
 
 
-def test_only_counted_dimensions_are_broadcast(spark, df):
-    dimension = spark.range(100)
-    assert lookup.fits(dimension, 100) and not lookup.fits(dimension, 99)
-    hint = lambda d: "broadcast" in d._jdf.queryExecution().analyzed().toString().lower()
-    assert hint(lookup.sized(dimension, 100)) and not hint(lookup.sized(dimension, 99))
+def test_streamed_orders_broadcast_only_counted_zones(spark, tmp_path):
+    schema = "work_order_id string, zone string, description string, contractor_source string, completion_date date, cost double"
+    rows = [(str(i), "hot" if i % 3 == 0 else f"z{i % 5}", None, "a", None, float(i)) for i in range(60)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "src"))
+    zones = spark.createDataFrame([("H", "hot", True), ("1", "z1", True), ("2", "z2", False)], "zone_id string, zone_name string, is_current boolean")
+    results = []
+    for limit in (100, 1):
+        stream = files.stored_files(spark, str(tmp_path / "src"), stream=True)
+        assert lookup.fits(zones.where("is_current"), limit) == (limit == 100)
+        joined = contractors.with_zone_id(stream, zones, Settings(dimension_rows=limit, salts=4))
+        assert ("strategy=broadcast" in joined._jdf.queryExecution().analyzed().toString()) == (limit == 100)
+        out = flows.run_available(joined, str(tmp_path / f"out{limit}"), str(tmp_path / f"check{limit}"))
+        results.append(sorted((r.work_order_id, r.zone_id or "") for r in out.collect()))
+    assert results[0] == results[1] and len(results[0]) == 60
+    assert dict(results[0])["0"] == "H" and dict(results[0])["2"] == ""
 
 
 def test_vote(spark):
