@@ -6,7 +6,7 @@ rejected rows always add up to the input.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -55,14 +55,34 @@ def keep_valid(df: DataFrame, rule_set: Sequence[Rule]) -> DataFrame:
     return df.where(all_pass(rule_set))
 
 
+def keep_valid_parsed(df: DataFrame, rule_set: Sequence[Rule]) -> DataFrame:
+    """``keep_valid`` for rules over columns that are costly to parse.
+
+    The optimizer would move the filter below the projection that parses and repeat the parsing in
+    every predicate. Here the verdict is a column of that projection, where common expressions are
+    computed once, and the filter on it stays put (see ``fail_on_violation``).
+    """
+    stays = F.when(F.spark_partition_id() < 0, F.lit(False)).otherwise(F.col("_valid"))
+    return df.withColumn("_valid", all_pass(rule_set)).where(stays).drop("_valid")
+
+
+def _failure_counts(rule_set: Sequence[Rule]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"), *[F.count_if(~rule.passes()).alias(rule.name) for rule in rule_set]]
+
+
 def observe(df: DataFrame, rule_set: Sequence[Rule], name: str | None = None) -> tuple[DataFrame, Observation]:
     """Count failures per rule while the frame is computed anyway; no pass of its own.
 
-    Read ``observation.get`` after the action that writes the frame.
+    Read ``observation.get`` after the action that writes the frame. Put it above a range
+    partitioning: that one samples its input, and rows below it would be counted twice.
     """
     observation = Observation(name) if name else Observation()
-    counts = [F.count_if(~rule.passes()).alias(rule.name) for rule in rule_set]
-    return df.observe(observation, F.count(F.lit(1)).alias("rows"), *counts), observation
+    return df.observe(observation, *_failure_counts(rule_set)), observation
+
+
+def observe_stream(stream: DataFrame, rule_set: Sequence[Rule], name: str) -> DataFrame:
+    """The same on a stream; the counts of each micro-batch are in the query's progress under ``name``."""
+    return stream.observe(name, *_failure_counts(rule_set))
 
 
 def fail_on_violation(df: DataFrame, rule_set: Sequence[Rule]) -> DataFrame:
@@ -102,6 +122,12 @@ def flag_known(df: DataFrame, column: str, keys: DataFrame, key: str, flag: str
     return joined.withColumn(flag, F.coalesce("_hit", F.lit(False))).drop("_key", "_hit")
 
 
+def metric_rows(rule_set: Sequence[Rule], dataset: str, counts: Mapping[str, int]) -> list[tuple]:
+    """Observed counts as rows of (dataset, rule, action, passed, failed)."""
+    rows = counts["rows"]
+    return [(dataset, r.name, r.action, rows - counts[r.name], counts[r.name]) for r in rule_set]
+
+
 def dq_metrics(df: DataFrame, rule_set: Sequence[Rule], dataset: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per rule (and per group): rows passed, failed, and the failed share in percent.
 

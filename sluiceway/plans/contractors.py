@@ -15,7 +15,7 @@ from sluiceway.operators import history
 from sluiceway.operators.conform import conform_sources
 from sluiceway.operators.lookup import fits, lookup
 from sluiceway.operators.quarantine import quarantine
-from sluiceway.operators.rules import enforce, keep_valid
+from sluiceway.operators.rules import enforce, keep_valid_parsed
 
 ORDER = ["work_order_id", "zone", "description", "contractor_source", "completion_date", "cost"]
 
@@ -54,7 +54,7 @@ def with_zone_id(orders: DataFrame, zones: DataFrame, settings: Settings) -> Dat
 
 def works_orders(sources: Mapping[str, DataFrame], zones: DataFrame, settings: Settings) -> DataFrame:
     enriched = with_zone_id(conformed_orders(sources), zones, settings)
-    return keep_valid(enriched, config.works_rules(settings))
+    return keep_valid_parsed(enriched, config.works_rules(settings))
 
 
 def works_orders_quarantine(sources: Mapping[str, DataFrame], zones: DataFrame, settings: Settings) -> DataFrame:

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sluiceway import config
 from sluiceway.config import Settings
+from sluiceway.operators.layout import cluster_rows
 from sluiceway.operators.quarantine import bad_rows, good_rows, with_verdict
-from sluiceway.operators.rules import DROP, with_action
+from sluiceway.operators.rules import DROP, Rule, metric_rows, observe, with_action
 from sluiceway.plans import billing, contractors, finance, network, scorecard
-from sluiceway.sources.tables import overwrite
+
+METRICS = "dataset string, rule string, action string, passed long, failed long"
 
 
 @dataclass(frozen=True)
@@ -27,69 +30,138 @@ class Bronze:
     row_id: str | None = None
 
 
-def _routed(df: DataFrame, rule_set, settings: Settings, path: str, cluster_by: list[str]):
-    """Write good and rejected rows in one pass and return both sides."""
-    drops = with_action(rule_set, DROP)
-    table = overwrite(with_verdict(df, drops, settings.processed_at), path, cluster_by, df.columns, ["_verdict"])
-    return good_rows(table), bad_rows(table)
+class Lake:
+    """Writes tables below one folder, clustered by their keys, and keeps the rule counts of each write."""
+
+    def __init__(self, base: str):
+        self.base = base
+        self.tables: dict[str, DataFrame] = {}
+        self.metrics: list[tuple] = []
+
+    def _write(
+        self, name: str, df: DataFrame, cluster_by: Sequence[str], rule_set: Sequence[Rule], partition_by: Sequence[str] = ()
+    ) -> DataFrame:
+        path = f"{self.base}/{name.replace('.', '/')}"
+        placed = cluster_rows(df, cluster_by, df.columns)
+        if rule_set:
+            placed, observation = observe(placed, rule_set)
+        placed.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        if rule_set:
+            self.metrics.extend(metric_rows(rule_set, name, observation.get))
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def publish(self, name: str, df: DataFrame, cluster_by: Sequence[str], rule_set: Sequence[Rule] = ()) -> DataFrame:
+        """Write a recomputed table; ``rule_set`` is counted on the way."""
+        self.tables[name] = self._write(name, df, cluster_by, rule_set)
+        return self.tables[name]
+
+    def publish_routed(
+        self, name: str, df: DataFrame, cluster_by: Sequence[str], rule_set: Sequence[Rule], settings: Settings
+    ) -> DataFrame:
+        """Write good and rejected rows in one pass, partitioned by the verdict; returns the good ones."""
+        routed = with_verdict(df, with_action(rule_set, DROP), settings.processed_at)
+        table = self._write(name, routed, cluster_by, rule_set, ["_verdict"])
+        self.tables[name], self.tables[f"{name}_quarantine"] = good_rows(table), bad_rows(table)
+        return self.tables[name]
 
 
 def daily_refresh(bronze: Bronze, base: str, settings: Settings) -> dict[str, DataFrame]:
-    """Rebuild every silver and gold table below ``base``; returns the tables by name."""
-    out: dict[str, DataFrame] = {}
-
-    def publish(name: str, df: DataFrame, cluster_by: list[str]) -> DataFrame:
-        out[name] = overwrite(df, f"{base}/{name.replace('.', '/')}", cluster_by, df.columns)
-        return out[name]
+    """Rebuild every silver and gold table below ``base``; returns the tables by name.
 
-    def publish_routed(name: str, df: DataFrame, rule_set, cluster_by: list[str]) -> DataFrame:
-        good, bad = _routed(df, rule_set, settings, f"{base}/{name.replace('.', '/')}", cluster_by)
-        out[name], out[f"{name}_quarantine"] = good, bad
-        return good
+    ``ops.rule_metrics`` gets the run's rule counts appended, as the history for spike reports.
+    """
+    lake = Lake(base)
 
-    bills = publish("silver.billing_consumption", billing.billing_consumption(bronze.bills), ["service_zone", "month_start_date"])
-    publish("silver.customer_pii", billing.customer_pii(bronze.bills), ["account_id"])
-    publish("silver.quarantine_billing_consumption", billing.billing_quarantine(bronze.bills, settings), ["quarantine_reason"])
-    publish("silver.dq_metrics_billing_consumption", billing.billing_dq(bills, bronze.zones), ["rule"])
-
-    headers = publish_routed(
-        "silver.finance_invoices", finance.incoming_invoices(bronze.invoices), config.invoice_rules(settings), ["site_zone", "invoice_date"]
+    bills = lake.publish(
+        "silver.billing_consumption", billing.billing_consumption(bronze.bills), ["service_zone", "month_start_date"]
+    )
+    lake.publish("silver.customer_pii", billing.customer_pii(bronze.bills), ["account_id"], config.PII_VERSION)
+    lake.publish(
+        "silver.quarantine_billing_consumption", billing.billing_quarantine(bronze.bills, settings), ["quarantine_reason"]
     )
-    lines = publish_routed(
-        "silver.invoice_line_items", finance.incoming_lines(bronze.invoices), config.LINE_HARD, ["invoice_id"]
+    lake.publish("silver.dq_metrics_billing_consumption", billing.billing_dq(bills, bronze.zones), ["rule"])
+
+    headers = lake.publish_routed(
+        "silver.finance_invoices",
+        finance.incoming_invoices(bronze.invoices),
+        ["site_zone", "invoice_date"],
+        config.invoice_rules(settings),
+        settings,
     )
-    orders = publish_routed(
+    lines = lake.publish_routed(
+        "silver.invoice_line_items", finance.incoming_lines(bronze.invoices), ["invoice_id"], config.LINE_HARD, settings
+    )
+    orders = lake.publish_routed(
         "silver.works_orders",
         contractors.with_zone_id(contractors.conformed_orders(bronze.works_orders), bronze.zones, settings),
-        config.works_rules(settings),
         ["zone_id", "completion_date"],
+        config.works_rules(settings),
+        settings,
     )
 
-    locations = publish("silver.dim_location_zone", network.location_zone(bronze.readings, settings), ["location_id"])
-    readings = publish(
-        "silver.network_telemetry", network.telemetry(bronze.readings, locations, settings, bronze.row_id), ["location_id", "month_start_date"]
+    locations = lake.publish("silver.dim_location_zone", network.location_zone(bronze.readings, settings), ["location_id"])
+    readings = lake.publish(
+        "silver.network_telemetry",
+        network.telemetry(bronze.readings, locations, settings, bronze.row_id),
+        ["location_id", "month_start_date"],
     )
-    publish("silver.quarantine_network_telemetry", network.telemetry_quarantine(bronze.readings, settings), ["quarantine_reason"])
-    publish("silver.dq_metrics_network_telemetry", network.telemetry_dq(readings), ["rule"])
+    lake.publish(
+        "silver.quarantine_network_telemetry", network.telemetry_quarantine(bronze.readings, settings), ["quarantine_reason"]
+    )
+    lake.publish("silver.dq_metrics_network_telemetry", network.telemetry_dq(readings), ["rule"])
 
     marts = scorecard.Marts(
-        billing=publish("gold.billing_by_zone_month", billing.billing_by_zone_month(bills), ["service_zone", "month_start_date"]),
-        spend=publish("gold.spend_by_zone_month", finance.spend_by_zone_month(lines, headers), ["site_zone", "invoice_month"]),
-        contractor=publish("gold.contractor_by_zone_month", contractors.contractor_by_zone_month(orders), ["zone", "completion_month"]),
-        network=publish(
+        billing=lake.publish(
+            "gold.billing_by_zone_month",
+            billing.billing_by_zone_month(bills),
+            ["service_zone", "month_start_date"],
+            config.BILLING_MART,
+        ),
+        spend=lake.publish(
+            "gold.spend_by_zone_month",
+            finance.spend_by_zone_month(lines, headers),
+            ["site_zone", "invoice_month"],
+            config.SPEND_MART,
+        ),
+        contractor=lake.publish(
+            "gold.contractor_by_zone_month",
+            contractors.contractor_by_zone_month(orders),
+            ["zone", "completion_month"],
+            config.CONTRACTOR_MART,
+        ),
+        network=lake.publish(
             "gold.network_health_diagnostic_by_zone_month",
             network.network_diagnostic(readings, locations),
             ["zone", "month_start_date"],
+            config.NETWORK_DIAGNOSTIC_MART,
         ),
     )
-    publish(
+    lake.publish(
         "gold.spend_by_zone_category_month",
         finance.spend_by_zone_category_month(lines, headers, settings),
         ["zone", "invoice_month"],
+        config.CATEGORY_MART,
     )
-    publish("gold.works_by_zone_type_month", contractors.works_by_zone_type_month(orders), ["zone", "completion_month"])
-    publish(
-        "gold.network_health_by_zone_month", network.network_health(readings, locations), ["zone", "month_start_date"]
+    lake.publish(
+        "gold.works_by_zone_type_month",
+        contractors.works_by_zone_type_month(orders),
+        ["zone", "completion_month"],
+        config.WORK_TYPE_MART,
     )
-    publish("gold.zone_performance_monthly", scorecard.zone_performance(bronze.zones, marts, settings), ["zone_name", "month_start_date"])
-    return out
+    lake.publish(
+        "gold.network_health_by_zone_month",
+        network.network_health(readings, locations),
+        ["zone", "month_start_date"],
+        config.NETWORK_MART,
+    )
+    lake.publish(
+        "gold.zone_performance_monthly",
+        scorecard.zone_performance(bronze.zones, marts, settings),
+        ["zone_name", "month_start_date"],
+        config.SCORECARD,
+    )
+
+    spark = bronze.zones.sparkSession
+    history = spark.createDataFrame(lake.metrics, METRICS).withColumn("run_at", F.lit(settings.processed_at).cast("timestamp"))
+    history.coalesce(1).write.mode("append").parquet(f"{base}/ops/rule_metrics")
+    return {**lake.tables, "ops.rule_metrics": spark.read.parquet(f"{base}/ops/rule_metrics")}

@@ -1,7 +1,7 @@
 """CSV, JSON Lines and paged JSON, as batch and as stream.
 
-Every reader takes a declared schema. A line that does not fit keeps its readable columns, and its
-whole text goes to the rescue column; nothing is lost at landing.
+Every reader takes a declared schema and looks into subfolders. A line that does not fit keeps its
+readable columns, and its whole text goes to the rescue column; nothing is lost at landing.
 """
 
 from __future__ import annotations
@@ -19,7 +19,12 @@ SOURCE_FILE = "_source_file"
 
 def _reader(spark: SparkSession, schema: StructType, stream: bool):
     reader = spark.readStream if stream else spark.read
-    return reader.schema(with_rescue(schema)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RESCUE)
+    return (
+        reader.schema(with_rescue(schema))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", RESCUE)
+        .option("recursiveFileLookup", True)
+    )
 
 
 def csv_files(spark: SparkSession, path: str, schema: StructType, stream: bool = False) -> DataFrame:

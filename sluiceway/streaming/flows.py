@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.config import Settings
 from sluiceway.operators import resolve
@@ -20,9 +21,10 @@ from sluiceway.plans import contractors
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Append everything that has arrived to a file sink, exactly once, and read the table back."""
-    spark = stream.sparkSession
+def append_available(
+    stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
+) -> StreamingQuery:
+    """Append everything that has arrived to a file sink, exactly once; returns the finished query."""
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -33,7 +35,23 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, partition_by: S
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    return query
+
+
+def run_available(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """``append_available``, then the table as a batch frame."""
+    append_available(stream, path, checkpoint, partition_by)
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
+
+
+def observed_counts(query: StreamingQuery, name: str) -> dict[str, int]:
+    """The observed counts of one run, summed over the micro-batches whose progress the session keeps."""
+    counts: dict[str, int] = {}
+    for progress in query.recentProgress:
+        batch = progress.observedMetrics.get(name)
+        for rule, failed in (batch.asDict() if batch else {}).items():
+            counts[rule] = counts.get(rule, 0) + failed
+    return counts
 
 
 def run_batches(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:

@@ -1,7 +1,6 @@
 """Landing: malformed input, headers that drift, hints, table definitions, the daily run."""
 
 import json
-import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,12 +8,7 @@ from pyspark.sql import functions as F
 from sluiceway import config
 from sluiceway.operators.rules import keep_valid, observe
 from sluiceway.plans import zones
-from sluiceway.plans.refresh import Bronze, daily_refresh
-from sluiceway.queries.oracle import with_inputs
-from sluiceway.queries.registry import SETTINGS, Inputs
 from sluiceway.sources import files, schemas, tables
-from tests.compare import compare
-from tests.conftest import SMALL
 
 READING = schemas.struct(sensor_id=schemas.TEXT, reading_value=schemas.NUMBER)
 
@@ -110,50 +104,3 @@ def test_clustered_overwrite(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.overwrite(spark.range(100).withColumn("k", F.col("id") % 3), path, ["k"], ["id"])
     assert tables.overwrite(spark.range(10).withColumn("k", F.col("id") % 3), path, ["k"], ["id"]).count() == 10
-
-
-@pytest.fixture(scope="module")
-def refreshed(spark, tmp_path_factory):
-    inputs = Inputs(spark, SMALL)
-    bronze = Bronze(
-        bills=tables.store(inputs.bills()),
-        invoices=tables.store(inputs.invoice_records()),
-        works_orders={name: tables.store(df) for name, df in inputs.works_orders().items()},
-        readings=tables.store(inputs.readings()),
-        zones=tables.store(inputs.zones()),
-        row_id="seq",
-    )
-    return bronze, daily_refresh(bronze, str(tmp_path_factory.mktemp("lake")), SETTINGS)
-
-
-@pytest.mark.parametrize(
-    ("table", "sql"),
-    [
-        ("silver.billing_consumption", "SELECT * FROM consumption"),
-        ("silver.customer_pii", "SELECT * FROM pii_history"),
-        ("silver.finance_invoices", "SELECT * FROM headers"),
-        ("silver.invoice_line_items", "SELECT * FROM lines"),
-        ("silver.works_orders", "SELECT * FROM orders_done"),
-        ("silver.dim_location_zone", "SELECT * FROM locations"),
-        ("gold.billing_by_zone_month", "SELECT * FROM billing_mart"),
-        ("gold.spend_by_zone_month", "SELECT * FROM spend_mart"),
-        ("gold.contractor_by_zone_month", "SELECT * FROM contractor_mart"),
-        ("gold.network_health_diagnostic_by_zone_month", "SELECT * FROM network_mart"),
-        ("gold.zone_performance_monthly", "SELECT * FROM scorecard"),
-    ],
-)
-def test_daily_run_matches_sql(refreshed, duck, table, sql):
-    assert compare(refreshed[1][table], duck, with_inputs(sql)) == []
-
-
-def test_daily_run_loses_no_row(refreshed):
-    bronze, built = refreshed
-    orders = sum(df.count() for df in bronze.works_orders.values())
-    assert built["silver.works_orders"].count() + built["silver.works_orders_quarantine"].count() == orders
-    lines = bronze.invoices.select(F.explode("line_items")).count()
-    assert built["silver.invoice_line_items"].count() + built["silver.invoice_line_items_quarantine"].count() == lines
-    headers = bronze.invoices.select("invoice_id").distinct().count()
-    assert built["silver.finance_invoices"].count() + built["silver.finance_invoices_quarantine"].count() == headers
-    months = built["gold.zone_performance_monthly"].select("month_start_date").distinct().count()
-    assert built["gold.zone_performance_monthly"].count() == months * bronze.zones.where("is_current").count()
-    assert len(built) == 22, "fourteen silver and eight gold tables"
