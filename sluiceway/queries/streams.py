@@ -180,3 +180,15 @@ def schema_drift(inputs):
         "account_id", "billing_period", "service_zone", F.col("customer_name").alias("channel")
     )
     return files.csv_deliveries(inputs.spark, [landed_csv(first), landed_csv(second)], schemas.BILLS).drop(RESCUE)
+
+
+@query(
+    "S-06: types inferred from the files, two of them forced",
+    """SELECT account_id, CAST(meter_id AS INT) AS meter_id, billing_period, consumption_unit,
+    CAST(amount_billed AS DOUBLE) AS amount_billed, payment_status FROM in_bills""",
+)
+def schema_hints(inputs):
+    columns = ["account_id", "meter_id", "billing_period", "consumption_unit", "amount_billed", "payment_status"]
+    path = landed_csv(inputs.bills().select(*columns))
+    schema = files.infer_with_hints(inputs.spark, path, "account_id STRING, billing_period DATE")
+    return files.csv_files(inputs.spark, path, schema).drop(RESCUE)
