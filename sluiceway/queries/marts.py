@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluiceway import config
-from sluiceway.operators.rules import DROP, dq_metrics, enforce_observed, with_action
-from sluiceway.operators.profile import profile_columns
+from sluiceway.operators import profile
+from sluiceway.operators.rules import dq_metrics, enforce_observed
 from sluiceway.plans import billing, contractors, finance, network, scorecard
 from sluiceway.queries.oracle import (
     BILL_BAD, BILL_FIELDS, INVOICE_OK, LINE_OK, PROCESSED, READING_BAD, WORKS_OK, all_hold, all_reasons, first_reason, half_up,
@@ -139,8 +139,8 @@ def profile_sql(source: str, dataset: str, columns: list[str], text: list[str],
     "E-02",
     profile_sql("in_bills", "bills", _BILL_COLUMNS, ["account_id", "meter_id", "address", "payment_status"]),
 )
-def profile_bill_columns(inputs):
-    return profile_columns(inputs.bills(), _BILL_COLUMNS, "bills")
+def profile_columns(inputs):
+    return profile.profile_columns(inputs.bills(), _BILL_COLUMNS, "bills")
 
 
 # --- finance ---------------------------------------------------------------

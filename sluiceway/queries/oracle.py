@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from sluiceway.sources.landing import SQL, TABLES
+from sluiceway.sources.driver_tables import SQL, TABLES
 
 AS_OF = "DATE '2001-06-30'"
 EARLIEST = "DATE '1996-01-01'"

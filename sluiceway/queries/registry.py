@@ -12,7 +12,7 @@ from sluiceway.config import Settings
 from sluiceway.plans import billing, contractors, finance, network
 from sluiceway.plans.scorecard import Marts
 from sluiceway.queries.oracle import with_inputs
-from sluiceway.sources.landing import Landing
+from sluiceway.sources.driver_tables import DriverTables
 from sluiceway.sources.tables import store, store_all
 
 SETTINGS = Settings(
@@ -50,7 +50,7 @@ def query(covers: str, sql: str | None = None):
     return register
 
 
-class Inputs(Landing):
+class Inputs(DriverTables):
     """Landing inputs plus the silver and gold datasets built from them."""
 
     def consumption(self) -> DataFrame:

@@ -7,12 +7,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from sluiceway import config
-from sluiceway.operators.profile import profile_columns, repeated_keys
-from sluiceway.plans import billing, dashboard, reports
 from sluiceway.functions.conforming import month_start
+from sluiceway.operators.profile import profile_columns, repeated_keys
+from sluiceway.operators.rules import dq_metrics
+from sluiceway.plans import billing, contractors, dashboard, reports
+from sluiceway.plans.finance import incoming_invoices
 from sluiceway.queries.marts import metrics_sql, profile_sql
 from sluiceway.queries.oracle import cents, half_up
-from sluiceway.queries.registry import SETTINGS, query
+from sluiceway.queries.registry import query
 
 # --- dashboard -------------------------------------------------------------
 
@@ -127,8 +129,6 @@ def orphan_lines(inputs):
     "SELECT contractor_source, work_order_id, count(*) AS copies FROM incoming_orders GROUP BY 1, 2 HAVING count(*) > 1",
 )
 def repeated_work_orders(inputs):
-    from sluiceway.plans import contractors
-
     return repeated_keys(contractors.conformed_orders(inputs.works_orders()), ["contractor_source", "work_order_id"])
 
 
@@ -143,8 +143,6 @@ _HEADER_COLUMNS = ["invoice_id", "vendor_id", "currency", "invoice_date", "proje
     ),
 )
 def null_rate_by_month_zone(inputs):
-    from sluiceway.plans.finance import incoming_invoices
-
     headers = incoming_invoices(inputs.invoice_headers()).withColumn("month_start_date", month_start("invoice_date"))
     return profile_columns(headers, ["project_code"], "finance_invoices", ["month_start_date", "site_zone"])
 
@@ -154,8 +152,6 @@ def null_rate_by_month_zone(inputs):
     profile_sql("incoming_headers", "finance_invoices", _HEADER_COLUMNS, ["invoice_id", "currency", "project_code"], "vendor_name"),
 )
 def null_rate_by_vendor(inputs):
-    from sluiceway.plans.finance import incoming_invoices
-
     return profile_columns(incoming_invoices(inputs.invoice_headers()), _HEADER_COLUMNS, "finance_invoices", ["vendor_name"])
 
 
@@ -179,8 +175,6 @@ _HARD = {
 
 @query("D-13 by month", metrics_sql("conformed_bills", "bills", _HARD, "drop", "month_start_date"))
 def reject_rates_by_month(inputs):
-    from sluiceway.operators.rules import dq_metrics
-
     bills = billing.conformed_bills(inputs.bills())
     return dq_metrics(bills, config.BILL_HARD, "bills", ["month_start_date"])
 
@@ -193,8 +187,6 @@ def reject_rates_by_month(inputs):
           WINDOW w AS (PARTITION BY dataset, rule))""",
 )
 def reject_spikes(inputs):
-    from sluiceway.operators.rules import dq_metrics
-
     bills = billing.conformed_bills(inputs.bills())
     rates = dq_metrics(bills, config.BILL_HARD, "bills", ["month_start_date"])
     return reports.reject_spikes(rates, "month_start_date", 2.0)

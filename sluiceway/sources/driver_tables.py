@@ -79,7 +79,7 @@ GROUP BY n_nationkey, n_name, r_name, n_regionkey""",
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
-class Landing:
+class DriverTables:
     """The landing inputs of one directory of driver tables; amounts are doubles, as the files declare them."""
 
     def __init__(self, spark: SparkSession, directory: str):

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -15,6 +16,11 @@ from sluiceway.operators.layout import cluster_rows
 _SCRATCH = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="sluiceway-")
+
+
 def scratch(spark: SparkSession) -> str:
     """A fresh directory below the folder that the cluster names for checkpoints.
 
@@ -25,8 +31,7 @@ def scratch(spark: SparkSession) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {_SCRATCH} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="sluiceway-")
-        spark.conf.set(_SCRATCH, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 

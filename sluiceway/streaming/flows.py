@@ -18,9 +18,6 @@ from sluiceway.operators.quarantine import with_verdict
 from sluiceway.operators.rules import Rule
 from sluiceway.plans import contractors
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def append_available(
     stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
 ) -> StreamingQuery:

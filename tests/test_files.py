@@ -93,6 +93,22 @@ def test_scratch_follows_the_session(spark):
     assert tables.scratch(spark) != tables.scratch(spark)
 
 
+class Conf(dict):
+    """Stands for a session whose checkpoint folder is unset."""
+
+    @property
+    def conf(self):
+        return self
+
+
+def test_scratch_without_a_setting():
+    local = Conf({"spark.master": "local[2]"})
+    assert tables.scratch(local).rsplit("/", 1)[0] == tables.scratch(local).rsplit("/", 1)[0]
+    with pytest.raises(ValueError, match="all executors share"):
+        tables.scratch(Conf({"spark.master": "spark://host:7077"}))
+    assert tables.scratch(Conf({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///ck/"})).startswith("hdfs:///ck/")
+
+
 def test_store_keeps_rows_and_schema(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
     stored = tables.store(df)
