@@ -112,7 +112,9 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     joined = old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer")
 
     def image(kind: str, side: str) -> Column:
-        return F.struct(F.lit(kind).alias("_change_type"), F.col(f"_{side}_key").alias(key), F.col(f"_{side}").alias("row"))
+        return F.struct(
+            F.lit(kind).alias("_change_type"), F.col(f"_{side}_key").alias(key), F.col(f"_{side}").alias("row")
+        )
 
     images = (
         F.when(F.col("_old_key").isNull(), F.array(image("insert", "new")))
@@ -145,7 +147,8 @@ def as_of_version(facts: DataFrame, versions_: DataFrame, key: str, day: str, co
     starts = versions_.select(
         key, F.col("effective_from").alias("_day"), F.struct(*columns, "effective_to").alias("_version")
     )
-    asked = facts.select(key, F.col(day).alias("_day")).distinct().withColumn("_version", F.lit(None).cast(starts.schema["_version"].dataType))
+    unknown = F.lit(None).cast(starts.schema["_version"].dataType)
+    asked = facts.select(key, F.col(day).alias("_day")).distinct().withColumn("_version", unknown)
     ordered = Window.partitionBy(key).orderBy("_day", F.col("_version").isNull())
     carried = starts.unionByName(asked).withColumn("_held", F.last("_version", ignorenulls=True).over(ordered))
     in_force = F.col("_held.effective_to").isNull() | (F.col("_held.effective_to") >= F.col("_day"))

@@ -16,7 +16,10 @@ from sluiceway.operators.quarantine import FIRST, quarantine
 from sluiceway.operators.rules import all_pass, dq_metrics, enforce, fail_on_violation, flag_known, keep_valid, with_action
 
 KEY_MONTH = ["account_id", "meter_id", "month_start_date"]
-FACTS = [*KEY_MONTH[:2], "billing_period", "month_start_date", "service_zone", "consumption_m3", "amount_billed", "payment_status"]
+FACTS = [
+    "account_id", "meter_id", "billing_period", "month_start_date",
+    "service_zone", "consumption_m3", "amount_billed", "payment_status",
+]
 # Every column that reaches the output ends the order, so ties are equal rows.
 FIRST_BILL = ["billing_period", "amount_billed", "consumption_m3", "consumption_value", "payment_status", "service_zone"]
 

@@ -36,8 +36,9 @@ def reject_spikes(metrics: DataFrame, period: str, limit: float) -> DataFrame:
     mean, deviation = F.avg("failed_pct").over(history), F.stddev_pop("failed_pct").over(history)
     scored = metrics.withColumns({"_mean": mean, "_deviation": deviation})
     z = F.round(F.try_divide(F.col("failed_pct") - F.col("_mean"), F.round("_deviation", 9)), 3)
+    is_spike = F.coalesce(z > limit, F.lit(False))
     return scored.select(
-        "dataset", "rule", period, "failed", "failed_pct", z.alias("z_score"), F.coalesce(z > limit, F.lit(False)).alias("is_spike")
+        "dataset", "rule", period, "failed", "failed_pct", z.alias("z_score"), is_spike.alias("is_spike")
     )
 
 
