@@ -9,11 +9,23 @@ from pyspark.sql import functions as F
 
 
 def cluster_rows(df: DataFrame, keys: Sequence[str], spread: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Range-partition by the keys and sort within.
+    """Range-partition by the keys and sort within: files with narrow key ranges, for small and medium tables.
 
     A hash of the ``spread`` columns is the last range column, so that one hot key is cut into
-    several ranges instead of filling one partition.
+    several ranges instead of filling one partition. To find the ranges Spark samples the input,
+    which computes its last stage twice.
     """
     ranges = [*[F.col(k) for k in keys], F.xxhash64(*spread)]
     placed = df.repartitionByRange(partitions, *ranges) if partitions else df.repartitionByRange(*ranges)
     return placed.sortWithinPartitions(*keys)
+
+
+def gather_rows(df: DataFrame, keys: Sequence[str], spread: Sequence[str], lanes: int) -> DataFrame:
+    """Bring rows of a key together and sort within, without sampling the input: for the largest tables.
+
+    Rows are hashed by the keys and one of ``lanes`` lanes, taken from a hash of ``spread``. A key
+    fills at most that many partitions, and a hot key is cut into as many pieces. Readers skip row
+    groups by the sort order.
+    """
+    lane = F.pmod(F.xxhash64(*spread), F.lit(lanes))
+    return df.repartition(*keys, lane).sortWithinPartitions(*keys)

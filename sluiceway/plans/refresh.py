@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sluiceway import config
 from sluiceway.config import Settings
-from sluiceway.operators.layout import cluster_rows
+from sluiceway.operators.layout import cluster_rows, gather_rows
 from sluiceway.operators.quarantine import bad_rows, good_rows, with_verdict
 from sluiceway.operators.rules import DROP, Rule, metric_rows, observe, with_action
 from sluiceway.plans import billing, contractors, finance, network, scorecard
@@ -31,10 +31,15 @@ class Bronze:
 
 
 class Lake:
-    """Writes tables below one folder, clustered by their keys, and keeps the rule counts of each write."""
+    """Writes tables below one folder, clustered by their keys, and keeps the rule counts of each write.
 
-    def __init__(self, base: str):
+    Gold tables are range-clustered. Silver tables are as large as their sources, so their rows are
+    gathered by key without a sampling pass over the source.
+    """
+
+    def __init__(self, base: str, lanes: int):
         self.base = base
+        self.lanes = lanes
         self.tables: dict[str, DataFrame] = {}
         self.metrics: list[tuple] = []
 
@@ -42,7 +47,10 @@ class Lake:
         self, name: str, df: DataFrame, cluster_by: Sequence[str], rule_set: Sequence[Rule], partition_by: Sequence[str] = ()
     ) -> DataFrame:
         path = f"{self.base}/{name.replace('.', '/')}"
-        placed = cluster_rows(df, cluster_by, df.columns)
+        if name.startswith("silver."):
+            placed = gather_rows(df, cluster_by, df.columns, self.lanes)
+        else:
+            placed = cluster_rows(df, cluster_by, df.columns)
         if rule_set:
             placed, observation = observe(placed, rule_set)
         placed.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -70,7 +78,7 @@ def daily_refresh(bronze: Bronze, base: str, settings: Settings) -> dict[str, Da
 
     ``ops.rule_metrics`` gets the run's rule counts appended, as the history for spike reports.
     """
-    lake = Lake(base)
+    lake = Lake(base, settings.salts)
 
     bills = lake.publish(
         "silver.billing_consumption", billing.billing_consumption(bronze.bills), ["service_zone", "month_start_date"]
@@ -162,6 +170,7 @@ def daily_refresh(bronze: Bronze, base: str, settings: Settings) -> dict[str, Da
     )
 
     spark = bronze.zones.sparkSession
-    history = spark.createDataFrame(lake.metrics, METRICS).withColumn("run_at", F.lit(settings.processed_at).cast("timestamp"))
+    stamp = F.lit(settings.processed_at).cast("timestamp")
+    history = spark.createDataFrame(lake.metrics, METRICS).withColumn("run_at", stamp)
     history.coalesce(1).write.mode("append").parquet(f"{base}/ops/rule_metrics")
     return {**lake.tables, "ops.rule_metrics": spark.read.parquet(f"{base}/ops/rule_metrics")}

@@ -134,3 +134,17 @@ def test_clustering_cuts_a_hot_key_into_several_ranges(spark, df):
     per_partition = {r.p: r["count"] for r in placed.where("k = 0").groupBy("p").count().collect()}
     assert len(per_partition) >= 2
     assert placed.count() == len(ROWS)
+
+
+def test_gathering_cuts_a_hot_key_into_lanes_without_sampling(spark, df):
+    from pyspark.sql import functions as F
+
+    gathered = layout.gather_rows(df, ["k"], ["id"], 16)
+    assert "hashpartitioning" in gathered._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = gathered.withColumn("p", F.spark_partition_id()).where("k = 0")
+        assert len({r.p for r in hot.collect()}) >= 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert Counter((r.k, r.v, r.id) for r in gathered.collect()) == Counter(ROWS)
