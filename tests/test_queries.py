@@ -25,7 +25,7 @@ def test_entry_points(spark):
         "service_zone", "month_start_date", "total_consumption", "total_billed",
         "total_accounts", "overdue_count", "overdue_rate_pct",
     ]
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in {"scd2_sound"}))
