@@ -142,7 +142,7 @@ class TokenFileWriter:
     def __init__(self, uri: str, largest_id: int):
         store, path = file_system(uri)
         store.create_dir(path.rpartition("/")[0], recursive=True)
-        self.out = store.open_output_stream(path)
+        self.out = store.open_output_stream(path, compression=None)
         self.kind = np.dtype("<u2" if largest_id < 2**16 else "<u4")
         self.sizes: list[np.ndarray] = []
         self.doc_ids: list[np.ndarray] = []

@@ -53,14 +53,13 @@ def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, cap
     for batch in batches:
         for part in chunks(batch, "text"):
             ids, counts = code.encode(texts_of(part))
-            doc_ids = part["doc_id"].to_pylist()
+            own = memoryview(np.insert(ids, np.cumsum(counts), np.uint32(end_id)).astype("<u4")).cast("B")
             rows, at = [], 0
-            for doc_id, n in zip(doc_ids, counts.tolist(), strict=True):
-                own = np.append(ids[at : at + n], np.uint32(end_id)).astype("<u4")
+            for doc_id, n in zip(part["doc_id"].to_pylist(), (counts + 1).tolist(), strict=True):
+                for number, start in enumerate(range(0, n, capacity)):
+                    length = min(capacity, n - start)
+                    rows.append((doc_id, number, start, length, zlib.crc32(own[4 * (at + start) : 4 * (at + start + length)])))
                 at += n
-                for number, start in enumerate(range(0, n + 1, capacity)):
-                    piece = own[start : start + capacity]
-                    rows.append((doc_id, number, start, len(piece), zlib.crc32(piece.tobytes())))
             yield rows
 
 

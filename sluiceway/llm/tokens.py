@@ -44,9 +44,21 @@ def _with_blank(unit) -> str:
     return unit if unit[:1] == "\n" else " " + unit
 
 
+def lower_case(text: str) -> str:
+    """The text in lower case where that cannot change its ids: no composed forms, no special tokens.
+
+    For vocabularies that lower the case themselves; fewer pieces are then distinct.
+    """
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text if "<|" in text else text.lower()
+
+
 def units_without_blanks(text: str) -> list:
-    """Pieces of a text whose pre-tokens drop white space."""
-    return [(text,)] if _ODD.search(text) else text.split()
+    """Pieces of a text whose pre-tokens drop white space and case."""
+    return [(text,)] if _ODD.search(text) else lower_case(text).split()
 
 
 def _bare(unit) -> str:
@@ -74,7 +86,7 @@ class Encoder:
     starts anew.
     """
 
-    def __init__(self, path: str, blanks: bool, cache_units: int = 600_000):
+    def __init__(self, path: str, blanks: bool, cache_units: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
