@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import elias_fano, packing, rank_merges
+from sluiceway.llm import darts, elias_fano, guess_cost, langid, packing, rank_merges, top_k, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -40,19 +40,64 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+@query(
+    """
+    WITH known AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+    grouped AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS best, strlen(payload) AS payload_bytes FROM known)
+    SELECT page_id, payload_bytes,
+      array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + (((('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS BIGINT), 5))::BIGINT >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31))::BIGINT, 1)), '') AS payload_digest,
+      CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id = best THEN NULL ELSE best END AS refers_to
+    FROM grouped
+    """
+)
+def op1_warc_normaliser(spark: SparkSession, directory: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, directory, "pages")).drop("target_uri")
+
+
 @query()
 def op2_token_files(spark: SparkSession, directory: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return elias_fano.token_file_round_trip(table(spark, directory, "documents"), path)
 
 
+@query(
+    """
+    WITH parts AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM parts q JOIN parts c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """
+)
+def op3_exact_top_k(spark: SparkSession, directory: str) -> DataFrame:
+    return top_k.top_k(table(spark, directory, "embeddings"), k=5)
+
+
 @query()
 def op4_packed_sequences(spark: SparkSession, directory: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed_sequences(table(spark, directory, "documents"), path, capacity=2048)
 
 
+@query()
+def op5_secret_scan(spark: SparkSession, directory: str) -> DataFrame:
+    return guess_cost.secrets_found(table(spark, directory, "documents"))
+
+
+@query()
+def op6_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    return langid.identified(table(spark, directory, "documents"))
+
+
 @query()
 def op9_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return rank_merges.token_counts(table(spark, directory, "documents"), path, limit=2048)
+
+
+@query()
+def op10_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
+    return darts.near_duplicates(table(spark, directory, "documents"), threshold=0.8, words=5)
