@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import darts, elias_fano, guess_cost, langid, packing, rank_merges, top_k, warc
+from sluiceway.llm import alignment, darts, elias_fano, guess_cost, langid, packing, rank_merges, super_kmers, top_k, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -92,6 +92,28 @@ def op6_language_id(spark: SparkSession, directory: str) -> DataFrame:
     return langid.identified(table(spark, directory, "documents"))
 
 
+@query(
+    """
+    WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    windows AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS run
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words)),
+    often AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY run) AS n FROM windows) WHERE n > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM often),
+    numbered AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words),
+    kept AS (SELECT n.doc_id, string_agg(word, ' ' ORDER BY i) AS rest, count(*) AS n FROM numbered n ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+    FROM words d LEFT JOIN kept k ON d.doc_id = k.doc_id
+    """
+)
+def op7_repeated_passages(spark: SparkSession, directory: str) -> DataFrame:
+    return super_kmers.without_repeats(table(spark, directory, "documents"), size=35)
+
+
+@query()
+def op8_contaminated(spark: SparkSession, directory: str) -> DataFrame:
+    return alignment.contaminated(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+
+
 @query()
 def op9_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
