@@ -60,7 +60,7 @@ def signatures(units: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
     owner = np.repeat(np.arange(n), sizes)
     filled = sizes == 0
     horizon = np.where(sizes > 0, k * (np.log(k) + 2) / np.maximum(sizes, 1), 0.0)
-    scale = (2.0**31) / np.maximum(horizon * 16, 1e-300)  # the earliest times matter; the scale is not part of a name
+    scale = 2.0**27 / np.where(sizes > 0, horizon, 1.0)  # of times to whole numbers: only their order counts
     base = np.zeros(n)
     while not filled.all():
         live = np.flatnonzero(~filled[owner])
@@ -218,5 +218,6 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, words: int = 5, n_b
     known = stored(
         known.select("print", F.coalesce("root", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
     )
-    found = sketched.select("doc_id", "print").join(known, "print", "left")
+    known = known.withColumnRenamed("print", "known")
+    found = sketched.join(known, (sketched["print"] == known["known"]) & sketched["doc_id"].isNotNull(), "left")
     return found.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))

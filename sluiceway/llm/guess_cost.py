@@ -156,7 +156,7 @@ def guess_spans(text: str, cost: GuessCost, threshold: float, least: int) -> lis
         group = m.lastindex
         start, end = m.span(group)
         if group == 3:
-            end = start + len(text[start:end].rstrip(".:!?)]}>"))
+            end = start + len(text[start:end].rstrip(".:)]}>"))
         places.append((start, end))
     if "://" in text:
         places += [m.span(1) for m in URL_USER.finditer(text)]

@@ -127,33 +127,45 @@ def train(docs: DataFrame, rows_each: int, rows_most: int, landmarks_each: int,
     return fit([np.frombuffer(h, np.uint32).astype(np.int64) for h in sample["held"]], list(sample["lang"]), landmarks_each, ridge, longest)
 
 
+def judged(texts: list[str], model: Model | None, presence: Presence | None) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    lettered = [i for i, t in enumerate(texts) if any(map(str.isalpha, t))] if model else []
+    for start in range(0, len(lettered), 128):
+        at = lettered[start : start + 128]
+        found = model.decisions([texts[i] for i in at], presence)
+        best = found.argmax(1)
+        scores[at] = np.clip((1 + found[np.arange(len(at)), best]) / 2, 0, 1)
+        for i, b in zip(at, best.tolist(), strict=True):
+            names[i] = model.languages[b]
+    return names, scores
+
+
+def _parts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[tuple]:
+    model = shared.value
+    presence = Presence(model.longest) if model else None
+    for batch in batches:
+        for part in chunks(batch, "text"):
+            yield part, *judged(texts_of(part), model, presence)
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every row of ``docs`` (doc_id, held_out, text) by a fitted model."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        presence = Presence(model.longest) if model else None
-        for batch in batches:
-            for part in chunks(batch, "text"):
-                texts = texts_of(part)
-                names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-                lettered = [i for i, t in enumerate(texts) if any(map(str.isalpha, t))] if model else []
-                for start in range(0, len(lettered), 128):
-                    at = lettered[start : start + 128]
-                    found = model.decisions([texts[i] for i in at], presence)
-                    best = found.argmax(1)
-                    scores[at] = np.clip((1 + found[np.arange(len(at)), best]) / 2, 0, 1)
-                    for i, b in zip(at, best.tolist(), strict=True):
-                        names[i] = model.languages[b]
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], part["held_out"], pa.array(names, pa.string()), pa.array(scores)],
-                    names=["doc_id", "held_out", "lang_pred", "score"],
-                )
+        for part, names, scores in _parts(batches, shared):
+            columns = [part["doc_id"], part["held_out"], pa.array(names, pa.string()), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "lang_pred", "score"])
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(score, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
+def _learnable(docs: DataFrame) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return docs.select("doc_id", "text", "lang", held_out.alias("held_out"))
+
+
 def identified(
     docs: DataFrame,
     rows_each: int = 200,
@@ -170,7 +182,26 @@ def identified(
     the first language in alphabetical order. Repeated rows are predicted each; other columns are not read; an empty table gives
     no rows. The sample is bounded by ``rows_each`` rows a label and ``rows_most`` in all.
     """
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
-    known = docs.select("doc_id", "text", "lang", held_out.alias("held_out"))
+    known = _learnable(docs)
     model = train(known.filter("NOT held_out"), rows_each, rows_most, landmarks_each, ridge, longest)
     return predict(known, model)
+
+
+def with_language(docs: DataFrame, least: float, rows_each: int = 200, rows_most: int = 4000, landmarks_each: int = 40, ridge: float = 1e-4, longest: int = 3) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang) whose text gets a language with a score of at least ``least``, all columns as they are.
+
+    Learnt from the same rows as in ``identified``. Texts that are null or have no letter go; if there is nothing to learn from,
+    all others stay.
+    """
+    model = train(_learnable(docs).filter("NOT held_out"), rows_each, rows_most, landmarks_each, ridge, longest)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, names, scores in _parts(batches, shared):
+            if shared.value is None:
+                good = [any(map(str.isalpha, t)) for t in texts_of(part)]
+            else:
+                good = [name != UNKNOWN and score >= least for name, score in zip(names, scores.tolist(), strict=True)]
+            yield part.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
