@@ -1,34 +1,42 @@
 """Aggregates and ratios whose result does not depend on the order in which Spark adds.
 
 Measures are doubles. A sum of doubles carries noise in its last bits that changes with the
-partitioning, so a sum is rounded once per group, to cents for money and to six places for
-physical measures. Ratios are divided as decimals and rounded half up.
+partitioning, so each value is taken as a decimal of six places, far below a cent, and the sum is exact;
+sums of sums stay exact. Nothing is rounded to cents on the way. Ratios are divided as decimals and
+rounded half up. A value of 10^22 or more stops the job in ANSI mode, Spark's default; a ratio of such
+amounts, or a percentage of amounts of 10^16 or more, is NULL.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from sluiceway.functions.conforming import col
 
-MONEY_PLACES = 2
-MEASURE_PLACES = 6
 WIDE = "decimal(28,6)"
 
 
-def total(c: Column | str, places: int = MONEY_PLACES) -> Column:
-    return F.round(F.sum(col(c)), places)
+def total(c: Column | str, over: WindowSpec | None = None) -> Column:
+    """The exact sum, of a group or over a window."""
+    summed = F.sum(col(c).cast(WIDE))
+    return (summed.over(over) if over is not None else summed).cast("double")
 
 
-def mean(c: Column | str, places: int = MONEY_PLACES) -> Column:
+def mean(c: Column | str) -> Column:
     """Mean of the non-NULL values; NULL if there are none."""
-    return F.try_divide(total(c, places), F.count(col(c)))
+    return F.try_divide(total(c), F.count(col(c)))
 
 
-def mean_of_parts(part_sum: Column | str, part_count: Column | str, places: int = MEASURE_PLACES) -> Column:
+def mean_of_parts(part_sum: Column | str, part_count: Column | str) -> Column:
     """Mean from partial sums and partial counts."""
-    return F.try_divide(total(part_sum, places), F.sum(col(part_count)))
+    return F.try_divide(total(part_sum), F.sum(col(part_count)))
+
+
+def difference(left: Column | str, right: Column | str) -> Column:
+    """``left - right`` without the noise of doubles."""
+    return (col(left).cast(WIDE) - col(right).cast(WIDE)).cast("double")
 
 
 def percent(part: Column | str, whole: Column | str, places: int = 2) -> Column:

@@ -9,7 +9,7 @@ from sluiceway import config
 from sluiceway.config import Settings
 from sluiceway.functions import conforming as c
 from sluiceway.functions.masking import tag_columns
-from sluiceway.functions.measures import MEASURE_PLACES, percent, total
+from sluiceway.functions.measures import percent, total
 from sluiceway.operators import history
 from sluiceway.operators.dedup import flag_duplicates, keep_first
 from sluiceway.operators.quarantine import FIRST, quarantine
@@ -100,7 +100,7 @@ def billing_by_zone_month(consumption: DataFrame) -> DataFrame:
     mart = (
         consumption.groupBy("service_zone", "month_start_date")
         .agg(
-            total("consumption_m3", MEASURE_PLACES).alias("total_consumption"),
+            total("consumption_m3").alias("total_consumption"),
             total("amount_billed").alias("total_billed"),
             F.countDistinct("account_id").alias("total_accounts"),
             F.count_if(F.col("payment_status") == "overdue").alias("overdue_count"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluiceway import config
 from sluiceway.config import Settings
 from sluiceway.functions import conforming as c
-from sluiceway.functions.measures import total
+from sluiceway.functions.measures import mean, total
 from sluiceway.operators import history
 from sluiceway.operators.conform import conform_sources
 from sluiceway.operators.lookup import fits, lookup
@@ -73,7 +73,8 @@ def works_by_zone_type_month(orders: DataFrame) -> DataFrame:
     month = c.month_instant("completion_date").alias("completion_month")
     mart = (
         orders.groupBy("zone_id", "zone", F.col("description").alias("work_type"), month)
-        .agg(F.count(F.lit(1)).alias("order_count"), total("cost").alias("total_cost"))
-        .withColumn("avg_cost", F.col("total_cost") / F.col("order_count"))
+        .agg(
+            F.count(F.lit(1)).alias("order_count"), total("cost").alias("total_cost"), mean("cost").alias("avg_cost")
+        )
     )
     return enforce(mart, config.WORK_TYPE_MART)

@@ -54,7 +54,7 @@ def spend_rank(spend: DataFrame) -> DataFrame:
 def spend_share(spend: DataFrame) -> DataFrame:
     """Each project's share of its zone's spend, in percent. The window runs over zone-by-project sums."""
     sums = spend.groupBy("site_zone", "project_code").agg(total("total_spend").alias("total_spend"))
-    zone_total = F.round(F.sum("total_spend").over(Window.partitionBy("site_zone")), 2)
+    zone_total = total("total_spend", Window.partitionBy("site_zone"))
     return sums.withColumn("_zone_total", zone_total).select(
         "site_zone", "project_code", "total_spend", money_percent("total_spend", "_zone_total").alias("share_pct")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sluiceway import config
 from sluiceway.config import Settings
 from sluiceway.functions import conforming as c
-from sluiceway.functions.measures import MEASURE_PLACES, mean_of_parts, percent
+from sluiceway.functions.measures import mean_of_parts, percent, total
 from sluiceway.operators import history, resolve
 from sluiceway.operators.dedup import flag_duplicates
 from sluiceway.operators.quarantine import FIRST, quarantine
@@ -80,7 +80,7 @@ def _per_location(readings: DataFrame, locations: DataFrame) -> DataFrame:
 
     def parts(kind: str) -> list:
         value = F.when(fresh & (F.col("reading_type") == kind), F.col("reading_value"))
-        return [F.sum(value).alias(f"{kind}_sum"), F.count(value).alias(f"{kind}_count")]
+        return [total(value).alias(f"{kind}_sum"), F.count(value).alias(f"{kind}_count")]
 
     partial = readings.groupBy("location_id", "month_start_date").agg(
         *parts("pressure"),
@@ -104,8 +104,8 @@ def network_health(readings: DataFrame, locations: DataFrame) -> DataFrame:
         .where("fresh_count > 0")
         .groupBy("zone", "month_start_date")
         .agg(
-            mean_of_parts("pressure_sum", "pressure_count", MEASURE_PLACES).alias("avg_pressure"),
-            mean_of_parts("flow_sum", "flow_count", MEASURE_PLACES).alias("avg_flow"),
+            mean_of_parts("pressure_sum", "pressure_count").alias("avg_pressure"),
+            mean_of_parts("flow_sum", "flow_count").alias("avg_flow"),
             F.sum("fresh_count").alias("reading_count"),
         )
     )
@@ -118,8 +118,8 @@ def network_diagnostic(readings: DataFrame, locations: DataFrame) -> DataFrame:
         _per_location(readings, locations)
         .groupBy("zone", "month_start_date")
         .agg(
-            mean_of_parts("pressure_sum", "pressure_count", MEASURE_PLACES).alias("avg_pressure"),
-            mean_of_parts("flow_sum", "flow_count", MEASURE_PLACES).alias("avg_flow"),
+            mean_of_parts("pressure_sum", "pressure_count").alias("avg_pressure"),
+            mean_of_parts("flow_sum", "flow_count").alias("avg_flow"),
             F.sum("all_count").alias("total_readings"),
             F.sum("reliable_count").alias("reliable_readings"),
             F.sum(F.col("all_count") - F.col("fresh_count")).alias("duplicate_count"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.functions.conforming import is_known_status
-from sluiceway.functions.measures import money_percent, total
+from sluiceway.functions.measures import difference, money_percent, total
 from sluiceway.plans.scorecard import KEY, contractor_rollup, spend_rollup
 
 
@@ -49,16 +49,16 @@ def month_over_month(mart: DataFrame, zone: str, month: str, measure: str) -> Da
     )
     before = F.lag("current_value").over(Window.partitionBy("zone").orderBy("month_start_date"))
     compared = monthly.withColumn("previous_value", before)
-    change = F.round(F.col("current_value") - F.col("previous_value"), 2)
+    change = difference("current_value", "previous_value")
     return compared.withColumn("change", change).withColumn("change_pct", money_percent("change", "previous_value"))
 
 
 def contractor_against_invoices(contractor: DataFrame, spend: DataFrame) -> DataFrame:
     """Contractor cost beside invoice spend of the same zone and month; either may be missing."""
     both = contractor_rollup(contractor).join(spend_rollup(spend), KEY, "full_outer")
-    gap = F.coalesce("total_contractor_cost_sgd", F.lit(0.0)) - F.coalesce("total_invoice_spend_sgd", F.lit(0.0))
+    gap = difference(*(F.coalesce(c, F.lit(0.0)) for c in ("total_contractor_cost_sgd", "total_invoice_spend_sgd")))
     return both.select(
-        *KEY, "total_contractor_cost_sgd", "total_invoice_spend_sgd", F.round(gap, 2).alias("cost_minus_invoices")
+        *KEY, "total_contractor_cost_sgd", "total_invoice_spend_sgd", gap.alias("cost_minus_invoices")
     )
 
 
@@ -66,7 +66,7 @@ def year_to_date(spend: DataFrame) -> DataFrame:
     """Running spend per zone within the year; at most twelve rows enter each window."""
     monthly = spend_rollup(spend).select(*KEY, "total_invoice_spend_sgd")
     running = Window.partitionBy("zone_name", F.year("month_start_date")).orderBy("month_start_date")
-    return monthly.withColumn("ytd_spend_sgd", F.round(F.sum("total_invoice_spend_sgd").over(running), 2))
+    return monthly.withColumn("ytd_spend_sgd", total("total_invoice_spend_sgd", running))
 
 
 def alerts(mart: DataFrame, breach: Column) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sluiceway import config
 from sluiceway.config import Settings
-from sluiceway.functions.measures import percent_of_amount, ratio, total, traffic_light
+from sluiceway.functions.measures import difference, percent_of_amount, ratio, total, traffic_light
 from sluiceway.operators import history
 from sluiceway.operators.conform import union_all
 from sluiceway.operators.resolve import months_since
@@ -91,7 +91,7 @@ def with_kpis(joined: DataFrame, as_of: dt.date, processed_at: dt.datetime) -> D
     spend, cost = F.col("total_invoice_spend_sgd"), F.col("total_contractor_cost_sgd")
     has_network = F.col("avg_pressure_bar").isNotNull() | F.col("avg_flow_lpm").isNotNull()
     available = [F.col("total_consumption_m3").isNotNull(), spend.isNotNull(), cost.isNotNull(), has_network]
-    opex = F.round(F.coalesce(spend, F.lit(0.0)) + F.coalesce(cost, F.lit(0.0)), 2)
+    opex = difference(F.coalesce(spend, F.lit(0.0)), -F.coalesce(cost, F.lit(0.0)))
     first = joined.withColumns(
         {
             "total_opex_sgd": opex,

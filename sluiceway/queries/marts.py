@@ -209,12 +209,12 @@ def spend_by_zone_month(inputs):
 @query(
     "M-25, A-07, F-08",
     """SELECT substring(h.site_zone, 8, 2) AS zone_id, h.site_zone AS zone, l.description AS cost_category,
-    CAST(date_trunc('month', h.invoice_date) AS TIMESTAMP) AS invoice_month, round(sum(l.line_total), 2) AS total_spend,
-    count(*) AS line_count, round(sum(l.unit_cost), 2) / count(*) AS avg_unit_cost
+    CAST(date_trunc('month', h.invoice_date) AS TIMESTAMP) AS invoice_month, CAST(sum(CAST(l.line_total AS DECIMAL(28,6))) AS DOUBLE) AS total_spend,
+    count(*) AS line_count, CAST(sum(CAST(l.unit_cost AS DECIMAL(28,6))) AS DOUBLE) / count(*) AS avg_unit_cost
     FROM lines l JOIN headers h ON l.invoice_id = h.invoice_id GROUP BY 1, 2, 3, 4""",
 )
 def spend_by_zone_category_month(inputs):
-    return finance.spend_by_zone_category_month(inputs.lines(), inputs.headers(), SETTINGS)
+    return finance.spend_by_zone_category_month(inputs.lines(), inputs.stored_headers(), SETTINGS)
 
 
 # --- contractors -----------------------------------------------------------
@@ -265,8 +265,8 @@ def contractor_by_zone_month(inputs):
 @query(
     "M-27",
     """SELECT zone_id, zone, description AS work_type, CAST(date_trunc('month', completion_date) AS TIMESTAMP)
-    AS completion_month, count(*) AS order_count, round(sum(cost), 2) AS total_cost,
-    round(sum(cost), 2) / count(*) AS avg_cost FROM orders_done GROUP BY 1, 2, 3, 4""",
+    AS completion_month, count(*) AS order_count, CAST(sum(CAST(cost AS DECIMAL(28,6))) AS DOUBLE) AS total_cost,
+    CAST(sum(CAST(cost AS DECIMAL(28,6))) AS DOUBLE) / count(*) AS avg_cost FROM orders_done GROUP BY 1, 2, 3, 4""",
 )
 def works_by_zone_type_month(inputs):
     return contractors.works_by_zone_type_month(inputs.orders())
@@ -327,8 +327,8 @@ def telemetry_dq_metrics(inputs):
 @query(
     "M-28, P-07, A-08",
     """SELECT resolved_zone AS zone, month_start_date,
-    round(sum(reading_value) FILTER (reading_type = 'pressure'), 6) / count(*) FILTER (reading_type = 'pressure') AS avg_pressure,
-    round(sum(reading_value) FILTER (reading_type = 'flow'), 6) / count(*) FILTER (reading_type = 'flow') AS avg_flow,
+    CAST(sum(CAST(reading_value AS DECIMAL(28,6))) FILTER (reading_type = 'pressure') AS DOUBLE) / count(*) FILTER (reading_type = 'pressure') AS avg_pressure,
+    CAST(sum(CAST(reading_value AS DECIMAL(28,6))) FILTER (reading_type = 'flow') AS DOUBLE) / count(*) FILTER (reading_type = 'flow') AS avg_flow,
     count(*) AS reading_count FROM readings_done WHERE NOT is_ambiguous AND NOT is_duplicate GROUP BY 1, 2""",
 )
 def network_health(inputs):

@@ -123,8 +123,8 @@ FROM ranked_bills
 WHERE rn = 1 AND account_id IS NOT NULL AND meter_id IS NOT NULL AND consumption_value IS NOT NULL
       AND amount_billed IS NOT NULL""",
     "billing_mart": f"""
-SELECT service_zone, month_start_date, round(sum(consumption_m3), 6) AS total_consumption,
-       round(sum(amount_billed), 2) AS total_billed, count(DISTINCT account_id) AS total_accounts,
+SELECT service_zone, month_start_date, CAST(sum(CAST(consumption_m3 AS DECIMAL(28,6))) AS DOUBLE) AS total_consumption,
+       CAST(sum(CAST(amount_billed AS DECIMAL(28,6))) AS DOUBLE) AS total_billed, count(DISTINCT account_id) AS total_accounts,
        count(*) FILTER (payment_status = 'overdue') AS overdue_count,
        {half_up("100 * count(*) FILTER (payment_status = 'overdue')", "count(DISTINCT account_id)", 2)} AS overdue_rate_pct
 FROM consumption GROUP BY service_zone, month_start_date""",
@@ -139,7 +139,7 @@ SELECT invoice_id, line_no, description, qty, CAST(unit_cost AS DOUBLE) AS unit_
     "spend_mart": """
 SELECT h.site_zone, coalesce(h.project_code, 'OPEX-UNALLOCATED') AS project_code,
        CAST(date_trunc('month', h.invoice_date) AS TIMESTAMP) AS invoice_month,
-       round(sum(l.line_total), 2) AS total_spend, count(*) AS line_item_count
+       CAST(sum(CAST(l.line_total AS DECIMAL(28,6))) AS DOUBLE) AS total_spend, count(*) AS line_item_count
 FROM lines l JOIN headers h ON l.invoice_id = h.invoice_id GROUP BY ALL""",
     "incoming_orders": """
 SELECT work_order_id, zone, description,
@@ -151,7 +151,7 @@ FROM in_works_orders LEFT JOIN (SELECT zone_id, zone_name FROM current_zones) ON
     "orders_done": f"SELECT * FROM incoming_orders WHERE {all_hold(WORKS_OK)}",
     "contractor_mart": """
 SELECT zone, contractor_source, CAST(date_trunc('month', completion_date) AS TIMESTAMP) AS completion_month,
-       count(*) AS work_order_count, round(sum(cost), 2) AS total_cost
+       count(*) AS work_order_count, CAST(sum(CAST(cost AS DECIMAL(28,6))) AS DOUBLE) AS total_cost
 FROM orders_done GROUP BY ALL""",
     "parsed_readings": "SELECT *, TRY_CAST(reading_time AS TIMESTAMP) AS reading_ts FROM in_readings",
     "ranked_zones": """
@@ -174,9 +174,9 @@ SELECT sensor_id, location_id, reading_ts, month_start_date, reading_type, CAST(
        is_duplicate, zone_is_uncertain, resolved_zone, is_ambiguous FROM flagged_readings""",
     "network_mart": f"""
 SELECT resolved_zone AS zone, month_start_date,
-       round(sum(reading_value) FILTER (reading_type = 'pressure' AND NOT is_duplicate), 6)
+       CAST(sum(CAST(reading_value AS DECIMAL(28,6))) FILTER (reading_type = 'pressure' AND NOT is_duplicate) AS DOUBLE)
            / count(*) FILTER (reading_type = 'pressure' AND NOT is_duplicate) AS avg_pressure,
-       round(sum(reading_value) FILTER (reading_type = 'flow' AND NOT is_duplicate), 6)
+       CAST(sum(CAST(reading_value AS DECIMAL(28,6))) FILTER (reading_type = 'flow' AND NOT is_duplicate) AS DOUBLE)
            / count(*) FILTER (reading_type = 'flow' AND NOT is_duplicate) AS avg_flow,
        count(*) AS total_readings,
        count(*) FILTER (NOT is_duplicate AND NOT zone_is_uncertain) AS reliable_readings,
@@ -186,11 +186,11 @@ SELECT resolved_zone AS zone, month_start_date,
 FROM readings_done WHERE resolved_zone IS NOT NULL GROUP BY 1, 2""",
     "card_spend": """
 SELECT site_zone AS zone_name, CAST(invoice_month AS DATE) AS month_start_date,
-       round(sum(total_spend), 2) AS total_invoice_spend_sgd, CAST(sum(line_item_count) AS BIGINT) AS invoice_line_count
+       CAST(sum(CAST(total_spend AS DECIMAL(28,6))) AS DOUBLE) AS total_invoice_spend_sgd, CAST(sum(line_item_count) AS BIGINT) AS invoice_line_count
 FROM spend_mart GROUP BY 1, 2""",
     "card_contractor": """
 SELECT zone AS zone_name, CAST(completion_month AS DATE) AS month_start_date,
-       CAST(sum(work_order_count) AS BIGINT) AS total_work_orders, round(sum(total_cost), 2) AS total_contractor_cost_sgd
+       CAST(sum(work_order_count) AS BIGINT) AS total_work_orders, CAST(sum(CAST(total_cost AS DECIMAL(28,6))) AS DOUBLE) AS total_contractor_cost_sgd
 FROM contractor_mart GROUP BY 1, 2""",
     "months": """
 SELECT month_start_date FROM billing_mart UNION SELECT month_start_date FROM card_spend
@@ -201,7 +201,7 @@ SELECT z.zone_name, z.region, z.population_served, z.sla_response_hours, m.month
        b.overdue_rate_pct, f.total_invoice_spend_sgd, f.invoice_line_count, c.total_work_orders,
        c.total_contractor_cost_sgd, n.avg_pressure AS avg_pressure_bar, n.avg_flow AS avg_flow_lpm,
        n.reliability_pct AS telemetry_reliability_pct,
-       round(coalesce(f.total_invoice_spend_sgd, 0) + coalesce(c.total_contractor_cost_sgd, 0), 2) AS total_opex_sgd
+       CAST(CAST(coalesce(f.total_invoice_spend_sgd, 0) AS DECIMAL(28,6)) + CAST(coalesce(c.total_contractor_cost_sgd, 0) AS DECIMAL(28,6)) AS DOUBLE) AS total_opex_sgd
 FROM current_zones z CROSS JOIN months m
 LEFT JOIN billing_mart b ON b.service_zone = z.zone_name AND b.month_start_date = m.month_start_date
 LEFT JOIN card_spend f ON f.zone_name = z.zone_name AND f.month_start_date = m.month_start_date
@@ -211,9 +211,9 @@ LEFT JOIN network_mart n ON n.zone = z.zone_name AND n.month_start_date = m.mont
 SELECT *,
        {half_up(micros("total_opex_sgd"), micros("total_consumption_m3"), 2)} AS opex_per_m3,
        {half_up(cents("overdue_rate_pct") + " * " + cents("total_billed_sgd"), "1000000", 2)} AS revenue_at_risk_sgd,
-       {half_up(cents("total_billed_sgd"), cents("total_opex_sgd"), 2)} AS cost_recovery_ratio,
+       {half_up(micros("total_billed_sgd"), micros("total_opex_sgd"), 2)} AS cost_recovery_ratio,
        {half_up(micros("total_consumption_m3"), "CAST(population_served AS HUGEINT) * 1000000", 4)} AS consumption_per_capita_m3,
-       {half_up(cents("total_opex_sgd"), "CAST(population_served AS HUGEINT) * 100", 4)} AS opex_per_capita_sgd,
+       {half_up(micros("total_opex_sgd"), "CAST(population_served AS HUGEINT) * 1000000", 4)} AS opex_per_capita_sgd,
        CAST((total_consumption_m3 IS NOT NULL)::INT + (total_invoice_spend_sgd IS NOT NULL)::INT
             + (total_contractor_cost_sgd IS NOT NULL)::INT
             + (avg_pressure_bar IS NOT NULL OR avg_flow_lpm IS NOT NULL)::INT AS INT) AS data_sources_available,

@@ -284,7 +284,7 @@ part(
 part(
     "group_by_columns",
     "A-01, A-03, A-04",
-    """SELECT service_zone, payment_status, count(*) AS bills, round(sum(amount_billed), 2) AS billed FROM
+    """SELECT service_zone, payment_status, count(*) AS bills, CAST(sum(CAST(amount_billed AS DECIMAL(28,6))) AS DOUBLE) AS billed FROM
     conformed_bills GROUP BY 1, 2""",
     lambda i: conformed(i).groupBy("service_zone", "payment_status").agg(
         F.count(F.lit(1)).alias("bills"), m.total("amount_billed").alias("billed")
@@ -326,7 +326,7 @@ part(
 part(
     "mean_per_group",
     "A-07",
-    """SELECT description, round(sum(unit_cost), 2) / count(unit_cost) AS mean_unit_cost FROM incoming_lines GROUP
+    """SELECT description, CAST(sum(CAST(unit_cost AS DECIMAL(28,6))) AS DOUBLE) / count(unit_cost) AS mean_unit_cost FROM incoming_lines GROUP
     BY 1""",
     lambda i: finance.incoming_lines(i.invoice_line_records()).groupBy("description").agg(
         m.mean("unit_cost").alias("mean_unit_cost")
@@ -336,10 +336,10 @@ part(
 part(
     "conditional_mean",
     "A-08",
-    """SELECT location_id, round(sum(CAST(reading_value AS DOUBLE)) FILTER (reading_type = 'pressure'), 6) /
+    """SELECT location_id, CAST(sum(CAST(reading_value AS DECIMAL(28,6))) FILTER (reading_type = 'pressure') AS DOUBLE) /
     count(reading_value) FILTER (reading_type = 'pressure') AS mean_pressure FROM in_readings GROUP BY 1""",
     lambda i: i.readings().groupBy("location_id").agg(
-        m.mean(F.when(F.col("reading_type") == "pressure", F.col("reading_value")), 6).alias("mean_pressure")
+        m.mean(F.when(F.col("reading_type") == "pressure", F.col("reading_value"))).alias("mean_pressure")
     ),
 )
 

@@ -21,8 +21,8 @@ from sluiceway.queries.registry import query
 
 @query(
     "B-01",
-    """SELECT CAST(sum(work_order_count) AS BIGINT) AS total_work_orders, round(sum(total_cost), 2) AS total_cost,
-    round(sum(total_cost), 2) / sum(work_order_count) AS avg_cost_per_order FROM contractor_mart""",
+    """SELECT CAST(sum(work_order_count) AS BIGINT) AS total_work_orders, CAST(sum(CAST(total_cost AS DECIMAL(28,6))) AS DOUBLE) AS total_cost,
+    CAST(sum(CAST(total_cost AS DECIMAL(28,6))) AS DOUBLE) / sum(work_order_count) AS avg_cost_per_order FROM contractor_mart""",
 )
 def kpi_contractor(inputs):
     return dashboard.contractor_kpis(inputs.contractor_mart())
@@ -31,7 +31,7 @@ def kpi_contractor(inputs):
 @query(
     "B-01 per contractor",
     """SELECT contractor_source, CAST(sum(work_order_count) AS BIGINT) AS total_work_orders,
-    round(sum(total_cost), 2) AS total_cost, round(sum(total_cost), 2) / sum(work_order_count) AS avg_cost_per_order
+    CAST(sum(CAST(total_cost AS DECIMAL(28,6))) AS DOUBLE) AS total_cost, CAST(sum(CAST(total_cost AS DECIMAL(28,6))) AS DOUBLE) / sum(work_order_count) AS avg_cost_per_order
     FROM contractor_mart GROUP BY 1""",
 )
 def kpi_by_contractor(inputs):
@@ -40,7 +40,7 @@ def kpi_by_contractor(inputs):
 
 @query(
     "B-02",
-    "SELECT completion_month, contractor_source, round(sum(total_cost), 2) AS total_cost FROM contractor_mart GROUP BY 1, 2",
+    "SELECT completion_month, contractor_source, CAST(sum(CAST(total_cost AS DECIMAL(28,6))) AS DOUBLE) AS total_cost FROM contractor_mart GROUP BY 1, 2",
 )
 def cost_trend(inputs):
     return dashboard.cost_trend(inputs.contractor_mart())
@@ -57,7 +57,7 @@ def orders_by_zone(inputs):
 @query(
     "B-04",
     "SELECT zone, "
-    + ", ".join(f"round(sum(total_cost) FILTER (contractor_source = '{c}'), 2) AS {c}" for c in config.CONTRACTORS)
+    + ", ".join(f"CAST(sum(CAST(total_cost AS DECIMAL(28,6))) FILTER (contractor_source = '{c}') AS DOUBLE) AS {c}" for c in config.CONTRACTORS)
     + " FROM contractor_mart GROUP BY zone",
 )
 def cost_matrix(inputs):
@@ -66,20 +66,20 @@ def cost_matrix(inputs):
 
 @query(
     "B-05",
-    "SELECT round(sum(total_spend), 2) AS total_spend, CAST(sum(line_item_count) AS BIGINT) AS total_line_items FROM spend_mart",
+    "SELECT CAST(sum(CAST(total_spend AS DECIMAL(28,6))) AS DOUBLE) AS total_spend, CAST(sum(line_item_count) AS BIGINT) AS total_line_items FROM spend_mart",
 )
 def kpi_spend(inputs):
     return dashboard.spend_kpis(inputs.spend_mart())
 
 
-@query("B-06", "SELECT invoice_month, project_code, round(sum(total_spend), 2) AS total_spend FROM spend_mart GROUP BY 1, 2")
+@query("B-06", "SELECT invoice_month, project_code, CAST(sum(CAST(total_spend AS DECIMAL(28,6))) AS DOUBLE) AS total_spend FROM spend_mart GROUP BY 1, 2")
 def spend_by_project(inputs):
     return dashboard.spend_by_project(inputs.spend_mart())
 
 
 @query(
     "B-07, U-03",
-    "SELECT site_zone, round(sum(total_spend), 2) AS total_spend FROM spend_mart GROUP BY 1 ORDER BY total_spend DESC, site_zone",
+    "SELECT site_zone, CAST(sum(CAST(total_spend AS DECIMAL(28,6))) AS DOUBLE) AS total_spend FROM spend_mart GROUP BY 1 ORDER BY total_spend DESC, site_zone",
 )
 def spend_rank(inputs):
     return dashboard.spend_rank(inputs.spend_mart())
@@ -88,8 +88,8 @@ def spend_rank(inputs):
 @query(
     "B-08",
     f"""SELECT site_zone, project_code, total_spend, {half_up("100 * " + cents("total_spend"), cents("zone_total"), 2)} AS share_pct
-    FROM (SELECT site_zone, project_code, round(sum(total_spend), 2) AS total_spend,
-                 round(sum(sum(total_spend)) OVER (PARTITION BY site_zone), 2) AS zone_total
+    FROM (SELECT site_zone, project_code, CAST(sum(CAST(total_spend AS DECIMAL(28,6))) AS DOUBLE) AS total_spend,
+                 CAST(sum(sum(CAST(total_spend AS DECIMAL(28,6)))) OVER (PARTITION BY site_zone) AS DOUBLE) AS zone_total
           FROM spend_mart GROUP BY site_zone, project_code)""",
 )
 def spend_share(inputs):
@@ -117,7 +117,7 @@ def sliced_spend(inputs):
 
 @query(
     "E-01",
-    """SELECT invoice_id, count(*) AS line_count, round(sum(line_total), 2) AS line_value FROM lines
+    """SELECT invoice_id, count(*) AS line_count, CAST(sum(CAST(line_total AS DECIMAL(28,6))) AS DOUBLE) AS line_value FROM lines
     WHERE invoice_id NOT IN (SELECT invoice_id FROM headers) GROUP BY invoice_id""",
 )
 def orphan_lines(inputs):
@@ -197,7 +197,7 @@ def reject_spikes(inputs):
 
 @query(
     "E-07",
-    f"""SELECT *, round(current_value - previous_value, 2) AS change,
+    f"""SELECT *, CAST(CAST(current_value AS DECIMAL(28,6)) - CAST(previous_value AS DECIMAL(28,6)) AS DOUBLE) AS change,
     {half_up("100 * " + cents("current_value - previous_value"), cents("previous_value"), 2)} AS change_pct
     FROM (SELECT zone_name AS zone, month_start_date, total_invoice_spend_sgd AS current_value,
           lag(total_invoice_spend_sgd) OVER (PARTITION BY zone_name ORDER BY month_start_date) AS previous_value FROM card_spend)""",
@@ -210,7 +210,7 @@ def month_over_month(inputs):
     "E-08",
     """SELECT coalesce(c.zone_name, f.zone_name) AS zone_name, coalesce(c.month_start_date, f.month_start_date) AS month_start_date,
     total_contractor_cost_sgd, total_invoice_spend_sgd,
-    round(coalesce(total_contractor_cost_sgd, 0) - coalesce(total_invoice_spend_sgd, 0), 2) AS cost_minus_invoices
+    CAST(CAST(coalesce(total_contractor_cost_sgd, 0) AS DECIMAL(28,6)) - CAST(coalesce(total_invoice_spend_sgd, 0) AS DECIMAL(28,6)) AS DOUBLE) AS cost_minus_invoices
     FROM card_contractor c FULL JOIN card_spend f ON c.zone_name = f.zone_name AND c.month_start_date = f.month_start_date""",
 )
 def contractor_against_invoices(inputs):
@@ -219,8 +219,8 @@ def contractor_against_invoices(inputs):
 
 @query(
     "E-09",
-    """SELECT zone_name, month_start_date, total_invoice_spend_sgd, round(sum(total_invoice_spend_sgd) OVER
-    (PARTITION BY zone_name, year(month_start_date) ORDER BY month_start_date), 2) AS ytd_spend_sgd FROM card_spend""",
+    """SELECT zone_name, month_start_date, total_invoice_spend_sgd, CAST(sum(CAST(total_invoice_spend_sgd AS DECIMAL(28,6))) OVER
+    (PARTITION BY zone_name, year(month_start_date) ORDER BY month_start_date) AS DOUBLE) AS ytd_spend_sgd FROM card_spend""",
 )
 def year_to_date_spend(inputs):
     return reports.year_to_date(inputs.spend_mart())

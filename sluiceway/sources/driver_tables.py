@@ -45,14 +45,14 @@ SELECT CAST(l_orderkey AS STRING) AS invoice_id, l_linenumber AS line_no,
        CASE WHEN l_partkey % 53 = 0 THEN NULL ELSE p_type END AS description,
        CAST(CASE WHEN l_orderkey % 61 = 0 THEN -l_quantity WHEN l_orderkey % 67 = 0 THEN NULL
             ELSE l_quantity END AS INT) AS qty,
-       CAST(p_retailprice AS DECIMAL(18,2)) AS unit_cost
+       CAST(CAST(p_retailprice AS DECIMAL(18,2)) + (p_partkey % 97) * CAST(0.0001 AS DECIMAL(18,4)) AS DECIMAL(18,4)) AS unit_cost
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey""",
     "works_orders": """
 SELECT l_returnflag AS layout, concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS work_order_id,
        CASE WHEN l_orderkey % 43 = 0 THEN 'NOWHERE' ELSE n_name END AS zone, p_type AS description,
        CASE WHEN l_orderkey % 103 = 0 THEN 'n/a' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END AS completion_date,
-       CASE WHEN l_orderkey % 71 = 0 THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS cost,
-       concat('SGD ', CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)) AS charge
+       CASE WHEN l_orderkey % 71 = 0 THEN NULL ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) + l_linenumber * CAST(0.0003 AS DECIMAL(18,4)) AS DECIMAL(18,4)) END AS cost,
+       concat('SGD ', CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) + l_linenumber * CAST(0.0003 AS DECIMAL(18,4)) AS DECIMAL(18,4)) AS STRING)) AS charge
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey
      JOIN {nation} ON s_nationkey = n_nationkey""",
     "readings": """
