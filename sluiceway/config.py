@@ -12,18 +12,20 @@ from sluiceway.operators.rules import DROP, FAIL, WARN, Rule, rules
 class Settings:
     """Everything a run needs that is not data.
 
-    ``as_of`` and ``processed_at`` stand where a clock would, so that a run can be repeated.
+    ``as_of`` and ``processed_at`` stand where a clock would, so that a run can be repeated; they bound what is accepted and
+    have no default. ``lanes`` is into how many pieces the rows of one key may be cut: at least the rows of the hottest key
+    over what one task should hold. No result depends on it. ``dimension_bytes`` bounds what a stream broadcasts.
     """
 
-    as_of: dt.date = dt.date(2026, 1, 1)
-    processed_at: dt.datetime = dt.datetime(2026, 1, 1, 6, 0, 0)
+    as_of: dt.date
+    processed_at: dt.datetime
+    lanes: int
     earliest_date: dt.date = dt.date(2020, 1, 1)
     cost_cap: int = 100_000
     confidence_threshold: float = 80.0
     zone_code_start: int = 6
     zone_code_length: int = 1
-    dimension_rows: int = 50_000
-    salts: int = 64
+    dimension_bytes: int = 8 << 20
 
 
 # ---------------------------------------------------------------------------

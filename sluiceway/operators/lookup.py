@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Does the frame hold at most ``max_rows`` rows? Reads no more than that many and one.
+def fits(df: DataFrame, max_bytes: int) -> bool:
+    """Do the rows take at most ``max_bytes``, written as JSON?
 
-    The check before a broadcast hint on a stream, which has no adaptive execution to measure.
-    Give it a stored table or a short query over one: counting runs a job.
+    The check before a broadcast hint on a stream, which has no adaptive execution to measure, taken once when the
+    stream starts. Beyond it the join is salted instead, with the same result. Give it a stored table or a short query
+    over one: measuring runs a job.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("size")).first()["size"]
+    return (size or 0) <= max_bytes
 
 
 def lookup(

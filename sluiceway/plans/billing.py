@@ -64,7 +64,7 @@ def superseded_bills(bronze: DataFrame, settings: Settings, row_id: str | None =
     """Valid bills that lost to an earlier bill of the same key and month; no other output lists them."""
     keyed = conformed_bills(bronze).where("account_id IS NOT NULL AND meter_id IS NOT NULL")
     spread = [*FIRST_BILL, *([row_id] if row_id else [])]
-    flagged = flag_duplicates(keyed, KEY_MONTH, FIRST_BILL, spread, settings.salts, "superseded")
+    flagged = flag_duplicates(keyed, KEY_MONTH, FIRST_BILL, spread, settings.lanes, "superseded")
     return flagged.where(F.col("superseded") & all_pass(config.BILL_HARD)).select(*FACTS)
 
 

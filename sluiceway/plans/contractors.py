@@ -41,15 +41,15 @@ def conformed_orders(sources: Mapping[str, DataFrame]) -> DataFrame:
 def with_zone_id(orders: DataFrame, zones: DataFrame, settings: Settings) -> DataFrame:
     """Add the id of the current zone of that name; NULL if there is none.
 
-    On a stream the zones are counted first: up to the setting's number of rows they are
-    broadcast, beyond it the orders of a hot zone are salted.
+    On a stream the zones are measured first: up to the setting's number of bytes they are broadcast, beyond it the
+    orders of a hot zone are salted and the zones repeated for each lane.
     """
     names = history.current(zones).select("zone_id", F.col("zone_name").alias("_zone_name"))
     if not orders.isStreaming:
         return lookup(orders, names, "zone", "_zone_name")
-    if fits(names, settings.dimension_rows):
+    if fits(names, settings.dimension_bytes):
         return lookup(orders, F.broadcast(names), "zone", "_zone_name")
-    return lookup(orders, names, "zone", "_zone_name", spread=ORDER, salts=settings.salts)
+    return lookup(orders, names, "zone", "_zone_name", spread=ORDER, salts=settings.lanes)
 
 
 def works_orders(sources: Mapping[str, DataFrame], zones: DataFrame, settings: Settings) -> DataFrame:

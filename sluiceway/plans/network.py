@@ -46,18 +46,20 @@ def location_dq(locations: DataFrame, zones: DataFrame, settings: Settings) -> D
     return dq_metrics(flagged, config.location_rules(settings), "dim_location_zone")
 
 
-def telemetry(bronze: DataFrame, locations: DataFrame, settings: Settings, row_id: str | None = None) -> DataFrame:
+def telemetry(bronze: DataFrame, locations: DataFrame, settings: Settings, row_id: str) -> DataFrame:
     """Valid readings with duplicate and uncertain-zone flags; nothing valid is dropped.
 
+    ``row_id`` names a column that is unique per reading: exact copies, which may be many, are told apart and spread by it.
+
     ``locations`` should be a stored table: Spark then knows its size, broadcasts it while it is
     small, and beyond that splits a hot location in a sort-merge join.
     """
     valid = keep_valid(parsed_readings(bronze), config.READING_HARD).withColumn(
         "month_start_date", c.month_start("reading_ts")
     )
-    tie_break = ["reading_value", "reading_type", "location_id", "zone", *([row_id] if row_id else [])]
+    tie_break = ["reading_value", "reading_type", "location_id", "zone", row_id]
     narrow = valid.select(*READING_KEY, "month_start_date", *tie_break)
-    flagged = flag_duplicates(narrow, READING_KEY, tie_break, tie_break, settings.salts)
+    flagged = flag_duplicates(narrow, READING_KEY, tie_break, tie_break, settings.lanes)
     joined = flagged.join(locations, "location_id", "left")
     return joined.withColumn("zone_is_uncertain", resolve.zone_uncertain()).select(*READING)
 

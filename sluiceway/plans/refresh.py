@@ -27,7 +27,7 @@ class Bronze:
     works_orders: Mapping[str, DataFrame]
     readings: DataFrame
     zones: DataFrame
-    row_id: str | None = None
+    row_id: str
 
 
 class Lake:
@@ -78,7 +78,7 @@ def daily_refresh(bronze: Bronze, base: str, settings: Settings) -> dict[str, Da
 
     ``ops.rule_metrics`` gets the run's rule counts appended, as the history for spike reports.
     """
-    lake = Lake(base, settings.salts)
+    lake = Lake(base, settings.lanes)
 
     bills = lake.publish(
         "silver.billing_consumption", billing.billing_consumption(bronze.bills), ["service_zone", "month_start_date"]

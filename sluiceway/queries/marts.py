@@ -147,21 +147,24 @@ def profile_columns(inputs):
 
 
 @query(
-    "M-02, S-04, F-16, P-06, D-02: nested records as landed",
-    """SELECT h.invoice_id, h.cost_center, h.site_zone, h.currency, h.invoice_date, h.project_code,
-    h.vendor_id, h.vendor_name, l.line_no, l.description, l.qty, CAST(l.unit_cost AS DOUBLE) AS unit_cost
-    FROM in_invoice_headers h JOIN in_invoice_lines l USING (invoice_id)""",
+    "M-02, F-16, P-06, D-02: one row per invoice, its lines nested; several, one, none, or an empty list",
+    """SELECT h.invoice_id, h.cost_center, h.site_zone, h.currency, h.invoice_date, h.project_code, h.vendor_id, h.vendor_name,
+    CASE WHEN l.invoice_id IS NOT NULL THEN CAST(CASE WHEN CAST(h.invoice_id AS BIGINT) % 7 = 0 THEN 0 ELSE n END AS INT) END AS lines,
+    CASE WHEN CAST(h.invoice_id AS BIGINT) % 7 = 0 THEN '' ELSE coalesce(items, '') END AS items
+    FROM in_invoice_headers h LEFT JOIN (
+      SELECT invoice_id, count(*) AS n, string_agg(concat_ws(':', line_no, description, qty, CAST(unit_cost * 10000 AS BIGINT)), ';' ORDER BY line_no, description, qty, unit_cost) AS items
+      FROM in_invoice_lines GROUP BY invoice_id) l ON h.invoice_id = l.invoice_id""",
 )
 def invoices_nested(inputs):
-    landed, _ = enforce_observed(inputs.invoice_records(), config.INVOICE_LANDING)
-    header = ["invoice_id", "cost_center", "site_zone", "currency", "invoice_date", "project_code"]
-    flat = landed.select(
-        *header,
+    landed, _ = enforce_observed(inputs.nested_invoices(), config.INVOICE_LANDING)
+    item = lambda x: F.concat_ws(":", x["line_no"], x["description"], x["qty"], F.round(x["unit_cost"] * 10000).cast("bigint"))
+    return landed.select(
+        "invoice_id", "cost_center", "site_zone", "currency", "invoice_date", "project_code",
         F.col("vendor.id").alias("vendor_id"),
         F.col("vendor.name").alias("vendor_name"),
-        F.explode("line_items").alias("item"),
-    )
-    return flat.select(*header, "vendor_id", "vendor_name", "item.*")
+        F.when(F.col("line_items").isNotNull(), F.size("line_items")).alias("lines"),
+        F.concat_ws(";", F.transform("line_items", item)).alias("items"),
+    )
 
 
 @query("M-11, M-12, P-05, F-02, D-04", "SELECT * FROM headers")

@@ -409,7 +409,7 @@ part(
         network.READING_KEY,
         ["reading_value", "reading_type", "location_id", "zone", "seq"],
         ["seq"],
-        SETTINGS.salts,
+        SETTINGS.lanes,
     ).select(
         "seq", "is_duplicate"
     ),

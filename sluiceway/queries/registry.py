@@ -18,6 +18,7 @@ from sluiceway.sources.tables import store, store_all
 SETTINGS = Settings(
     as_of=dt.date(2001, 6, 30),
     processed_at=dt.datetime(2001, 6, 30, 6, 0, 0),
+    lanes=16,
     earliest_date=dt.date(1996, 1, 1),
     cost_cap=100_000,
     confidence_threshold=80.0,

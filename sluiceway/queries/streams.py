@@ -18,19 +18,34 @@ from sluiceway.sources import files, schemas
 from sluiceway.sources.schemas import RESCUE
 from sluiceway.sources.tables import scratch
 from sluiceway.streaming import flows
+from sluiceway.streaming.landing import Landing
 
 
-def landed_csv(df: DataFrame) -> str:
-    path = f"{scratch(df.sparkSession)}/landing"
-    df.write.option("header", True).csv(path)
+def landed_csv(df: DataFrame, path: str | None = None) -> str:
+    path = path or f"{scratch(df.sparkSession)}/landing"
+    df.write.option("header", True).mode("append").csv(path)
     return path
 
 
+def write_pages(records: DataFrame, path: str, page_rows: int = 5000) -> None:
+    """Write records as paged documents, one per file, at most ``page_rows`` records each."""
+    texts = records.select(F.to_json(F.struct(*records.columns)).alias("record")).withColumn("n", F.monotonically_increasing_id())
+    pages = texts.groupBy(F.expr(f"n div {page_rows}").alias("page"), F.shiftright("n", 33).alias("task"))
+    bodies = pages.agg(F.concat(F.lit('{"data":['), F.concat_ws(",", F.collect_list("record")), F.lit("]}")).alias("value"))
+    bodies.select("value").write.option("maxRecordsPerFile", 1).mode("append").text(path)
+
+
 def run(stream: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     base = scratch(stream.sparkSession)
     return flows.run_available(stream, f"{base}/table", f"{base}/checkpoint", partition_by)
 
 
+def landing(inputs, max_files: int = 20) -> Landing:
+    """A landing of its own, two folders in scratch."""
+    base = scratch(inputs.spark)
+    return Landing(inputs.spark, f"{base}/landing", f"{base}/lake", max_files)
+
+
 def contractor_streams(inputs) -> dict[str, DataFrame]:
     """Each contractor's layout, written as CSV with its own headers and read back as a stream."""
     return {
@@ -39,10 +54,14 @@ def contractor_streams(inputs) -> dict[str, DataFrame]:
     }
 
 
-def bill_files(inputs) -> str:
-    """Bills as CSV; a missing consumption is written as text that does not fit the number column."""
+def bill_texts(inputs) -> DataFrame:
+    """Bills as they stand in files; a missing consumption is text that does not fit the number column."""
     bills = inputs.bills().select(*schemas.BILLS.names)
-    return landed_csv(bills.withColumn("consumption_value", F.coalesce(F.col("consumption_value").cast("string"), F.lit("n/a"))))
+    return bills.withColumn("consumption_value", F.coalesce(F.col("consumption_value").cast("string"), F.lit("n/a")))
+
+
+def bill_files(inputs) -> str:
+    return landed_csv(bill_texts(inputs))
 
 
 @query(
@@ -79,7 +98,7 @@ def stream_jsonl(inputs):
 
 def invoice_stream(inputs) -> DataFrame:
     path = f"{scratch(inputs.spark)}/landing"
-    files.write_pages(inputs.invoice_records().drop(RESCUE), path)
+    write_pages(inputs.invoice_records().drop(RESCUE), path)
     return files.invoice_pages(inputs.spark, path, stream=True)
 
 
@@ -131,11 +150,9 @@ def stream_lines(inputs):
     return run(finance.line_items(files.stored_files(inputs.spark, path, stream=True)))
 
 
-@query("T-04, J-03", "SELECT * FROM incoming_orders WHERE contractor_source = 'contractor_a'")
+@query("T-04, J-03: all contractors", "SELECT * FROM incoming_orders")
 def stream_enrich(inputs):
-    stream = contractor_streams(inputs)["contractor_a"]
-    one = contractors.conform_sources({"contractor_a": stream}, {"contractor_a": contractors.registry()["contractor_a"]}, "contractor_source")
-    return run(contractors.with_zone_id(one, inputs.zones(), SETTINGS)).select(*contractors.ORDER, "zone_id")
+    return run(flows.works_orders_stream(contractor_streams(inputs), inputs.zones(), SETTINGS)).select(*contractors.ORDER, "zone_id")
 
 
 @query("T-05, U-07", "SELECT * FROM orders_done")
@@ -168,6 +185,111 @@ def stream_location_votes(inputs):
     return network.location_zone_from_votes(votes, SETTINGS)
 
 
+def _halves(df: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
+    half = F.pmod(F.xxhash64(by), F.lit(2)) == 0
+    return df.where(half), df.where(~half)
+
+
+@query(
+    "S-01, S-07, M-01: files whose columns stand in another order",
+    f"SELECT {BILL_FIELDS}, consumption_value IS NULL AS is_rescued FROM in_bills",
+)
+def stream_reordered_csv(inputs):
+    run = landing(inputs, max_files=3)
+    first, second = _halves(bill_texts(inputs), "customer_name")
+    for part in (first, second.select(*reversed(schemas.BILLS.names))):
+        landed_csv(part, f"{run.landing}/billing_customer")
+    return run.bills().withColumn("is_rescued", F.col(RESCUE).isNotNull()).drop(RESCUE)
+
+
+@query(
+    "S-07, M-03..M-05: a column is added in the middle, its text kept as it is",
+    """SELECT work_order_id, zone AS site_location, description AS work_description, completion_date AS date_completed,
+    CAST(cost AS DOUBLE) AS cost_sgd, CASE WHEN description LIKE '%BRASS' THEN '00' || length(description) END AS crew
+    FROM in_works_orders WHERE layout = 'A'""",
+)
+def stream_added_column(inputs):
+    run = landing(inputs)
+    orders = inputs.works_orders()["contractor_a"].drop(RESCUE)
+    brass = F.coalesce(F.col("work_description").like("%BRASS"), F.lit(False))
+    crew = F.concat(F.lit("00"), F.length("work_description")).alias("crew")
+    landed_csv(orders.where(~brass), f"{run.landing}/contractor_a")
+    landed_csv(orders.where(brass).select("work_order_id", crew, *orders.columns[1:]), f"{run.landing}/contractor_a")
+    landed = run.csv("works_orders_a", schemas.WORKS_ORDERS["contractor_a"], config.WORKS_LANDING["contractor_a"])
+    return landed.drop(RESCUE)
+
+
+@query(
+    "S-03, S-05, M-06: fields that are not declared go to rescue",
+    """SELECT CAST(sensor_id AS VARCHAR) AS sensor_id, CAST(location_id AS VARCHAR) AS location_id, reading_time AS "timestamp",
+    zone, reading_type, CAST(reading_value AS DOUBLE) AS reading_value,
+    CASE WHEN reading_type = 'flow' THEN '{"firmware":"00' || location_id || '"}' END AS _rescued_data FROM in_readings""",
+)
+def stream_json_unknown_field(inputs):
+    run = landing(inputs)
+    firmware = F.when(F.col("reading_type") == "flow", F.concat(F.lit("00"), F.col("location_id").cast("string")))
+    inputs.readings().drop(RESCUE, "seq").withColumn("firmware", firmware).write.json(f"{run.landing}/network_telemetry")
+    return run.readings().drop("_row_id")
+
+
+LANDED = {
+    "bronze.billing_customer": ("in_bills", {"no_rescued_data": "consumption_value IS NOT NULL"}),
+    "bronze.finance_invoices_raw": (
+        "(SELECT h.*, l.invoice_id IS NOT NULL AS has_line FROM in_invoice_headers h LEFT JOIN in_invoice_lines l USING (invoice_id))",
+        {
+            "no_rescued_data": "TRUE", "valid_invoice_id": "invoice_id IS NOT NULL", "valid_currency": "currency <> ''",
+            "valid_vendor": "TRUE", "has_line_items": "has_line",
+        },
+    ),
+    "bronze.sensor_readings": ("in_readings", {"no_rescued_data": "reading_type <> 'flow'"}),
+    **{
+        f"bronze.works_orders_{letter}": (
+            f"(SELECT * FROM in_works_orders WHERE layout = '{flag}')",
+            {
+                "no_rescued_data": "TRUE", names[0]: "work_order_id IS NOT NULL", names[1]: money,
+                "valid_date": "completion_date IS NOT NULL", "valid_location": "zone IS NOT NULL",
+            },
+        )
+        for letter, flag, names, money in (
+            ("a", "A", ("valid_work_order_id", "valid_cost"), "cost > 0"),
+            ("b", "N", ("valid_wo_number", "valid_amount"), "cost > 0"),
+            ("c", "R", ("valid_id", "valid_charge_format"), "charge LIKE 'SGD %'"),
+        )
+    },
+}
+
+
+@query(
+    "D-01, D-02, M-01..M-06: what the landing rules count, over all micro-batches of two deliveries",
+    " UNION ALL ".join(
+        f"SELECT '{dataset}' AS dataset, '{rule}' AS rule, 'warn' AS action, count(*) FILTER ({ok}) AS passed, "
+        f"count(*) FILTER (({ok}) IS NOT TRUE) AS failed FROM {source}"
+        for dataset, (source, cases) in LANDED.items()
+        for rule, ok in cases.items()
+    ),
+)
+def landing_rule_counts(inputs):
+    run = landing(inputs, max_files=2)
+    firmware = F.when(F.col("reading_type") == "flow", F.lit("1"))
+    sources = {
+        "billing_customer": _halves(bill_texts(inputs), "customer_name"),
+        "finance_erp": _halves(inputs.invoice_records().drop(RESCUE), "invoice_id"),
+        "network_telemetry": _halves(inputs.readings().drop(RESCUE, "seq").withColumn("firmware", firmware), "timestamp"),
+        **{name: _halves(df.drop(RESCUE), df.columns[0]) for name, df in inputs.works_orders().items()},
+    }
+    for half in (0, 1):
+        for folder, parts in sources.items():
+            path = f"{run.landing}/{folder}"
+            if folder == "finance_erp":
+                write_pages(parts[half], path)
+            elif folder == "network_telemetry":
+                parts[half].write.mode("append").json(path)
+            else:
+                landed_csv(parts[half], path)
+        run.bills(), run.invoices(), run.works_orders(), run.readings()
+    return run.rule_counts().groupBy("dataset", "rule", "action").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
 @query(
     "S-06, S-07: a second delivery lacks one column and brings another",
     """SELECT account_id, CASE WHEN contact_number = 'F' THEN meter_id END AS meter_id, billing_period, service_zone,

@@ -133,6 +133,14 @@ class DriverTables:
         records = lines.join(headers, "invoice_id").unionByName(without, allowMissingColumns=True)
         return records.withColumn(RESCUE, F.lit(None).cast("string"))
 
+    def nested_invoices(self) -> DataFrame:
+        """One record per invoice: several lines, one, none (NULL), or an empty list (every seventh of those with lines)."""
+        lines = self.invoice_line_records().select("invoice_id", F.explode("line_items").alias("item"))
+        lists = lines.groupBy("invoice_id").agg(F.array_sort(F.collect_list("item")).alias("line_items"))
+        emptied = F.when(F.col("invoice_id").cast("bigint") % 7 == 0, F.slice("line_items", 1, 0)).otherwise(F.col("line_items"))
+        records = self.invoice_headers().join(lists.withColumn("line_items", emptied), "invoice_id", "left")
+        return records.withColumn(RESCUE, F.lit(None).cast("string"))
+
     def works_orders(self) -> dict[str, DataFrame]:
         """The three contractors' layouts, by return flag."""
         source = self._derive("works_orders")

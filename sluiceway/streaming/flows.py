@@ -8,16 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.config import Settings
 from sluiceway.operators import resolve
 from sluiceway.operators.quarantine import with_verdict
-from sluiceway.operators.rules import Rule
+from sluiceway.operators.rules import Rule, metric_rows, observe
 from sluiceway.plans import contractors
 
+METRICS = "dataset string, rule string, action string, passed long, failed long"
+BATCH = "_batch"
+
+
 def append_available(
     stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
 ) -> StreamingQuery:
@@ -41,16 +45,6 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, partition_by: S
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def observed_counts(query: StreamingQuery, name: str) -> dict[str, int]:
-    """The observed counts of one run, summed over the micro-batches whose progress the session keeps."""
-    counts: dict[str, int] = {}
-    for progress in query.recentProgress:
-        batch = progress.observedMetrics.get(name)
-        for rule, failed in (batch.asDict() if batch else {}).items():
-            counts[rule] = counts.get(rule, 0) + failed
-    return counts
-
-
 def run_batches(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
     """Hand every micro-batch to a batch function. It must give the same result if called again."""
     query = (
@@ -62,6 +56,38 @@ def run_batches(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, i
     query.awaitTermination()
 
 
+def batch_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table that micro-batches wrote, one directory each; columns that only some of them have are NULL elsewhere."""
+    return spark.read.option("mergeSchema", True).parquet(path).drop(BATCH)
+
+
+def append_counted(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    rule_set: Sequence[Rule],
+    dataset: str,
+    counts: str,
+    read: Callable[[DataFrame], DataFrame] | None = None,
+) -> list[int]:
+    """Append everything that has arrived, and what its rules count, both kept for every micro-batch.
+
+    ``read`` turns a micro-batch into the rows to write. Each batch overwrites its own directories below
+    ``path`` and ``counts``: one that is run twice is there once. A batch's counts hold its number in ``_batch``. Returns the numbers of the batches that ran.
+    """
+    ran: list[int] = []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        watched, observation = observe(read(batch) if read else batch, rule_set)
+        watched.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        rows = batch.sparkSession.createDataFrame(metric_rows(rule_set, dataset, observation.get), METRICS)
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{counts}/{BATCH}={batch_id}")
+        ran.append(batch_id)
+
+    run_batches(stream, checkpoint, each)
+    return ran
+
+
 def once_per_key(stream: DataFrame, key: str, spread: Sequence[str] = (), salts: int = 1) -> DataFrame:
     """The first row seen per key, for the life of the checkpoint; the state holds every key.
 

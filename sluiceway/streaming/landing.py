@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sluiceway import config
-from sluiceway.operators.rules import Rule, metric_rows, observe_stream
-from sluiceway.plans.refresh import METRICS, Bronze
+from sluiceway.operators.conform import union_all
+from sluiceway.operators.rules import Rule
+from sluiceway.plans.refresh import Bronze
 from sluiceway.sources import files, schemas
-from sluiceway.streaming.flows import append_available, observed_counts
+from sluiceway.streaming.flows import BATCH, METRICS, append_counted, batch_table
 
 # One folder per source, as the senders name them.
 FOLDERS = {
@@ -21,41 +24,93 @@ FOLDERS = {
     "works_orders_c": "contractor_c",
     "sensor_readings": "network_telemetry",
 }
+DECLARED = {
+    "billing_customer": schemas.BILLS,
+    "finance_invoices_raw": schemas.INVOICE,
+    **{f"works_orders_{letter}": schemas.WORKS_ORDERS[f"contractor_{letter}"] for letter in "abc"},
+    "sensor_readings": schemas.READINGS,
+}
+
+
+class Landing:
+    """Lands files below one folder into tables below another.
+
+    ``max_files`` bounds the files of a micro-batch, so that a first run over a long backlog goes in steps; nothing is left out.
+    Landing keeps every row: the rules only count. Each micro-batch's counts are kept beside the tables, in ``ops/landing_counts``.
+    """
+
+    def __init__(self, spark: SparkSession, landing: str, base: str, max_files: int):
+        self.spark, self.landing, self.base, self.max_files = spark, landing, base, max_files
+        self.ran: dict[str, list[int]] = {}
+
+    def _folder(self, table: str) -> str:
+        return f"{self.landing}/{FOLDERS[table]}"
+
+    def _land(self, table: str, stream: DataFrame, rule_set: Sequence[Rule], read: Callable | None = None) -> DataFrame:
+        path = f"{self.base}/bronze/{table}"
+        self.ran[table] = append_counted(
+            stream, path, f"{self.base}/checkpoints/{table}", rule_set, f"bronze.{table}", f"{self.base}/ops/landing_counts/{table}", read
+        )
+        return batch_table(self.spark, path)
+
+    def csv(self, table: str, declared: StructType, rule_set: Sequence[Rule]) -> DataFrame:
+        """Columns by the names in each file's header; added columns are carried on."""
+
+        def read(batch: DataFrame) -> DataFrame:
+            paths = [row["path"] for row in batch.select("path").collect()]  # at most max_files
+            return files.csv_by_name(batch.sparkSession, paths, declared)
+
+        return self._land(table, files.file_names(self.spark, self._folder(table), self.max_files), rule_set, read)
+
+    def bills(self) -> DataFrame:
+        return self.csv("billing_customer", schemas.BILLS, config.BILL_LANDING)
+
+    def works_orders(self) -> dict[str, DataFrame]:
+        names = {f"contractor_{letter}": f"works_orders_{letter}" for letter in "abc"}
+        return {name: self.csv(table, schemas.WORKS_ORDERS[name], config.WORKS_LANDING[name]) for name, table in names.items()}
+
+    def invoices(self) -> DataFrame:
+        pages = files.invoice_pages(self.spark, self._folder("finance_invoices_raw"), stream=True, max_files=self.max_files)
+        return self._land("finance_invoices_raw", pages, config.INVOICE_LANDING)
+
+    def readings(self) -> DataFrame:
+        """Readings get a row id, so that exact copies can later be told apart."""
+        lines = files.json_lines(self.spark, self._folder("sensor_readings"), schemas.READINGS, stream=True, max_files=self.max_files)
+        return self._land("sensor_readings", files.with_row_id(lines), config.READING_LANDING)
+
+    def rule_counts(self, this_run: bool = False) -> DataFrame:
+        """What the rules counted in every micro-batch, of all runs or of this one: dataset, rule, action, passed, failed, batch number."""
+        schema = f"{METRICS}, {BATCH} int"
+        found = [self.spark.createDataFrame([], schema)]
+        for table, ran in self.ran.items():
+            if ran or not this_run:
+                counts = self.spark.read.schema(schema).parquet(f"{self.base}/ops/landing_counts/{table}")
+                found.append(counts.where(F.col(BATCH) >= min(ran)) if this_run else counts)
+        return union_all(found)
+
+    def drift(self) -> DataFrame:
+        """Columns that deliveries have brought beyond the declared ones, or lack: table, column, change."""
+        found = []
+        for table, declared in DECLARED.items():
+            actual = batch_table(self.spark, f"{self.base}/bronze/{table}").drop(schemas.RESCUE, files.SOURCE_FILE, "_row_id").schema
+            found.append(files.drift(self.spark, declared, actual).withColumn("table_name", F.lit(f"bronze.{table}")))
+        return union_all(found)
 
 
-def land_all(spark: SparkSession, landing: str, base: str, zones: DataFrame) -> tuple[Bronze, DataFrame]:
+def land_all(spark: SparkSession, landing: str, base: str, zones: DataFrame, max_files: int = 1000) -> tuple[Bronze, DataFrame]:
     """Append new files of every source to its bronze table below ``base``.
 
-    Landing keeps every row: the rules only count. Returns the tables and the counts of this run.
-    Readings get a row id, so that exact copies can later be told apart.
+    Returns the tables, and the rule counts of this run, summed over its micro-batches. The counts of all runs are
+    ``Landing.rule_counts``.
     """
-    metrics: list[tuple] = []
-
-    def land(table: str, stream: DataFrame, rule_set: Sequence[Rule]) -> DataFrame:
-        path = f"{base}/bronze/{table}"
-        query = append_available(observe_stream(stream, rule_set, table), path, f"{base}/checkpoints/{table}")
-        counts = observed_counts(query, table)
-        if counts:
-            metrics.extend(metric_rows(rule_set, f"bronze.{table}", counts))
-        return spark.read.schema(stream.schema).parquet(path)
-
-    def folder(table: str) -> str:
-        return f"{landing}/{FOLDERS[table]}"
-
-    works_orders = {}
-    for letter in "abc":
-        name, table = f"contractor_{letter}", f"works_orders_{letter}"
-        stream = files.csv_files(spark, folder(table), schemas.WORKS_ORDERS[name], stream=True)
-        works_orders[name] = land(table, stream, config.WORKS_LANDING[name])
-    bills = files.csv_files(spark, folder("billing_customer"), schemas.BILLS, stream=True)
-    invoices = files.invoice_pages(spark, folder("finance_invoices_raw"), stream=True)
-    readings = files.with_row_id(files.json_lines(spark, folder("sensor_readings"), schemas.READINGS, stream=True))
+    run = Landing(spark, landing, base, max_files)
     bronze = Bronze(
-        bills=land("billing_customer", bills, config.BILL_LANDING),
-        invoices=land("finance_invoices_raw", invoices, config.INVOICE_LANDING),
-        works_orders=works_orders,
-        readings=land("sensor_readings", readings, config.READING_LANDING),
+        bills=run.bills(),
+        invoices=run.invoices(),
+        works_orders=run.works_orders(),
+        readings=run.readings(),
         zones=zones,
         row_id="_row_id",
     )
-    return bronze, spark.createDataFrame(metrics, METRICS)
+    counts = run.rule_counts(this_run=True)
+    return bronze, counts.groupBy("dataset", "rule", "action").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))

@@ -17,7 +17,7 @@ BRONZE = (
     "account_id string, meter_id string, billing_period date, service_zone string, consumption_value double, "
     "consumption_unit string, amount_billed double, payment_status string, customer_name string, address string, contact_number string"
 )
-SETTINGS = Settings(processed_at=dt.datetime(2024, 6, 1), salts=4)
+SETTINGS = Settings(as_of=dt.date(2024, 6, 1), processed_at=dt.datetime(2024, 6, 1), lanes=4)
 
 
 def bill(account="a", meter="m", day=1, value=10.0, unit="m3", amount=5.0, status="PAID", zone="Z", name="N", address="S", contact="1", month=1):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluiceway import config
 from sluiceway.operators.rules import keep_valid, observe
 from sluiceway.plans import zones
+from sluiceway.queries.streams import write_pages
 from sluiceway.sources import files, schemas, tables
 
 READING = schemas.struct(sensor_id=schemas.TEXT, reading_value=schemas.NUMBER)
@@ -43,11 +44,47 @@ def test_pages(spark, tmp_path):
 
 def test_written_pages_read_back(spark, tmp_path):
     records = spark.createDataFrame([(str(i), None) for i in range(23)], "invoice_id string, currency string").repartition(2)
-    files.write_pages(records, str(tmp_path / "pages"), page_rows=5)
+    write_pages(records, str(tmp_path / "pages"), page_rows=5)
     assert sorted(int(r.invoice_id) for r in files.invoice_pages(spark, str(tmp_path / "pages")).collect()) == list(range(23))
     assert all(len(json.loads(p.read_text())["data"]) <= 5 for p in (tmp_path / "pages").glob("part-*"))
 
 
+def test_csv_by_name_takes_any_order_and_keeps_added_text(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("sensor_id,reading_value\ns1,1.5\n")
+    (tmp_path / "b.csv").write_text("reading_value,firmware,sensor_id\n2.5,0012,s2\noops,7,s3\n")
+    (tmp_path / "c.csv").write_text("sensor_id\ns4\n")
+    df = files.csv_by_name(spark, [str(p) for p in sorted(tmp_path.glob("*.csv"))], READING)
+    assert df.columns == ["sensor_id", "reading_value", "firmware", "_rescued_data"]
+    assert {tuple(r) for r in df.collect()} == {
+        ("s1", 1.5, None, None), ("s2", 2.5, "0012", None), ("s3", None, "7", "oops,7,s3"), ("s4", None, None, None),
+    }
+
+
+def test_a_header_in_another_order_stops_the_positional_reader(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("reading_value,sensor_id\n1.5,s1\n")
+    with pytest.raises(Exception, match="header"):
+        files.csv_files(spark, str(tmp_path), READING).collect()
+
+
+def test_rescue_does_not_depend_on_the_columns_asked_for(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("sensor_id,reading_value\ns1,1.5\ns2,oops\ns3\ns4,2.0,extra\n")
+    df = files.csv_files(spark, str(tmp_path), READING)
+    whole = {r.sensor_id: r._rescued_data for r in df.collect()}
+    assert {r.sensor_id: r._rescued_data for r in df.select("sensor_id", "_rescued_data").collect()} == whole
+    assert df.select("_rescued_data").where("_rescued_data IS NOT NULL").count() == 3
+
+
+def test_unknown_json_fields_are_rescued_at_any_depth(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"sensor_id": "s", "firmware": "0012", "more": {"a": 1}}\n\n[1]\n{"reading_value": "high", "x": 1}\n')
+    rescued = [r._rescued_data for r in files.json_lines(spark, str(tmp_path), READING).collect()]
+    assert rescued == ['{"firmware":"0012","more":"{\\"a\\":1}"}', "[1]", '{"reading_value": "high", "x": 1}']
+    (tmp_path / "p").mkdir()
+    page = {"data": [{"invoice_id": "1", "vendor": {"id": "v", "rank": 2}}, {"invoice_id": "2", "line_items": [{"line_no": 1}, {"tax": 5}]}, {"invoice_id": "3"}], "next": "q"}
+    (tmp_path / "p" / "p.json").write_text(json.dumps(page))
+    found = {r.invoice_id: r._rescued_data for r in files.invoice_pages(spark, str(tmp_path / "p")).collect()}
+    assert "rank" in found["1"] and "next" in found["1"] and "tax" in found["2"] and found["3"] is None
+
+
 def test_drift_and_deliveries(spark, tmp_path):
     declared = schemas.struct(a=schemas.TEXT, b=schemas.NUMBER)
     for name, text in [("one", "a,b\nx,1.5\n"), ("two", "b,c,a\n2.5,new,y\n")]:

@@ -3,15 +3,17 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from sluiceway.config import Settings
 from sluiceway.functions import conforming as c
 from sluiceway.functions import measures as m
 from sluiceway.operators import resolve
 from sluiceway.plans import finance, network, reports, scorecard
+from sluiceway.sources.files import with_row_id
 from sluiceway.sources.schemas import INVOICE
 
-SETTINGS = Settings(as_of=dt.date(2024, 6, 1), processed_at=dt.datetime(2024, 6, 1), salts=4)
+SETTINGS = Settings(as_of=dt.date(2024, 6, 1), processed_at=dt.datetime(2024, 6, 1), lanes=4)
 
 
 def invoice(number, date="2024-03-05", currency="SGD", project="P1", lines=((1, "Labour", 2, 10.0),), zone="Zone A - North", vendor=("v", "V")):
@@ -108,14 +110,14 @@ LOCATIONS = "location_id string, resolved_zone string, confidence_pct double, is
 
 def test_reading_flags(spark):
     locations = spark.createDataFrame([("l", "A", 100.0, False), ("u", "A", 60.0, True)], LOCATIONS)
-    df = readings(
+    df = with_row_id(readings(
         spark,
         reading(value=1.0), reading(value=2.0, kind="pressure"),
         reading(ts="2024-01-01 01:00:00", zone="B"), reading(ts="2024-01-01 02:00:00", zone=None),
         reading("u", ts="2024-01-01 03:00:00"), reading("new", ts="2024-01-01 04:00:00"), reading(None, ts="2024-01-01 05:00:00"),
         reading(ts="bad"), reading(value=None), reading(sensor=None),
-    )
-    got = sorted((r.reading_ts.hour, r.reading_value, r.is_duplicate, r.zone_is_uncertain) for r in network.telemetry(df, locations, SETTINGS).collect())
+    ))
+    got = sorted((r.reading_ts.hour, r.reading_value, r.is_duplicate, r.zone_is_uncertain) for r in network.telemetry(df, locations, SETTINGS, "_row_id").collect())
     assert got == [
         (0, 1.0, False, False), (0, 2.0, True, False),  # pressure and flow at one instant share the key
         (1, 1.0, False, True),  # the reading disagrees
@@ -129,7 +131,7 @@ def test_reading_flags(spark):
 def test_trusted_mart_trusts_the_location(spark):
     locations = spark.createDataFrame([("l", "A", 90.0, False), ("u", "B", 60.0, True)], LOCATIONS)
     df = readings(spark, reading(zone="X", value=4.0), reading("u", value=9.0, ts="2024-01-01 01:00:00"), reading("u", value=9.0, ts="2024-01-01 01:00:00"))
-    telemetry = network.telemetry(df, locations, SETTINGS)
+    telemetry = network.telemetry(with_row_id(df), locations, SETTINGS, "_row_id")
     health = network.network_health(telemetry, locations).collect()
     assert [(r.zone, r.avg_flow, r.avg_pressure, r.reading_count) for r in health] == [("A", 4.0, None, 1)]
     diagnostic = {r.zone: (r.total_readings, r.reliable_readings, r.reliability_pct, r.duplicate_count, r.zone_uncertain_count)
@@ -172,7 +174,7 @@ def test_scorecard(spark):
     rows = {(r.zone_name, r.month_start_date.month): r for r in built.collect()}
     assert set(rows) == {(z, n) for z in "AB" for n in (1, 4, 5)}
     may = rows["A", 5]
-    assert (may.total_invoice_spend_sgd, may.total_opex_sgd, may.invoice_line_count) == (100.01, 100.01, 3)
+    assert (may.total_invoice_spend_sgd, may.total_opex_sgd, may.invoice_line_count) == (100.005, 100.005, 3), "sums are not rounded on the way"
     assert (may.opex_per_m3, may.revenue_at_risk_sgd, may.cost_recovery_ratio) == (1.0, 20.0, 0.8)
     assert (may.consumption_per_capita_m3, may.opex_per_capita_sgd) == (0.1, 0.1)
     assert (may.cost_recovery_flag, may.network_reliability_flag, may.data_sources_available) == ("AMBER", "AMBER", 3)
@@ -201,6 +203,14 @@ def test_freshness(spark, start, sources, flag):
     assert got[0].f == flag
 
 
+def test_totals_and_means_below_a_cent_are_kept(spark):
+    df = spark.createDataFrame([(0.004,), (0.1,), (0.2,), (None,)], "v double")
+    assert df.where("v < 0.01").select(m.total("v"), m.mean("v")).first() == (0.004, 0.004)
+    assert df.select(m.total("v"), m.mean("v")).first() == (0.304, 0.304 / 3)
+    parts = df.withColumn("g", F.when(F.col("v") < 0.15, 1).otherwise(2)).groupBy("g").agg(m.total("v").alias("s"))
+    assert parts.select(m.total("s")).first()[0] == 0.304
+
+
 def test_rounding_is_half_up_on_decimals(spark):
     df = spark.createDataFrame([(1.005, 1.0), (12345.0, 100000.0), (1.0, 0.0), (-1.0, 3.0)], "a double, b double")
     assert [r[0] for r in df.select(m.ratio("a", "b", 2)).collect()] == [1.01, 0.12, None, -0.33]

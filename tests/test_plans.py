@@ -25,7 +25,7 @@ def test_distinct_accounts_are_thinned_out_before_each_shuffle(spark):
 def test_rules_are_pushed_below_the_join(spark):
     """NULL keys and bad lines go before any shuffle."""
     plan = plan_of(spark, "spend_by_zone_month")
-    lines = plan[plan.index("partial_sum(line_total") :]
+    lines = plan[plan.index("partial_sum(cast(line_total") :]
     assert lines.index("Filter") < lines.index("FileScan")
 
 
@@ -54,3 +54,10 @@ def test_spine_has_no_join(spark):
     spine = scorecard.spine(zones, months)
     assert spine.count() == 2
     assert "Join" not in spine._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_cross_the_network_once_for_the_category_mart(spark):
+    """To the join by invoice; the aggregation by zone and category gets partial sums."""
+    plan = plan_of(spark, "spend_by_zone_category_month")
+    assert plan.count("Exchange hashpartitioning(invoice_id") <= 2 and plan.count("Exchange hashpartitioning") <= 3
+    assert "partial_sum(cast(line_total" in plan and "partial_sum(cast(unit_cost" in plan

@@ -7,7 +7,8 @@ from sluiceway import config
 from sluiceway.plans.refresh import daily_refresh
 from sluiceway.queries.oracle import with_inputs
 from sluiceway.queries.registry import SETTINGS, Inputs
-from sluiceway.sources import files, schemas, tables
+from sluiceway.queries.streams import write_pages
+from sluiceway.sources import schemas, tables
 from sluiceway.streaming.landing import FOLDERS, land_all
 from tests.compare import compare
 from tests.conftest import SMALL
@@ -29,7 +30,7 @@ def run(spark, tmp_path_factory):
         part = F.col("billing_period") < "1998-01-01"
         bills.where(part if early else ~part).write.mode("append").option("header", True).csv(f"{landing}/billing_customer")
         part = F.col("invoice_id") % 2 == 0
-        files.write_pages(records.where(part if early else ~part), f"{landing}/finance_erp/{early}")
+        write_pages(records.where(part if early else ~part), f"{landing}/finance_erp/{early}")
         kind = "pressure" if early else "flow"
         readings = inputs.readings().drop(schemas.RESCUE, "seq").where(F.col("reading_type") == kind)
         readings.write.mode("append").json(f"{landing}/network_telemetry")

@@ -16,7 +16,7 @@ from sluiceway.operators.rules import (
 from sluiceway.plans import contractors
 
 NOW = dt.datetime(2024, 6, 1, 12, 0, 0)
-SETTINGS = Settings(as_of=dt.date(2024, 6, 1), processed_at=NOW)
+SETTINGS = Settings(as_of=dt.date(2024, 6, 1), processed_at=NOW, lanes=4)
 ORDERS = "work_order_id string, zone_id string, cost double, completion_date date, description string"
 GOOD_DAY = dt.date(2024, 1, 1)
 

@@ -1,5 +1,6 @@
 """Operators that must stay exact when one key holds a third of the rows, against brute force."""
 
+import datetime as dt
 import random
 from collections import Counter, defaultdict
 
@@ -80,11 +81,11 @@ def test_streamed_orders_broadcast_only_counted_zones(spark, tmp_path):
     spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "src"))
     zones = spark.createDataFrame([("H", "hot", True), ("1", "z1", True), ("2", "z2", False)], "zone_id string, zone_name string, is_current boolean")
     results = []
-    for limit in (100, 1):
+    for limit in (1000, 1):
         stream = files.stored_files(spark, str(tmp_path / "src"), stream=True)
-        assert lookup.fits(zones.where("is_current"), limit) == (limit == 100)
-        joined = contractors.with_zone_id(stream, zones, Settings(dimension_rows=limit, salts=4))
-        assert ("strategy=broadcast" in joined._jdf.queryExecution().analyzed().toString()) == (limit == 100)
+        assert lookup.fits(zones.where("is_current"), limit) == (limit == 1000)
+        joined = contractors.with_zone_id(stream, zones, Settings(as_of=dt.date(2024, 6, 1), processed_at=dt.datetime(2024, 6, 1), lanes=4, dimension_bytes=limit))
+        assert ("strategy=broadcast" in joined._jdf.queryExecution().analyzed().toString()) == (limit == 1000)
         out = flows.run_available(joined, str(tmp_path / f"out{limit}"), str(tmp_path / f"check{limit}"))
         results.append(sorted((r.work_order_id, r.zone_id or "") for r in out.collect()))
     assert results[0] == results[1] and len(results[0]) == 60

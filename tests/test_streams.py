@@ -1,15 +1,19 @@
 """Streams that stop and start again: nothing lost, nothing twice, equal to one batch."""
 
+import datetime as dt
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from sluiceway import config
+from sluiceway.config import Settings
 from sluiceway.operators import resolve
 from sluiceway.operators.quarantine import bad_rows, good_rows
 from sluiceway.queries.registry import SETTINGS
 from sluiceway.sources import files, schemas
 from sluiceway.streaming import flows
+from sluiceway.streaming.landing import Landing
 
 ORDERS = "work_order_id string, zone_id string, cost double, completion_date date, description string"
 
@@ -73,3 +77,31 @@ def test_malformed_lines_land_on_a_stream(spark, tmp_path):
     stream = files.csv_files(spark, str(tmp_path / "src"), schema, stream=True)
     landed = flows.run_available(stream, str(tmp_path / "out"), str(tmp_path / "check"))
     assert {r.sensor_id: r._rescued_data for r in landed.collect()} == {"s1": None, "s2": "s2,oops"}
+
+
+def test_counts_cover_every_batch_of_a_long_run(spark, tmp_path):
+    """More micro-batches than the session keeps progress of, two runs, and a batch that is run again."""
+    (tmp_path / "in" / "network_telemetry").mkdir(parents=True)
+    for i in range(8):
+        (tmp_path / "in" / "network_telemetry" / f"{i}.json").write_text('{"sensor_id": "s", "reading_value": "x"}\n{"sensor_id": "t"}\n')
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 3)
+    try:
+        run = Landing(spark, str(tmp_path / "in"), str(tmp_path / "lake"), max_files=1)
+        landed = run.readings()
+        assert len(run.ran["sensor_readings"]) == 8 and landed.count() == 16
+        assert [(r.passed, r.failed) for r in run.rule_counts().groupBy("rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed")).collect()] == [(8, 8)]
+        (tmp_path / "in" / "network_telemetry" / "late.json").write_text('{"sensor_id": "u", "new": 1}\n')
+        again = Landing(spark, str(tmp_path / "in"), str(tmp_path / "lake"), max_files=1)
+        assert again.readings().count() == 17 and len(again.ran["sensor_readings"]) == 1
+        assert [(r.passed, r.failed) for r in again.rule_counts(this_run=True).collect()] == [(0, 1)]
+        assert again.rule_counts().count() == 9
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+
+
+def test_settings_need_a_clock():
+    with pytest.raises(TypeError):
+        Settings(lanes=4)
+    late = Settings(as_of=dt.date(2031, 5, 1), processed_at=dt.datetime(2031, 5, 1), lanes=4)
+    assert any("2031-05-01" in rule.predicate for rule in config.invoice_rules(late))
