@@ -54,9 +54,12 @@ def telemetry(bronze: DataFrame, locations: DataFrame, settings: Settings, row_i
     ``locations`` should be a stored table: Spark then knows its size, broadcasts it while it is
     small, and beyond that splits a hot location in a sort-merge join.
     """
-    valid = keep_valid(parsed_readings(bronze), config.READING_HARD).withColumn(
-        "month_start_date", c.month_start("reading_ts")
-    )
+    return telemetry_of_valid(keep_valid(parsed_readings(bronze), config.READING_HARD), locations, settings, row_id)
+
+
+def telemetry_of_valid(valid: DataFrame, locations: DataFrame, settings: Settings, row_id: str) -> DataFrame:
+    """The same for readings that are parsed and judged already."""
+    valid = valid.withColumn("month_start_date", c.month_start("reading_ts"))
     tie_break = ["reading_value", "reading_type", "location_id", "zone", row_id]
     narrow = valid.select(*READING_KEY, "month_start_date", *tie_break)
     flagged = flag_duplicates(narrow, READING_KEY, tie_break, tie_break, settings.lanes)

@@ -12,7 +12,7 @@ from sluiceway.functions.masking import masked_view, rows_for_zones
 from sluiceway.operators import history
 from sluiceway.plans import billing, contractors, zones
 from sluiceway.queries.registry import SETTINGS, query
-from sluiceway.sources.tables import scratch
+from sluiceway.sources.tables import scratch, store
 
 # --- personal details ------------------------------------------------------
 
@@ -166,7 +166,9 @@ def zone_seed(inputs):
     """Seeding twice must leave the founding rows once."""
     schema, folder = f"reference_{uuid.uuid4().hex[:8]}", scratch(inputs.spark)
     zones.set_up(inputs.spark, schema, folder, inputs.zone_master())
-    return zones.set_up(inputs.spark, schema, folder, inputs.zone_master())
+    seeded = store(zones.set_up(inputs.spark, schema, folder, inputs.zone_master()))
+    inputs.spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    return seeded
 
 
 @query("R-04: zones that works orders name and the master lacks", _MERGED)

@@ -152,7 +152,7 @@ def profile_columns(inputs):
     CASE WHEN l.invoice_id IS NOT NULL THEN CAST(CASE WHEN CAST(h.invoice_id AS BIGINT) % 7 = 0 THEN 0 ELSE n END AS INT) END AS lines,
     CASE WHEN CAST(h.invoice_id AS BIGINT) % 7 = 0 THEN '' ELSE coalesce(items, '') END AS items
     FROM in_invoice_headers h LEFT JOIN (
-      SELECT invoice_id, count(*) AS n, string_agg(concat_ws(':', line_no, description, qty, CAST(unit_cost * 10000 AS BIGINT)), ';' ORDER BY line_no, description, qty, unit_cost) AS items
+      SELECT invoice_id, count(*) AS n, string_agg(concat_ws(':', line_no, description, qty, CAST(unit_cost * 10000 AS BIGINT)), ';' ORDER BY line_no, description NULLS FIRST, qty NULLS FIRST, unit_cost) AS items
       FROM in_invoice_lines GROUP BY invoice_id) l ON h.invoice_id = l.invoice_id""",
 )
 def invoices_nested(inputs):

@@ -12,13 +12,14 @@ from sluiceway import config
 from sluiceway.operators.quarantine import bad_rows, good_rows
 from sluiceway.operators.rules import DROP, enforce, keep_valid, with_action
 from sluiceway.plans import contractors, finance, network
-from sluiceway.queries.oracle import BILL_FIELDS, PROCESSED, WORKS_OK, all_hold, all_reasons
+from sluiceway.queries.oracle import BILL_FIELDS, INVOICE_OK, LINE_OK, PROCESSED, WORKS_OK, all_hold, all_reasons
 from sluiceway.queries.registry import SETTINGS, query
 from sluiceway.sources import files, schemas
 from sluiceway.sources.schemas import RESCUE
-from sluiceway.sources.tables import scratch
+from sluiceway.sources.tables import scratch, store
 from sluiceway.streaming import flows
 from sluiceway.streaming.landing import Landing
+from sluiceway.streaming.silver import Silver, TelemetryRun
 
 
 def landed_csv(df: DataFrame, path: str | None = None) -> str:
@@ -173,16 +174,69 @@ def stream_split(inputs):
     return good_rows(routed).unionByName(bad_rows(routed), allowMissingColumns=True)
 
 
-@query("C-07, T-07: votes stored per batch and merged", "SELECT * FROM locations")
-def stream_location_votes(inputs):
-    """Two deliveries to one folder, one run of the stream after each."""
+def deliver_bronze(base: str, table: str, df: DataFrame, number: int) -> None:
+    """One delivery into a bronze table, as a landing run leaves it."""
+    df.write.parquet(f"{base}/bronze/{table}/_batch={number}")
+
+
+def _silver_after_two_deliveries(inputs, run) -> list:
+    """``run`` after each of two deliveries of all bronze tables; returns what the second gives."""
     base = scratch(inputs.spark)
-    readings = inputs.readings()
-    for kind in ["pressure", "flow"]:
-        readings.where(F.col("reading_type") == kind).write.mode("append").parquet(f"{base}/landing")
-        stream = files.stored_files(inputs.spark, f"{base}/landing", readings.schema, stream=True)
-        votes = flows.store_votes(stream, "location_id", "zone", f"{base}/votes", f"{base}/checkpoint")
-    return network.location_zone_from_votes(votes, SETTINGS)
+    vendor = F.struct(F.col("vendor.id").cast("string").alias("id"), F.col("vendor.name").alias("name"))
+    records = inputs.invoice_records().withColumn("vendor", vendor).withColumn(files.SOURCE_FILE, F.concat(F.lit("page"), F.pmod(F.xxhash64("line_items"), F.lit(9))))
+    readings = files.with_row_id(inputs.readings().drop("seq").withColumns({c: F.col(c).cast("string") for c in ("sensor_id", "location_id")}))
+    sources = {
+        "finance_invoices_raw": _halves(records, "invoice_id"),
+        "sensor_readings": _halves(readings, "timestamp"),
+        **{f"works_orders_{name[-1]}": _halves(df, df.columns[0]) for name, df in inputs.works_orders().items()},
+    }
+    for number in (0, 1):
+        for table, parts in sources.items():
+            deliver_bronze(base, table, parts[number], number)
+        result = run(base)
+    return result
+
+
+AS_TEXT = "* REPLACE (CAST(vendor_id AS VARCHAR) AS vendor_id)"
+
+
+@query("T-01, T-03, T-05, M-12, M-13: headers appended in two runs", f"""SELECT {AS_TEXT}, CASE WHEN {all_hold(INVOICE_OK)} THEN NULL
+    ELSE {all_reasons(INVOICE_OK)} END AS _quarantine_reason FROM incoming_headers""")
+def incremental_invoices(inputs):
+    good, bad = _silver_after_two_deliveries(inputs, lambda base: Silver(inputs.spark, base, SETTINGS).invoices())
+    return good.unionByName(bad.drop("_quarantined_at"), allowMissingColumns=True).withColumn("vendor_id", F.col("vendor_id").cast("string"))
+
+
+@query("T-02, M-15, M-16: lines appended in two runs", f"""SELECT *, CASE WHEN {all_hold(LINE_OK)} THEN NULL
+    ELSE {all_reasons(LINE_OK)} END AS _quarantine_reason FROM incoming_lines""")
+def incremental_lines(inputs):
+    good, bad = _silver_after_two_deliveries(inputs, lambda base: Silver(inputs.spark, base, SETTINGS).lines())
+    return good.unionByName(bad.drop("_quarantined_at"), allowMissingColumns=True)
+
+
+@query("T-04..T-06, M-17, M-18: works orders appended in two runs", f"""SELECT *, CASE WHEN {all_hold(WORKS_OK)} THEN NULL
+    ELSE {all_reasons(WORKS_OK)} END AS _quarantine_reason FROM incoming_orders""")
+def incremental_orders(inputs):
+    good, bad = _silver_after_two_deliveries(inputs, lambda base: Silver(inputs.spark, base, SETTINGS).works_orders(inputs.zones()))
+    return good.unionByName(bad.drop("_quarantined_at"), allowMissingColumns=True)
+
+
+def _telemetry(inputs, base: str) -> TelemetryRun:
+    run = TelemetryRun(inputs.spark, base, SETTINGS, max_files=4)
+    run.run()
+    return run
+
+
+@query("C-07, T-07, M-19: vote counts merged over two runs, no reading read again", "SELECT * REPLACE (CAST(location_id AS VARCHAR) AS location_id) FROM locations")
+def stream_location_votes(inputs):
+    return _silver_after_two_deliveries(inputs, lambda base: _telemetry(inputs, base)).locations()
+
+
+@query("T-07, M-20, M-29: the short run of the sensors, twice", "SELECT * FROM network_mart")
+def telemetry_run(inputs):
+    run = _silver_after_two_deliveries(inputs, lambda base: _telemetry(inputs, base))
+    locations = store(run.locations())
+    return network.network_diagnostic(run.readings(locations), locations)
 
 
 def _halves(df: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:

@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from sluiceway.operators.layout import cluster_rows
 
 _SCRATCH = "spark.checkpoint.dir"
+_MADE: list[str] = []
 
 
 @cache
@@ -32,7 +33,9 @@ def scratch(spark: SparkSession) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {_SCRATCH} to a folder that all executors share")
         base = _local_folder()
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
 
 
 def store(df: DataFrame, name: str = "part") -> DataFrame:
@@ -53,6 +56,21 @@ def store_all(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         return {name: job.result() for name, job in stored.items()}
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever the session's file systems find it; nothing if it does not exist."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every copy this process has put into scratch; call it when the results that read them are written."""
+    base = (spark.conf.get(_SCRATCH, None) or _local_folder()).rstrip("/")
+    for path in [p for p in _MADE if p.startswith(f"{base}/")]:
+        remove(spark, path)
+        _MADE.remove(path)
+
+
 def overwrite(
     df: DataFrame, path: str, cluster_by: Sequence[str] = (), spread: Sequence[str] = (), partition_by: Sequence[str] = ()
 ) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.config import Settings
-from sluiceway.operators import resolve
 from sluiceway.operators.quarantine import with_verdict
 from sluiceway.operators.rules import Rule, metric_rows, observe
 from sluiceway.plans import contractors
@@ -120,17 +119,3 @@ def split_stream(
 def works_orders_stream(sources: Mapping[str, DataFrame], zones: DataFrame, settings: Settings) -> DataFrame:
     """All contractors' streams as one, conformed and enriched from the stored zone table."""
     return contractors.with_zone_id(contractors.conformed_orders(sources), zones, settings)
-
-
-def store_votes(stream: DataFrame, key: str, label: str, path: str, checkpoint: str) -> DataFrame:
-    """Keep vote counts per micro-batch, so that no batch reads history again; returns their sum.
-
-    Each batch overwrites its own directory: a batch that is run twice counts once.
-    """
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        resolve.votes(batch, key, label).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    run_batches(stream, checkpoint, each)
-    stored = stream.sparkSession.read.parquet(path)
-    return stored.groupBy(key, label).agg(F.sum("votes").alias("votes"))

@@ -1,6 +1,7 @@
 """Landing: malformed input, headers that drift, hints, table definitions, the daily run."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +9,10 @@ from pyspark.sql import functions as F
 from sluiceway import config
 from sluiceway.operators.rules import keep_valid, observe
 from sluiceway.plans import zones
+from sluiceway.queries import QUERIES
 from sluiceway.queries.streams import write_pages
 from sluiceway.sources import files, schemas, tables
+from tests.conftest import SMALL
 
 READING = schemas.struct(sensor_id=schemas.TEXT, reading_value=schemas.NUMBER)
 
@@ -146,6 +149,16 @@ def test_scratch_without_a_setting():
     assert tables.scratch(Conf({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///ck/"})).startswith("hdfs:///ck/")
 
 
+def test_scratch_is_empty_after_clearing(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    tables.clear_scratch(spark)
+    before = set(folder.iterdir())
+    QUERIES["network_health"].run(spark, SMALL).write.format("noop").mode("overwrite").save()
+    assert set(folder.iterdir()) - before
+    tables.clear_scratch(spark)
+    assert set(folder.iterdir()) == before
+
+
 def test_store_keeps_rows_and_schema(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
     stored = tables.store(df)

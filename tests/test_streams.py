@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from sluiceway import config
 from sluiceway.config import Settings
-from sluiceway.operators import resolve
 from sluiceway.operators.quarantine import bad_rows, good_rows
 from sluiceway.queries.registry import SETTINGS
 from sluiceway.sources import files, schemas
 from sluiceway.streaming import flows
 from sluiceway.streaming.landing import Landing
+from sluiceway.streaming.silver import Silver, TelemetryRun
 
 ORDERS = "work_order_id string, zone_id string, cost double, completion_date date, description string"
 
@@ -53,21 +53,56 @@ def test_dedup_remembers_earlier_runs(spark, tmp_path):
         assert Counter(r.k for r in table.collect()) == Counter("abch")
 
 
-def test_votes_over_runs_equal_one_batch(spark, tmp_path):
-    src, out, check = (str(tmp_path / n) for n in ("src", "out", "check"))
+READING = "sensor_id string, location_id string, `timestamp` string, zone string, reading_type string, reading_value double, _row_id string"
+
+
+def readings(*places):
+    return [("s", place, "2024-01-01 00:00:00", zone, "flow", 1.0, f"{place}{zone}{i}") for i, (place, zone) in enumerate(places)]
+
+
+def bronze(spark, base, rows, number):
+    spark.createDataFrame(rows, READING).write.parquet(f"{base}/bronze/sensor_readings/_batch={number}")
+
+
+def test_votes_over_runs_equal_one_batch_and_read_no_history(spark, tmp_path):
     batches = [[("l", "A")] * 3 + [("m", "B")], [("l", "B"), ("m", "B"), (None, "A")], [("l", None)]]
-    for batch in batches:
-        stream = deliver(spark, src, batch, "location_id string, zone string")
-        votes = flows.store_votes(stream, "location_id", "zone", out, check)
-    whole = resolve.votes(spark.createDataFrame(sum(batches, []), "location_id string, zone string"), "location_id", "zone")
-    assert Counter(map(tuple, votes.collect())) == Counter(map(tuple, whole.collect()))
-
-
-def test_a_batch_that_is_run_twice_counts_once(spark, tmp_path):
-    batch = spark.createDataFrame([("l", "A")], "location_id string, zone string")
-    for _ in range(2):
-        resolve.votes(batch, "location_id", "zone").write.mode("overwrite").parquet(f"{tmp_path}/batch=0")
-    assert spark.read.parquet(str(tmp_path)).agg(F.sum("votes")).collect()[0][0] == 1
+    whole = Counter()
+    for number, batch in enumerate(batches):
+        bronze(spark, tmp_path, readings(*batch), number)
+        run = TelemetryRun(spark, str(tmp_path), SETTINGS)
+        run.run()
+        whole.update(pair for pair in batch if pair[0] is not None)
+        assert {(r.location_id, r.zone): r.votes for r in run.votes().collect()} == whole
+        if number:  # earlier readings may be gone: neither the vote nor the routing needs them
+            for old in (tmp_path / "bronze" / "sensor_readings" / f"_batch={number - 1}").glob("*.parquet"):
+                old.write_bytes(b"")
+    assert len(list((tmp_path / "silver" / "zone_votes").glob("v=*"))) == 2
+
+
+def test_a_telemetry_batch_that_is_repeated_counts_once(spark, tmp_path):
+    run = TelemetryRun(spark, str(tmp_path), SETTINGS)
+    first, second = (spark.createDataFrame(readings(*rows), READING) for rows in ([("l", "A"), ("l", "B")], [("l", "B")]))
+    for number, batch in ((0, first), (1, second), (1, second)):
+        run._take(batch, number)
+    assert {(r.zone, r.votes) for r in run.votes().collect()} == {("A", 1), ("B", 2)}
+    assert run.readings(run.locations()).count() == 3 and run.rejected().count() == 0
+
+
+def test_silver_reads_new_files_only(spark, tmp_path):
+    schema = "work_order_id string, site_location string, work_description string, date_completed string, cost_sgd double"
+    zones = spark.createDataFrame([("1", "Z", True)], "zone_id string, zone_name string, is_current boolean")
+    empty = {"b": schemas.WORKS_ORDERS["contractor_b"], "c": schemas.WORKS_ORDERS["contractor_c"]}
+    for letter, kind in empty.items():
+        spark.createDataFrame([], kind).write.parquet(f"{tmp_path}/bronze/works_orders_{letter}/_batch=0")
+    counts = []
+    for number, rows in enumerate([[("a", "Z", "d", "2000-01-01", 5.0), ("b", "Y", "d", "2000-01-01", 5.0)], [("c", "Z", "d", "2000-01-01", 5.0)]]):
+        folder = tmp_path / "bronze" / "works_orders_a" / f"_batch={number}"
+        spark.createDataFrame(rows, schema).write.parquet(str(folder))
+        good, bad = Silver(spark, str(tmp_path), SETTINGS, max_files=1).works_orders(zones)
+        counts.append((good.count(), bad.count()))
+        for file in folder.glob("*.parquet"):
+            file.write_bytes(b"")  # a run that read it again would fail
+    assert counts == [(1, 1), (2, 1)]
 
 
 def test_malformed_lines_land_on_a_stream(spark, tmp_path):
