@@ -41,38 +41,51 @@ def _seeds(run: int):
     return find
 
 
-class _Runs:
-    """Hashes of all runs of a document that could be seeds, of each length that seeds have."""
-
-    def __init__(self, lengths: list[int]):
-        self.lengths, self.hashes = lengths, WordHashes()
-
-    def of(self, words: list[str]) -> Iterator[np.ndarray]:
-        found = self.hashes.of(words)
+class _Finder:
+    """Finds seeds in documents. A bitmap of the seeds' last bits tells most other runs apart at once."""
+
+    BITS = 20
+
+    def __init__(self, known: np.ndarray, lengths: list[int]):
+        self.known, self.lengths, self.hashes = known, lengths, WordHashes()
+        self.marks = np.zeros(1 << self.BITS, bool)
+        self.marks[known & ((1 << self.BITS) - 1)] = True
+
+    def of(self, part: pa.RecordBatch) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray]:
+        """The words of each document; and of every seed in them its document, first word and place among the seeds."""
+        words = [normal_words(t) for t in texts_of(part)]
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        flat = self.hashes.of([w for own in words for w in own])
+        docs, starts, seeds = [], [], []
         for length in self.lengths:
-            yield run_hashes(found, length).view(np.int64)
-
-
-def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Places of values in the sorted ``known``; -1 for others."""
-    if not len(known):
-        return np.full(len(values), -1)
-    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-    return np.where(known[at] == values, at, -1)
+            values = run_hashes(flat, length).view(np.int64)
+            at = np.flatnonzero(self.marks[values & ((1 << self.BITS) - 1)])
+            place = np.searchsorted(self.known, values[at])
+            same = place < len(self.known)
+            same[same] = self.known[place[same]] == values[at[same]]
+            at, place = at[same], place[same]
+            doc = np.searchsorted(ends, at, "right")
+            inside = at + length <= ends[doc] if len(at) else at >= 0
+            doc, at, place = doc[inside], at[inside], place[inside]
+            docs.append(doc)
+            starts.append(at - np.where(doc > 0, ends[doc - 1], 0))
+            seeds.append(place)
+        none = [np.zeros(0, np.int64)]
+        return words, *(np.concatenate(x + none) for x in (docs, starts, seeds))
 
 
 def _frequencies(known: np.ndarray, lengths: list[int]):
     """How many documents of a batch hold each seed."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = _Runs(lengths)
+        finder = _Finder(known, lengths)
         for batch in batches:
-            total = np.zeros(len(known) + 1, np.int64)
+            total = np.zeros(len(known), np.int64)
             for part in chunks(batch, "text"):
-                for text in texts_of(part):
-                    for values in runs.of(normal_words(text)):
-                        total[np.unique(_among(values, known))] += 1
-            seen = np.flatnonzero(total[:-1])
+                _, doc, _, seed = finder.of(part)
+                pairs = np.unique(doc * len(known) + seed)
+                total += np.bincount(pairs % max(1, len(known)), minlength=len(known))
+            seen = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(known[seen]), pa.array(total[seen])], names=["seed", "n"])
 
     return count
@@ -85,32 +98,26 @@ def _candidates(seeds: np.ndarray, items: np.ndarray, places: np.ndarray, sizes:
     """For each place of a document where an item would lie by its seeds: the words there, with a margin."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = _Runs(lengths)
         known, first, number = np.unique(seeds, return_index=True, return_counts=True)
+        finder = _Finder(known, lengths)
         for batch in batches:
             for part in chunks(batch, "text"):
-                rows: list[tuple] = []
-                for doc_id, text in zip(part["doc_id"].to_pylist(), texts_of(part), strict=True):
-                    words = normal_words(text)
-                    for values in runs.of(words):
-                        at = _among(values, known)
-                        where = np.flatnonzero(at >= 0)
-                        if not len(where):
-                            continue
-                        n = number[at[where]]
-                        entry = np.repeat(first[at[where]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                        start = np.repeat(where, n) - places[entry]
-                        item, size = items[entry], sizes[entry]
-                        margin = np.maximum(4, size // 4)
-                        order = np.lexsort((start, item))
-                        start, item, size, margin = start[order], item[order], size[order], margin[order]
-                        new = np.ones(len(start), bool)
-                        new[1:] = (item[1:] != item[:-1]) | (start[1:] - start[:-1] > margin[1:])
-                        group = np.flatnonzero(new)
-                        last = np.append(group[1:], len(start)) - 1
-                        for g, e in zip(group.tolist(), last.tolist(), strict=True):
-                            a = max(0, int(start[g] - margin[g]))
-                            rows.append((doc_id, int(item[g]), a, words[a : int(start[e] + size[g] + margin[g])]))
+                words, doc, at, seed = finder.of(part)
+                n = number[seed]
+                entry = np.repeat(first[seed] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                doc, start = np.repeat(doc, n), np.repeat(at, n) - places[entry]
+                item, size = items[entry], sizes[entry]
+                margin = np.maximum(4, size // 4)
+                order = np.lexsort((start, item, doc))
+                doc, start, item, size, margin = (x[order] for x in (doc, start, item, size, margin))
+                new = np.ones(len(start), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > margin[1:])
+                group = np.flatnonzero(new)
+                last = np.append(group[1:], len(start)) - 1
+                doc_ids, rows = part["doc_id"].to_pylist(), []
+                for g, e in zip(group.tolist(), last.tolist(), strict=False):
+                    a = max(0, int(start[g] - margin[g]))
+                    rows.append((doc_ids[doc[g]], int(item[g]), a, words[doc[g]][a : int(start[e] + size[g] + margin[g])]))
                 if rows:
                     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string())]
                     columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
