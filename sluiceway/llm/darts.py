@@ -7,9 +7,10 @@ earliest dart that hits it; two documents agree in a coordinate with the probabi
 similarity. Only darts before a time that fills all coordinates are ever computed: about k log k for a document instead
 of k for each element.
 
-Documents that share a band are joined through one of them, the bucket's centre, never all with all, and the exact similarity is
-computed for those pairs. Members that did not end in the component of their bucket's main part become centres themselves, twice
-as many each round, until every one of them has met the whole bucket; so no similar pair that shares a band is lost.
+Documents that share a band are joined through one of them, the bucket's centre, another one in each bucket, and the exact similarity is
+computed for those pairs. A bucket whose members then lie in one component is done. Of the others, the members outside the
+bucket's main component meet its members in tiles: blocks of documents whose similarities come from matrix products within a task,
+of which only links leave it. So no similar pair that shares a band is lost, and no pair is a row of a join but those with a centre.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm.shared import chunks, stored, texts_of
@@ -153,12 +154,94 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
         roots = changed.select("node", "root")
 
 
+def _joined_components(roots: DataFrame, late: DataFrame) -> DataFrame:
+    """Components after more links: those of the graph of the old components."""
+    left, right = (roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("left", "right"))
+    met = late.join(left, "left").join(right, "right").select(F.col("left_root").alias("left"), F.col("right_root").alias("right"))
+    met = stored(met.filter("left <> right").distinct())
+    ends = met.select(F.col("left").alias("node")).union(met.select(F.col("right").alias("node"))).distinct()
+    moved = components(met, ends).select(F.col("node").alias("root"), F.col("root").alias("lower"))
+    return stored(roots.join(moved, "root", "left").select("node", F.coalesce("lower", "root").alias("root")))
+
+
 def _star(members: DataFrame, centres: DataFrame) -> DataFrame:
-    """Pairs of each bucket's centres with its members, each pair once."""
+    """Pairs of each bucket's centre with its members, each pair once."""
     pairs = members.join(centres, "bucket").filter(F.col("node") != F.col("centre"))
     return pairs.select(F.least("node", "centre").alias("left"), F.greatest("node", "centre").alias("right")).distinct()
 
 
+def shared_units(left: list[np.ndarray], right: list[np.ndarray], cells: int = 1 << 22) -> np.ndarray:
+    """How many units each left set shares with each right one, by products of presence matrices over the left units."""
+    found = np.zeros((len(left), len(right)), np.int64)
+    i = 0
+    while i < len(left):
+        j, total = i, 0
+        while j < len(left) and (j == i or total + len(left[j]) <= cells // 256):
+            total += len(left[j])
+            j += 1
+        names, place = np.unique(np.concatenate(left[i:j]), return_inverse=True)
+        if len(names):
+            held = np.zeros((j - i, len(names)), np.float32)
+            held[np.repeat(np.arange(j - i), [len(u) for u in left[i:j]]), place] = 1
+            step = max(1, cells // len(names))
+            for k in range(0, len(right), step):
+                some = right[k : k + step]
+                flat = np.concatenate(some)
+                at = np.minimum(np.searchsorted(names, flat), len(names) - 1)
+                owner, hit = np.repeat(np.arange(len(some)), [len(u) for u in some]), names[at] == flat
+                other = np.zeros((len(some), len(names)), np.float32)
+                other[owner[hit], at[hit]] = 1
+                found[i:j, k : k + step] = np.rint(held @ other.T)
+        i = j
+    return found
+
+
+def _tile(threshold: float):
+    """Links between documents of different components, one for each document and other component of a tile."""
+
+    def compare(outside: pa.Table, inside: pa.Table) -> pa.Table:
+        if not len(outside) or not len(inside):
+            return pa.Table.from_pydict({"left": pa.array([], pa.int64()), "right": pa.array([], pa.int64())})
+        sets = [[np.frombuffer(u, np.uint64) for u in table[name].to_pylist()] for table, name in ((outside, "o_units"), (inside, "units"))]
+        sizes = [np.array([len(u) for u in own]) for own in sets]
+        roots, others = outside["o_root"].to_numpy(), inside["root"].to_numpy()
+        both = shared_units(*sets)
+        similar = both >= threshold * (sizes[0][:, None] + sizes[1][None, :] - both)
+        row, column = np.nonzero(similar & (roots[:, None] != others[None, :]) & (both > 0))
+        _, first = np.unique(np.stack([row, others[column]]), axis=1, return_index=True)
+        a, b = outside["o_node"].to_numpy()[row[first]], inside["node"].to_numpy()[column[first]]
+        return pa.Table.from_pydict({"left": pa.array(np.minimum(a, b), pa.int64()), "right": pa.array(np.maximum(a, b), pa.int64())})
+
+    return compare
+
+
+def _late_links(members: DataFrame, roots: DataFrame, units: DataFrame, threshold: float, block: int = 512) -> DataFrame | None:
+    """Links that no centre showed: of buckets in several components, members outside the main one against all of its kind.
+
+    Buckets with the same main component are one group, cut into blocks of documents; None if no bucket is left.
+    """
+    placed = stored(members.join(roots, "node"))
+    parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("size"))
+    main = parts.groupBy("bucket").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("parts"))
+    main = stored(main.filter("parts > 1").select("bucket", "main"))
+    if main.isEmpty():
+        return None
+    mixed_members = placed.join(main, "bucket").select("main", "node", "root").distinct()
+    group = stored(mixed_members.join(units, "node"))
+    counts = group.groupBy("main").agg(F.count_if(F.col("root") != F.col("main")).alias("n_outside"), F.count("*").alias("n_inside"))
+    counts = stored(counts.select("main", *(F.ceil(F.col(n) / block).cast("int").alias(n) for n in ("n_outside", "n_inside"))))
+    dealt = group.join(counts, "main").withColumn("own", F.xxhash64("node"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    inside = dealt.select("main", "node", "root", "units", F.pmod("own", "n_inside").cast("int").alias("j"), every("n_outside").alias("i"))
+    outside = dealt.filter("root != main")
+    outside = outside.select(
+        F.col("main").alias("o_main"), F.col("node").alias("o_node"), F.col("root").alias("o_root"), F.col("units").alias("o_units"),
+        F.pmod("own", "n_outside").cast("int").alias("o_i"), every("n_inside").alias("o_j"),
+    )
+    tiles = outside.groupBy("o_main", "o_i", "o_j").cogroup(inside.groupBy("main", "i", "j"))
+    return stored(tiles.applyInArrow(_tile(threshold), "left bigint, right bigint").distinct())
+
+
 def _verified(pairs: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
     left = units.select(F.col("node").alias("left"), F.col("units").alias("left_units"))
     right = units.select(F.col("node").alias("right"), F.col("units").alias("right_units"))
@@ -190,29 +273,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, words: int = 5, n_b
     nodes = stored(members.select("node").distinct())
     wanted = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").select("doc_id", "text")
     units = stored(wanted.mapInArrow(_units(words), "node bigint, units binary").groupBy("node").agg(F.max("units").alias("units")))
-    centres = shared.select("bucket", "centre")
-    tried = centres
-    pairs = stored(_star(members, centres))
-    links = _verified(pairs, units, threshold)
-    at_once = 1
-    while True:
-        roots = components(links, nodes)
-        placed = members.join(roots, "node")
-        parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("size"))
-        main = stored(
-            parts.groupBy("bucket").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
-        )
-        outside = placed.join(main, "bucket").filter("root != main").select("bucket", F.col("node").alias("centre"))
-        left = outside.join(tried, ["bucket", "centre"], "left_anti")
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("centre", "bucket")))
-        at_once *= 2
-        centres = stored(left.withColumn("place", place).filter(F.col("place") <= at_once).select("bucket", "centre"))
-        if centres.isEmpty():
-            break
-        tried = tried.union(centres)
-        fresh = stored(_star(members, centres).join(pairs, ["left", "right"], "left_anti"))
-        pairs = pairs.union(fresh)
-        links = links.union(_verified(fresh, units, threshold))
+    links = _verified(_star(members, shared.select("bucket", "centre")), units, threshold)
+    roots = components(links, nodes)
+    late = _late_links(members, roots, units, threshold)
+    if late is not None:
+        links = links.union(late)
+        roots = _joined_components(roots, late)
     ends = links.select("left").union(links.select("right")).groupBy(F.col("left").alias("node")).agg(F.count("*").alias("n_links"))
     known = texts.select("print", "node").join(roots, "node", "left").join(ends, "node", "left")
     known = stored(
