@@ -179,14 +179,16 @@ def deliver_bronze(base: str, table: str, df: DataFrame, number: int) -> None:
     df.write.parquet(f"{base}/bronze/{table}/_batch={number}")
 
 
-def _silver_after_two_deliveries(inputs, run) -> list:
+def _silver_after_two_deliveries(inputs, run, lines_only: bool = False) -> list:
     """``run`` after each of two deliveries of all bronze tables; returns what the second gives."""
     base = scratch(inputs.spark)
     vendor = F.struct(F.col("vendor.id").cast("string").alias("id"), F.col("vendor.name").alias("name"))
     records = inputs.invoice_records().withColumn("vendor", vendor).withColumn(files.SOURCE_FILE, F.concat(F.lit("page"), F.pmod(F.xxhash64("line_items"), F.lit(9))))
+    if lines_only:  # with those that name no invoice
+        records = inputs.invoice_line_records()
     readings = files.with_row_id(inputs.readings().drop("seq").withColumns({c: F.col(c).cast("string") for c in ("sensor_id", "location_id")}))
     sources = {
-        "finance_invoices_raw": _halves(records, "invoice_id"),
+        "finance_invoices_raw": _halves(records, records.columns[0]),
         "sensor_readings": _halves(readings, "timestamp"),
         **{f"works_orders_{name[-1]}": _halves(df, df.columns[0]) for name, df in inputs.works_orders().items()},
     }
@@ -210,7 +212,7 @@ def incremental_invoices(inputs):
 @query("T-02, M-15, M-16: lines appended in two runs", f"""SELECT *, CASE WHEN {all_hold(LINE_OK)} THEN NULL
     ELSE {all_reasons(LINE_OK)} END AS _quarantine_reason FROM incoming_lines""")
 def incremental_lines(inputs):
-    good, bad = _silver_after_two_deliveries(inputs, lambda base: Silver(inputs.spark, base, SETTINGS).lines())
+    good, bad = _silver_after_two_deliveries(inputs, lambda base: Silver(inputs.spark, base, SETTINGS).lines(), lines_only=True)
     return good.unionByName(bad.drop("_quarantined_at"), allowMissingColumns=True)
 
 

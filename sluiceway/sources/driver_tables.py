@@ -27,29 +27,33 @@ SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(c_custkey AS STRING) EN
             ELSE floor(o_totalprice / 40) END AS DECIMAL(18,2)) AS consumption_value,
        CASE WHEN o_orderkey % 5 = 0 THEN 'l' ELSE 'm3' END AS consumption_unit,
        CASE WHEN o_orderkey % 79 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS amount_billed,
-       CASE o_orderstatus WHEN 'F' THEN 'Paid' WHEN 'P' THEN 'PEND' ELSE 'OS' END AS payment_status,
+       CASE WHEN o_orderkey % 113 = 0 THEN 'Disputed' WHEN o_orderstatus = 'F' THEN 'Paid' WHEN o_orderstatus = 'P' THEN 'PEND'
+            ELSE 'OS' END AS payment_status,
        c_name AS customer_name, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS address,
        o_orderstatus AS contact_number, o_orderkey AS seq
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey""",
     "invoice_headers": """
-SELECT CAST(o_orderkey AS STRING) AS invoice_id, c_mktsegment AS cost_center,
-       CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE c_custkey END AS vendor_id, c_name AS vendor_name,
-       n_name AS site_zone,
+SELECT CAST(o_orderkey AS STRING) AS invoice_id, CASE WHEN o_orderkey % 107 = 0 THEN NULL ELSE c_mktsegment END AS cost_center,
+       CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE c_custkey END AS vendor_id,
+       CASE WHEN o_orderkey % 109 = 0 THEN NULL ELSE c_name END AS vendor_name,
+       CASE WHEN o_orderkey % 127 = 0 THEN '' ELSE n_name END AS site_zone,
        CASE WHEN o_orderkey % 30 = 0 THEN '' WHEN o_orderkey % 31 = 0 THEN NULL ELSE 'SGD' END AS currency,
        CASE WHEN o_orderkey % 101 = 0 THEN 'n/a' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS invoice_date,
        CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL
             ELSE concat('P', substring(o_orderpriority, 1, 1)) END AS project_code
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey""",
     "invoice_lines": """
-SELECT CAST(l_orderkey AS STRING) AS invoice_id, l_linenumber AS line_no,
+SELECT CASE WHEN l_orderkey % 131 = 0 THEN NULL ELSE CAST(l_orderkey AS STRING) END AS invoice_id,
+       CASE WHEN l_partkey % 29 = 0 AND l_linenumber = 2 THEN 0 ELSE l_linenumber END AS line_no,
        CASE WHEN l_partkey % 53 = 0 THEN NULL ELSE p_type END AS description,
        CAST(CASE WHEN l_orderkey % 61 = 0 THEN -l_quantity WHEN l_orderkey % 67 = 0 THEN NULL
             ELSE l_quantity END AS INT) AS qty,
-       CAST(CAST(p_retailprice AS DECIMAL(18,2)) + (p_partkey % 97) * CAST(0.0001 AS DECIMAL(18,4)) AS DECIMAL(18,4)) AS unit_cost
+       CAST(CASE WHEN p_partkey % 37 = 0 THEN 0 ELSE 1 END * CAST(p_retailprice AS DECIMAL(18,2)) + CASE WHEN p_partkey % 37 = 0 THEN 0 ELSE 1 END * (p_partkey % 97) * CAST(0.0001 AS DECIMAL(18,4)) AS DECIMAL(18,4)) AS unit_cost
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey""",
     "works_orders": """
-SELECT l_returnflag AS layout, concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS work_order_id,
-       CASE WHEN l_orderkey % 43 = 0 THEN 'NOWHERE' ELSE n_name END AS zone, p_type AS description,
+SELECT l_returnflag AS layout,
+       CASE WHEN l_orderkey % 139 = 0 THEN NULL ELSE concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) END AS work_order_id,
+       CASE WHEN l_orderkey % 43 = 0 THEN 'NOWHERE' ELSE n_name END AS zone, CASE WHEN l_orderkey % 149 = 0 THEN NULL ELSE p_type END AS description,
        CASE WHEN l_orderkey % 103 = 0 THEN 'n/a' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END AS completion_date,
        CASE WHEN l_orderkey % 71 = 0 THEN NULL ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) + l_linenumber * CAST(0.0003 AS DECIMAL(18,4)) AS DECIMAL(18,4)) END AS cost,
        concat('SGD ', CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) + l_linenumber * CAST(0.0003 AS DECIMAL(18,4)) AS DECIMAL(18,4)) AS STRING)) AS charge

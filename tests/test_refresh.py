@@ -36,7 +36,7 @@ def run(spark, tmp_path_factory):
         readings.write.mode("append").json(f"{landing}/network_telemetry")
         for letter in "abc":
             orders = inputs.works_orders()[f"contractor_{letter}"].drop(schemas.RESCUE)
-            part = F.col(orders.columns[0]).like("%-1")
+            part = F.coalesce(F.col(orders.columns[0]).like("%-1"), F.lit(False))
             orders.where(part if early else ~part).write.mode("append").option("header", True).csv(f"{landing}/contractor_{letter}")
         bronze, counts = land_all(spark, landing, lake, zones)
         metrics.append(counts)
