@@ -53,7 +53,8 @@ def with_zone_id(orders: DataFrame, zones: DataFrame, settings: Settings) -> Dat
 
 
 def works_orders(sources: Mapping[str, DataFrame], zones: DataFrame, settings: Settings) -> DataFrame:
-    enriched = with_zone_id(conformed_orders(sources), zones, settings)
+    """Valid orders. The rule on the zone is also a plain filter, which turns the left join into an inner one."""
+    enriched = with_zone_id(conformed_orders(sources), zones, settings).where("zone_id IS NOT NULL")
     return keep_valid_parsed(enriched, config.works_rules(settings))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
@@ -30,7 +31,7 @@ def scratch(spark: SparkSession) -> str:
     """
     base = spark.conf.get(_SCRATCH, None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
             raise ValueError(f"set {_SCRATCH} to a folder that all executors share")
         base = _local_folder()
     path = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
@@ -63,12 +64,18 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete every copy this process has put into scratch; call it when the results that read them are written."""
+def scratch_mark() -> int:
+    """How many copies this process has made so far; see ``clear_scratch``."""
+    return len(_MADE)
+
+
+def clear_scratch(spark: SparkSession, since: int = 0, keep: Sequence[str] = ()) -> None:
+    """Delete the copies this process has put into scratch since a mark, but for some; call it when what reads them is written."""
     base = (spark.conf.get(_SCRATCH, None) or _local_folder()).rstrip("/")
-    for path in [p for p in _MADE if p.startswith(f"{base}/")]:
-        remove(spark, path)
-        _MADE.remove(path)
+    for at in range(since, len(_MADE)):
+        if _MADE[at].startswith(f"{base}/") and _MADE[at] not in keep:
+            remove(spark, _MADE[at])
+            _MADE[at] = ""
 
 
 def overwrite(

@@ -61,3 +61,8 @@ def test_lines_cross_the_network_once_for_the_category_mart(spark):
     plan = plan_of(spark, "spend_by_zone_category_month")
     assert plan.count("Exchange hashpartitioning(invoice_id") <= 2 and plan.count("Exchange hashpartitioning") <= 3
     assert "partial_sum(cast(line_total" in plan and "partial_sum(cast(unit_cost" in plan
+
+
+def test_orders_without_a_zone_go_at_the_join(spark):
+    plan = plan_of(spark, "works_orders")
+    assert "Inner, BuildRight" in plan and "LeftOuter" not in plan
