@@ -3,41 +3,27 @@
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 from collections.abc import Iterator
-from functools import cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+
+from sluiceway.sources.tables import scratch, store
 
 #: Characters of text that a task turns into Python objects at a time.
 CHUNK_CHARS = 2_000_000
 
 
-@cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="llm-")
-
-
 def fresh_folder(spark: SparkSession) -> str:
-    """A new name below ``spark.checkpoint.dir``; a local session without that setting gets a folder of its own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _own_folder()
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    """A new name in the shared scratch folder; ``tables.clear_scratch`` deletes what was written there."""
+    return scratch(spark)
 
 
-def stored(df: DataFrame, *partition_by: str) -> DataFrame:
+def stored(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back: lost executors cost no recomputation, and its size is known."""
-    path = fresh_folder(df.sparkSession)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return store(df)
 
 
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
@@ -65,8 +51,3 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_CHARS) -> Iter
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch, null as empty."""
     return [t or "" for t in batch[column].to_pylist()]
-
-
-def kept_columns(df: DataFrame, schema: StructType) -> DataFrame:
-    """The columns of ``schema``, by name and in its order."""
-    return df.select(*(f"`{name}`" for name in schema.names))
