@@ -10,13 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.llm import alignment, darts, elias_fano, guess_cost, langid, packing, rank_merges, super_kmers, top_k, warc
 
+#: Bytes of an Arrow batch that a task sends to its Python worker.
+ARROW_BYTES = 16 << 20
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """A session whose Python workers find this package where the driver has it, and whose times are UTC."""
+    """A session whose Python workers find this package where the driver has it, whose times are UTC, and whose Arrow batches are
+    bounded in bytes: texts differ much in length."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(":"):
         spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")

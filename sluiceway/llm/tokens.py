@@ -86,7 +86,7 @@ class Encoder:
     starts anew.
     """
 
-    def __init__(self, path: str, blanks: bool, cache_units: int = 1_200_000):
+    def __init__(self, path: str, blanks: bool, cache_units: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
