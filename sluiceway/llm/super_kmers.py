@@ -25,7 +25,7 @@ from sluiceway.llm.shared import chunks, file_system, fresh_folder, stored, text
 from sluiceway.llm.shingles import WordHashes, run_hashes
 
 #: A minimiser of more strings than this is hot; no bucket holds more.
-HOT = 1_000
+HOT = 5_000
 _SEGMENT = 1 << 15
 _KEY = ["doc_id", "text_hash"]
 
