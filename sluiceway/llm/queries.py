@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sluiceway.llm import alignment, darts, elias_fano, guess_cost, langid, packing, rank_merges, super_kmers, top_k, warc
 
 #: Bytes of an Arrow batch that a task sends to its Python worker.
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 8 << 20
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
