@@ -82,8 +82,8 @@ class Encoder:
     """Ids of texts, exactly as ``tokenizers`` gives them.
 
     ``blanks``: whether the vocabulary keeps blanks (byte-level) or drops them. At most ``cache_units``
-    distinct pieces, or eight times as many ids, are remembered (about 150 bytes a piece); then the memory
-    starts anew.
+    distinct pieces, or eight times as many ids, are remembered (about 150 bytes a piece); then those met once
+    are forgotten.
     """
 
     def __init__(self, path: str, blanks: bool, cache_units: int = 600_000):
@@ -110,6 +110,18 @@ class Encoder:
         self.used = 0
         self.starts = np.zeros(1 << 16, np.int64)
         self.sizes = np.zeros(1 << 16, np.int32)
+        self.met = np.zeros(1 << 16, np.int32)
+
+    def _thin(self) -> None:
+        """Forget the pieces met only once; those met more often, at most half of the limit, stay."""
+        met = self.met[: len(self.slots)]
+        often = np.flatnonzero(met > 1)
+        often = often[np.argsort(-met[often], kind="stable")[: self.limit // 2]]
+        units, ids, sizes = list(self.slots), self._spread(often), self.sizes[often]
+        self._forget()
+        if len(ids) <= 4 * self.limit:
+            self.slots.update((units[k], slot) for slot, k in enumerate(often.tolist()))
+            self._keep(np.arange(len(often)), ids, sizes)
 
     def _encode_joined(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces that the library reads many at a time, and how many each has.
@@ -119,7 +131,8 @@ class Encoder:
         """
         blocks = [units[i : i + _JOINED] for i in range(0, len(units), _JOINED)]
         if self.blanks:
-            joined = ["".join(map(_with_blank, block)) for block in blocks]
+            joined = [" " + " ".join(block).replace(" \n", "\n") for block in blocks]
+            joined = [text[1:] if block[0][0] == "\n" else text for text, block in zip(joined, blocks, strict=True)]
         else:
             joined = [f"{_BETWEEN} " + f" {_BETWEEN} ".join(block) for block in blocks]
         found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
@@ -134,6 +147,7 @@ class Encoder:
         while len(self.slots) > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+            self.met = np.concatenate([self.met, np.zeros_like(self.met)])
 
     def _keep(self, slots: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         self._room(len(ids))
@@ -165,7 +179,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and how many each text has."""
         if len(self.slots) > self.limit or self.used > 8 * self.limit:
-            self._forget()
+            self._thin()
         units, counts = [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
             found = self.split(text) if text else []
@@ -173,6 +187,7 @@ class Encoder:
             units += found
         slot = np.fromiter(map(self.slots.__getitem__, units), np.int64, len(units))
         self._learn()
+        self.met[: len(self.slots)] += np.bincount(slot, minlength=len(self.slots)).astype(np.int32)
         ids = self._spread(slot)
         upto = np.cumsum(self.sizes[slot], dtype=np.int64)
         edges = np.concatenate([[0], upto])[np.concatenate([[0], np.cumsum(counts)])]
