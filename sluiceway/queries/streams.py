@@ -251,7 +251,7 @@ def _halves(df: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
     f"SELECT {BILL_FIELDS}, consumption_value IS NULL AS is_rescued FROM in_bills",
 )
 def stream_reordered_csv(inputs):
-    run = landing(inputs, max_files=3)
+    run = landing(inputs, max_files=8)
     first, second = _halves(bill_texts(inputs), "customer_name")
     for part in (first, second.select(*reversed(schemas.BILLS.names))):
         landed_csv(part, f"{run.landing}/billing_customer")
@@ -325,7 +325,7 @@ LANDED = {
     ),
 )
 def landing_rule_counts(inputs):
-    run = landing(inputs, max_files=2)
+    run = landing(inputs, max_files=8)
     firmware = F.when(F.col("reading_type") == "flow", F.lit("1"))
     sources = {
         "billing_customer": _halves(bill_texts(inputs), "customer_name"),

@@ -85,13 +85,15 @@ def _has_unknown(text: Column, kind: DataType) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
-def declared_fields(record: Column, schema: StructType) -> tuple[Column, Column]:
-    """The declared fields of a JSON record, as a struct, and what is left of it.
+def with_declared_fields(df: DataFrame, record: str, schema: StructType) -> DataFrame:
+    """Add the declared fields of a JSON record, as the struct ``_parsed``, and what is left of it, as ``_left``.
 
     What is left is the whole record if it is no JSON object or a declared field does not fit its type, else the
     fields that are not declared, else NULL. A nested field that is not declared leaves its whole branch.
     """
-    fields, parsed = F.from_json(record, "map<string,string>"), F.from_json(record, schema)
+    read = {"_fields": F.from_json(record, "map<string,string>"), "_parsed": F.from_json(record, schema)}
+    df = df.withColumns(read)  # columns, so that each text is read twice and not once for every use
+    fields, parsed, record = F.col("_fields"), F.col("_parsed"), F.col(record)
     misfit = fields.isNull()
     branches = F.lit(False)
     unknown = F.map_filter(fields, lambda name, _: ~name.isin(schema.names))
@@ -103,15 +105,14 @@ def declared_fields(record: Column, schema: StructType) -> tuple[Column, Column]
             kept = F.when(branch, F.map_from_arrays(F.array(F.lit(field.name)), F.array(fields[field.name])))
             unknown = F.map_concat(unknown, F.coalesce(kept, F.create_map().cast("map<string,string>")))
     rescue = F.when(record.isNotNull() & F.coalesce(misfit, F.lit(True)), record).when(F.size(unknown) > 0, F.to_json(unknown))
-    return parsed, rescue
+    return df.withColumn("_left", rescue).drop("_fields")
 
 
 def json_lines(spark: SparkSession, path: str, schema: StructType, stream: bool = False, max_files: int | None = None) -> DataFrame:
     reader = spark.readStream if stream else spark.read
     reader = _limited(reader, max_files if stream else None).option("recursiveFileLookup", True)
     lines = reader.text(path).where("trim(value) <> ''")
-    parsed, rescue = declared_fields(F.col("value"), schema)
-    return lines.select(parsed.alias("_record"), rescue.alias(RESCUE)).select("_record.*", RESCUE)
+    return with_declared_fields(lines, "value", schema).select("_parsed.*", F.col("_left").alias(RESCUE))
 
 
 def invoice_pages(
@@ -139,11 +140,12 @@ def invoice_pages(
             F.posexplode(F.coalesce("_page.data", unreadable)).alias("_at", "_record"),
         )
     )
-    parsed, rescue = declared_fields(F.col("_record"), record)
+    pages = with_declared_fields(pages, "_record", record)
+    rescue = F.col("_left")
     first = F.when(F.col("_at") == 0, F.when(F.size("_beside") > 0, F.to_json("_beside")))
     both = F.when(first.isNotNull() | rescue.isNotNull(), F.concat_ws("\n", first, rescue))
     whole = F.when(F.col("_record").isNull(), F.col("value"))
-    return pages.select(F.coalesce(whole, both).alias(RESCUE), SOURCE_FILE, parsed.alias("_parsed")).select(RESCUE, SOURCE_FILE, "_parsed.*")
+    return pages.select(F.coalesce(whole, both).alias(RESCUE), SOURCE_FILE, "_parsed.*")
 
 
 def stored_files(spark: SparkSession, path: str, schema: StructType | None = None, stream: bool = False) -> DataFrame:
