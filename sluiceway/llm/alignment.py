@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds join documents to test items, Smith-Waterman alignment scores them.
 
-A copy that was edited still shares some short runs of words with its item. The runs of all items are counted over all documents, and
-the rare ones of each item are its seeds. Wherever a document holds a seed, the place where the whole item would lie is
-aligned to the item word by word; the best local alignment, as a share of the item's perfect score, tells copies from chance.
+A copy that was edited still shares some short runs of words with its item. All runs of the items are seeds, counted over all
+documents. Wherever a document holds a rare seed, the place where the whole item would lie is aligned to the item word by word; a
+place with common seeds only is aligned if it holds enough of the item's words to reach the least score at all. The best local
+alignment, as a share of the item's perfect score, tells copies from chance.
 """
 
 from __future__ import annotations
@@ -51,8 +52,9 @@ class _Finder:
         self.marks = np.zeros(1 << self.BITS, bool)
         self.marks[known & ((1 << self.BITS) - 1)] = True
 
-    def of(self, part: pa.RecordBatch) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray]:
-        """The words of each document; and of every seed in them its document, first word and place among the seeds."""
+    def of(self, part: pa.RecordBatch) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The words of each document, and the hashes of them all; and of every seed in them its document, first word and place
+        among the seeds."""
         words = [normal_words(t) for t in texts_of(part)]
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
         flat = self.hashes.of([w for own in words for w in own])
@@ -71,7 +73,7 @@ class _Finder:
             starts.append(at - np.where(doc > 0, ends[doc - 1], 0))
             seeds.append(place)
         none = [np.zeros(0, np.int64)]
-        return words, *(np.concatenate(x + none) for x in (docs, starts, seeds))
+        return words, flat.view(np.int64), *(np.concatenate(x + none) for x in (docs, starts, seeds))
 
 
 def _frequencies(known: np.ndarray, lengths: list[int]):
@@ -82,7 +84,7 @@ def _frequencies(known: np.ndarray, lengths: list[int]):
         for batch in batches:
             total = np.zeros(len(known), np.int64)
             for part in chunks(batch, "text"):
-                _, doc, _, seed = finder.of(part)
+                _, _, doc, _, seed = finder.of(part)
                 pairs = np.unique(doc * len(known) + seed)
                 total += np.bincount(pairs % max(1, len(known)), minlength=len(known))
             seen = np.flatnonzero(total)
@@ -91,37 +93,94 @@ def _frequencies(known: np.ndarray, lengths: list[int]):
     return count
 
 
+class _Bags:
+    """How often each item holds each of its words: the most that an alignment can match."""
+
+    def __init__(self, items: np.ndarray, words: np.ndarray):
+        self.items, number = np.unique(items, return_inverse=True)
+        self.words, word = np.unique(words, return_inverse=True)
+        self.keys, self.counts = np.unique(number * len(self.words) + word, return_counts=True)
+
+    def shared(self, flat: np.ndarray, begin: np.ndarray, end: np.ndarray, items: np.ndarray) -> np.ndarray:
+        """How many words, with repeats, each stretch of ``flat`` has in common with its item."""
+        total, widths = np.zeros(len(begin), np.int64), end - begin
+        number = np.searchsorted(self.items, items)
+        ends = np.cumsum(widths)
+        low = 0
+        while low < len(begin):
+            high = max(low + 1, int(np.searchsorted(ends, ends[low] - widths[low] + _CELLS, "right")))
+            own = np.repeat(np.arange(low, high), widths[low:high])
+            at = begin[own] + np.arange(len(own)) - (ends - widths)[own] + (ends - widths)[low]
+            word = np.minimum(np.searchsorted(self.words, flat[at]), len(self.words) - 1)
+            key = number[own] * len(self.words) + word
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            known = (self.words[word] == flat[at]) & (self.keys[place] == key)
+            pairs, n = np.unique(own[known] * len(self.keys) + place[known], return_counts=True)
+            np.add.at(total, pairs // len(self.keys), np.minimum(n, self.counts[pairs % len(self.keys)]))
+            low = high
+        return total
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = WordHashes()
+    for batch in batches:
+        words = [hashes.of(normal_words(t)).view(np.int64) for t in texts_of(batch, "item_text")]
+        items = np.repeat(batch["item_id"].to_numpy(zero_copy_only=False), [len(w) for w in words])
+        flat = np.concatenate([np.zeros(0, np.int64), *words])
+        yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(flat)], names=["item_id", "word"])
+
+
 _PLACES = "doc_id bigint, item_id bigint, word_start bigint, words array<string>"
 
 
-def _candidates(seeds: np.ndarray, items: np.ndarray, places: np.ndarray, sizes: np.ndarray, lengths: list[int]):
-    """For each place of a document where an item would lie by its seeds: the words there, with a margin."""
+def _candidates(
+    seeds: np.ndarray, items: np.ndarray, places: np.ndarray, sizes: np.ndarray, rare: np.ndarray, lengths: list[int], bags: _Bags, least: float
+):
+    """For each place of a document where an item would lie by its seeds: the words there, with a margin.
+
+    Places without a rare seed need as many words of the item as an alignment of score ``least`` matches.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, first, number = np.unique(seeds, return_index=True, return_counts=True)
         finder = _Finder(known, lengths)
         for batch in batches:
             for part in chunks(batch, "text"):
-                words, doc, at, seed = finder.of(part)
-                n = number[seed]
-                entry = np.repeat(first[seed] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                doc, start = np.repeat(doc, n), np.repeat(at, n) - places[entry]
-                item, size = items[entry], sizes[entry]
-                margin = np.maximum(4, size // 4)
-                order = np.lexsort((start, item, doc))
-                doc, start, item, size, margin = (x[order] for x in (doc, start, item, size, margin))
-                new = np.ones(len(start), bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > margin[1:])
-                group = np.flatnonzero(new)
-                last = np.append(group[1:], len(start)) - 1
-                doc_ids, rows = part["doc_id"].to_pylist(), []
-                for g, e in zip(group.tolist(), last.tolist(), strict=False):
-                    a = max(0, int(start[g] - margin[g]))
-                    rows.append((doc_ids[doc[g]], int(item[g]), a, words[doc[g]][a : int(start[e] + size[g] + margin[g])]))
-                if rows:
-                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string())]
-                    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "word_start", "words"])
+                words, flat, docs, ats, found = finder.of(part)
+                doc_ids = part["doc_id"].to_pylist()
+                lengths_of = np.fromiter(map(len, words), np.int64, len(words))
+                begins = np.cumsum(lengths_of) - lengths_of
+                # Some documents at a time, so that seeds of many items take bounded memory.
+                entries = np.bincount(docs, number[found], len(words)).cumsum() // _CELLS
+                step = entries.astype(np.int64)[docs]
+                for k in np.unique(step).tolist():
+                    doc, at, seed = docs[step == k], ats[step == k], found[step == k]
+                    n = number[seed]
+                    entry = np.repeat(first[seed] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    doc, start = np.repeat(doc, n), np.repeat(at, n) - places[entry]
+                    item, size, straight = items[entry], sizes[entry], rare[entry]
+                    margin = np.maximum(4, size // 4)
+                    order = np.lexsort((start, item, doc))
+                    doc, start, item, size, margin, straight = (x[order] for x in (doc, start, item, size, margin, straight))
+                    new = np.ones(len(start), bool)
+                    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > margin[1:])
+                    group = np.flatnonzero(new)
+                    last = np.append(group[1:], len(start)) - 1
+                    straight, least_size = np.logical_or.reduceat(straight, group), np.minimum.reduceat(size, group)
+                    doc, item, size, margin = (x[group] for x in (doc, item, size, margin))
+                    a = np.maximum(0, start[group] - margin)
+                    b = np.minimum(lengths_of[doc], start[last] + size + margin)
+                    asked = np.flatnonzero(~straight)
+                    shared = bags.shared(flat, (begins[doc] + a)[asked], (begins[doc] + b)[asked], item[asked])
+                    straight[asked] = shared / least_size[asked] >= least
+                    rows = [
+                        (doc_ids[d], i, x, words[d][x:y])
+                        for d, i, x, y in zip(*(v[straight].tolist() for v in (doc, item, a, b)), strict=True)
+                    ]
+                    if rows:
+                        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string())]
+                        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "word_start", "words"])
 
     return find
 
@@ -177,9 +236,9 @@ def contaminated(
 
     ``score`` is the best local alignment of the item to a place in the document, as a share of the perfect score, at least
     ``least``; words are runs of letters, digits and underscores in lower case; ``word_end`` is how many words of the document
-    lie before the end of the best place (the first of several). Seeds are runs of ``run`` words, or all words of a shorter item; those
-    that at most ``rare`` documents hold, and of each item the rarer half whatever their number, so that an item copied
-    into very many documents keeps seeds. Null and empty texts hold nothing and are held nowhere; items without id are left out; documents
+    lie before the end of the best place (the first of several). Seeds are all runs of ``run`` words, or all words of a shorter item.
+    Those that at most ``rare`` documents hold lead to an alignment by one hit; the others too, unless the place has fewer words in
+    common with the item than a score of ``least`` takes, so that ``rare`` changes the cost and not the result. Null and empty texts hold nothing and are held nowhere; items without id are left out; documents
     without id are reported as one, under null; repeated rows count once. Other columns are not read. Empty tables give no rows.
 
     ``seeds_at_once`` bounds what goes to every task; more seeds go in several passes over ``docs``.
@@ -200,13 +259,15 @@ def contaminated(
         counted = found if counted is None else counted.union(found)
     frequency = counted.groupBy("seed").agg(F.sum("n").alias("n"))
     by_item = seeds.join(frequency, "seed", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    middle = F.percentile_approx("n", 0.5).over(Window.partitionBy("item_id"))
-    chosen = stored(by_item.filter("n > 0").withColumn("middle", middle).filter((F.col("n") <= rare) | (F.col("n") <= F.col("middle"))).select(seeds.columns))
+    chosen = stored(by_item.filter("n > 0").withColumn("rare", F.col("n") <= rare).select(*seeds.columns, "rare"))
+    bag = stored(wanted.mapInArrow(_words, "item_id bigint, word bigint"))
     places = None
     for part in passes(chosen):
         own = part.orderBy("seed", "item_id", "place").toPandas()
         arrays = (own[c].to_numpy(np.int64) for c in ("seed", "item_id", "place", "size"))
-        found = known.mapInArrow(_candidates(*arrays, lengths), _PLACES)
+        held = bag.join(part.select("item_id").distinct(), "item_id", "left_semi").toPandas()
+        bags = _Bags(held["item_id"].to_numpy(np.int64), held["word"].to_numpy(np.int64))
+        found = known.mapInArrow(_candidates(*arrays, own["rare"].to_numpy(bool), lengths, bags, least), _PLACES)
         places = found if places is None else places.union(found)
     pairs = stored(places).join(wanted, "item_id")
     scored = pairs.mapInArrow(_aligned, "doc_id bigint, item_id bigint, score double, word_end bigint").filter(F.col("score") >= least)

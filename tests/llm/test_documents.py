@@ -223,6 +223,27 @@ def test_exact_edited_and_absent_items(session, docs, rows):
     assert rows(contaminated(docs(texts), items(session, []))) == []
 
 
+@pytest.mark.parametrize("at_once", [1_000_000, 40])
+def test_half_and_edited_copies_of_a_hot_item(session, docs, rows, at_once):
+    draw = random.Random(9)
+    item = [f"t{j}" if j % 3 else f"w{draw.randrange(40)}" for j in range(40)]
+    texts = [(i, f"{prose(draw, 5)} {' '.join(item[:21])} {prose(draw, 5)}") for i in range(150)]
+    texts += [(200 + i, " ".join(item)) for i in range(20)]
+    for i in range(120):
+        words = [f"w{draw.randrange(40)}" if draw.random() < 0.22 else w for w in item]
+        texts.append((300 + i, f"{prose(draw, 6, 40)} {' '.join(words)} {prose(draw, 6, 40)}"))
+    texts += [(500 + i, f"{prose(draw, 9, 40)} {' '.join(item[:draw.randint(4, 19)])} {prose(draw, 9, 40)}") for i in range(120)]
+    runs = {tuple(item[j : j + 4]) for j in range(37)}
+    expected = []
+    for i, t in texts:
+        words = t.split()
+        if any(tuple(words[j : j + 4]) in runs for j in range(len(words) - 3)) and (score := plain_alignment(item, words)) >= 40:
+            expected.append((i, 0, score / 80))
+    found = contaminated(docs(texts).repartition(3), items(session, [(0, " ".join(item)), (1, prose(draw, 30, 40))]), seeds_at_once=at_once)
+    assert rows(found, "doc_id", "item_id", "score") == sorted(expected, key=repr)
+    assert {*range(150), *range(200, 220)} < {i for i, *_ in expected} and sum(300 <= i < 500 for i, *_ in expected) > 60
+
+
 # The pipeline
 
 
