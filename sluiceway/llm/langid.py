@@ -69,13 +69,32 @@ class Model:
     weights: np.ndarray
     longest: int
 
-    def decisions(self, texts: list[str], presence: Presence) -> np.ndarray:
+    def decisions(self, texts: list[str], presence: Presence) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The decisions on each text, the share of its n-grams that any landmark holds, and how many it has."""
         rows = np.zeros((len(texts), len(self.columns)), np.float32)
         sizes = np.zeros(len(texts), np.float32)
         for i, text in enumerate(texts):
             rows[i], sizes[i] = presence.row(text, self.columns)
+        return self._decided(rows, sizes)
+
+    def decisions_of(self, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``decisions``, of texts given by their n-grams."""
+        return self._decided(_marked(held, self.columns), np.array([len(h) for h in held], np.float32))
+
+    def _decided(self, rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         kernel = (rows @ self.landmarks) / np.sqrt(np.maximum(sizes, 1))[:, None]
-        return kernel @ self.weights
+        return kernel @ self.weights, rows.sum(1) / np.maximum(sizes, 1), sizes
+
+
+def _marked(held: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
+    """Which of ``columns`` each of some sorted arrays of n-grams holds."""
+    rows = np.zeros((len(held), len(columns)), np.float32)
+    for i, own in enumerate(held):
+        at = np.searchsorted(columns, own)
+        hit = at < len(columns)
+        hit[hit] = columns[at[hit]] == own[hit]
+        rows[i, at[hit]] = 1
+    return rows
 
 
 def fit(held: list[np.ndarray], labels: list[str], landmarks_each: int, ridge: float, longest: int) -> Model | None:
@@ -88,12 +107,7 @@ def fit(held: list[np.ndarray], labels: list[str], landmarks_each: int, ridge: f
     columns = np.unique(np.concatenate([held[i] for i in chosen]))
     if not len(columns):
         return None
-    rows = np.zeros((len(held), len(columns)), np.float32)
-    for i, own in enumerate(held):
-        at = np.searchsorted(columns, own)
-        hit = at < len(columns)
-        hit[hit] = columns[at[hit]] == own[hit]
-        rows[i, at[hit]] = 1
+    rows = _marked(held, columns)
     size = np.sqrt(np.maximum([len(h) for h in held], 1)).astype(np.float32)
     landmarks = (rows[chosen] / size[chosen, None]).T
     kernel = (rows @ landmarks / size[:, None]).astype(np.float64)
@@ -114,8 +128,8 @@ def _presence(longest: int):
     return find
 
 
-def train(docs: DataFrame, rows_each: int, rows_most: int, landmarks_each: int, ridge: float, longest: int) -> Model | None:
-    """Fit on ``rows_each`` rows of each label, ``rows_most`` in all: those with the smallest hash of doc_id."""
+def _sample(docs: DataFrame, rows_each: int, rows_most: int, longest: int) -> tuple[list[np.ndarray], list[str]]:
+    """N-grams and labels of ``rows_each`` rows of each label, ``rows_most`` in all: those with the smallest hash of doc_id."""
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     labelled = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     place = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
@@ -124,21 +138,34 @@ def train(docs: DataFrame, rows_each: int, rows_most: int, landmarks_each: int,
     texts = labelled.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "place", "text")
     found = texts.mapInArrow(_presence(longest), "lang string, place int, held binary").orderBy("place", "lang", "held").limit(rows_most)
     sample = found.toPandas()
-    return fit([np.frombuffer(h, np.uint32).astype(np.int64) for h in sample["held"]], list(sample["lang"]), landmarks_each, ridge, longest)
+    return [np.frombuffer(h, np.uint32).astype(np.int64) for h in sample["held"]], list(sample["lang"])
+
+
+def train(docs: DataFrame, rows_each: int, rows_most: int, landmarks_each: int, ridge: float, longest: int) -> Model | None:
+    """Fit on a sample of the labelled rows."""
+    return fit(*_sample(docs, rows_each, rows_most, longest), landmarks_each, ridge, longest)
+
+
+def margins(model: Model, held: list[np.ndarray], least: float, known: float) -> tuple[float, float]:
+    """Least score and least share of known n-grams, lowered to what all but one in a hundred labelled texts reach."""
+    if not held:
+        return least, known
+    found, shares, _ = model.decisions_of(held)
+    return min(least, float(np.quantile((1 + found.max(1)) / 2, 0.01))), min(known, float(np.quantile(shares, 0.01)))
 
 
-def judged(texts: list[str], model: Model | None, presence: Presence | None) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text."""
-    names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+def judged(texts: list[str], model: Model | None, presence: Presence | None) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Language and score of each text, the share of its n-grams that the model knows, and how many it has."""
+    names, scores, shares, sizes = [UNKNOWN] * len(texts), *np.zeros((3, len(texts)))
     lettered = [i for i, t in enumerate(texts) if any(map(str.isalpha, t))] if model else []
     for start in range(0, len(lettered), 128):
         at = lettered[start : start + 128]
-        found = model.decisions([texts[i] for i in at], presence)
+        found, shares[at], sizes[at] = model.decisions([texts[i] for i in at], presence)
         best = found.argmax(1)
         scores[at] = np.clip((1 + found[np.arange(len(at)), best]) / 2, 0, 1)
         for i, b in zip(at, best.tolist(), strict=True):
             names[i] = model.languages[b]
-    return names, scores
+    return names, scores, shares, sizes
 
 
 def _parts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[tuple]:
@@ -154,7 +181,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, names, scores in _parts(batches, shared):
+        for part, names, scores, _, _ in _parts(batches, shared):
             columns = [part["doc_id"], part["held_out"], pa.array(names, pa.string()), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "lang_pred", "score"])
 
@@ -187,21 +214,38 @@ def identified(
     return predict(known, model)
 
 
-def with_language(docs: DataFrame, least: float, rows_each: int = 200, rows_most: int = 4000, landmarks_each: int = 40, ridge: float = 1e-4, longest: int = 3) -> DataFrame:
+def with_language(
+    docs: DataFrame,
+    least: float,
+    rows_each: int = 200,
+    rows_most: int = 4000,
+    landmarks_each: int = 40,
+    ridge: float = 1e-4,
+    longest: int = 3,
+    known: float = 0.0,
+    short: int = 0,
+    clear: float = 0.85,
+) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang) whose text gets a language with a score of at least ``least``, all columns as they are.
 
-    Learnt from the same rows as in ``identified``. Texts that are null or have no letter go; if there is nothing to learn from,
-    all others stay.
+    Of its n-grams, at least the share ``known`` must be such that a landmark holds. A text of fewer than ``short`` n-grams gives
+    the regressions too little to judge by: it stays below ``least`` too if the share is at least ``clear``. Learnt from the same rows
+    as in ``identified``; where a sample of the labelled rows that are held out falls below ``least`` or ``known``, these are lowered
+    to what 99 % of it reach. Texts that are null or have no letter go; if there is nothing to learn from, all others stay.
     """
-    model = train(_learnable(docs).filter("NOT held_out"), rows_each, rows_most, landmarks_each, ridge, longest)
+    learnable = _learnable(docs)
+    model = train(learnable.filter("NOT held_out"), rows_each, rows_most, landmarks_each, ridge, longest)
+    if model:
+        least, known = margins(model, _sample(learnable.filter("held_out"), rows_each, rows_most, longest)[0], least, known)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, names, scores in _parts(batches, shared):
+        for part, names, scores, shares, sizes in _parts(batches, shared):
             if shared.value is None:
                 good = [any(map(str.isalpha, t)) for t in texts_of(part)]
             else:
-                good = [name != UNKNOWN and score >= least for name, score in zip(names, scores.tolist(), strict=True)]
+                accepted = (scores >= least) | ((sizes < short) & (shares >= clear))
+                good = (np.array(names) != UNKNOWN) & accepted & (shares >= known)
             yield part.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

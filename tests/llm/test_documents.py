@@ -60,6 +60,22 @@ def test_language_of_odd_rows(docs, rows):
     assert kept.columns == docs(odd).columns and kept.count() == 4
 
 
+def test_the_pipeline_drops_languages_that_were_not_learnt(session):
+    known = table(session, "/root/testdata/sf0.01", "documents")
+    foreign = [
+        "В начале было слово и слово было у бога и так далее по тексту",
+        "Στην αρχή ήταν ο λόγος και ο λόγος ήταν προς τον θεό",
+        "今天天气很好我们一起去公园散步吧然后去吃饭",
+        "Na początku było słowo a słowo było u Boga i bogiem było słowo wszystko przez nie się stało",
+        "Alussa oli sana ja sana oli jumalan luona ja sana oli jumala kaikki on saanut syntynsä",
+        "nel principio era il verbo e il verbo era presso dio e il verbo era dio",
+    ]
+    rows = [(10**9 + i, t, None, "s", len(t)) for i, t in enumerate(foreign)]
+    whole = known.unionByName(session.createDataFrame(rows, known.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(session, whole, SMALL).collect()}
+    assert kept == {r["doc_id"] for r in known.collect() if any(map(str.isalpha, r["text"] or ""))}
+
+
 # Near-duplicates
 
 
