@@ -229,6 +229,12 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _passes(table: DataFrame, key: str, at_once: int) -> list[DataFrame]:
+    """Parts of about ``at_once`` rows. Seeds of an item stay together, as they make its places; those of a shared phrase do not."""
+    n = max(1, math.ceil(table.count() / at_once))
+    return [table.filter(F.pmod(F.xxhash64(key), F.lit(n)) == i) for i in range(n)]
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, least: float = 0.5, run: int = 4, rare: int = 100, seeds_at_once: int = 1_000_000
 ) -> DataFrame:
@@ -248,12 +254,8 @@ def contaminated(
     seeds = stored(wanted.mapInArrow(_seeds(run), "item_id bigint, seed bigint, place bigint, size bigint"))
     lengths = [r["n"] for r in seeds.select(F.least("size", F.lit(run)).alias("n")).distinct().collect()]
 
-    def passes(table: DataFrame) -> list[DataFrame]:
-        n = max(1, math.ceil(table.count() / seeds_at_once))
-        return [table.filter(F.pmod("seed", F.lit(n)) == i) for i in range(n)]
-
     counted = None
-    for part in passes(seeds.select("seed").distinct()):
+    for part in _passes(seeds.select("seed").distinct(), "seed", seeds_at_once):
         names = np.sort(part.toPandas()["seed"].to_numpy(np.int64))
         found = known.mapInArrow(_frequencies(names, lengths), "seed bigint, n bigint")
         counted = found if counted is None else counted.union(found)
@@ -262,7 +264,7 @@ def contaminated(
     chosen = stored(by_item.filter("n > 0").withColumn("rare", F.col("n") <= rare).select(*seeds.columns, "rare"))
     bag = stored(wanted.mapInArrow(_words, "item_id bigint, word bigint"))
     places = None
-    for part in passes(chosen):
+    for part in _passes(chosen, "item_id", seeds_at_once):
         own = part.orderBy("seed", "item_id", "place").toPandas()
         arrays = (own[c].to_numpy(np.int64) for c in ("seed", "item_id", "place", "size"))
         held = bag.join(part.select("item_id").distinct(), "item_id", "left_semi").toPandas()

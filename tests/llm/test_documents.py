@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from sluiceway.llm import super_kmers
-from sluiceway.llm.alignment import best_alignments, contaminated
+from sluiceway.llm.alignment import _passes, best_alignments, contaminated
 from sluiceway.llm.darts import components, near_duplicates, shingles, signatures, similarity
 from sluiceway.llm.guess_cost import GuessCost, base_spans, guess_spans, ordered
 from sluiceway.llm.langid import identified, with_language
@@ -260,6 +260,12 @@ def test_half_and_edited_copies_of_a_hot_item(session, docs, rows, at_once):
     assert {*range(150), *range(200, 220)} < {i for i, *_ in expected} and sum(300 <= i < 500 for i, *_ in expected) > 60
 
 
+def test_passes_split_a_seed_that_many_items_share(session):
+    chosen = session.range(400).selectExpr("id AS item_id", "7L AS seed", "0 AS place")
+    sizes = [part.count() for part in _passes(chosen, "item_id", 100)]
+    assert sum(sizes) == 400 and max(sizes) < 200
+
+
 # The pipeline
 
 
