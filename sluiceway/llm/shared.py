@@ -21,9 +21,16 @@ def fresh_folder(spark: SparkSession) -> str:
     return scratch(spark)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder and read it back: lost executors cost no recomputation, and its size is known."""
-    return store(df)
+def stored(df: DataFrame, compression: str | None = None) -> DataFrame:
+    """Write a frame to the shared folder and read it back: lost executors cost no recomputation, and its size is known.
+
+    ``compression`` names another codec than the session's, for texts.
+    """
+    if compression is None:
+        return store(df)
+    path = scratch(df.sparkSession)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
