@@ -73,7 +73,7 @@ def test_a_class_holds_its_first_members_and_other_vectors_stay_apart(session):
 
 def test_copies_cross_the_network_as_few_rows(session):
     """Of a class that holds all documents, a map task sends on no more than ``k``."""
-    many = session.range(20_000).select(F.col("id").alias("doc_id"), F.expr("id * 0 + 30 AS m"), F.expr("array(cast(id * 0 AS int)) AS terms"), F.expr("array(id * 0) AS tfs"))
+    many = session.range(20_000).select(F.col("id").alias("doc_id"), F.expr("id div 100000 AS m"), F.expr("array(cast(id div 100000 AS int)) AS terms"), F.expr("array(id div 100000) AS tfs"))
     plan = classes(many, 10)._jdf.queryExecution().executedPlan().toString()
     before_shuffle = plan[plan.index("Exchange hashpartitioning") :]
     assert "WindowGroupLimit" in before_shuffle and plan.count("Exchange hashpartitioning") == 1
