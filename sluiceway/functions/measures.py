@@ -2,9 +2,9 @@
 
 Measures are doubles. A sum of doubles carries noise in its last bits that changes with the
 partitioning, so each value is taken as a decimal of six places, far below a cent, and the sum is exact;
-sums of sums stay exact. Nothing is rounded to cents on the way. Ratios are divided as decimals and
-rounded half up. A value of 10^22 or more stops the job in ANSI mode, Spark's default; a ratio of such
-amounts, or a percentage of amounts of 10^16 or more, is NULL.
+sums of sums stay exact. Nothing is rounded to cents on the way: a ratio or a percentage is rounded
+once, half up, from whole numbers. A value of 10^22 or more stops the job in ANSI mode, Spark's default;
+a percentage of amounts of 10^19 or more is NULL.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql.window import WindowSpec
 from sluiceway.functions.conforming import col
 
 WIDE = "decimal(28,6)"
+AMOUNT = "decimal(25,6)"
 
 
 def total(c: Column | str, over: WindowSpec | None = None) -> Column:
@@ -52,15 +53,22 @@ def ratio(part: Column | str, whole: Column | str, places: int) -> Column:
 
 
 def money_percent(part: Column | str, whole: Column | str, places: int = 2) -> Column:
-    """``part`` as a percentage of ``whole``; both are amounts."""
-    hundredfold = (col(part).try_cast("decimal(18,2)") * 100).cast("decimal(22,2)")
-    return F.round(F.try_divide(hundredfold, col(whole).try_cast("decimal(18,2)")), places).cast("double")
+    """``part`` as a percentage of ``whole``; both are amounts. NULL if ``whole`` is 0.
+
+    The quotient of whole numbers of millionths is taken once, with a half added, so no digit is lost before it is rounded.
+    """
+    part, whole = col(part).try_cast(AMOUNT), col(whole).try_cast(AMOUNT)
+    doubled = F.abs(part) * F.lit(200 * 10**places).cast("decimal(9,0)") + F.abs(whole)
+    steps = F.call_function("div", doubled, F.abs(whole) * F.lit(2).cast("decimal(1,0)"))
+    # The quotient is a long: a share of 10^14 or more is NULL.
+    fits = (whole != 0) & (F.abs(part).cast("double") < F.abs(whole).cast("double") * 1e14)
+    return F.when(fits, F.signum(part) * F.signum(whole) * steps.cast("double") / float(10**places))
 
 
 def percent_of_amount(pct: Column | str, amount: Column | str, places: int = 2) -> Column:
-    """``pct`` percent of ``amount``."""
-    product = col(pct).try_cast("decimal(12,2)") * col(amount).try_cast("decimal(20,2)")
-    return F.round(product / 100, places).cast("double")
+    """``pct`` percent of ``amount``; ``pct`` has two places. The product is exact and rounded once."""
+    product = col(pct).try_cast("decimal(12,2)") * col(amount).try_cast(AMOUNT)
+    return F.round(product, places - 2).cast("double") / 100
 
 
 def traffic_light(c: Column | str, red_below: float, amber_below: float) -> Column:

@@ -210,7 +210,7 @@ LEFT JOIN network_mart n ON n.zone = z.zone_name AND n.month_start_date = m.mont
     "card": f"""
 SELECT *,
        {half_up(micros("total_opex_sgd"), micros("total_consumption_m3"), 2)} AS opex_per_m3,
-       {half_up(cents("overdue_rate_pct") + " * " + cents("total_billed_sgd"), "1000000", 2)} AS revenue_at_risk_sgd,
+       {half_up(cents("overdue_rate_pct") + " * " + micros("total_billed_sgd"), "10000000000", 2)} AS revenue_at_risk_sgd,
        {half_up(micros("total_billed_sgd"), micros("total_opex_sgd"), 2)} AS cost_recovery_ratio,
        {half_up(micros("total_consumption_m3"), "CAST(population_served AS HUGEINT) * 1000000", 4)} AS consumption_per_capita_m3,
        {half_up(micros("total_opex_sgd"), "CAST(population_served AS HUGEINT) * 1000000", 4)} AS opex_per_capita_sgd,

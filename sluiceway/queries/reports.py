@@ -13,7 +13,7 @@ from sluiceway.operators.rules import dq_metrics
 from sluiceway.plans import billing, contractors, dashboard, reports
 from sluiceway.plans.finance import incoming_invoices
 from sluiceway.queries.marts import metrics_sql, profile_sql
-from sluiceway.queries.oracle import cents, half_up
+from sluiceway.queries.oracle import half_up, micros
 from sluiceway.queries.registry import query
 
 # --- dashboard -------------------------------------------------------------
@@ -87,7 +87,7 @@ def spend_rank(inputs):
 
 @query(
     "B-08",
-    f"""SELECT site_zone, project_code, total_spend, {half_up("100 * " + cents("total_spend"), cents("zone_total"), 2)} AS share_pct
+    f"""SELECT site_zone, project_code, total_spend, {half_up("100 * " + micros("total_spend"), micros("zone_total"), 2)} AS share_pct
     FROM (SELECT site_zone, project_code, CAST(sum(CAST(total_spend AS DECIMAL(28,6))) AS DOUBLE) AS total_spend,
                  CAST(sum(sum(CAST(total_spend AS DECIMAL(28,6)))) OVER (PARTITION BY site_zone) AS DOUBLE) AS zone_total
           FROM spend_mart GROUP BY site_zone, project_code)""",
@@ -198,7 +198,7 @@ def reject_spikes(inputs):
 @query(
     "E-07",
     f"""SELECT *, CAST(CAST(current_value AS DECIMAL(28,6)) - CAST(previous_value AS DECIMAL(28,6)) AS DOUBLE) AS change,
-    {half_up("100 * " + cents("current_value - previous_value"), cents("previous_value"), 2)} AS change_pct
+    {half_up("100 * " + micros("current_value - previous_value"), micros("previous_value"), 2)} AS change_pct
     FROM (SELECT zone_name AS zone, month_start_date, total_invoice_spend_sgd AS current_value,
           lag(total_invoice_spend_sgd) OVER (PARTITION BY zone_name ORDER BY month_start_date) AS previous_value FROM card_spend)""",
 )

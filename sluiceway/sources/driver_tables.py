@@ -26,7 +26,8 @@ SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(c_custkey AS STRING) EN
        CAST(CASE WHEN o_orderkey % 83 = 0 THEN NULL WHEN o_orderkey % 47 = 0 THEN -5
             ELSE floor(o_totalprice / 40) END AS DECIMAL(18,2)) AS consumption_value,
        CASE WHEN o_orderkey % 5 = 0 THEN 'l' ELSE 'm3' END AS consumption_unit,
-       CASE WHEN o_orderkey % 79 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS amount_billed,
+       CASE WHEN o_orderkey % 79 = 0 THEN NULL ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) + (o_orderkey % 97) * CAST(0.0001 AS DECIMAL(18,4)) AS DECIMAL(18,4)) END
+           AS amount_billed,
        CASE WHEN o_orderkey % 113 = 0 THEN 'Disputed' WHEN o_orderstatus = 'F' THEN 'Paid' WHEN o_orderstatus = 'P' THEN 'PEND'
             ELSE 'OS' END AS payment_status,
        c_name AS customer_name, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS address,

@@ -1,5 +1,6 @@
 """Plans of the registered queries: what reaches the scan, what is joined how."""
 
+from sluiceway.functions.measures import money_percent, percent_of_amount
 from sluiceway.plans import scorecard
 from sluiceway.queries import QUERIES
 from tests.conftest import SMALL
@@ -66,3 +67,17 @@ def test_lines_cross_the_network_once_for_the_category_mart(spark):
 def test_orders_without_a_zone_go_at_the_join(spark):
     plan = plan_of(spark, "works_orders")
     assert "Inner, BuildRight" in plan and "LeftOuter" not in plan
+
+
+def test_amounts_are_rounded_once(spark):
+    rows = [
+        (50.0, 1234.565, 617.28), (33.33, 1e15, 333300000000000.0), (12.35, 0.1, 0.01), (0.0, 5.0, 0.0), (None, 5.0, None), (250.0, -0.014, -0.04),
+    ]
+    got = spark.createDataFrame([r[:2] for r in rows], "pct double, amount double").select(percent_of_amount("pct", "amount")).collect()
+    assert [r[0] for r in got] == [r[2] for r in rows]
+    shares = [
+        (0.004, 0.016, 25.0), (1.0, 3.0, 33.33), (2.0, 3.0, 66.67), (-2.0, 3.0, -66.67), (2.0, -3.0, -66.67), (1.0, 0.0, None), (None, 1.0, None), (1.0, None, None),
+        (0.123450, 1.0, 12.35), (0.123449, 1.0, 12.34), (1e18, 1e-6, None), (4.9e18, 9.8e18, 50.0), (0.0, 7.0, 0.0),
+    ]
+    got = spark.createDataFrame([r[:2] for r in shares], "part double, whole double").select(money_percent("part", "whole")).collect()
+    assert [r[0] for r in got] == [r[2] for r in shares]
