@@ -51,6 +51,46 @@ def versions(
     )
 
 
+def daily_rows(df: DataFrame, key: str, period: str, columns: Sequence[str]) -> DataFrame:
+    """One row per key and day, as ``versions`` takes them: ``key, day, now``; on equal days the greater values win."""
+    return df.groupBy(key, F.col(period).alias("day")).agg(F.max(F.struct(*columns)).alias("now"))
+
+
+def dated_versions(daily: DataFrame, key: str) -> DataFrame:
+    """Type 2 history that can take later deliveries: each version also holds the ``days`` of its snapshots.
+
+    ``daily`` is of ``daily_rows``. The windows and arrays hold at most one entry a day for a key.
+    """
+    by_day = Window.partitionBy(key).orderBy("day")
+    opens = (F.row_number().over(by_day) == 1) | ~F.col("now").eqNullSafe(F.lag("now").over(by_day))
+    numbered = daily.withColumn("opens", opens).withColumn("number", F.sum(F.col("opens").cast("int")).over(by_day))
+    spans = numbered.groupBy(key, "number").agg(
+        F.max("now").alias("now"), F.sort_array(F.collect_list(F.struct("day"))).alias("days")
+    )
+    following = F.lead(F.element_at("days", 1)["day"]).over(Window.partitionBy(key).orderBy("number"))
+    return spans.select(
+        key,
+        "now.*",
+        F.element_at("days", 1)["day"].alias("effective_from"),
+        F.date_sub(following, 1).alias("effective_to"),
+        F.date_sub(following, 1).isNull().alias("is_current"),
+        F.col("days.day").alias("days"),
+    )
+
+
+def merge_versions(stored: DataFrame, daily: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Stored ``dated_versions`` with a delivery of ``daily_rows`` merged in; the result is what all days together give.
+
+    A new last day closes the open version or lengthens it; a late day splits the version it falls into, moves a boundary, or joins two
+    equal neighbours. Only keys that the delivery names are taken apart into days; the others pass as they are.
+    """
+    named = daily.select(F.col(key).alias("_named")).distinct()
+    same = F.col(key) == F.col("_named")
+    theirs = stored.join(named, same, "left_semi").select(key, F.explode("days").alias("day"), F.struct(*columns).alias("now"))
+    days = theirs.unionByName(daily.select(key, "day", "now")).groupBy(key, "day").agg(F.max("now").alias("now"))
+    return stored.join(named, same, "left_anti").unionByName(dated_versions(days, key))
+
+
 def version_faults(df: DataFrame, key: str) -> DataFrame:
     """Keys whose history is broken: not one current version, overlapping spans, or from > to.
 

@@ -108,3 +108,18 @@ def billing_by_zone_month(consumption: DataFrame) -> DataFrame:
         .withColumn("overdue_rate_pct", percent("overdue_count", "total_accounts"))
     )
     return enforce(mart, config.BILLING_MART)
+
+
+def mart_of_parts(parts: DataFrame, accounts: DataFrame) -> DataFrame:
+    """The same mart from sums per zone and month, and from counts of distinct accounts (``total_accounts``) beside them."""
+    zone, month = F.col("service_zone").eqNullSafe(F.col("_zone")), F.col("month_start_date").eqNullSafe(F.col("_month"))
+    counted = accounts.select(F.col("service_zone").alias("_zone"), F.col("month_start_date").alias("_month"), "total_accounts")
+    mart = parts.join(counted, zone & month, "left").select(
+        "service_zone",
+        "month_start_date",
+        F.col("consumption").cast("double").alias("total_consumption"),
+        F.col("billed").cast("double").alias("total_billed"),
+        F.coalesce("total_accounts", F.lit(0)).alias("total_accounts"),
+        F.col("overdue").alias("overdue_count"),
+    )
+    return enforce(mart.withColumn("overdue_rate_pct", percent("overdue_count", "total_accounts")), config.BILLING_MART)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sluiceway import config
 from sluiceway.config import Settings
 from sluiceway.functions import conforming as c
-from sluiceway.functions.measures import mean_of_parts, percent, total
+from sluiceway.functions.measures import WIDE, mean_of_parts, percent, total
 from sluiceway.operators import history, resolve
 from sluiceway.operators.dedup import flag_duplicates
 from sluiceway.operators.quarantine import FIRST, quarantine
@@ -67,6 +67,12 @@ def telemetry_of_valid(valid: DataFrame, locations: DataFrame, settings: Setting
     return joined.withColumn("zone_is_uncertain", resolve.zone_uncertain()).select(*READING)
 
 
+def with_zone_doubt(flagged: DataFrame, locations: DataFrame) -> DataFrame:
+    """Readings whose duplicates are flagged already, as published: month and uncertain-zone flag added."""
+    joined = flagged.withColumn("month_start_date", c.month_start("reading_ts")).join(locations, "location_id", "left")
+    return joined.withColumn("zone_is_uncertain", resolve.zone_uncertain()).select(*READING)
+
+
 def telemetry_quarantine(bronze: DataFrame, settings: Settings, source: str = "bronze.sensor_readings") -> DataFrame:
     return quarantine(parsed_readings(bronze), config.READING_HARD, settings.processed_at, FIRST, source)
 
@@ -75,6 +81,44 @@ def telemetry_dq(readings: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return dq_metrics(readings, config.READING_SOFT, "network_telemetry", by)
 
 
+#: Sums and counts that later readings add to; see ``reading_parts``.
+PARTS = (
+    "location_id string, month_start_date date, zone string, pressure_sum decimal(38,6), pressure_count bigint, "
+    "flow_sum decimal(38,6), flow_count bigint, all_count bigint, fresh_count bigint"
+)
+PART_KEY = ["location_id", "month_start_date", "zone"]
+PART_SUMS = ["pressure_sum", "pressure_count", "flow_sum", "flow_count", "all_count", "fresh_count"]
+
+
+def reading_parts(rows: DataFrame) -> DataFrame:
+    """What readings add per location, month and zone they name.
+
+    ``counted`` is 1 for a reading that is new, 0 for one that was counted before; ``fresh`` is 1 for a first reading, 0 for a
+    duplicate, and -1 for one that has become a duplicate, whose value is taken off again.
+    """
+
+    def sums(kind: str) -> list:
+        value = F.when(F.col("reading_type") == kind, F.col("reading_value").cast(WIDE))
+        signed = F.when(F.col("fresh") > 0, value).when(F.col("fresh") < 0, -value)
+        counted = F.when(value.isNotNull(), F.col("fresh")).otherwise(0)
+        return [F.coalesce(F.sum(signed), F.lit(0)).cast("decimal(38,6)").alias(f"{kind}_sum"), F.sum(counted).alias(f"{kind}_count")]
+
+    everything = [F.sum("counted").alias("all_count"), F.sum("fresh").alias("fresh_count")]
+    return rows.groupBy(*PART_KEY).agg(*sums("pressure"), *sums("flow"), *everything)
+
+
+def per_location_of_parts(parts: DataFrame, locations: DataFrame) -> DataFrame:
+    """The same as over readings: which of them are uncertain follows from the zone they name and the location's zone now."""
+    joined = parts.join(locations.where("resolved_zone IS NOT NULL"), "location_id")
+    doubt = resolve.zone_uncertain()
+    return joined.select(
+        *[c for c in parts.columns if c not in PART_KEY], "month_start_date", "is_ambiguous",
+        F.when(doubt, 0).otherwise(F.col("fresh_count")).alias("reliable_count"),
+        F.when(doubt, F.col("all_count")).otherwise(0).alias("uncertain_count"),
+        F.col("resolved_zone").alias("zone"),
+    )
+
+
 def _per_location(readings: DataFrame, locations: DataFrame) -> DataFrame:
     """Partial sums and counts per location and month, with the location's zone.
 
@@ -104,9 +148,12 @@ def network_health(readings: DataFrame, locations: DataFrame) -> DataFrame:
 
     Trust is that of the location: a reading that names another zone still counts.
     """
+    return health_of_parts(_per_location(readings, locations.where("NOT is_ambiguous")))
+
+
+def health_of_parts(parts: DataFrame) -> DataFrame:
     mart = (
-        _per_location(readings, locations.where("NOT is_ambiguous"))
-        .where("fresh_count > 0")
+        parts.where("fresh_count > 0")
         .groupBy("zone", "month_start_date")
         .agg(
             mean_of_parts("pressure_sum", "pressure_count").alias("avg_pressure"),
@@ -119,9 +166,12 @@ def network_health(readings: DataFrame, locations: DataFrame) -> DataFrame:
 
 def network_diagnostic(readings: DataFrame, locations: DataFrame) -> DataFrame:
     """All readings of resolved locations, with how many of them can be relied on."""
+    return diagnostic_of_parts(_per_location(readings, locations))
+
+
+def diagnostic_of_parts(parts: DataFrame) -> DataFrame:
     mart = (
-        _per_location(readings, locations)
-        .groupBy("zone", "month_start_date")
+        parts.groupBy("zone", "month_start_date")
         .agg(
             mean_of_parts("pressure_sum", "pressure_count").alias("avg_pressure"),
             mean_of_parts("flow_sum", "flow_count").alias("avg_flow"),

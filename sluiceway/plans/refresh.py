@@ -15,6 +15,7 @@ from sluiceway.operators.layout import cluster_rows, gather_rows
 from sluiceway.operators.quarantine import bad_rows, good_rows, with_verdict
 from sluiceway.operators.rules import DROP, Rule, metric_rows, observe, with_action
 from sluiceway.plans import billing, contractors, finance, network, scorecard
+from sluiceway.sources.tables import refuse_other_owner
 
 METRICS = "dataset string, rule string, action string, passed long, failed long"
 
@@ -54,6 +55,7 @@ class Lake:
         partition_by: Sequence[str] = (),
     ) -> DataFrame:
         path = f"{self.base}/{name.replace('.', '/')}"
+        refuse_other_owner(df.sparkSession, path, streamed=False)
         placed = gather_rows(df, cluster_by, df.columns, self.lanes) if gather else cluster_rows(df, cluster_by, df.columns)
         if rule_set:
             placed, observation = observe(placed, rule_set)
@@ -157,20 +159,6 @@ def publish_scorecard(lake: Lake, zones: DataFrame, marts: scorecard.Marts, sett
     return lake.publish("gold.zone_performance_monthly", built, ["zone_name", "month_start_date"], config.SCORECARD)
 
 
-def stored_marts(spark: SparkSession, base: str) -> scorecard.Marts:
-    """The four marts as they stand below ``base``."""
-
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{base}/gold/{name}")
-
-    return scorecard.Marts(
-        billing=read("billing_by_zone_month"),
-        spend=read("spend_by_zone_month"),
-        contractor=read("contractor_by_zone_month"),
-        network=read("network_health_diagnostic_by_zone_month"),
-    )
-
-
 def keep_metrics(lake: Lake, spark: SparkSession, settings: Settings) -> DataFrame:
     """Append the run's rule counts to the history for spike reports."""
     stamp = F.lit(settings.processed_at).cast("timestamp")

@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 from sluiceway import config
 from sluiceway.operators.quarantine import bad_rows, good_rows
 from sluiceway.operators.rules import DROP, enforce, keep_valid, with_action
-from sluiceway.plans import contractors, finance, network
+from sluiceway.plans import contractors, finance
 from sluiceway.queries.oracle import BILL_FIELDS, INVOICE_OK, LINE_OK, PROCESSED, WORKS_OK, all_hold, all_reasons
 from sluiceway.queries.registry import SETTINGS, query
 from sluiceway.sources import files, schemas
 from sluiceway.sources.schemas import RESCUE
 from sluiceway.sources.tables import scratch, store
 from sluiceway.streaming import flows
+from sluiceway.streaming.gold import BillingSteps, DetailsSteps, GoldRun
 from sluiceway.streaming.landing import Landing
-from sluiceway.streaming.silver import Silver, TelemetryRun
+from sluiceway.streaming.silver import Silver
+from sluiceway.streaming.telemetry import TelemetryRun
 
 
 def landed_csv(df: DataFrame, path: str | None = None) -> str:
@@ -179,26 +181,46 @@ def deliver_bronze(base: str, table: str, df: DataFrame, number: int) -> None:
     df.write.parquet(f"{base}/bronze/{table}/_batch={number}")
 
 
-def _silver_after_two_deliveries(inputs, run, lines_only: bool = False) -> list:
-    """``run`` after each of two deliveries of all bronze tables; returns what the second gives."""
-    base = scratch(inputs.spark)
+def _bronze_tables(inputs) -> dict[str, DataFrame]:
+    """All bronze tables as landing leaves them."""
     vendor = F.struct(F.col("vendor.id").cast("string").alias("id"), F.col("vendor.name").alias("name"))
-    records = inputs.invoice_records().withColumn("vendor", vendor).withColumn(files.SOURCE_FILE, F.concat(F.lit("page"), F.pmod(F.xxhash64("line_items"), F.lit(9))))
-    if lines_only:  # with those that name no invoice
-        records = inputs.invoice_line_records()
+    page = F.concat(F.lit("page"), F.pmod(F.xxhash64("line_items"), F.lit(9)))
+    records = inputs.invoice_records().withColumn("vendor", vendor).withColumn(files.SOURCE_FILE, page)
     readings = files.with_row_id(inputs.readings().drop("seq").withColumns({c: F.col(c).cast("string") for c in ("sensor_id", "location_id")}))
-    sources = {
-        "finance_invoices_raw": _halves(records, records.columns[0]),
-        "sensor_readings": _halves(readings, "timestamp"),
-        **{f"works_orders_{name[-1]}": _halves(df, df.columns[0]) for name, df in inputs.works_orders().items()},
+    return {
+        "billing_customer": inputs.bills(),
+        "finance_invoices_raw": records,
+        "sensor_readings": readings,
+        **{f"works_orders_{name[-1]}": df for name, df in inputs.works_orders().items()},
     }
-    for number in (0, 1):
-        for table, parts in sources.items():
-            deliver_bronze(base, table, parts[number], number)
+
+
+def _after_deliveries(inputs, run, tables: dict[str, DataFrame], splits: dict[str, list]):
+    """``run`` after each delivery of bronze tables, ``splits`` giving the condition of each one's rows; returns what the last gives."""
+    base = scratch(inputs.spark)
+    stored = {name: store(df) for name, df in tables.items()}
+    for number in range(len(next(iter(splits.values())))):
+        for table, conditions in splits.items():
+            deliver_bronze(base, table, stored[table].where(conditions[number]), number)
         result = run(base)
     return result
 
 
+def _thirds(column: str) -> list:
+    """Three deliveries by a hash, so that rows of any key and month are spread over all of them."""
+    return [F.pmod(F.xxhash64(column), F.lit(3)) == n for n in range(3)]
+
+
+def _silver_after_two_deliveries(inputs, run, lines_only: bool = False) -> list:
+    """``run`` after each of two deliveries of all bronze tables; returns what the second gives."""
+    tables = {n: df for n, df in _bronze_tables(inputs).items() if n != "billing_customer"}
+    if lines_only:  # with those that name no invoice
+        tables["finance_invoices_raw"] = inputs.invoice_line_records()
+    keys = {name: "timestamp" if name == "sensor_readings" else df.columns[0] for name, df in tables.items()}
+    half = {name: F.pmod(F.xxhash64(key), F.lit(2)) == 0 for name, key in keys.items()}
+    return _after_deliveries(inputs, run, tables, {name: [test, ~test] for name, test in half.items()})
+
+
 AS_TEXT = "* REPLACE (CAST(vendor_id AS VARCHAR) AS vendor_id)"
 
 
@@ -224,21 +246,88 @@ def incremental_orders(inputs):
 
 
 def _telemetry(inputs, base: str) -> TelemetryRun:
-    run = TelemetryRun(inputs.spark, base, SETTINGS, max_files=4)
+    run = TelemetryRun(inputs.spark, base, SETTINGS, months="yyyy", days="yyyy-MM", buckets=2)
     run.run()
     return run
 
 
-@query("C-07, T-07, M-19: vote counts merged over two runs, no reading read again", "SELECT * REPLACE (CAST(location_id AS VARCHAR) AS location_id) FROM locations")
+def _telemetry_after_three(inputs) -> TelemetryRun:
+    """Each delivery holds readings of all instants, so later ones take the place of first readings of earlier ones."""
+    tables = {"sensor_readings": _bronze_tables(inputs)["sensor_readings"]}
+    return _after_deliveries(inputs, lambda base: _telemetry(inputs, base), tables, {"sensor_readings": _thirds("_row_id")})
+
+
+@query("C-07, T-07, M-19: vote counts merged over three runs, no reading read again", "SELECT * REPLACE (CAST(location_id AS VARCHAR) AS location_id) FROM locations")
 def stream_location_votes(inputs):
-    return _silver_after_two_deliveries(inputs, lambda base: _telemetry(inputs, base)).locations()
+    return _telemetry_after_three(inputs).locations()
 
 
-@query("T-07, M-20, M-29: the short run of the sensors, twice", "SELECT * FROM network_mart")
+@query("T-07, M-29, S-11: the health mart by the months that three runs touch", "SELECT * FROM network_mart")
 def telemetry_run(inputs):
-    run = _silver_after_two_deliveries(inputs, lambda base: _telemetry(inputs, base))
-    locations = store(run.locations())
-    return network.network_diagnostic(run.readings(locations), locations)
+    return _telemetry_after_three(inputs).diagnostic.read()
+
+
+@query(
+    "W-03, M-20: duplicates flagged in three runs that read no earlier reading",
+    """SELECT CAST(sensor_id AS VARCHAR) AS sensor_id, CAST(location_id AS VARCHAR) AS location_id, reading_ts, month_start_date, reading_type,
+    reading_value, is_duplicate, zone_is_uncertain FROM readings_done""",
+)
+def telemetry_flags_in_steps(inputs):
+    run = _telemetry_after_three(inputs)
+    return run.readings(store(run.locations()))
+
+
+@query("M-08, R-02: history grown by three deliveries out of order", "SELECT * FROM pii_history")
+def pii_in_steps(inputs):
+    def run(base: str) -> DetailsSteps:
+        steps = DetailsSteps(inputs.spark, base, SETTINGS, buckets=4)
+        steps.run()
+        return steps
+
+    table = {"billing_customer": inputs.bills()}
+    return _after_deliveries(inputs, run, table, {"billing_customer": _thirds("seq")}).customer_pii()
+
+
+def _billing_after_two(inputs) -> BillingSteps:
+    def run(base: str) -> BillingSteps:
+        steps = BillingSteps(inputs.spark, base, SETTINGS, months="yyyy", buckets=2)
+        steps.run()
+        return steps
+
+    half = F.pmod(F.xxhash64("seq"), F.lit(2)) == 0
+    return _after_deliveries(inputs, run, {"billing_customer": inputs.bills()}, {"billing_customer": [half, ~half]})
+
+
+@query("T-07, S-11, A-06, M-23: the billing mart by the months that two runs touch, late first bills among them", "SELECT * FROM billing_mart")
+def billing_in_steps(inputs):
+    return _billing_after_two(inputs).mart.read()
+
+
+@query(
+    "A-06: distinct accounts per zone and year, from the bitmaps of zones and months",
+    """SELECT service_zone, CAST(year(month_start_date) AS INTEGER) AS year, count(DISTINCT account_id) AS accounts FROM consumption GROUP BY ALL""",
+)
+def accounts_by_year(inputs):
+    return _billing_after_two(inputs).accounts([F.col("service_zone"), F.year("month_start_date").alias("year")], "accounts")
+
+
+def _gold_after_two(inputs) -> GoldRun:
+    def run(base: str) -> GoldRun:
+        silver = Silver(inputs.spark, base, SETTINGS)
+        silver.invoices(), silver.lines(), silver.works_orders(inputs.zones())
+        gold = GoldRun(inputs.spark, base, SETTINGS, months="yyyy")
+        gold.run()
+        return gold
+
+    tables = _bronze_tables(inputs)
+    keys = {"billing_customer": "seq", "finance_invoices_raw": "line_items", "sensor_readings": "_row_id"}
+    half = {name: F.pmod(F.xxhash64(keys.get(name, df.columns[0])), F.lit(2)) == 0 for name, df in tables.items()}
+    return _after_deliveries(inputs, run, tables, {name: [test, ~test] for name, test in half.items()})
+
+
+@query("T-07, S-09, S-11, M-30: from appended rows to the scorecard, in two runs", "SELECT * FROM scorecard")
+def scorecard_in_steps(inputs):
+    return _gold_after_two(inputs).scorecard(store(inputs.zones()))
 
 
 def _halves(df: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:

@@ -24,11 +24,6 @@ def bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.format_string("b%05d", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
 
 
-def month_part(month: Column | str) -> Column:
-    """The part of a month; rows without one are a part of their own."""
-    return F.coalesce(F.date_format(month, "yyyy-MM"), F.lit("none"))
-
-
 class PartedTable:
     """A table below ``path``. Rows to store hold the part's name in ``_part``, of letters, digits, ``.`` and ``-``.
 
@@ -85,7 +80,9 @@ class PartedTable:
             return
         before = self.newest(before=number)
         folder = f"{self.path}/data/n={number}"
-        rows.select(PART, *self.schema.names).write.mode("overwrite").partitionBy(PART).parquet(folder)
+        # Gathered by part, so that a part is few files; adaptive execution splits a part that is large.
+        gathered = rows.select(PART, *self.schema.names).hint("rebalance", F.col(PART))
+        gathered.write.mode("overwrite").partitionBy(PART).parquet(folder)
         written = {name.partition("=")[2]: number for name in self._children(folder) if name.startswith(f"{PART}=")}
         held = {p: n for p, n in self._holds(before).items() if p not in set(touched)} | written
         state = self.spark.createDataFrame(sorted(held.items()), _HOLDS)

@@ -64,6 +64,21 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def refuse_other_owner(spark: SparkSession, path: str, streamed: bool) -> None:
+    """Stop if a folder belongs to the other kind of writer: a stream's file sink lists its files there, an overwrite would break that list,
+    and rows beside it would not be seen."""
+    of_a_stream = exists(spark, f"{path}/_spark_metadata")
+    if of_a_stream and not streamed:
+        raise ValueError(f"{path} is appended to by a stream; write elsewhere")
+    if streamed and not of_a_stream and exists(spark, f"{path}/_SUCCESS"):
+        raise ValueError(f"{path} is a recomputed table; a stream needs a folder of its own")
+
+
 def scratch_mark() -> int:
     """How many copies this process has made so far; see ``clear_scratch``."""
     return len(_MADE)

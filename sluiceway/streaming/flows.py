@@ -16,6 +16,7 @@ from sluiceway.config import Settings
 from sluiceway.operators.quarantine import with_verdict
 from sluiceway.operators.rules import Rule, metric_rows, observe
 from sluiceway.plans import contractors
+from sluiceway.sources.tables import refuse_other_owner
 
 METRICS = "dataset string, rule string, action string, passed long, failed long"
 BATCH = "_batch"
@@ -25,6 +26,7 @@ def append_available(
     stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
 ) -> StreamingQuery:
     """Append everything that has arrived to a file sink, exactly once; returns the finished query."""
+    refuse_other_owner(stream.sparkSession, path, streamed=True)
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")

@@ -1,6 +1,7 @@
 """Silver in steps: each run takes the bronze files that are new and appends good rows and quarantines.
 
-Run it after a landing run has ended: a micro-batch of bronze that is repeated after a crash replaces its files.
+Run it after a landing run has ended: a micro-batch of bronze that is repeated after a crash replaces its files. Appended tables have a
+folder of their own, ``appended``: the daily run rebuilds those in ``silver`` and ``gold``, and neither touches the other's.
 """
 
 from __future__ import annotations
@@ -8,25 +9,19 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from sluiceway import config
 from sluiceway.config import Settings
-from sluiceway.operators import resolve
-from sluiceway.operators.quarantine import FIRST, bad_rows, first_reason, good_rows, quarantine
-from sluiceway.operators.rules import all_pass
-from sluiceway.plans import contractors, finance, network
+from sluiceway.operators.quarantine import bad_rows, good_rows
+from sluiceway.plans import contractors, finance
 from sluiceway.sources import schemas
 from sluiceway.sources.files import SOURCE_FILE
-from sluiceway.sources.tables import remove
-from sluiceway.streaming.flows import BATCH, once_per_key, run_batches, split_stream
-
-_ROW_ID = StructField("_row_id", schemas.TEXT)
+from sluiceway.streaming.flows import once_per_key, split_stream
 
 
 class Silver:
-    """Silver tables below ``base``, fed from the bronze tables below it.
+    """Appended tables below ``base``, fed from the bronze tables below it.
 
     ``max_files`` bounds the bronze files of a micro-batch; the others follow in the next.
     """
@@ -39,7 +34,7 @@ class Silver:
         return reader.option("maxFilesPerTrigger", self.max_files).parquet(f"{self.base}/bronze/{table}")
 
     def _split(self, name: str, stream: DataFrame, rule_set) -> tuple[DataFrame, DataFrame]:
-        path, checkpoint = f"{self.base}/silver/{name}", f"{self.base}/checkpoints/silver_{name}"
+        path, checkpoint = f"{self.base}/appended/{name}", f"{self.base}/checkpoints/silver_{name}"
         routed = split_stream(stream, rule_set, self.settings, path, checkpoint)
         return good_rows(routed), bad_rows(routed)
 
@@ -61,63 +56,3 @@ class Silver:
         }
         stream = contractors.with_zone_id(contractors.conformed_orders(sources), zones, self.settings)
         return self._split("works_orders", stream, config.works_rules(self.settings))
-
-
-class TelemetryRun:
-    """The short run of the sensors: new readings are routed by verdict in one write, their votes join the counts so far.
-
-    No run reads earlier readings for the vote. ``readings`` and ``locations`` are what the network marts are built from;
-    duplicates are flagged over all good readings, so that step is a batch over the stored table.
-    """
-
-    def __init__(self, spark: SparkSession, base: str, settings: Settings, max_files: int = 1000):
-        self.spark, self.base, self.settings, self.max_files = spark, base, settings, max_files
-        self.routed = f"{base}/silver/readings_routed"
-        self.counts = f"{base}/silver/zone_votes"
-
-    def _version(self, number: int) -> str:
-        return f"{self.counts}/v={number}"
-
-    def _take(self, batch: DataFrame, number: int) -> None:
-        """Both steps overwrite what an earlier attempt of the same batch has written."""
-        parsed = network.parsed_readings(batch)
-        verdict = F.when(all_pass(config.READING_HARD), F.lit("good")).otherwise(F.lit("bad"))
-        reasoned = parsed.withColumns({"quarantine_reason": first_reason(config.READING_HARD), "_verdict": verdict})
-        path = f"{self.routed}/{BATCH}={number}"
-        reasoned.write.mode("overwrite").partitionBy("_verdict").parquet(path)
-        votes = resolve.votes(batch.sparkSession.read.schema("location_id string, zone string").parquet(path), "location_id", "zone")
-        if number:
-            before = batch.sparkSession.read.schema(votes.schema).parquet(self._version(number - 1))
-            votes = resolve.merge_votes(before, votes, "location_id", "zone")
-        votes.write.mode("overwrite").parquet(self._version(number))
-        self.last = number
-        if number > 1:
-            remove(batch.sparkSession, self._version(number - 2))
-
-    def run(self) -> None:
-        """Take everything that has arrived."""
-        schema = StructType([*schemas.READINGS.fields, _ROW_ID])
-        reader = self.spark.readStream.schema(schema).option("recursiveFileLookup", True)
-        stream = reader.option("maxFilesPerTrigger", self.max_files).parquet(f"{self.base}/bronze/sensor_readings")
-        run_batches(stream, f"{self.base}/checkpoints/telemetry", self._take)
-
-    def votes(self) -> DataFrame:
-        """The newest counts. Two versions are kept, so a run that was stopped can repeat its last step."""
-        versions = self.spark.read.parquet(self.counts)
-        newest = versions.inputFiles()
-        number = max(int(name.rpartition("/v=")[2].partition("/")[0]) for name in newest)
-        return self.spark.read.parquet(self._version(number))
-
-    def locations(self) -> DataFrame:
-        return network.location_zone_from_votes(self.votes(), self.settings)
-
-    def _readings(self, verdict: str) -> DataFrame:
-        return self.spark.read.parquet(self.routed).where(F.col("_verdict") == verdict).drop("_verdict", BATCH)
-
-    def readings(self, locations: DataFrame) -> DataFrame:
-        good = self._readings("good").drop("quarantine_reason")
-        return network.telemetry_of_valid(good, locations, self.settings, "_row_id")
-
-    def rejected(self) -> DataFrame:
-        bad = self._readings("bad").drop("quarantine_reason", "_row_id")
-        return quarantine(bad, config.READING_HARD, self.settings.processed_at, FIRST, "bronze.sensor_readings")

@@ -13,7 +13,8 @@ from sluiceway.queries.registry import SETTINGS
 from sluiceway.sources import files, schemas
 from sluiceway.streaming import flows
 from sluiceway.streaming.landing import Landing
-from sluiceway.streaming.silver import Silver, TelemetryRun
+from sluiceway.streaming.silver import Silver
+from sluiceway.streaming.telemetry import TelemetryRun
 
 ORDERS = "work_order_id string, zone_id string, cost double, completion_date date, description string"
 
@@ -76,7 +77,7 @@ def test_votes_over_runs_equal_one_batch_and_read_no_history(spark, tmp_path):
         if number:  # earlier readings may be gone: neither the vote nor the routing needs them
             for old in (tmp_path / "bronze" / "sensor_readings" / f"_batch={number - 1}").glob("*.parquet"):
                 old.write_bytes(b"")
-    assert len(list((tmp_path / "silver" / "zone_votes").glob("v=*"))) == 2
+    assert len(list((tmp_path / "steps" / "zone_votes" / "holds").glob("n=*"))) == 2
 
 
 def test_a_telemetry_batch_that_is_repeated_counts_once(spark, tmp_path):
