@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sluiceway.llm import alignment, darts, guess_cost, langid, packing
 from sluiceway.llm.queries import prepared, table
 from sluiceway.llm.shared import stored
+from sluiceway.operators.dedup import keep_first
 from sluiceway.sources.tables import clear_scratch, scratch, scratch_mark
 
 
@@ -20,7 +21,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates, the document with the smallest doc_id stays, and one row of it; rows without doc_id stay."""
+    """Of each class of near-duplicates, the document with the smallest doc_id stays, one row for each of its texts (the least of the others'
+    columns); rows without doc_id stay."""
     prepared(spark)
     classes = darts.near_duplicates(docs, threshold=0.8, words=5)
     stays = stored(classes.filter("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("n")))
@@ -30,16 +32,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = named.join(single, named["doc_id"] == single["__kept"], "left_semi")
     repeated = stays.filter("n > 1").select(F.col("doc_id").alias("__kept"))
     if not repeated.isEmpty():
-        kept = kept.unionByName(named.join(repeated, named["doc_id"] == repeated["__kept"], "left_semi").dropDuplicates(["doc_id"]))
+        rows = named.join(repeated, named["doc_id"] == repeated["__kept"], "left_semi")
+        others = [c for c in docs.columns if c not in ("doc_id", "text")]
+        kept = kept.unionByName(keep_first(rows, ["doc_id", "text"], others or ["doc_id"]))
     return kept.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a copy of a benchmark item go; rows without doc_id count as one document."""
+    """Documents that hold a copy of a benchmark item go. That is judged, and joined, by the text: other texts under the same doc_id, or
+    without one, stay."""
     prepared(spark)
-    found = alignment.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    print_of = F.xxhash64("text")
+    found = alignment.contaminated(docs.select(print_of.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     gone = stored(found.select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    return docs.join(gone, print_of == gone["__gone"], "left_anti")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
