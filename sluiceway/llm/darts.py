@@ -113,8 +113,10 @@ def _units(length: int):
         hashes = WordHashes()
         for batch in batches:
             for part in chunks(batch, "text"):
-                units = [shingles(hashes.of(normal_words(t)), length).tobytes() for t in texts_of(part)]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(units, pa.binary())], names=["node", "units"])
+                words = [hashes.of(normal_words(t)) for t in texts_of(part)]
+                prints = [xxhash.xxh3_128_digest(w.tobytes()) if len(w) else None for w in words]
+                units = [shingles(w, length).tobytes() for w in words]
+                yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(units, pa.binary())], names=["print", "units"])
 
     return find
 
@@ -248,6 +250,18 @@ def _verified(pairs: DataFrame, units: DataFrame, threshold: float) -> DataFrame
     return stored(pairs.join(left, "left").join(right, "right").mapInArrow(_similar(threshold), "left bigint, right bigint"))
 
 
+def _one_document(worded: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """Links between the texts of one doc_id, all to the one with the smallest node; None if every doc_id has one text."""
+    several = worded.groupBy("doc_id").agg(F.min("print").alias("low"), F.max("print").alias("high")).filter("low <> high")
+    several = stored(several.select("doc_id"))
+    if several.isEmpty():
+        return None
+    held = worded.join(several, "doc_id", "left_semi").select("doc_id", "print").distinct()
+    held = stored(held.join(texts.select("print", "node"), "print").select("doc_id", "node"))
+    least = held.groupBy("doc_id").agg(F.min("node").alias("left"))
+    return stored(held.join(least, "doc_id").filter("node <> left").select("left", F.col("node").alias("right")).distinct())
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, words: int = 5, n_bands: int = 36, rows: int = 7) -> DataFrame:
     """``doc_id, class_id, n_links`` for every row of ``docs`` (doc_id, text).
 
@@ -255,35 +269,45 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, words: int = 5, n_b
     underscores, lower case) is at least ``threshold``; ``class_id`` is the smallest doc_id of a connected component, and
     ``n_links`` the number of verified links of the document's text to other texts (a lower bound: members of a component are
     not all compared). Documents of equal words share a class without a comparison. Documents without words, null texts included,
-    are alone. Rows that share a doc_id are one document; rows without doc_id have no class. Other columns are not read. An empty
-    table gives no rows.
+    are alone. Rows that share a doc_id are one document, so its texts share a class and any of them may link to others; rows without doc_id
+    have no class. Other columns are not read. An empty table gives no rows.
 
     With 36 bands of 7, a pair of similarity 0.8 shares a band with probability 0.9998.
     """
     sketched = stored(docs.select("doc_id", "text").mapInArrow(_sketch(words, n_bands, rows), "doc_id bigint, print binary, bands array<bigint>"))
     worded = sketched.filter("doc_id IS NOT NULL AND print IS NOT NULL")
-    texts = stored(worded.groupBy("print").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")))
-    first = worded.join(texts.select("print", F.col("node").alias("doc_id")), ["print", "doc_id"])
-    entries = first.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket")).distinct()
-    entries = stored(entries)
+    # A node is a text: one doc_id may have several, and one text many doc_ids.
+    texts = stored(worded.groupBy("print").agg(F.min("doc_id").alias("doc_id")).withColumn("node", F.monotonically_increasing_id()))
+    first = worded.join(texts, ["print", "doc_id"])
+    entries = stored(first.select("node", F.explode("bands").alias("bucket")).distinct())
     # A bucket's first centre is its member with the smallest hash, another one in each bucket.
     draw = F.xxhash64("node", "bucket")
     shared = stored(entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("node", draw).alias("centre")).filter("n > 1"))
     members = stored(entries.join(shared.select("bucket"), "bucket"))
     nodes = stored(members.select("node").distinct())
-    wanted = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").select("doc_id", "text")
-    units = stored(wanted.mapInArrow(_units(words), "node bigint, units binary").groupBy("node").agg(F.max("units").alias("units")))
+    held = stored(texts.join(nodes, "node"))
+    wanted = docs.join(held.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
+    found_units = wanted.mapInArrow(_units(words), "print binary, units binary").groupBy("print").agg(F.max("units").alias("units"))
+    units = stored(held.join(found_units, "print").select("node", "units"))
     links = _verified(_star(members, shared.select("bucket", "centre")), units, threshold)
     roots = components(links, nodes)
     late = _late_links(members, roots, units, threshold)
     if late is not None:
         links = links.union(late)
         roots = _joined_components(roots, late)
+    one = _one_document(worded, texts)
+    if one is not None:
+        ends = one.select(F.col("left").alias("node")).union(one.select(F.col("right").alias("node"))).distinct()
+        alone = ends.join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))
+        roots = _joined_components(stored(roots.union(alone)), one)
     ends = links.select("left").union(links.select("right")).groupBy(F.col("left").alias("node")).agg(F.count("*").alias("n_links"))
-    known = texts.select("print", "node").join(roots, "node", "left").join(ends, "node", "left")
+    named = texts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classes = roots.join(texts, "node").groupBy("root").agg(F.min("doc_id").alias("least")).withColumnRenamed("root", "class_root")
+    known = named.join(classes, named["root"] == classes["class_root"], "left").join(ends, "node", "left")
     known = stored(
-        known.select("print", F.coalesce("root", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+        known.select(
+            F.col("print").alias("known"), F.coalesce("least", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
+        )
     )
-    known = known.withColumnRenamed("print", "known")
     found = sketched.join(known, (sketched["print"] == known["known"]) & sketched["doc_id"].isNotNull(), "left")
     return found.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))

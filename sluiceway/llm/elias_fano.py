@@ -43,26 +43,38 @@ class EliasFano:
         if not n:
             return cls(0, 0, b"", b"", b"")
         bits = max(0, ((int(values[-1]) + 1) // n).bit_length() - 1)
-        low = b""
-        if bits:
-            shifts = np.arange(bits, dtype=np.uint64)
-            low = np.packbits(((values[:, None] >> shifts) & np.uint64(1)).astype(np.uint8), bitorder="little").tobytes()
+        low, shifts = b"", np.arange(bits, dtype=np.uint64)
+        if bits:  # a slice at a time: a number's bits take 8 bytes each until they are packed; slices end at whole bytes
+            slices = (values[i : i + 8 * SAMPLE] for i in range(0, n, 8 * SAMPLE))
+            low = b"".join(np.packbits(((v[:, None] >> shifts) & np.uint64(1)).astype(np.uint8), bitorder="little").tobytes() for v in slices)
         ones = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
         marks = np.zeros(int(ones[-1]) + 1, np.uint8)
         marks[ones] = 1
         return cls(n, bits, low, np.packbits(marks, bitorder="little").tobytes(), ones[::SAMPLE].astype("<u4").tobytes())
 
-    def decode(self) -> np.ndarray:
-        """All numbers."""
-        if not self.size:
+    def run(self, start: int, stop: int) -> np.ndarray:
+        """Numbers ``start`` to ``stop``, that one left out: select for all of them at once, from the last sample before the first."""
+        start, stop = max(0, start), min(stop, self.size)
+        if start >= stop:
             return np.zeros(0, np.uint64)
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))
-        values = (ones - np.arange(self.size)).astype(np.uint64) << np.uint64(self.low_bits)
+        block, after = start // SAMPLE, (stop - 1) // SAMPLE + 1
+        first = int(self.samples[block]) // 8
+        upto = int(self.samples[after]) // 8 + 1 if after < len(self.samples) else len(self.high)
+        marks = np.flatnonzero(np.unpackbits(self.high[first:upto], bitorder="little"))
+        before = int(np.searchsorted(marks, int(self.samples[block]) - first * 8)) + start - block * SAMPLE
+        values = (marks[before : before + stop - start] + first * 8 - np.arange(start, stop)).astype(np.uint64) << np.uint64(self.low_bits)
         if self.low_bits:
-            flat = np.unpackbits(self.low, bitorder="little", count=self.size * self.low_bits).reshape(self.size, self.low_bits)
-            values |= (flat.astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum(1, dtype=np.uint64)
+            begin, end = start * self.low_bits, stop * self.low_bits
+            bits = np.unpackbits(self.low[begin // 8 : (end + 7) // 8], bitorder="little")[begin % 8 : begin % 8 + end - begin]
+            weights = np.uint64(1) << np.arange(self.low_bits, dtype=np.uint64)
+            values |= bits.reshape(-1, self.low_bits) @ weights
         return values
 
+    def decode(self, at_once: int = 16 * SAMPLE) -> Iterator[np.ndarray]:
+        """All numbers, a run at a time."""
+        for i in range(0, self.size, at_once):
+            yield self.run(i, i + at_once)
+
     def select(self, i: int) -> int:
         """Number ``i``: the high part from the place of its one, which lies behind the last sample before it."""
         if not 0 <= i < self.size:
@@ -116,21 +128,25 @@ class TokenFile:
         """The ids of the document at place ``i``, found by select."""
         return self._read(self.ends.select(i - 1) if i else 0, self.ends.select(i))
 
-    def names(self) -> list[int | None]:
-        """Every document's id; those without one come first."""
-        known = self.doc_ids.decode() + np.uint64(self.footer["first_id"] % 2**64)
-        return [None] * self.footer["n_null"] + known.view(np.int64).tolist()
-
-    def documents(self, at_once: int = 1_000_000) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        """Each document's id, start and ids; about ``at_once`` ids are held at a time."""
-        edges = np.concatenate([[0], self.ends.decode().astype(np.int64)])
-        names, i = self.names(), 0
-        while i < self.n_docs:
-            j = max(i + 1, int(np.searchsorted(edges, edges[i] + at_once, "right")) - 1)
-            ids = self._read(int(edges[i]), int(edges[j]))
-            for k in range(i, j):
-                yield names[k], int(edges[k]), ids[edges[k] - edges[i] : edges[k + 1] - edges[i]]
-            i = j
+    def names(self, start: int, stop: int) -> list[int | None]:
+        """The ids of the documents at places ``start`` to ``stop``; those without one come first."""
+        n_null = self.footer["n_null"]
+        known = self.doc_ids.run(start - n_null, stop - n_null) + np.uint64(self.footer["first_id"] % 2**64)
+        return [None] * (min(stop, n_null) - min(start, n_null)) + known.view(np.int64).tolist()
+
+    def documents(self, at_once: int = 1_000_000, places: int = 16 * SAMPLE) -> Iterator[tuple[int | None, int, np.ndarray]]:
+        """Each document's id, start and ids. Runs of ``places`` boundaries are selected at a time, and about ``at_once`` ids are held."""
+        last = 0
+        for first in range(0, self.n_docs, places):
+            edges = np.concatenate([[last], self.ends.run(first, first + places).astype(np.int64)])
+            names, i = self.names(first, min(first + places, self.n_docs)), 0
+            while i < len(names):
+                j = max(i + 1, int(np.searchsorted(edges, edges[i] + at_once, "right")) - 1)
+                ids = self._read(int(edges[i]), int(edges[j]))
+                for k in range(i, j):
+                    yield names[k], int(edges[k]), ids[edges[k] - edges[i] : edges[k + 1] - edges[i]]
+                i = j
+            last = int(edges[-1])
 
     def close(self) -> None:
         self.file.close()
@@ -195,10 +211,12 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
 
     Returns the stored manifest ``shard, uri, n_docs, n_ids, base``: one row a file, ``base`` the ids of all files before it. A
     null text is empty, so its document is the end id alone; null doc_ids come first; repeated rows are written
-    each; other columns are not read; an empty table writes no file. A task holds a few numbers for each document of
-    its range; files of lost attempts are in no manifest.
+    each; rows that share a doc_id stand in the order of a hash of their texts, then of the texts, and may be in several files; other columns
+    are not read; an empty table writes no file. A task holds a few numbers for each document of its range; files of lost attempts are in no
+    manifest.
     """
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    order = ["doc_id", F.xxhash64("text"), "text"]
+    ordered = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
     files = stored(ordered.mapInArrow(_write(folder, vocabulary, end_id), "shard bigint, uri string, n_docs bigint, n_ids bigint"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0).cast("bigint")))

@@ -124,6 +124,28 @@ def test_classes_are_the_components_of_similar_pairs(docs):
     assert {r["doc_id"]: r["class_id"] for r in found.collect()} == plain_classes(texts)
 
 
+def test_rows_that_share_a_doc_id_lose_no_link(docs):
+    draw = random.Random(9)
+    a, b, c, d = (prose(draw, 120) for _ in range(4))
+    rows = [(7, a), (7, b), (8, a + " x"), (9, b + " y"), (10, c), (3, d), (11, d), (11, c + " z"), (12, prose(draw, 50)), (12, prose(draw, 50))]
+    for _ in range(3):
+        draw.shuffle(rows)
+        found = {(r["doc_id"], r["class_id"]) for r in near_duplicates(docs(rows).repartition(3)).collect()}
+        assert found == {(7, 7), (8, 7), (9, 7), (10, 3), (3, 3), (11, 3), (12, 12)}
+
+
+def test_stages_lose_no_row_on_shared_or_missing_doc_ids(session, docs):
+    item = table(session, SMALL, "benchmark").first()["text"]
+    draw = random.Random(3)
+    clean = [prose(draw, 80) for _ in range(6)]
+    rows = [(None, item), (None, clean[0]), (None, clean[1]), (5, item), (5, clean[2]), (6, clean[3]), (6, clean[3]), (None, None), (6, clean[4])]
+    kept = corpus_pipeline.decontaminate(session, docs(rows), SMALL)
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(r for r in rows if r[1] != item)
+    rows = [(1, clean[0]), (1, clean[1]), (1, clean[1]), (2, clean[0] + " end"), (3, clean[5]), (None, clean[0]), (None, clean[0])]
+    kept = corpus_pipeline.near_dedup(session, docs(rows), SMALL)
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([rows[0], rows[1], rows[4], rows[5], rows[6]])
+
+
 def test_near_duplicates_of_odd_rows(docs, rows):
     long = " ".join(f"v{i % 5000}" for i in range(60_000))
     odd = [(1, None), (2, ""), (3, "!!"), (4, "same words here"), (9, "Same words, here"), (5, long), (6, long + " end"), (None, "same words here"), (7, "row"), (7, "row")]

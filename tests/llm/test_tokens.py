@@ -83,7 +83,9 @@ def test_elias_fano_round_trip(top):
     for n in (0, 1, 2, 255, 256, 257, 2000):
         values = np.sort(draw.integers(0, top, n, dtype=np.uint64))
         code = EliasFano.encode(values)
-        assert code.decode().tolist() == values.tolist()
+        assert [v for run in code.decode(300) for v in run.tolist()] == values.tolist()
+        for start, stop in draw.integers(-3, n + 3, (20, 2)):
+            assert code.run(int(start), int(stop)).tolist() == values[max(0, start) : max(0, stop)].tolist()
         assert [code.select(i) for i in range(0, n, 7)] == values[::7].tolist()
         if n == 2000:
             bits = 8 * (len(code.low) + len(code.high) + 4 * len(code.samples))
@@ -104,13 +106,24 @@ def test_token_files_of_odd_rows(session, docs, rows):
     assert rows(token_file_round_trip(docs([]), BYTES)) == []
 
 
+def test_rows_of_one_doc_id_stand_in_one_order_and_spread_over_files(session, docs):
+    draw = np.random.default_rng(1)
+    table = [(7 if i % 3 else None, f"text {i} " * int(draw.integers(1, 9))) for i in range(900)]
+    runs = []
+    for parts in (3, 11):
+        manifest = write_token_files(docs(table).repartition(parts), fresh_folder(session), BYTES)
+        assert manifest.count() > 1
+        runs.append(sorted(map(str, read_token_files(manifest).collect())))
+    assert runs[0] == runs[1]
+
+
 def test_any_document_of_a_token_file_can_be_read_alone(session, docs):
     table = [(i, f"document number {i} " * (i % 7)) for i in range(600)]
     manifest = write_token_files(docs(table), fresh_folder(session), BYTES)
     library, seen = Tokenizer.from_file(BYTES), 0
     for row in manifest.collect():
         file = TokenFile(row["uri"])
-        names = file.names()
+        names = file.names(0, file.n_docs)
         for i in range(0, file.n_docs, 13):
             assert file.document(i).tolist() == [*library.encode(table[names[i]][1], add_special_tokens=False).ids, 0]
             seen += 1
