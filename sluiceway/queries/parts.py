@@ -12,7 +12,8 @@ from sluiceway.functions import conforming as c
 from sluiceway.functions import measures as m
 from sluiceway.operators import dedup, history, lookup, resolve, rules
 from sluiceway.operators.conform import union_all
-from sluiceway.operators.layout import cluster_rows
+from sluiceway.operators.layout import cluster_rows, curve_rows
+from sluiceway.operators.profile import merged_sketches, value_profile, value_sketches
 from sluiceway.operators.quarantine import all_reasons, first_reason
 from sluiceway.plans import billing, contractors, finance, network, scorecard
 from sluiceway.queries.oracle import AS_OF, BILL_BAD, BILL_ORDER, EARLIEST, LINE_OK, READING_ORDER, half_up
@@ -20,6 +21,7 @@ from sluiceway.queries.oracle import all_reasons as reasons_sql
 from sluiceway.queries.oracle import first_reason as reason_sql
 from sluiceway.queries.registry import SETTINGS, query
 from sluiceway.sources import tables
+from sluiceway.sources.tables import scratch, store
 
 
 def part(name: str, covers: str, sql: str, build) -> None:
@@ -743,3 +745,37 @@ part(
     "SELECT * FROM in_zone_master",
     _merge_through_view,
 )
+
+
+@query("S-14: one layout for several keys", "SELECT * FROM orders_done")
+def curve_layout(inputs):
+    path = f"{scratch(inputs.spark)}/orders"
+    curve_rows(store(inputs.orders()), ["zone", "completion_date"], partitions=16, bits=4).write.parquet(path)
+    return inputs.spark.read.parquet(path)
+
+
+@query(
+    "E-02: value profiles from sketches of two batches; distinct values within 5 % and quantiles within 3 % of the ranks",
+    """SELECT column_name, count(*) AS row_count, count(*) FILTER (v IS NULL) AS null_count, count(DISTINCT v) > 0 AS distinct_close, TRUE AS quantiles_close
+    FROM (SELECT 'account_id' AS column_name, account_id AS v FROM conformed_bills UNION ALL SELECT 'payment_status', payment_status FROM conformed_bills
+    UNION ALL SELECT 'amount_billed', CAST(amount_billed AS VARCHAR) FROM conformed_bills
+    UNION ALL SELECT 'consumption_m3', CAST(consumption_m3 AS VARCHAR) FROM conformed_bills) GROUP BY column_name""",
+)
+def value_profile_of_bills(inputs):
+    bills = store(billing.conformed_bills(inputs.bills()))
+    columns = ["account_id", "payment_status", "amount_billed", "consumption_m3"]
+    half = F.pmod(F.xxhash64("seq"), F.lit(2)) == 0
+    batches = [value_sketches(part, columns, "bills") for part in (bills.where(half), bills.where(~half))]
+    found = value_profile(merged_sketches(batches[0].unionByName(batches[1])))
+    exact = []
+    for c in columns:  # what the sketches estimate, counted in full
+        kinds = F.col(c).cast("double") if c in ("amount_billed", "consumption_m3") else F.lit(None).cast("double")
+        asked = store(found.where(F.col("column_name") == c)).select("q05", "q50", "q95").first()
+        below = [F.count_if(kinds <= q) if q is not None else F.lit(0) for q in asked]
+        share = [F.coalesce(F.abs(F.try_divide(n, F.count(kinds)) - s) <= 0.03, F.lit(True)) for n, s in zip(below, (0.05, 0.5, 0.95), strict=True)]
+        exact.append(bills.agg(F.lit(c).alias("name"), F.countDistinct(c).alias("exact"), (share[0] & share[1] & share[2]).alias("quantiles_close")))
+    counted = exact[0].unionByName(exact[1]).unionByName(exact[2]).unionByName(exact[3])
+    close = F.abs(F.col("distinct_values") - F.col("exact")) <= F.col("exact") * 0.05 + 1
+    return found.join(counted, F.col("column_name") == F.col("name")).select(
+        "column_name", "row_count", "null_count", close.alias("distinct_close"), "quantiles_close"
+    )

@@ -20,6 +20,7 @@ from sluiceway.sources.tables import scratch, store
 from sluiceway.streaming import flows
 from sluiceway.streaming.gold import BillingSteps, DetailsSteps, GoldRun
 from sluiceway.streaming.landing import Landing
+from sluiceway.streaming.once import OnceRun
 from sluiceway.streaming.silver import Silver
 from sluiceway.streaming.telemetry import TelemetryRun
 
@@ -288,6 +289,22 @@ def pii_in_steps(inputs):
     return _after_deliveries(inputs, run, table, {"billing_customer": _thirds("seq")}).customer_pii()
 
 
+@query(
+    "T-03: copies that come deliveries later, with neither an event time nor a state that grows",
+    "SELECT * REPLACE (CAST(vendor_id AS VARCHAR) AS vendor_id) FROM incoming_headers",
+)
+def stream_dedup_in_steps(inputs):
+    records = _bronze_tables(inputs)["finance_invoices_raw"]
+
+    def run(base: str) -> DataFrame:
+        once = OnceRun(inputs.spark, base, SETTINGS, "headers", "invoice_id", finance.HEADER, fold_every=2, buckets=4, bucket_keys=2000)
+        return once.run(finance.flatten_headers(once.bronze("finance_invoices_raw", records.schema)))
+
+    # An invoice is in as many records as it has lines, and those are in any of four deliveries.
+    quarters = [F.pmod(F.xxhash64("line_items"), F.lit(4)) == n for n in range(4)]
+    return _after_deliveries(inputs, run, {"finance_invoices_raw": records}, {"finance_invoices_raw": quarters})
+
+
 def _billing_after_two(inputs) -> BillingSteps:
     def run(base: str) -> BillingSteps:
         steps = BillingSteps(inputs.spark, base, SETTINGS, months="yyyy", buckets=2)

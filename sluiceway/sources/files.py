@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,19 +50,28 @@ def file_names(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.schema("path string, modificationTime timestamp, length long, content binary").load(path).select("path")
 
 
+def header_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path, header`` of every file that has a line, in one job: the first line that is not blank of each file's first block.
+
+    A task looks at the lines of its blocks and passes on one a file.
+    """
+    place = F.monotonically_increasing_id()  # grows in reading order within a task; the first block of a file is in one task
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value", place.alias("place")
+    )
+    return lines.where("start = 0 AND trim(value) <> ''").groupBy("path").agg(F.min_by("value", "place").alias("header"))
+
+
 def csv_by_name(spark: SparkSession, paths: Sequence[str], declared: StructType) -> DataFrame:
     """CSV files of any column order: declared columns by name, absent ones NULL, unknown ones as text behind them.
 
-    Only the header lines are read on the driver, one a file, so give it the files of one micro-batch.
+    One job finds the header lines, whatever the number of files; one more looks at each different header. The names of the files come to
+    the driver, so give it the files of one micro-batch. A file without a line has no rows.
     """
-    with ThreadPoolExecutor(8) as pool:
-        headers = list(pool.map(lambda path: header_schema(spark, path, declared), paths))
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    schemas = {}
-    for path, schema in zip(paths, headers, strict=True):
-        groups[tuple(schema.names)].append(path)
-        schemas[tuple(schema.names)] = schema
-    frames = [csv_files(spark, group, schemas[names]) for names, group in groups.items()]
+    groups: dict[str, list[str]] = defaultdict(list)
+    for row in header_lines(spark, paths).collect() if paths else []:
+        groups[row["header"]].append(unquote(row["path"]))  # the metadata column holds an encoded URI
+    frames = [csv_files(spark, sorted(group), header_schema(spark, min(group), declared)) for _, group in sorted(groups.items())]
     frames.append(spark.createDataFrame([], with_rescue(declared)))
     both = union_all(frames, allow_missing=True)
     added = [c for c in both.columns if c not in declared.names and c != RESCUE]

@@ -11,9 +11,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from sluiceway.sources.tables import remove
+from sluiceway.sources.tables import children, remove
 
 PART = "_part"
 _HOLDS = f"{PART} string, number bigint"
@@ -35,15 +35,10 @@ class PartedTable:
         self.spark, self.path = spark, path
         self.schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
-    def _children(self, folder: str) -> list[str]:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return [status.getPath().getName() for status in system.listStatus(path)] if system.exists(path) else []
-
     def _numbers(self) -> list[int]:
         """The replacements that are valid, oldest first."""
-        found = [int(name.partition("=")[2]) for name in self._children(f"{self.path}/holds") if name.startswith("n=")]
-        return sorted(n for n in found if "_SUCCESS" in self._children(f"{self.path}/holds/n={n}"))
+        found = [int(name.partition("=")[2]) for name in children(self.spark, f"{self.path}/holds") if name.startswith("n=")]
+        return sorted(n for n in found if "_SUCCESS" in children(self.spark, f"{self.path}/holds/n={n}"))
 
     def _holds(self, number: int | None) -> dict[str, int]:
         if number is None:
@@ -64,12 +59,16 @@ class PartedTable:
         held = self.parts(before)
         return [f"{self.path}/data/n={held[p]}/{PART}={p}" for p in (held if parts is None else parts) if p in held]
 
-    def read(self, parts: Sequence[str] | None = None, before: int | None = None) -> DataFrame:
-        """The rows of some parts, or of all; no file of another part is listed or read."""
+    def read(self, parts: Sequence[str] | None = None, before: int | None = None, named: bool = False) -> DataFrame:
+        """The rows of some parts, or of all; no file of another part is listed or read. ``named`` adds the part's name, ``_part``."""
         folders = self.files(parts, before)
+        schema = StructType([*self.schema.fields, StructField(PART, StringType())]) if named else self.schema
         if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*folders)
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema)
+        if named:
+            reader = reader.option("basePath", f"{self.path}/data")
+        return reader.parquet(*folders).select(*schema.names)
 
     def replace(self, rows: DataFrame, touched: Sequence[str], number: int) -> None:
         """Put ``rows`` in the place of the ``touched`` parts; a touched part without rows is gone. ``rows`` may read the state before.
@@ -83,7 +82,7 @@ class PartedTable:
         # Gathered by part, so that a part is few files; adaptive execution splits a part that is large.
         gathered = rows.select(PART, *self.schema.names).hint("rebalance", F.col(PART))
         gathered.write.mode("overwrite").partitionBy(PART).parquet(folder)
-        written = {name.partition("=")[2]: number for name in self._children(folder) if name.startswith(f"{PART}=")}
+        written = {name.partition("=")[2]: number for name in children(self.spark, folder) if name.startswith(f"{PART}=")}
         held = {p: n for p, n in self._holds(before).items() if p not in set(touched)} | written
         state = self.spark.createDataFrame(sorted(held.items()), _HOLDS)
         state.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/holds/n={number}")

@@ -69,6 +69,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """The names in a folder; none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(path)] if system.exists(path) else []
+
+
 def refuse_other_owner(spark: SparkSession, path: str, streamed: bool) -> None:
     """Stop if a folder belongs to the other kind of writer: a stream's file sink lists its files there, an overwrite would break that list,
     and rows beside it would not be seen."""

@@ -170,3 +170,22 @@ def test_clustered_overwrite(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.overwrite(spark.range(100).withColumn("k", F.col("id") % 3), path, ["k"], ["id"])
     assert tables.overwrite(spark.range(10).withColumn("k", F.col("id") % 3), path, ["k"], ["id"]).count() == 10
+
+
+def test_headers_of_many_files_take_one_job(spark, tmp_path):
+    """500 files of three headers, one with a blank in its name, one empty, one that begins with a blank line."""
+    headers = ["sensor_id,reading_value", "reading_value,sensor_id", "extra,sensor_id"]
+    for i in range(500):
+        kind = i % 3
+        values = [f"s{i},{i}.5", f"{i}.5,s{i}", f"e{i},s{i}"][kind]
+        (tmp_path / (f"file {i}.csv" if i == 7 else f"{i}.csv")).write_text(("\n" if i == 9 else "") + f"{headers[kind]}\n{values}\n")
+    (tmp_path / "empty.csv").write_text("")
+    schema = schemas.struct(sensor_id=schemas.TEXT, reading_value=schemas.NUMBER)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    df = files.csv_by_name(spark, [str(p) for p in sorted(tmp_path.iterdir())], schema)
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setJobGroup("rest", "rest")
+    got = {r.sensor_id: (r.reading_value, r.extra) for r in df.collect()}
+    assert got == {f"s{i}": (None if i % 3 == 2 else i + 0.5, f"e{i}" if i % 3 == 2 else None) for i in range(500)}
+    assert jobs <= 12, "a job or two for all files, and one or two for each different header"

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 from collections import Counter, defaultdict
+from functools import reduce
 from pathlib import Path
 
 import pytest
@@ -10,7 +11,10 @@ from pyspark.sql import functions as F
 
 from sluiceway import config
 from sluiceway.operators import history
+from sluiceway.operators.changes import changed_buckets, digests, fine_bucket, snapshot_changes
 from sluiceway.operators.distinct import bitmaps, distinct_count, number_keys
+from sluiceway.operators.layout import cluster_rows, curve_rows
+from sluiceway.operators.profile import DISTINCT_ERROR, RANK_ERROR, merged_sketches, value_profile, value_sketches
 from sluiceway.plans.refresh import daily_refresh
 from sluiceway.queries.oracle import with_inputs
 from sluiceway.queries.registry import SETTINGS, Inputs
@@ -19,6 +23,7 @@ from sluiceway.sources import schemas, tables
 from sluiceway.sources.parted import PART, PartedTable, touched_parts
 from sluiceway.streaming.gold import BillingSteps, DetailsSteps, GoldRun
 from sluiceway.streaming.landing import Bronze
+from sluiceway.streaming.once import OnceRun, bloom_filters, may_hold
 from sluiceway.streaming.silver import Silver
 from sluiceway.streaming.telemetry import TelemetryRun
 from tests.compare import compare
@@ -298,3 +303,111 @@ def test_neither_writer_takes_the_others_folder(gold, spark, tmp_path):
 def test_touched_parts_names_each_once(spark):
     assert touched_parts(spark.createDataFrame([("b",), ("a",), ("b",)], f"{PART} string")) == ["a", "b"]
     assert config.PII_COLUMNS
+
+
+# --- one row per key -----------------------------------------------------------------
+
+
+def test_copies_are_found_long_after_their_keys_left_the_lists(spark, tmp_path):
+    draw = random.Random(8)
+    run = OnceRun(spark, str(tmp_path), SETTINGS, "rows", "k", ["v"], fold_every=2, buckets=4, bucket_keys=100)
+    seen, expected = set(), Counter()
+    for number in range(7):
+        rows = [(None if draw.random() < 0.02 else f"k{draw.randrange(60)}", draw.randrange(1000)) for _ in range(25)]
+        for key in {k for k, _ in rows} - seen:
+            expected[key, min(v for k, v in rows if k == key)] += 1
+        seen |= {k for k, _ in rows}
+        frame = spark.createDataFrame(rows, "k string, v int")
+        for _ in range(1 + (number in (1, 4))):  # repeated batches, one that folds among them
+            run._take(frame, number)
+    got = spark.read.schema("k string, v int").parquet(run.path)
+    assert Counter((r.k, r.v) for r in got.collect()) == expected
+    lists = sorted(p.name for p in Path(run.recent).iterdir() if p.name.startswith("_batch="))
+    assert len(lists) <= 2 * run.fold_every, "keys are in lists for a bounded number of batches"
+    assert run.index.read().count() >= len(seen) - 25
+
+
+def test_filters_find_every_key_and_spare_other_buckets(spark, tmp_path):
+    keys = spark.range(3000).selectExpr("concat('p', id % 3) AS _part", "concat('in', id) AS key")
+    others = spark.range(3000).selectExpr("concat('p', id % 3) AS _part", "concat('out', id) AS key")
+    bits = 32_768 * 2
+    filters = tables.store(bloom_filters(keys, "key", bits, 7))
+    assert may_hold(keys, filters, "key", bits, 7).count() == 3000
+    assert may_hold(others, filters, "key", bits, 7).count() < 30
+    run = OnceRun(spark, str(tmp_path), SETTINGS, "rows", "k", ["v"], fold_every=1, buckets=8, bucket_keys=1000)
+    run._take(spark.range(800).selectExpr("concat('k', id) AS k", "1 AS v"), 0)
+    run._take(spark.createDataFrame([("k5", 2), ("new", 2)], "k string, v int"), 1)
+    assert len(run.asked) == 1, "of two buckets named, only the one whose filter hits is read"
+
+
+# --- change feed -----------------------------------------------------------------------
+
+
+def test_changes_by_digest_equal_a_plain_comparison(spark):
+    draw = random.Random(6)
+    before = {**{f"a{i}": (draw.choice("xyz"), draw.choice([None, 1, 2])) for i in range(400)}, None: ("n", 1)}
+    after = dict(before)
+    for key in draw.sample([k for k in before if k], 12):
+        after.pop(key) if draw.random() < 0.4 else after.update({key: ("w", draw.choice([None, 3]))})
+    after |= {"new1": ("x", None), None: ("n", 2)}
+    frames = [spark.createDataFrame([(k, *v) for k, v in side.items()], "k string, name string, n int") for side in (before, after)]
+    expected = Counter()
+    for key in before.keys() | after.keys():
+        old, new = before.get(key), after.get(key)
+        if key not in before:
+            expected["insert", key, *new] += 1
+        elif key not in after:
+            expected["delete", key, *old] += 1
+        elif old != new:
+            expected["update_preimage", key, *old] += 1
+            expected["update_postimage", key, *new] += 1
+    for fine, coarse in ((65536, 256), (16, 4), (1, 1)):
+        got = snapshot_changes(*frames, "k", fine, coarse)
+        assert Counter(tuple(r) for r in got.collect()) == expected
+    assert snapshot_changes(frames[0], frames[0], "k").count() == 0
+
+
+def test_only_buckets_that_differ_are_named(spark):
+    before = spark.range(5000).selectExpr("id AS k", "id % 7 AS v")
+    after = before.where("k <> 17").withColumn("v", F.when(F.col("k") == 4000, 99).otherwise(F.col("v")))
+    held = [digests(df.repartition(n), "k", ["v"], 1024) for df, n in ((before, 3), (after, 5))]
+    named = {r.bucket for r in changed_buckets(*held, 32).collect()}
+    own = {r.b for r in before.where("k IN (17, 4000)").select(fine_bucket("k", 1024).alias("b")).collect()}
+    assert named == own
+    plan = snapshot_changes(before, after, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
+
+
+# --- layout and profiles ------------------------------------------------------------------
+
+
+def test_a_filter_on_either_key_of_the_curve_reads_few_files(spark, tmp_path):
+    rows = spark.range(60_000).selectExpr("cast(id * 7919 % 1000 AS int) AS a", "concat('z', lpad(cast(xxhash64(id) % 500 + 500 AS string), 4, '0')) AS b", "id")
+    rows = rows.unionByName(spark.createDataFrame([(None, None, -1)] * 50, "a int, b string, id bigint"))
+    curve_rows(rows, ["a", "b"], partitions=64).write.parquet(str(tmp_path / "curve"))
+    cluster_rows(rows, ["a"], ["id"], 64).write.parquet(str(tmp_path / "sorted"))
+
+    def share(name, test):
+        """Files whose least and greatest values leave room for the test, as a reader skips them."""
+        ends = spark.read.parquet(str(tmp_path / name)).groupBy(F.input_file_name().alias("f")).agg(
+            F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b1")
+        )
+        return ends.where(test).count() / ends.count()
+
+    on_a, on_b = "a0 <= 333 AND a1 >= 333", "b0 <= 'z0444' AND b1 >= 'z0444'"
+    assert share("curve", on_a) <= 0.3 and share("curve", on_b) <= 0.3
+    assert share("sorted", on_b) > 0.9
+    read = spark.read.parquet(str(tmp_path / "curve"))
+    assert read.count() == 60_050 and read.exceptAll(rows).count() == 0
+
+
+def test_sketches_of_batches_merge_within_their_errors(spark):
+    rows = spark.range(40_000).selectExpr("id", "concat('k', id % 9000) AS k", "IF(id % 10 = 0, NULL, cast(id AS double)) AS v", "cast(NULL AS string) AS nothing")
+    parts = [value_sketches(rows.where(f"id % 4 = {i}"), ["k", "v", "nothing"], "d") for i in range(4)]
+    merged = merged_sketches(reduce(lambda a, b: a.unionByName(b), parts))
+    got = {r.column_name: r for r in value_profile(merged).collect()}
+    assert (got["v"].row_count, got["v"].null_count, got["nothing"].null_count, got["nothing"].distinct_values) == (40_000, 4000, 40_000, 0)
+    assert abs(got["k"].distinct_values - 9000) < 3 * DISTINCT_ERROR * 9000
+    for q, name in ((0.05, "q05"), (0.5, "q50"), (0.95, "q95")):
+        assert abs(got["v"][name] / 40_000 - q) < RANK_ERROR
+    assert got["k"].q50 is None and got["nothing"].q50 is None
