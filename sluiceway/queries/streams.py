@@ -332,7 +332,7 @@ def _gold_after_two(inputs) -> GoldRun:
     def run(base: str) -> GoldRun:
         silver = Silver(inputs.spark, base, SETTINGS)
         silver.invoices(), silver.lines(), silver.works_orders(inputs.zones())
-        gold = GoldRun(inputs.spark, base, SETTINGS, months="yyyy")
+        gold = GoldRun(inputs.spark, base, SETTINGS, months="yyyy", days="yyyy", buckets=2)
         gold.run()
         return gold
 

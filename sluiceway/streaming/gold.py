@@ -258,15 +258,25 @@ class OrderSteps(Steps):
 class GoldRun:
     """One run from new bronze and appended rows to all marts and the scorecard; ``Silver`` has run before it.
 
-    The four domains do not read each other. The scorecard has a row for each zone and month, and is built from the marts as they stand.
+    The four domains do not read each other. ``months``, ``days`` and ``buckets`` set how fine the parts are, by default as each run has it. The scorecard has a row for each zone and month, and is built from the marts as they stand.
     """
 
-    def __init__(self, spark: SparkSession, base: str, settings: Settings, max_files: int = 1000, months: str = "yyyy-MM"):
+    def __init__(
+        self,
+        spark: SparkSession,
+        base: str,
+        settings: Settings,
+        max_files: int = 1000,
+        months: str = "yyyy-MM",
+        days: str = "yyyy-MM-dd",
+        buckets: int | None = None,
+    ):
         self.settings = settings
-        self.billing = BillingSteps(spark, base, settings, max_files, months)
-        self.spend = SpendSteps(spark, base, settings, max_files, months)
-        self.orders = OrderSteps(spark, base, settings, max_files, months)
-        self.readings = TelemetryRun(spark, base, settings, max_files, months)
+        given, sized = (spark, base, settings, max_files, months), {"buckets": buckets} if buckets else {}
+        self.billing = BillingSteps(*given, **sized)
+        self.spend = SpendSteps(*given, **sized)
+        self.orders = OrderSteps(*given)
+        self.readings = TelemetryRun(*given, days=days, **sized)
 
     def run(self) -> None:
         for steps in (self.billing, self.spend, self.orders, self.readings):

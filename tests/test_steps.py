@@ -255,7 +255,7 @@ def gold(spark, tmp_path_factory):
             deliver_bronze(base, name, df.where(F.pmod(F.xxhash64(keys.get(name, df.columns[0])), F.lit(2)) == number), number)
         silver = Silver(spark, base, SETTINGS)
         silver.invoices(), silver.lines(), silver.works_orders(zones)
-        run = GoldRun(spark, base, SETTINGS, months="yyyy")
+        run = GoldRun(spark, base, SETTINGS, months="yyyy", days="yyyy-MM", buckets=2)
         run.run()
         if number == 0:
             orders = {f"contractor_{c}": spark.read.parquet(f"{base}/bronze/works_orders_{c}") for c in "abc"}
