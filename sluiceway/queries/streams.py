@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sluiceway import config
 from sluiceway.operators.quarantine import bad_rows, good_rows
 from sluiceway.operators.rules import DROP, enforce, keep_valid, with_action
-from sluiceway.plans import contractors, finance
+from sluiceway.plans import contractors, finance, network
 from sluiceway.queries.oracle import BILL_FIELDS, INVOICE_OK, LINE_OK, PROCESSED, WORKS_OK, all_hold, all_reasons
 from sluiceway.queries.registry import SETTINGS, query
 from sluiceway.sources import files, schemas
@@ -381,6 +381,29 @@ def stream_added_column(inputs):
     return landed.drop(RESCUE)
 
 
+@query(
+    "S-05, S-06, S-07, M-03: undeclared columns come as whole numbers, then decimals, then text, and keep every value",
+    """SELECT work_order_id, CAST(cost AS DOUBLE) AS cost_sgd, size / CASE WHEN part = 1 THEN 4.0 ELSE 1.0 END AS crew,
+    CASE part WHEN 0 THEN CAST(size AS VARCHAR) WHEN 1 THEN rtrim(rtrim(CAST(CAST(size / 4.0 AS DECIMAL(18, 2)) AS VARCHAR), '0'), '.')
+    ELSE 'G-' || size END AS grade
+    FROM (SELECT *, length(description) AS size, coalesce(length(description) % 3, 2) AS part FROM in_works_orders WHERE layout = 'A')""",
+)
+def stream_widened_column(inputs):
+    run = landing(inputs)
+    orders = inputs.works_orders()["contractor_a"].drop(RESCUE)
+    size = F.length("work_description")
+    part = F.coalesce(F.pmod(size, F.lit(3)), F.lit(2))
+    quarter = (size / 4).cast("decimal(18,2)").cast("string")
+    grades = [size.cast("string"), quarter, F.concat(F.lit("G-"), size.cast("string"))]
+    hints = schemas.struct(work_order_id=schemas.TEXT, cost_sgd=schemas.NUMBER)
+    for number, grade in enumerate(grades):
+        crew = quarter if number == 1 else size.cast("string")
+        delivery = orders.where(part == number).select("work_order_id", crew.alias("crew"), "cost_sgd", grade.alias("grade"))
+        landed_csv(delivery, f"{run.landing}/contractor_a")
+        landed = run.widened_csv("works_orders_a", hints, config.WORKS_LANDING["contractor_a"][:3])
+    return landed.select("work_order_id", "cost_sgd", F.col("crew").cast("double").alias("crew"), "grade")
+
+
 @query(
     "S-03, S-05, M-06: fields that are not declared go to rescue",
     """SELECT CAST(sensor_id AS VARCHAR) AS sensor_id, CAST(location_id AS VARCHAR) AS location_id, reading_time AS "timestamp",

@@ -16,10 +16,11 @@ from sluiceway.config import Settings
 from sluiceway.operators.quarantine import with_verdict
 from sluiceway.operators.rules import Rule, metric_rows, observe
 from sluiceway.plans import contractors
+from sluiceway.sources import versions
 from sluiceway.sources.tables import refuse_other_owner
+from sluiceway.sources.versions import BATCH
 
 METRICS = "dataset string, rule string, action string, passed long, failed long"
-BATCH = "_batch"
 
 
 def append_available(
@@ -59,7 +60,9 @@ def run_batches(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, i
 
 def batch_table(spark: SparkSession, path: str) -> DataFrame:
     """A table that micro-batches wrote, one directory each; columns that only some of them have are NULL elsewhere."""
-    return spark.read.option("mergeSchema", True).parquet(path).drop(BATCH)
+    known = versions.merged(spark, path)
+    reader = spark.read.schema(known) if known else spark.read.option("mergeSchema", True)  # tables from before schemas were noted
+    return reader.parquet(path).drop(BATCH)
 
 
 def append_counted(
@@ -81,6 +84,7 @@ def append_counted(
     def each(batch: DataFrame, batch_id: int) -> None:
         watched, observation = observe(read(batch) if read else batch, rule_set)
         watched.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        versions.log_schema(batch.sparkSession, path, batch_id, watched.schema)
         rows = batch.sparkSession.createDataFrame(metric_rows(rule_set, dataset, observation.get), METRICS)
         rows.coalesce(1).write.mode("overwrite").parquet(f"{counts}/{BATCH}={batch_id}")
         ran.append(batch_id)

@@ -6,13 +6,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from sluiceway import config
+from sluiceway.operators import widen
 from sluiceway.operators.conform import union_all
 from sluiceway.operators.rules import Rule
 from sluiceway.plans.refresh import Bronze
-from sluiceway.sources import files, schemas
+from sluiceway.sources import files, schemas, versions
 from sluiceway.streaming.flows import BATCH, METRICS, append_counted, batch_table
 
 # One folder per source, as the senders name them.
@@ -46,12 +47,12 @@ class Landing:
     def _folder(self, table: str) -> str:
         return f"{self.landing}/{FOLDERS[table]}"
 
-    def _land(self, table: str, stream: DataFrame, rule_set: Sequence[Rule], read: Callable | None = None) -> DataFrame:
+    def _land(self, table: str, stream: DataFrame, rule_set: Sequence[Rule], read: Callable | None = None, table_at: Callable = batch_table) -> DataFrame:
         path = f"{self.base}/bronze/{table}"
         self.ran[table] = append_counted(
             stream, path, f"{self.base}/checkpoints/{table}", rule_set, f"bronze.{table}", f"{self.base}/ops/landing_counts/{table}", read
         )
-        return batch_table(self.spark, path)
+        return table_at(self.spark, path)
 
     def csv(self, table: str, declared: StructType, rule_set: Sequence[Rule]) -> DataFrame:
         """Columns by the names in each file's header; added columns are carried on."""
@@ -62,6 +63,21 @@ class Landing:
 
         return self._land(table, files.file_names(self.spark, self._folder(table), self.max_files), rule_set, read)
 
+    def widened_csv(self, table: str, hints: StructType, rule_set: Sequence[Rule]) -> DataFrame:
+        """As ``csv``, but columns without a hint take the type of their values and are widened when a delivery needs it.
+
+        Every value stays, in the newest type; ``versions.read_widened`` and ``version_log`` tell how the table stood before.
+        """
+        texts = StructType([StructField(name, schemas.TEXT) for name in hints.names])
+
+        def read(batch: DataFrame) -> DataFrame:
+            spark = batch.sparkSession
+            paths = [row["path"] for row in batch.select("path").collect()]  # at most max_files
+            return widen.typed(files.csv_by_name(spark, paths, texts), hints, versions.newest(spark, f"{self.base}/bronze/{table}"))
+
+        stream = files.file_names(self.spark, self._folder(table), self.max_files)
+        return self._land(table, stream, rule_set, read, versions.read_widened)
+
     def bills(self) -> DataFrame:
         return self.csv("billing_customer", schemas.BILLS, config.BILL_LANDING)
 
