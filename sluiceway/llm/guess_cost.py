@@ -2,7 +2,8 @@
 
 The guess cost of a value is the least, over all ways to cut it into spans, of the product of the guesses that each span
 takes: a common word by its rank, a date by the days it could be, a repeat by its unit and count, a keyboard walk by its
-start, length and direction, anything else character by character. A value whose cost reaches a threshold is a secret;
+start, length and direction, anything else character by character. Every word, date, walk and repeat inside a value counts,
+whatever it is a part of or overlaps. A value whose cost reaches a threshold is a secret;
 a placeholder, a word or a date is not.
 """
 
@@ -48,8 +49,16 @@ COMMON_WORDS = (
 KEY_ROWS = ["`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz"]
 #: Letters that digits and signs stand for.
 LOOK_ALIKE = str.maketrans({"4": "a", "@": "a", "3": "e", "1": "l", "0": "o", "$": "s", "5": "s", "7": "t"})
-DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d")
-REPEAT = re.compile(r"(.{1,8}?)\1{2,}", re.DOTALL)
+_YEAR, _MONTH, _DAY, _SIGN = r"(?:19|20)\d\d", "(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])", "([-/._]?)"
+#: Dates with the year first or last, and years, each at every place, and how many of them there are.
+DATES = [
+    (re.compile(f"(?a:(?=({_YEAR}{_SIGN}{_MONTH}\\2{_DAY})))"), 365 * 150 * 3),
+    (re.compile(f"(?a:(?=({_DAY}{_SIGN}{_MONTH}\\2{_YEAR})))"), 365 * 150 * 3),
+    (re.compile(f"(?a:(?=({_YEAR})))"), 150),
+]
+#: The longest unit of a repeat, and the shortest walk, in characters.
+LONGEST_UNIT, SHORTEST_WALK = 8, 3
+_PROPER_DIVISORS = {u: [d for d in range(1, u) if u % d == 0] for u in range(1, LONGEST_UNIT + 1)}
 
 
 def _steps() -> dict[tuple[str, str], int]:
@@ -82,6 +91,8 @@ class GuessCost:
 
     #: Guesses of where one span ends and the next begins.
     JOINT = math.log10(2)
+    #: Costs that differ by less are one: sums of the same numbers in another order.
+    SAME = 1e-9
 
     def __init__(self, words: Sequence[str] = COMMON_WORDS):
         ranks: dict[str, int] = {}
@@ -91,7 +102,7 @@ class GuessCost:
         self.longest = max(map(len, self.words), default=0)
 
     def spans(self, value: str) -> Iterator[tuple[int, int, float]]:
-        """Start, end and cost of every span that a pattern explains."""
+        """Start, end and cost of every word and date; walks and repeats are found on the way, see ``__call__``."""
         low = value.lower()
         plain = low.translate(LOOK_ALIKE)
         for start in range(len(value)):
@@ -103,39 +114,108 @@ class GuessCost:
                 if cost is not None:
                     piece = value[start:end]
                     yield start, end, cost + (0 if piece == low[start:end] else math.log10(2 if piece[1:].islower() or piece.isupper() else 16))
-        for m in DATE.finditer(value):
-            yield m.start(), m.end(), math.log10(150) if len(m[0]) == 4 else math.log10(365 * 150 * 3)
-        for m in REPEAT.finditer(value):
-            yield m.start(), m.end(), sum(map(_character, m[1])) + math.log10(len(m[0]) // len(m[1]))
-        start = turns = 0
-        direction = None
-        for i in range(1, len(low) + 1):
-            step = _STEPS.get((low[i - 1], low[i])) if i < len(low) else None
-            if step is None:
-                if i - start >= 3:
-                    yield start, i, math.log10(47 * (i - start)) + turns * math.log10(4)
-                start, turns, direction = i, 0, None
-            else:
-                turns += step != direction
-                direction = step
+        for pattern, count in DATES:
+            for m in pattern.finditer(value):
+                yield m.start(), m.end(1), math.log10(count)
 
     def __call__(self, value: str) -> float:
-        """Dynamic programming over the ends of spans; a brute-force span grows character by character."""
-        if not value:
-            return 0.0
+        """Dynamic programming over the ends of spans; a brute-force span grows character by character.
+
+        Every part of a walk or of a repeat is a span of its own, so their starts are kept as they come up, less those that a later start
+        beats for good and those where the same walk or repeat has just ended, which it is cheaper to go on with.
+        """
         ending: dict[int, list[tuple[int, float]]] = {}
         for start, end, cost in self.spans(value):
             ending.setdefault(end, []).append((start, cost))
-        best, brute = [0.0], [math.inf]
+        best, brute, walks, repeats = [0.0], [math.inf], _Walks(value.lower()), _Repeats(value)
         for end in range(1, len(value) + 1):
             joint = self.JOINT if end > 1 else 0.0
             loose = min(brute[end - 1], best[end - 1] + joint) + _character(value[end - 1])
             known = min((best[s] + c + (self.JOINT if s else 0.0) for s, c in ending.get(end, ())), default=math.inf)
+            walked, repeated = walks.least(end, best, self.JOINT), repeats.least(end, best, self.JOINT)
             brute.append(loose)
-            best.append(min(loose, known))
+            best.append(min(loose, known, walked, repeated))
+            walks.ended(walked <= best[end] + self.SAME)
+            repeats.ended(repeated <= best[end] + self.SAME)
         return best[-1]
 
 
+def _push(starts: list[tuple[float, int]], cost: float, start: int) -> None:
+    """Add a start to those in use; what came before it and costs as much can never be better again."""
+    while starts and starts[-1][0] >= cost:
+        starts.pop()
+    starts.append((cost, start))
+
+
+class _Walks:
+    """The cheapest way to end with a keyboard walk, end by end: guesses for its first key, its length and each turn."""
+
+    TURN = math.log10(4)
+
+    def __init__(self, low: str):
+        self.low, self.begin, self.direction = low, 0, None
+        self.turns: list[int] = []  # of the walk at hand, up to each key
+        self.starts: list[tuple[float, int]] = []
+        self.last: list[int] = [-1]  # the walk that the best way to each end closes with
+
+    def least(self, end: int, best: list[float], joint: float) -> float:
+        at = end - 1
+        step = _STEPS.get((self.low[at - 1], self.low[at])) if at else None
+        if step is None:
+            self.begin, self.direction, self.starts = at, None, []
+            self.turns.append(0)
+            return math.inf
+        self.turns.append(self.turns[-1] + (self.direction is not None and step != self.direction))
+        self.direction = step
+        start = end - SHORTEST_WALK
+        if start >= self.begin and self.last[start] != self.begin:
+            _push(self.starts, best[start] + (joint if start else 0.0) - self.TURN * self.turns[start + 1], start)
+        rest = self.TURN * (1 + self.turns[at])
+        return min((cost + math.log10(47 * (end - s)) + rest for cost, s in self.starts), default=math.inf)
+
+    def ended(self, is_best: bool) -> None:
+        self.last.append(self.begin if is_best else -1)
+
+
+class _Repeats:
+    """The cheapest way to end with two or more copies of a unit, end by end: guesses for the unit and their number."""
+
+    def __init__(self, value: str):
+        self.value = value
+        self.sums = [0.0]
+        self.run = dict.fromkeys(_PROPER_DIVISORS, 0)  # characters that equal the one a unit before
+        self.starts: dict[int, dict[int, list[tuple[float, int]]]] = {unit: {} for unit in self.run}
+        self.last: list[tuple[int, int] | None] = [None]
+        self.found: tuple[int, int] | None = None
+
+    def least(self, end: int, best: list[float], joint: float) -> float:
+        value, run, at = self.value, self.run, end - 1
+        self.sums.append(self.sums[-1] + _character(value[at]))
+        cheapest, self.found = math.inf, None
+        for unit in run:
+            if at < unit or value[at] != value[at - unit]:
+                run[unit] = 0
+                if self.starts[unit]:
+                    self.starts[unit] = {}
+                continue
+            run[unit] += 1
+            # a unit that repeats a shorter one costs more than the shorter one
+            if run[unit] < unit or any(run[d] >= unit - d for d in _PROPER_DIVISORS[unit]):
+                continue
+            start, begin = end - 2 * unit, end - unit - run[unit]
+            starts = self.starts[unit].setdefault(end % unit, [])
+            if self.last[start] != (unit, begin):
+                _push(starts, best[start] + (joint if start else 0.0), start)
+            own = self.sums[end] - self.sums[end - unit]
+            cost = min((c + own + math.log10((end - s) // unit) for c, s in starts), default=math.inf)
+            if cost < cheapest:
+                cheapest, self.found = cost, (unit, begin)
+        return cheapest
+
+    def ended(self, is_best: bool) -> None:
+        self.last.append(self.found if is_best else None)
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """Spans of the fixed patterns: leftmost, not overlapping within a kind, those that are too short left out."""
     found = []

@@ -2,8 +2,10 @@
 
 import gzip
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -132,30 +134,76 @@ def test_base_patterns_are_leftmost_and_drop_short_ones():
     assert joined(guess_cost.base_spans("password: token: abcdefgh")) == ""
 
 
-def plain_cost(cost, value):
-    """Least cost over every segmentation, by recursion over all cuts."""
-    spans = {}
-    for s, e, c in cost.spans(value):
-        spans[s, e] = min(c, spans.get((s, e), c))
-    brute = [guess_cost._character(c) for c in value]
+def plain_span(piece):
+    """Guesses of one span, by its definition."""
+    low, brute = piece.lower(), sum(guess_cost._character(c) for c in piece)
+    found = [brute]
+    for word, cased in ((low, 0.0), (low.translate(guess_cost.LOOK_ALIKE), math.log10(4))):
+        if word in guess_cost.COMMON_WORDS and len(word) > 1:
+            case = 0.0 if piece == low else math.log10(2 if piece[1:].islower() or piece.isupper() else 16)
+            found.append(math.log10(guess_cost.COMMON_WORDS.index(word) + 2 - REPEATED[word]) + cased + case)
+            break
+    year, month, day, sign = "(19|20)[0-9]{2}", "(0[1-9]|1[0-2])", "(0[1-9]|[12][0-9]|3[01])", "[-/._]"
+    if re.fullmatch(year, piece):
+        found.append(math.log10(150))
+    for a, c in ((year, day), (day, year)):
+        if any(re.fullmatch(a + s + month + s + c, piece) for s in ("", "-", "/", "[.]", "_")):
+            found.append(math.log10(365 * 150 * 3))
+    for unit in range(1, 9):
+        copies = len(piece) // unit
+        if copies > 1 and piece == piece[:unit] * copies:
+            found.append(sum(guess_cost._character(c) for c in piece[:unit]) + math.log10(copies))
+    steps = [guess_cost._STEPS.get(pair) for pair in zip(low, low[1:])]
+    if len(piece) >= 3 and None not in steps:
+        turns = 1 + sum(a != b for a, b in zip(steps, steps[1:]))
+        found.append(math.log10(47 * len(piece)) + turns * math.log10(4))
+    return min(found)
+
+
+#: How many ranks a word moves up because words before it are listed twice.
+REPEATED = {w: i - len(set(guess_cost.COMMON_WORDS[:i])) for i, w in reversed(list(enumerate(guess_cost.COMMON_WORDS)))}
+
+
+def plain_cost(value):
+    """Least cost over every way to cut a value, with spans listed from their definitions."""
+    best = [0.0]
+    for end in range(1, len(value) + 1):
+        best.append(min(best[s] + plain_span(value[s:end]) + (math.log10(2) if s else 0.0) for s in range(end)))
+    return best[-1]
+
+
+@pytest.mark.parametrize(
+    "value",
+    ["password", "Passw0rd1", "qwertz99", "aaaa2001", "k9#Xq", "abcabcabc", "1987-05-12", "zxcvbnAA", "x", "", "passwordfghjkl", "abcabc99",
+     "asdfghjkl;lkjhgf", "01012001012001", "20010102200", "qwqwqwqwasas", "12/12-2012", "٣٣٢٠٠١"],
+)
+def test_guess_cost_is_the_least_over_all_cuts(value):
+    assert GuessCost()(value) == pytest.approx(plain_cost(value))
 
-    def least(start):
-        if start == len(value):
-            return 0.0
-        found = []
-        for end in range(start + 1, len(value) + 1):
-            own = min(sum(brute[start:end]), spans.get((start, end), float("inf")))
-            rest = least(end)
-            found.append(own + (rest + cost.JOINT if end < len(value) else 0.0))
-        return min(found)
 
-    return least(0)
+def test_guess_cost_of_random_values():
+    draw, cost = random.Random(3), GuessCost()
+    bits = ["pass", "word", "qwer", "asdf", "fghj", "123", "321", "a", "ab", "ab", "19", "99", "01", "-", "0", "x", "Admin", "é", "4", "zx"]
+    for _ in range(1500):
+        value = "".join(draw.choice(bits) for _ in range(draw.randint(1, 7)))
+        assert cost(value) == pytest.approx(plain_cost(value)), value
+    for letters in ("ab", "aab", "qwe", "12"):
+        for _ in range(150):
+            value = "".join(draw.choice(letters) for _ in range(draw.randint(1, 26)))
+            assert cost(value) == pytest.approx(plain_cost(value)), value
 
 
-@pytest.mark.parametrize("value", ["password", "Passw0rd1", "qwertz99", "aaaa2001", "k9#Xq", "abcabcabc", "1987-05-12", "zxcvbnAA", "x"])
-def test_guess_cost_is_the_least_over_all_cuts(value):
+def test_parts_of_walks_and_two_copies_are_cheap():
     cost = GuessCost()
-    assert cost(value) == pytest.approx(plain_cost(cost, value))
+    assert cost("passwordfghjkl") < 8 and cost("abcabc99") < 8
+
+
+@pytest.mark.parametrize("unit", ["a", "ab", "qwerty", "qw", "12345678", "asdfghjkl"])
+def test_long_values_take_time_in_proportion(unit):
+    cost, value = GuessCost(), unit * (60_000 // len(unit))
+    begin = time.process_time()
+    cost(value)
+    assert time.process_time() - begin < 20
 
 
 def test_guess_costs_are_in_a_sensible_order():
