@@ -50,13 +50,14 @@ def _matrix(parts: pa.ChunkedArray) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).reshape(len(parts), -1)
 
 
-def _tile(k: int, rows_at_once: int):
+def _tile(k: int, cells: int):
     def search(key: tuple, queries: pa.Table, rows: pa.Table) -> pa.Table:
         found: list[list] = [[], [], [], [], []]
         if len(queries) and len(rows):
             rows = rows.take(pa.array(np.argsort(rows["vec_id"].to_numpy(), kind="stable")))
             ids, right = rows["vec_id"].to_numpy(), _matrix(rows["parts"])
             numbers, names, left = queries["q_row"].to_numpy(), queries["q_vec_id"].to_numpy(), _matrix(queries["q_parts"])
+            rows_at_once = max(1, cells // len(right))  # short vectors make tall tiles: bound the scores as well
             for i in range(0, len(left), rows_at_once):
                 part = slice(i, i + rows_at_once)
                 scores = products(left[part], right)
@@ -71,7 +72,7 @@ def _tile(k: int, rows_at_once: int):
 
 
 def top_k(
-    vectors: DataFrame, k: int = 5, query_every: int = 50, scale: float = 256.0, tile_cells: int = 1 << 18, fan_in: int = 64
+    vectors: DataFrame, k: int = 5, query_every: int = 50, scale: float = 256.0, tile_cells: int = 1 << 22, fan_in: int = 64
 ) -> DataFrame:
     """The ``k`` best rows for each query: ``query_id, rank, vec_id, score``, ties to the smaller vec_id.
 
@@ -82,7 +83,8 @@ def top_k(
     vectors, or only one, give no rows.
 
     A tile is ``tile_cells`` components of queries against as many of rows. Each side is sent once for each block of the
-    other, so what crosses the network is the larger the smaller the tiles are; memory is bounded by the tile.
+    other, so what crosses the network is the larger the smaller the tiles are: with 768 components a row goes out once for every 5,461 queries.
+    A task holds a tile's two sides, about 32 MB each as numbers, and at most as many scores at once; only a single vector longer than the bound goes beyond it.
     """
     parts = F.transform("embedding", lambda x: F.floor(x.cast("double") * F.lit(scale)))
     sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
@@ -102,7 +104,7 @@ def top_k(
     queries = clean.filter(is_query).withColumn("block", block).withColumn("shard", every(n_shards))
     key = ["dim", "block", "shard"]
     queries = queries.toDF(*(f"q_{name}" for name in queries.columns))  # else the two sides share columns
-    found = queries.groupBy(*(f"q_{name}" for name in key)).cogroup(rows.groupBy(*key)).applyInArrow(_tile(k, 256), _FOUND)
+    found = queries.groupBy(*(f"q_{name}" for name in key)).cogroup(rows.groupBy(*key)).applyInArrow(_tile(k, tile_cells), _FOUND)
     order = [F.desc("score"), F.asc("vec_id")]
     while n_shards > 1:
         n_shards = math.ceil(n_shards / fan_in)

@@ -93,7 +93,8 @@ def test_top_k_of_odd_vectors(session, rows):
     table = [(i, draw.normal(size=6).astype(float).tolist()) for i in range(230)]
     table += [(1000 + i, [0.5] * 6) for i in range(60)]  # many ties
     table += [(300, None), (301, [None] * 6), (302, [float("nan")] * 6), (303, [float("inf")] + [0.0] * 5), (None, [0.1] * 6), (350, [0.25] * 4), (351, [0.5] * 4), (352, [])]
-    assert rows(top_k(vectors(session, table), 5, 50, tile_cells=6 * 40, fan_in=2)) == sorted(plain_top(table, 5, 50), key=repr)
+    for cells in (6 * 40, 6 * 150, 1 << 22):
+        assert rows(top_k(vectors(session, table), 5, 50, tile_cells=cells, fan_in=2)) == sorted(plain_top(table, 5, 50), key=repr)
     assert rows(top_k(vectors(session, table[:3]), 5, 1)) == plain_top(table[:3], 5, 1)
     assert rows(top_k(vectors(session, []))) == []
     assert rows(top_k(vectors(session, [(0, [1.0])]))) == []
