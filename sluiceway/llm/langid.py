@@ -77,10 +77,6 @@ class Model:
             rows[i], sizes[i] = presence.row(text, self.columns)
         return self._decided(rows, sizes)
 
-    def decisions_of(self, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """As ``decisions``, of texts given by their n-grams."""
-        return self._decided(_marked(held, self.columns), np.array([len(h) for h in held], np.float32))
-
     def _decided(self, rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         kernel = (rows @ self.landmarks) / np.sqrt(np.maximum(sizes, 1))[:, None]
         return kernel @ self.weights, rows.sum(1) / np.maximum(sizes, 1), sizes
@@ -97,20 +93,25 @@ def _marked(held: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
     return rows
 
 
-def fit(held: list[np.ndarray], labels: list[str], landmarks_each: int, ridge: float, longest: int) -> Model | None:
-    """Ridge regression on kernel values to landmarks, one against the rest; None without labelled texts."""
+def fit(held: list[np.ndarray], labels: list[str], landmarks_each: int, landmarks_most: int, ridge: float, longest: int) -> Model | None:
+    """Ridge regression on kernel values to landmarks, one against the rest; None without labelled texts.
+
+    A language gives ``landmarks_each`` landmarks, or fewer, so that there are ``landmarks_most`` at most: the model then holds
+    at most that many numbers for each of the ``2 ** BITS`` n-grams, 400 MB with 400.
+    """
     languages = sorted(set(labels))
     if not languages:
         return None
     labels_at = np.array([languages.index(x) for x in labels])
-    chosen = np.concatenate([np.flatnonzero(labels_at == c)[:landmarks_each] for c in range(len(languages))])
+    each = max(1, min(landmarks_each, landmarks_most // len(languages)))
+    chosen = np.concatenate([np.flatnonzero(labels_at == c)[:each] for c in range(len(languages))])[:landmarks_most]
     columns = np.unique(np.concatenate([held[i] for i in chosen]))
     if not len(columns):
         return None
-    rows = _marked(held, columns)
     size = np.sqrt(np.maximum([len(h) for h in held], 1)).astype(np.float32)
-    landmarks = (rows[chosen] / size[chosen, None]).T
-    kernel = (rows @ landmarks / size[:, None]).astype(np.float64)
+    landmarks = (_marked([held[i] for i in chosen], columns) / size[chosen, None]).T
+    kernel = np.concatenate([_marked(held[i : i + 256], columns) @ landmarks for i in range(0, len(held), 256)])
+    kernel = (kernel / size[:, None]).astype(np.float64)
     among = kernel[chosen]
     target = np.where(labels_at[:, None] == np.arange(len(languages)), 1.0, -1.0)
     system = kernel.T @ kernel + ridge * len(held) * (among + among.T) / 2 + 1e-6 * np.eye(len(chosen))
@@ -129,29 +130,27 @@ def _presence(longest: int):
 
 
 def _sample(docs: DataFrame, rows_each: int, rows_most: int, longest: int) -> tuple[list[np.ndarray], list[str]]:
-    """N-grams and labels of ``rows_each`` rows of each label, ``rows_most`` in all: those with the smallest hash of doc_id."""
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    """N-grams and labels of ``rows_each`` rows of each label, ``rows_most`` in all: those with the smallest hash of doc_id.
+
+    Rows are thinned out by a bound on the hash first, from the count of their label, so that the one task that ranks a label gets
+    some ``2 * rows_each`` rows whatever the table's size.
+    """
+    draw = F.xxhash64("doc_id")
     labelled = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    picked = labelled.select("doc_id", "lang").withColumn("place", place).filter(F.col("place") <= rows_each)
-    picked = stored(picked.orderBy("place", *order).limit(rows_most))
+    counts = stored(labelled.groupBy("lang").agg(F.count("*").alias("n")))
+    low = labelled.select("doc_id", "lang").join(counts, "lang").filter((draw.cast("double") / 2.0**64 + 0.5) * F.col("n") <= 2 * rows_each + 100)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(draw, "doc_id"))
+    picked = low.select("doc_id", "lang", place.alias("place")).filter(F.col("place") <= rows_each)
+    picked = stored(picked.orderBy("place", draw, "doc_id").limit(rows_most))
     texts = labelled.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "place", "text")
     found = texts.mapInArrow(_presence(longest), "lang string, place int, held binary").orderBy("place", "lang", "held").limit(rows_most)
     sample = found.toPandas()
     return [np.frombuffer(h, np.uint32).astype(np.int64) for h in sample["held"]], list(sample["lang"])
 
 
-def train(docs: DataFrame, rows_each: int, rows_most: int, landmarks_each: int, ridge: float, longest: int) -> Model | None:
+def train(docs: DataFrame, rows_each: int, rows_most: int, landmarks_each: int, landmarks_most: int, ridge: float, longest: int) -> Model | None:
     """Fit on a sample of the labelled rows."""
-    return fit(*_sample(docs, rows_each, rows_most, longest), landmarks_each, ridge, longest)
-
-
-def margins(model: Model, held: list[np.ndarray], least: float, known: float) -> tuple[float, float]:
-    """Least score and least share of known n-grams, lowered to what all but one in a hundred labelled texts reach."""
-    if not held:
-        return least, known
-    found, shares, _ = model.decisions_of(held)
-    return min(least, float(np.quantile((1 + found.max(1)) / 2, 0.01))), min(known, float(np.quantile(shares, 0.01)))
+    return fit(*_sample(docs, rows_each, rows_most, longest), landmarks_each, landmarks_most, ridge, longest)
 
 
 def judged(texts: list[str], model: Model | None, presence: Presence | None) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -198,6 +197,7 @@ def identified(
     rows_each: int = 200,
     rows_most: int = 4000,
     landmarks_each: int = 40,
+    landmarks_most: int = 400,
     ridge: float = 1e-4,
     longest: int = 3,
 ) -> DataFrame:
@@ -207,10 +207,11 @@ def identified(
     without doc_id, lang or text; a null doc_id counts as not held out. A prediction sees the text alone. Text that is null or
     has no letter gets ``und`` and score 0, as do all texts if there is nothing to learn from. Equal decisions go to
     the first language in alphabetical order. Repeated rows are predicted each; other columns are not read; an empty table gives
-    no rows. The sample is bounded by ``rows_each`` rows a label and ``rows_most`` in all.
+    no rows. The sample is bounded by ``rows_each`` rows a label and ``rows_most`` in all, the landmarks by ``landmarks_each`` and
+    ``landmarks_most``.
     """
     known = _learnable(docs)
-    model = train(known.filter("NOT held_out"), rows_each, rows_most, landmarks_each, ridge, longest)
+    model = train(known.filter("NOT held_out"), rows_each, rows_most, landmarks_each, landmarks_most, ridge, longest)
     return predict(known, model)
 
 
@@ -220,6 +221,7 @@ def with_language(
     rows_each: int = 200,
     rows_most: int = 4000,
     landmarks_each: int = 40,
+    landmarks_most: int = 400,
     ridge: float = 1e-4,
     longest: int = 3,
     known: float = 0.0,
@@ -229,14 +231,11 @@ def with_language(
     """The rows of ``docs`` (doc_id, text, lang) whose text gets a language with a score of at least ``least``, all columns as they are.
 
     Of its n-grams, at least the share ``known`` must be such that a landmark holds. A text of fewer than ``short`` n-grams gives
-    the regressions too little to judge by: it stays below ``least`` too if the share is at least ``clear``. Learnt from the same rows
-    as in ``identified``; where a sample of the labelled rows that are held out falls below ``least`` or ``known``, these are lowered
-    to what 99 % of it reach. Texts that are null or have no letter go; if there is nothing to learn from, all others stay.
+    the regressions too little to judge by: it stays below ``least`` too if the share is at least ``clear``. These limits are as given
+    whatever the table holds. Learnt from the same rows as in ``identified``. Texts that are null or have no letter go; if there is
+    nothing to learn from, all others stay.
     """
-    learnable = _learnable(docs)
-    model = train(learnable.filter("NOT held_out"), rows_each, rows_most, landmarks_each, ridge, longest)
-    if model:
-        least, known = margins(model, _sample(learnable.filter("held_out"), rows_each, rows_most, longest)[0], least, known)
+    model = train(_learnable(docs).filter("NOT held_out"), rows_each, rows_most, landmarks_each, landmarks_most, ridge, longest)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

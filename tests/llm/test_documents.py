@@ -15,7 +15,7 @@ from sluiceway.llm import super_kmers
 from sluiceway.llm.alignment import _passes, best_alignments, contaminated
 from sluiceway.llm.darts import components, near_duplicates, shingles, signatures, similarity
 from sluiceway.llm.guess_cost import GuessCost, base_spans, guess_spans, ordered
-from sluiceway.llm.langid import identified, with_language
+from sluiceway.llm.langid import Presence, fit, identified, with_language
 from sluiceway.llm.queries import table
 from sluiceway.llm.shingles import WordHashes, normal_words
 from sluiceway.llm.super_kmers import sliding_least, without_repeats
@@ -76,6 +76,41 @@ def test_the_pipeline_drops_languages_that_were_not_learnt(session):
     assert kept == {r["doc_id"] for r in known.collect() if any(map(str.isalpha, r["text"] or ""))}
 
 
+def test_junk_among_the_labelled_rows_moves_no_limit(session):
+    """Whether a text stays does not depend on what else is held out."""
+    known = table(session, "/root/testdata/sf0.01", "documents")
+    held_out = [i for i in range(10**9, 10**9 + 400) if zlib.crc32(str(i).encode()) % 4 == 2]
+    foreign = "Alussa oli sana ja sana oli jumalan luona ja sana oli jumala kaikki on saanut syntynsä"
+    junk = [(i, " ".join(chr(0x4E00 + (i * 37 + j) % 9000) for j in range(60)), "en", "s", 119) for i in held_out[:60]]
+    extra = [(7 * 10**8 + 1, foreign, None, "s", len(foreign))]
+    for rows in (extra, extra + junk):
+        kept = corpus_pipeline.language_id(session, known.unionByName(session.createDataFrame(rows, known.schema)), SMALL)
+        assert kept.filter("doc_id >= 700000000").count() == 0
+
+
+def plain_decisions(texts, labels, asked, ridge):
+    """Kernel ridge regression on the presence kernel of sets of n-grams, no hashes and no landmarks."""
+    grams = lambda t: {t.lower()[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+    sets, others = [grams(t) for t in texts], [grams(t) for t in asked]
+    kernel = lambda xs, ys: np.array([[len(a & b) / (len(a) * len(b)) ** 0.5 for b in ys] for a in xs])
+    target = np.array([[1.0 if own == c else -1.0 for c in sorted(set(labels))] for own in labels])
+    return kernel(others, sets) @ np.linalg.solve(kernel(sets, sets) + ridge * len(texts) * np.eye(len(texts)), target)
+
+
+def test_decisions_against_the_plain_kernel(session):
+    found = table(session, SMALL, "documents").filter("lang IS NOT NULL AND length(text) > 20").orderBy("doc_id").limit(120).collect()
+    texts, labels = [r["text"] for r in found], [r["lang"] for r in found]
+    presence = Presence(3)
+    held = [presence.held(t) for t in texts[:80]]
+    expected = plain_decisions(texts[:80], labels[:80], texts[80:], 1e-2)
+    whole = fit(held, labels[:80], 80, 400, 1e-2, 3).decisions(texts[80:], presence)[0]
+    assert np.abs(whole - expected).max() < 0.05
+    few = fit(held, labels[:80], 10, 400, 1e-2, 3)
+    assert few.landmarks.shape[1] <= 10 * len(few.languages)
+    assert (few.decisions(texts[80:], presence)[0].argmax(1) == expected.argmax(1)).mean() > 0.95
+    assert fit(held, labels[:80], 10, 3, 1e-2, 3).landmarks.shape[1] <= 3
+
+
 # Near-duplicates
 
 
