@@ -1,9 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds join documents to test items, Smith-Waterman alignment scores them.
 
-A copy that was edited still shares some short runs of words with its item. All runs of the items are seeds, counted over all
-documents. Wherever a document holds a rare seed, the place where the whole item would lie is aligned to the item word by word; a
-place with common seeds only is aligned if it holds enough of the item's words to reach the least score at all. The best local
-alignment, as a share of the item's perfect score, tells copies from chance.
+A copy that was edited still shares some words at equal distances with its item. Three words in a row and three of four, with a gap, are
+seeds: whichever third of the words is replaced, one of them stays. One scan of the documents finds the seeds of all items, counts the
+documents that hold each, and cuts out the places where an item would lie by them, if they hold enough of the item's words to reach the
+least score at all. A place is aligned to the item word by word; the best local alignment, as a share of the item's perfect score, tells
+copies from chance. How rare the rarest seed of a copy is goes with it.
 """
 
 from __future__ import annotations
@@ -17,25 +18,45 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.llm.shared import chunks, stored, texts_of
-from sluiceway.llm.shingles import WordHashes, normal_words, run_hashes
+from sluiceway.llm.shingles import WordHashes, mixed, normal_words
 
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Places of the words of a seed. An edit of every third word leaves the second or the third whole.
+PATTERNS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
 #: Cells of one alignment table row that are computed at a time.
 _CELLS = 1 << 20
 
 
-def _seeds(run: int):
+def spaced_hashes(words: np.ndarray, pattern: tuple[int, ...]) -> np.ndarray:
+    """A hash of the words at the places of ``pattern`` from each word on, another one for each pattern."""
+    n = len(words) - pattern[-1]
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    total = np.full(n, sum(1 << at for at in pattern), np.uint64)
+    for at in pattern:
+        total = mixed(total + words[at : at + n])
+    return total.view(np.int64)
+
+
+def patterns_of(size: int, patterns: tuple) -> list[tuple[int, ...]]:
+    """The patterns of seeds of an item of ``size`` words: of a shorter one than a pattern takes, all its words."""
+    fitting = [p for p in patterns if p[-1] < size]
+    return fitting or ([tuple(range(size))] if size else [])
+
+
+def _seeds(patterns: tuple):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             items, seeds, places, sizes = [], [], [], []
             for item, text in zip(batch["item_id"].to_pylist(), texts_of(batch, "item_text"), strict=True):
                 words = hashes.of(normal_words(text))
-                own = run_hashes(words, min(run, len(words))) if len(words) else ()
-                items += [item] * len(own)
-                seeds += np.asarray(own, np.uint64).view(np.int64).tolist()
-                places += range(len(own))
-                sizes += [len(words)] * len(own)
+                for pattern in patterns_of(len(words), patterns):
+                    own = spaced_hashes(words, pattern)
+                    items += [item] * len(own)
+                    seeds += own.tolist()
+                    places += range(len(own))
+                    sizes += [len(words)] * len(own)
             columns = [pa.array(c, pa.int64()) for c in (items, seeds, places, sizes)]
             yield pa.RecordBatch.from_arrays(columns, names=["item_id", "seed", "place", "size"])
 
@@ -43,12 +64,12 @@ def _seeds(run: int):
 
 
 class _Finder:
-    """Finds seeds in documents. A bitmap of the seeds' last bits tells most other runs apart at once."""
+    """Finds seeds in documents. A bitmap of the seeds' last bits tells most other words apart at once."""
 
     BITS = 20
 
-    def __init__(self, known: np.ndarray, lengths: list[int]):
-        self.known, self.lengths, self.hashes = known, lengths, WordHashes()
+    def __init__(self, known: np.ndarray, patterns: list[tuple[int, ...]]):
+        self.known, self.patterns, self.hashes = known, patterns, WordHashes()
         self.marks = np.zeros(1 << self.BITS, bool)
         self.marks[known & ((1 << self.BITS) - 1)] = True
 
@@ -59,15 +80,15 @@ class _Finder:
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
         flat = self.hashes.of([w for own in words for w in own])
         docs, starts, seeds = [], [], []
-        for length in self.lengths:
-            values = run_hashes(flat, length).view(np.int64)
+        for pattern in self.patterns:
+            values = spaced_hashes(flat, pattern)
             at = np.flatnonzero(self.marks[values & ((1 << self.BITS) - 1)])
             place = np.searchsorted(self.known, values[at])
             same = place < len(self.known)
             same[same] = self.known[place[same]] == values[at[same]]
             at, place = at[same], place[same]
             doc = np.searchsorted(ends, at, "right")
-            inside = at + length <= ends[doc] if len(at) else at >= 0
+            inside = at + pattern[-1] < ends[doc] if len(at) else at >= 0
             doc, at, place = doc[inside], at[inside], place[inside]
             docs.append(doc)
             starts.append(at - np.where(doc > 0, ends[doc - 1], 0))
@@ -76,23 +97,6 @@ class _Finder:
         return words, flat.view(np.int64), *(np.concatenate(x + none) for x in (docs, starts, seeds))
 
 
-def _frequencies(known: np.ndarray, lengths: list[int]):
-    """How many documents of a batch hold each seed."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = _Finder(known, lengths)
-        for batch in batches:
-            total = np.zeros(len(known), np.int64)
-            for part in chunks(batch, "text"):
-                _, _, doc, _, seed = finder.of(part)
-                pairs = np.unique(doc * len(known) + seed)
-                total += np.bincount(pairs % max(1, len(known)), minlength=len(known))
-            seen = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(known[seen]), pa.array(total[seen])], names=["seed", "n"])
-
-    return count
-
-
 class _Bags:
     """How often each item holds each of its words: the most that an alignment can match."""
 
@@ -130,23 +134,33 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(flat)], names=["item_id", "word"])
 
 
-_PLACES = "doc_id bigint, item_id bigint, word_start bigint, words array<string>"
+_PLACES = "doc_id bigint, item_id bigint, word_start bigint, words array<string>, seeds array<bigint>, seed bigint, n bigint"
+
+
+def _rows(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+    """Rows of the two kinds that a scan gives: places of documents, and counts of seeds."""
+    kinds = {"doc_id": pa.int64(), "item_id": pa.int64(), "word_start": pa.int64(), "words": pa.list_(pa.string())}
+    kinds |= {"seeds": pa.list_(pa.int64()), "seed": pa.int64(), "n": pa.int64()}
+    return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(n, t)) for c, t in kinds.items()], names=list(kinds))
 
 
 def _candidates(
-    seeds: np.ndarray, items: np.ndarray, places: np.ndarray, sizes: np.ndarray, rare: np.ndarray, lengths: list[int], bags: _Bags, least: float
+    seeds: np.ndarray, items: np.ndarray, places: np.ndarray, sizes: np.ndarray, patterns: list[tuple[int, ...]], bags: _Bags, least: float
 ):
-    """For each place of a document where an item would lie by its seeds: the words there, with a margin.
+    """For each place of a document where an item would lie by its seeds: the words there, with a margin, and the seeds.
 
-    Places without a rare seed need as many words of the item as an alignment of score ``least`` matches.
+    A place needs as many words of the item as an alignment of score ``least`` matches. At the end of a task, the number of
+    documents that held each seed.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, first, number = np.unique(seeds, return_index=True, return_counts=True)
-        finder = _Finder(known, lengths)
+        finder = _Finder(known, patterns)
+        total = np.zeros(len(known), np.int64)
         for batch in batches:
             for part in chunks(batch, "text"):
                 words, flat, docs, ats, found = finder.of(part)
+                total += np.bincount(np.unique(docs * len(known) + found) % max(1, len(known)), minlength=len(known))
                 doc_ids = part["doc_id"].to_pylist()
                 lengths_of = np.fromiter(map(len, words), np.int64, len(words))
                 begins = np.cumsum(lengths_of) - lengths_of
@@ -158,29 +172,30 @@ def _candidates(
                     n = number[seed]
                     entry = np.repeat(first[seed] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                     doc, start = np.repeat(doc, n), np.repeat(at, n) - places[entry]
-                    item, size, straight = items[entry], sizes[entry], rare[entry]
+                    item, size, seed = items[entry], sizes[entry], np.repeat(seed, n)
                     margin = np.maximum(4, size // 4)
                     order = np.lexsort((start, item, doc))
-                    doc, start, item, size, margin, straight = (x[order] for x in (doc, start, item, size, margin, straight))
+                    doc, start, item, size, margin, seed = (x[order] for x in (doc, start, item, size, margin, seed))
                     new = np.ones(len(start), bool)
                     new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > margin[1:])
                     group = np.flatnonzero(new)
                     last = np.append(group[1:], len(start)) - 1
-                    straight, least_size = np.logical_or.reduceat(straight, group), np.minimum.reduceat(size, group)
+                    least_size = np.minimum.reduceat(size, group)
                     doc, item, size, margin = (x[group] for x in (doc, item, size, margin))
                     a = np.maximum(0, start[group] - margin)
                     b = np.minimum(lengths_of[doc], start[last] + size + margin)
-                    asked = np.flatnonzero(~straight)
-                    shared = bags.shared(flat, (begins[doc] + a)[asked], (begins[doc] + b)[asked], item[asked])
-                    straight[asked] = shared / least_size[asked] >= least
+                    shared = bags.shared(flat, begins[doc] + a, begins[doc] + b, item)
+                    good = np.flatnonzero(shared / least_size >= least)
                     rows = [
-                        (doc_ids[d], i, x, words[d][x:y])
-                        for d, i, x, y in zip(*(v[straight].tolist() for v in (doc, item, a, b)), strict=True)
+                        (doc_ids[d], i, x, words[d][x:y], known[np.unique(seed[f : z + 1])].tolist())
+                        for d, i, x, y, f, z in zip(*(v[good].tolist() for v in (doc, item, a, b, group, last)), strict=True)
                     ]
                     if rows:
-                        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string())]
+                        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
                         columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-                        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "word_start", "words"])
+                        yield _rows(dict(zip(("doc_id", "item_id", "word_start", "words", "seeds"), columns, strict=True)), len(rows))
+        seen = np.flatnonzero(total)
+        yield _rows({"seed": pa.array(known[seen]), "n": pa.array(total[seen])}, len(seen))
 
     return find
 
@@ -224,8 +239,8 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             score[some], end[some] = best_alignments([lefts[i] for i in some], [rights[i] for i in some])
         whole = np.array([MATCH * max(1, len(x)) for x in lefts])
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["item_id"], pa.array(score / whole), pa.array(batch["word_start"].to_numpy() + end)],
-            names=["doc_id", "item_id", "score", "word_end"],
+            [batch["doc_id"], batch["item_id"], pa.array(score / whole), pa.array(batch["word_start"].to_numpy() + end), batch["rarest"]],
+            names=["doc_id", "item_id", "score", "word_end", "rarest"],
         )
 
 
@@ -235,43 +250,44 @@ def _passes(table: DataFrame, key: str, at_once: int) -> list[DataFrame]:
     return [table.filter(F.pmod(F.xxhash64(key), F.lit(n)) == i) for i in range(n)]
 
 
-def contaminated(
-    docs: DataFrame, items: DataFrame, least: float = 0.5, run: int = 4, rare: int = 100, seeds_at_once: int = 1_000_000
-) -> DataFrame:
-    """``doc_id, item_id, score, word_end`` for every document of ``docs`` (doc_id, text) that holds an item (item_id, text).
+def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.5, patterns: tuple = PATTERNS, seeds_at_once: int = 1_000_000) -> DataFrame:
+    """``doc_id, item_id, score, word_end, rarest`` for every document of ``docs`` (doc_id, text) that holds an item (item_id, text).
 
     ``score`` is the best local alignment of the item to a place in the document, as a share of the perfect score, at least
     ``least``; words are runs of letters, digits and underscores in lower case; ``word_end`` is how many words of the document
-    lie before the end of the best place (the first of several). Seeds are all runs of ``run`` words, or all words of a shorter item.
-    Those that at most ``rare`` documents hold lead to an alignment by one hit; the others too, unless the place has fewer words in
-    common with the item than a score of ``least`` takes, so that ``rare`` changes the cost and not the result. Null and empty texts hold nothing and are held nowhere; items without id are left out; documents
-    without id are reported as one, under null; repeated rows count once. Other columns are not read. Empty tables give no rows.
+    lie before the end of the best place (the first of several). Seeds are the words of an item at the places of each of ``patterns``, or all
+    words of an item too short for them; an item is looked for wherever a document holds one. A place is not aligned only if it has
+    fewer words in common with the item than a score of ``least`` takes. ``rarest`` is the number of rows that hold the rarest seed of the
+    document's copies. Null and empty texts hold nothing and are held nowhere; items without id are left out; documents without id are
+    reported as one, under null; repeated rows give one result. Other columns are not read. Empty tables give no rows.
 
     ``seeds_at_once`` bounds what goes to every task; more seeds go in several passes over ``docs``.
     """
     known = docs.select("doc_id", "text")
     wanted = stored(items.filter("item_id IS NOT NULL").select(F.col("item_id").cast("bigint"), F.col("text").alias("item_text")).distinct())
-    seeds = stored(wanted.mapInArrow(_seeds(run), "item_id bigint, seed bigint, place bigint, size bigint"))
-    lengths = [r["n"] for r in seeds.select(F.least("size", F.lit(run)).alias("n")).distinct().collect()]
-
-    counted = None
-    for part in _passes(seeds.select("seed").distinct(), "seed", seeds_at_once):
-        names = np.sort(part.toPandas()["seed"].to_numpy(np.int64))
-        found = known.mapInArrow(_frequencies(names, lengths), "seed bigint, n bigint")
-        counted = found if counted is None else counted.union(found)
-    frequency = counted.groupBy("seed").agg(F.sum("n").alias("n"))
-    by_item = seeds.join(frequency, "seed", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    chosen = stored(by_item.filter("n > 0").withColumn("rare", F.col("n") <= rare).select(*seeds.columns, "rare"))
+    seeds = stored(wanted.mapInArrow(_seeds(patterns), "item_id bigint, seed bigint, place bigint, size bigint"))
+    short = max(p[-1] for p in patterns)
+    sizes = [r["size"] for r in seeds.filter(F.col("size") <= short).select("size").distinct().collect()]
+    looked = sorted({*patterns, *(p for size in sizes for p in patterns_of(size, patterns))})
     bag = stored(wanted.mapInArrow(_words, "item_id bigint, word bigint"))
-    places = None
-    for part in _passes(chosen, "item_id", seeds_at_once):
+    found = None
+    for part in _passes(seeds, "item_id", seeds_at_once):
         own = part.orderBy("seed", "item_id", "place").toPandas()
         arrays = (own[c].to_numpy(np.int64) for c in ("seed", "item_id", "place", "size"))
         held = bag.join(part.select("item_id").distinct(), "item_id", "left_semi").toPandas()
         bags = _Bags(held["item_id"].to_numpy(np.int64), held["word"].to_numpy(np.int64))
-        found = known.mapInArrow(_candidates(*arrays, own["rare"].to_numpy(bool), lengths, bags, least), _PLACES)
-        places = found if places is None else places.union(found)
-    pairs = stored(places).join(wanted, "item_id")
-    scored = pairs.mapInArrow(_aligned, "doc_id bigint, item_id bigint, score double, word_end bigint").filter(F.col("score") >= least)
-    best = scored.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", (-F.col("word_end")).alias("end"))).alias("best"))
-    return best.select("doc_id", "item_id", "best.score", (-F.col("best.end")).alias("word_end"))
+        places = known.mapInArrow(_candidates(*arrays, looked, bags, least), _PLACES)
+        # A seed of items of several passes is counted in each of them.
+        places = places.withColumn("pass", F.lit(int(own["item_id"].iloc[0]) if len(own) else 0))
+        found = places if found is None else found.union(places)
+    found = stored(found)
+    counts = found.filter("n IS NOT NULL").groupBy("pass", "seed").agg(F.sum("n").alias("n")).groupBy("seed").agg(F.max("n").alias("n"))
+    # The counts of an item's seeds go with the item, so that no place is joined once for each of its seeds.
+    counted = seeds.select("item_id", "seed").distinct().join(counts, "seed")
+    counted = counted.groupBy("item_id").agg(F.map_from_entries(F.collect_list(F.struct("seed", "n"))).alias("counts"))
+    pairs = found.filter("item_id IS NOT NULL").join(stored(wanted.join(counted, "item_id")), "item_id")
+    rarest = F.array_min(F.transform("seeds", lambda seed: F.col("counts")[seed]))
+    pairs = pairs.select("doc_id", "item_id", "word_start", "words", "item_text", rarest.alias("rarest"))
+    aligned = pairs.mapInArrow(_aligned, "doc_id bigint, item_id bigint, score double, word_end bigint, rarest bigint").filter(F.col("score") >= least)
+    best = aligned.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", (-F.col("word_end")).alias("end"))).alias("best"), F.min("rarest").alias("rarest"))
+    return best.select("doc_id", "item_id", "best.score", (-F.col("best.end")).alias("word_end"), "rarest")

@@ -227,15 +227,17 @@ def with_language(
     known: float = 0.0,
     short: int = 0,
     clear: float = 0.85,
+    enough: int = 50,
 ) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang) whose text gets a language with a score of at least ``least``, all columns as they are.
 
     Of its n-grams, at least the share ``known`` must be such that a landmark holds. A text of fewer than ``short`` n-grams gives
     the regressions too little to judge by: it stays below ``least`` too if the share is at least ``clear``. These limits are as given
-    whatever the table holds. Learnt from the same rows as in ``identified``. Texts that are null or have no letter go; if there is
-    nothing to learn from, all others stay.
+    whatever the table holds. Learnt from the same rows as in ``identified``. Texts that are null or have no letter go; if there are
+    fewer than ``enough`` rows to learn from, too few to reject a text by, all others stay.
     """
-    model = train(_learnable(docs).filter("NOT held_out"), rows_each, rows_most, landmarks_each, landmarks_most, ridge, longest)
+    held, labels = _sample(_learnable(docs).filter("NOT held_out"), rows_each, rows_most, longest)
+    model = fit(held, labels, landmarks_each, landmarks_most, ridge, longest) if len(held) >= enough else None
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from sluiceway.llm import super_kmers
-from sluiceway.llm.alignment import _passes, best_alignments, contaminated
+from sluiceway.llm.alignment import PATTERNS, _passes, best_alignments, contaminated
 from sluiceway.llm.darts import components, near_duplicates, shingles, signatures, similarity
 from sluiceway.llm.guess_cost import GuessCost, base_spans, guess_spans, ordered
 from sluiceway.llm.langid import Presence, fit, identified, with_language
@@ -269,6 +269,10 @@ def test_alignments_of_many_pairs_at_once():
     assert found.tolist() == [plain_alignment(a, b) for a, b in pairs]
 
 
+def plain_seeds(words):
+    return {(p, tuple(words[j + at] for at in p)) for p in PATTERNS for j in range(len(words) - p[-1])}
+
+
 def items(session, texts):
     return session.createDataFrame([(i, t, "x") for i, t in texts], "item_id bigint, text string, doc_id string")
 
@@ -285,12 +289,14 @@ def test_exact_edited_and_absent_items(session, docs, rows):
     texts += [(500, f"{prose(draw, 20)} {' '.join(edited)} {prose(draw, 20)}"), (501, tests[3][1].replace(" ", ", ")), (502, " ".join(tests[4][1].split()[:8]))]
     texts += [(503, "tiny item"), (None, tests[5][1]), (504, None), (505, ""), (506, tests[6][1]), (506, tests[6][1]), (507, prose(draw, 9000) + " " + tests[7][1])]
     asked = items(session, [*tests, (20, "tiny item"), (21, None), (22, ""), (None, "no id here at all"), (0, tests[0][1])])
-    for at_once in (1_000_000, 20):
-        found = contaminated(docs(texts).repartition(4), asked, rare=5, seeds_at_once=at_once)
+    for at_once in (1_000_000, 200):
+        found = contaminated(docs(texts).repartition(4), asked, seeds_at_once=at_once)
         assert rows(found, "doc_id", "item_id") == sorted(
             [*((100 + i, 0) for i in range(300)), (500, 2), (501, 3), (503, 20), (None, 5), (506, 6), (507, 7)], key=repr
         )
     ends = {r["doc_id"]: (r["score"], r["word_end"]) for r in found.collect()}
+    rarest = {r["doc_id"]: r["rarest"] for r in found.collect()}
+    assert rarest[100] == rarest[399] == 300 and rarest[501] == rarest[507] == 1 and rarest[506] == 2
     assert ends[501] == (1.0, 30) and ends[507] == (1.0, 9030) and ends[500][0] < 1
     assert rows(contaminated(docs([]), asked)) == []
     assert rows(contaminated(docs(texts), items(session, []))) == []
@@ -306,17 +312,36 @@ def test_half_and_edited_copies_of_a_hot_item(session, docs, rows, at_once):
         words = [f"w{draw.randrange(40)}" if draw.random() < 0.22 else w for w in item]
         texts.append((300 + i, f"{prose(draw, 6, 40)} {' '.join(words)} {prose(draw, 6, 40)}"))
     texts += [(500 + i, f"{prose(draw, 9, 40)} {' '.join(item[:draw.randint(4, 19)])} {prose(draw, 9, 40)}") for i in range(120)]
-    runs = {tuple(item[j : j + 4]) for j in range(37)}
     expected = []
     for i, t in texts:
         words = t.split()
-        if any(tuple(words[j : j + 4]) in runs for j in range(len(words) - 3)) and (score := plain_alignment(item, words)) >= 40:
+        if plain_seeds(words) & plain_seeds(item) and (score := plain_alignment(item, words)) >= 40:
             expected.append((i, 0, score / 80))
     found = contaminated(docs(texts).repartition(3), items(session, [(0, " ".join(item)), (1, prose(draw, 30, 40))]), seeds_at_once=at_once)
     assert rows(found, "doc_id", "item_id", "score") == sorted(expected, key=repr)
     assert {*range(150), *range(200, 220)} < {i for i, *_ in expected} and sum(300 <= i < 500 for i, *_ in expected) > 60
 
 
+def test_edited_copies_are_found_wherever_their_score_is_reached(session, docs):
+    """Copies with every n-th word replaced, and with random shares of words replaced, dropped or doubled."""
+    draw = random.Random(12)
+    wanted = {i: [f"t{i}x{j}" for j in range(draw.randint(15, 45))] for i in range(6)}
+    texts = []
+    for i, item in wanted.items():
+        for step in (3, 4, 5):
+            for first in range(step):
+                texts.append([f"e{draw.randrange(10**6)}" if j % step == first else w for j, w in enumerate(item)])
+        for share in (0.1, 0.2, 0.3):
+            for _ in range(10):
+                kinds = [draw.choice("rrdi") if draw.random() < share else "" for _ in item]
+                texts.append([x for w, k in zip(item, kinds, strict=True) for x in {"": [w], "r": ["new"], "d": [], "i": [w, w]}[k]])
+    rows = [(n, f"{prose(draw, 20)} {' '.join(t)} {prose(draw, 20)}") for n, t in enumerate(texts)]
+    reached = {(n, i): s / len(item) / 2 for n, t in rows for i, item in wanted.items() if (s := plain_alignment(item, t.split())) >= len(item)}
+    found = contaminated(docs(rows).repartition(3), items(session, [(i, " ".join(t)) for i, t in wanted.items()]))
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found.collect()} == pytest.approx(reached)
+    assert len(reached) > 200
+
+
 def test_passes_split_a_seed_that_many_items_share(session):
     chosen = session.range(400).selectExpr("id AS item_id", "7L AS seed", "0 AS place")
     sizes = [part.count() for part in _passes(chosen, "item_id", 100)]
@@ -336,12 +361,12 @@ def test_pipeline_against_plain_stages(session):
     wanted = [normal_words(r["text"]) for r in table(session, SMALL, "benchmark").collect()]
     runs = defaultdict(set)
     for k, w in enumerate(wanted):
-        for j in range(len(w) - 3):
-            runs[tuple(w[j : j + 4])].add(k)
+        for seed in plain_seeds(w):
+            runs[seed].add(k)
     cost, expected, library = GuessCost(), [], Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     for i in sorted(kept):
         words = normal_words(rows[i])
-        near = set().union(*(runs.get(tuple(words[j : j + 4]), set()) for j in range(len(words) - 3)), set())
+        near = set().union(*(runs.get(seed, set()) for seed in plain_seeds(words)))
         if any(plain_alignment(wanted[k], words) >= len(wanted[k]) for k in near):
             continue
         text, end, parts = rows[i], 0, []
