@@ -8,9 +8,10 @@ similarity. Only darts before a time that fills all coordinates are ever compute
 of k for each element.
 
 Documents that share a band are joined through one of them, the bucket's centre, another one in each bucket, and the exact similarity is
-computed for those pairs. A bucket whose members then lie in one component is done. Of the others, the members outside the
-bucket's main component meet its members in tiles: blocks of documents whose similarities come from matrix products within a task,
-of which only links leave it. So no similar pair that shares a band is lost, and no pair is a row of a join but those with a centre.
+computed for those pairs. A bucket whose members then lie in one component is done. Of the others, members that share one of their
+rarest units with another component stay: two documents of the threshold's similarity always do, pages of one template that differ in the
+rest do not. Those outside the bucket's main component meet its members in tiles: blocks of documents whose similarities come from matrix
+products within a task, of which only links leave it. So no similar pair that shares a band is lost, and no pair is a row of a join but those with a centre.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.llm.shared import chunks, stored, texts_of
@@ -217,10 +218,56 @@ def _tile(threshold: float):
     return compare
 
 
+def rarest(units: np.ndarray, common: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """The first units of a set in an order from rare to common, so many that two sets of ``threshold`` similarity share one of theirs.
+
+    They share at least the part ``threshold`` of the larger set, so the last units of either, one fewer than that part, can't be all they
+    share. ``common`` holds, sorted, the units that are not rare, ``counts`` how common each is; any such order does, if it is the same for both.
+    """
+    weight = np.zeros(len(units), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, units), len(common) - 1)
+        weight = np.where(common[at] == units, counts[at], 0)
+    return units[np.lexsort((units, weight))[: len(units) - int(np.ceil(threshold * len(units) - 1e-9)) + 1]]
+
+
+def _common(members: pa.Table) -> pa.Table:
+    """The units that several members of a group's sample hold, and how many do."""
+    sets = [np.frombuffer(u, np.uint64) for u in members["units"].to_pylist()]
+    names, n = np.unique(np.concatenate(sets), return_counts=True)
+    columns = [names[n > 1].tobytes(), n[n > 1].astype(np.int64).tobytes()]
+    return pa.Table.from_arrays([members["main"][:1], *(pa.array([c], pa.binary()) for c in columns)], names=["main", "common", "counts"])
+
+
+def _rarest(threshold: float):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch[c].to_pylist() for c in ("units", "common", "counts")), strict=True)
+            found = [rarest(np.frombuffer(u, np.uint64), np.frombuffer(c, np.uint64), np.frombuffer(n, np.int64), threshold).view(np.int64) for u, c, n in rows]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("main", "node", "root")), pa.array(found, pa.list_(pa.int64()))], names=["main", "node", "root", "rare"])
+
+    return cut
+
+
+def sharing_rare_units(group: DataFrame, threshold: float, sample: int = 16) -> DataFrame:
+    """``main, node`` of the members of each group (main, node, root, units) that share one of their rarest units with a member of another root.
+
+    What is common in a group is told from ``sample`` members: that sets the order of the units, so it bears on the cost alone.
+    """
+    place = F.row_number().over(Window.partitionBy("main").orderBy(F.xxhash64("node"), "node"))
+    drawn = group.select("main", "node", place.alias("place")).filter(F.col("place") <= sample).select("main", "node")
+    common = stored(group.join(stored(drawn), ["main", "node"]).select("main", "units").groupBy("main").applyInArrow(_common, "main bigint, common binary, counts binary"))
+    cut = stored(group.join(common, "main").mapInArrow(_rarest(threshold), "main bigint, node bigint, root bigint, rare array<bigint>"))
+    entries = cut.select("main", "node", "root", F.explode("rare").alias("unit"))
+    shared = entries.groupBy("main", "unit").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    return stored(entries.join(stored(shared.select("main", "unit")), ["main", "unit"], "left_semi").select("main", "node").distinct())
+
+
 def _late_links(members: DataFrame, roots: DataFrame, units: DataFrame, threshold: float, block: int = 512) -> DataFrame | None:
     """Links that no centre showed: of buckets in several components, members outside the main one against all of its kind.
 
-    Buckets with the same main component are one group, cut into blocks of documents; None if no bucket is left.
+    Buckets with the same main component are one group, of which the members that can be similar to one of another component are cut into
+    blocks of documents; None if there are none.
     """
     placed = stored(members.join(roots, "node"))
     parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("size"))
@@ -230,6 +277,10 @@ def _late_links(members: DataFrame, roots: DataFrame, units: DataFrame, threshol
         return None
     mixed_members = placed.join(main, "bucket").select("main", "node", "root").distinct()
     group = stored(mixed_members.join(units, "node"))
+    near = sharing_rare_units(group, threshold)
+    if near.isEmpty():
+        return None
+    group = stored(group.join(near, ["main", "node"]))
     counts = group.groupBy("main").agg(F.count_if(F.col("root") != F.col("main")).alias("n_outside"), F.count("*").alias("n_inside"))
     counts = stored(counts.select("main", *(F.ceil(F.col(n) / block).cast("int").alias(n) for n in ("n_outside", "n_inside"))))
     dealt = group.join(counts, "main").withColumn("own", F.xxhash64("node"))

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from sluiceway.llm import super_kmers
 from sluiceway.llm.alignment import PATTERNS, _passes, best_alignments, contaminated
-from sluiceway.llm.darts import components, near_duplicates, shingles, signatures, similarity
+from sluiceway.llm.darts import components, near_duplicates, rarest, sharing_rare_units, shingles, signatures, similarity
 from sluiceway.llm.guess_cost import GuessCost, base_spans, guess_spans, ordered
 from sluiceway.llm.langid import Presence, fit, identified, with_language
 from sluiceway.llm.queries import table
@@ -159,6 +159,47 @@ def test_classes_are_the_components_of_similar_pairs(docs):
     assert {r["doc_id"]: r["class_id"] for r in found.collect()} == plain_classes(texts)
 
 
+def test_similar_sets_share_one_of_their_rarest_units():
+    draw = np.random.default_rng(5)
+    met = 0
+    for _ in range(2000):
+        a = np.unique(draw.integers(0, 60, draw.integers(1, 60))).astype(np.uint64)
+        b = np.setxor1d(a, draw.integers(0, 60, draw.integers(0, 12)).astype(np.uint64))
+        common = np.unique(draw.integers(0, 60, 20)).astype(np.uint64)
+        counts = draw.integers(2, 5, len(common))
+        if len(b) and similarity(a, b) >= 0.8:
+            met += 1
+            assert len(np.intersect1d(rarest(a, common, counts, 0.8), rarest(b, common, counts, 0.8)))
+    assert met > 500
+
+
+def test_pages_of_one_template_below_the_threshold_do_not_meet(session):
+    """However many pages share two thirds of their words, those that reach the tiles are the near copies among them."""
+    draw, hashes = random.Random(2), WordHashes()
+    template = prose(draw, 80)
+    for n in (500, 5000):
+        texts = [f"{template} {' '.join(f'o{draw.randrange(10**9)}' for _ in range(40))}" for _ in range(n)]
+        texts += [texts[3] + " end", "start " + texts[7]]
+        sets = [shingles(hashes.of(normal_words(t)), 5) for t in texts]
+        assert 0.4 < similarity(sets[0], sets[1]) < 0.6
+        rows = [(0, i, i, u.tobytes()) for i, u in enumerate(sets)]
+        group = session.createDataFrame(rows, "main bigint, node bigint, root bigint, units binary")
+        assert sorted(r["node"] for r in sharing_rare_units(group, 0.8).collect()) == [3, 7, n, n + 1]
+
+
+def test_classes_within_a_template(docs):
+    """Links among pages of a template, of similarities on both sides of the threshold."""
+    draw = random.Random(21)
+    template, texts = prose(draw, 120), []
+    for own in (6, 12, 40, 60):
+        texts += [f"{template} {' '.join(f'o{draw.randrange(10**9)}' for _ in range(own))}" for _ in range(25)]
+    texts += [f"{t} {prose(draw, 4)}" for t in texts[60:90]]
+    rows = list(enumerate(texts))
+    draw.shuffle(rows)
+    found = near_duplicates(docs(rows).repartition(4))
+    assert {r["doc_id"]: r["class_id"] for r in found.collect()} == plain_classes(rows)
+
+
 def test_rows_that_share_a_doc_id_lose_no_link(docs):
     draw = random.Random(9)
     a, b, c, d = (prose(draw, 120) for _ in range(4))
