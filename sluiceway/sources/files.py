@@ -105,7 +105,7 @@ def with_declared_fields(df: DataFrame, record: str, schema: StructType) -> Data
     fields, parsed, record = F.col("_fields"), F.col("_parsed"), F.col(record)
     misfit = fields.isNull()
     branches = F.lit(False)
-    unknown = F.map_filter(fields, lambda name, _: ~name.isin(schema.names))
+    beyond = unknown = F.map_filter(fields, lambda name, _: ~name.isin(schema.names))
     for field in schema.fields:
         misfit = misfit | (fields[field.name].isNotNull() & parsed[field.name].isNull())
         if isinstance(field.dataType, StructType | ArrayType):
@@ -113,7 +113,8 @@ def with_declared_fields(df: DataFrame, record: str, schema: StructType) -> Data
             branches = branches | branch
             kept = F.when(branch, F.map_from_arrays(F.array(F.lit(field.name)), F.array(fields[field.name])))
             unknown = F.map_concat(unknown, F.coalesce(kept, F.create_map().cast("map<string,string>")))
-    rescue = F.when(record.isNotNull() & F.coalesce(misfit, F.lit(True)), record).when(F.size(unknown) > 0, F.to_json(unknown))
+    # The maps are put together only where there is something to keep.
+    rescue = F.when(record.isNotNull() & F.coalesce(misfit, F.lit(True)), record).when((F.size(beyond) > 0) | branches, F.to_json(unknown))
     return df.withColumn("_left", rescue).drop("_fields")
 
 
@@ -135,26 +136,30 @@ def invoice_pages(
     reader = spark.readStream if stream else spark.read
     reader = _limited(reader, max_files if stream else None).option("recursiveFileLookup", True)
     record = schema["data"].dataType.elementType
-    page = F.from_json("value", "struct<data:array<string>>")
-    beside = F.map_filter(F.from_json("value", "map<string,string>"), lambda name, _: name != "data")
+    read = {"_data": F.from_json("value", "struct<data:array<string>>")["data"], "_fields": F.from_json("value", "map<string,string>")}
     # A page that is broken, has no data, or has data that is no list is kept as one row without a record.
-    unreadable = F.when(F.from_json("value", "map<string,string>").isNull() | F.col("_page.data").isNull(), F.array(F.lit(None).cast("string")))
+    unreadable = F.col("_fields").isNull() | F.col("_data").isNull()
+    texts = F.when(unreadable, F.array(F.lit(None).cast("string"))).otherwise(F.col("_data"))
+    beside = F.map_filter("_fields", lambda name, _: name != "data")
+    # What concerns the page goes into the exploded rows: columns beside an explode are computed, or copied, for every record.
+    rows = F.transform(
+        texts,
+        lambda text, at: F.struct(
+            text.alias("_record"),
+            F.when((at == 0) & (F.size("_beside") > 0), F.to_json("_beside")).alias("_first"),
+            F.when(text.isNull(), F.col("value")).alias("_whole"),
+        ),
+    )
     pages = (
         reader.text(path, wholetext=True)
-        .withColumn("_page", page)
-        .select(
-            F.col("_metadata.file_path").alias(SOURCE_FILE),
-            "value",
-            beside.alias("_beside"),
-            F.posexplode(F.coalesce("_page.data", unreadable)).alias("_at", "_record"),
-        )
+        .select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
+        .withColumns(read)
+        .withColumn("_beside", beside)
+        .select(SOURCE_FILE, F.inline(rows))
     )
     pages = with_declared_fields(pages, "_record", record)
-    rescue = F.col("_left")
-    first = F.when(F.col("_at") == 0, F.when(F.size("_beside") > 0, F.to_json("_beside")))
-    both = F.when(first.isNotNull() | rescue.isNotNull(), F.concat_ws("\n", first, rescue))
-    whole = F.when(F.col("_record").isNull(), F.col("value"))
-    return pages.select(F.coalesce(whole, both).alias(RESCUE), SOURCE_FILE, "_parsed.*")
+    both = F.when(F.col("_first").isNotNull() | F.col("_left").isNotNull(), F.concat_ws("\n", "_first", "_left"))
+    return pages.select(F.coalesce("_whole", both).alias(RESCUE), SOURCE_FILE, "_parsed.*")
 
 
 def stored_files(spark: SparkSession, path: str, schema: StructType | None = None, stream: bool = False) -> DataFrame:

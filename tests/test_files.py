@@ -88,6 +88,22 @@ def test_unknown_json_fields_are_rescued_at_any_depth(spark, tmp_path):
     assert "rank" in found["1"] and "next" in found["1"] and "tax" in found["2"] and found["3"] is None
 
 
+def test_a_page_is_parsed_once_and_not_for_every_record(spark, tmp_path):
+    """Beside an explode, the page's text was carried along and parsed again for every record of it."""
+    (tmp_path / "p").mkdir()
+    (tmp_path / "p" / "a.json").write_text(json.dumps({"data": [{"invoice_id": str(i), "tax": i} for i in range(3)], "next": "q"}))
+    (tmp_path / "p" / "b.json").write_text('{"next": "r"}')
+    (tmp_path / "p" / "c.json").write_text('{"data": [null, {"invoice_id": "9"}]}')
+    rows = files.invoice_pages(spark, str(tmp_path / "p"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate")]
+    assert "value#" not in above and "_beside#" not in above
+    found = sorted((r.invoice_id or "", r._rescued_data) for r in rows.collect() if r._rescued_data)
+    assert found == [
+        ("", '{"data": [null, {"invoice_id": "9"}]}'), ("", '{"next": "r"}'), ("0", '{"next":"q"}\n{"tax":"0"}'), ("1", '{"tax":"1"}'), ("2", '{"tax":"2"}'),
+    ]
+
+
 def test_drift_and_deliveries(spark, tmp_path):
     declared = schemas.struct(a=schemas.TEXT, b=schemas.NUMBER)
     for name, text in [("one", "a,b\nx,1.5\n"), ("two", "b,c,a\n2.5,new,y\n")]:
