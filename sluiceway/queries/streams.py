@@ -31,12 +31,12 @@ def landed_csv(df: DataFrame, path: str | None = None) -> str:
     return path
 
 
-def write_pages(records: DataFrame, path: str, page_rows: int = 5000) -> None:
-    """Write records as paged documents, one per file, at most ``page_rows`` records each."""
+def write_pages(records: DataFrame, path: str, page_rows: int = 5000, compression: str = "none") -> None:
+    """Write records as paged documents, one per file, at most ``page_rows`` records each; readers unpack a page by its file's ending."""
     texts = records.select(F.to_json(F.struct(*records.columns)).alias("record")).withColumn("n", F.monotonically_increasing_id())
     pages = texts.groupBy(F.expr(f"n div {page_rows}").alias("page"), F.shiftright("n", 33).alias("task"))
     bodies = pages.agg(F.concat(F.lit('{"data":['), F.concat_ws(",", F.collect_list("record")), F.lit("]}")).alias("value"))
-    bodies.select("value").write.option("maxRecordsPerFile", 1).mode("append").text(path)
+    bodies.select("value").write.option("maxRecordsPerFile", 1).mode("append").text(path, compression=compression)
 
 
 def run(stream: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -102,7 +102,7 @@ def stream_jsonl(inputs):
 
 def invoice_stream(inputs) -> DataFrame:
     path = f"{scratch(inputs.spark)}/landing"
-    write_pages(inputs.invoice_records().drop(RESCUE), path)
+    write_pages(inputs.invoice_records().drop(RESCUE), path, compression="gzip")
     return files.invoice_pages(inputs.spark, path, stream=True)
 
 
@@ -466,7 +466,7 @@ def landing_rule_counts(inputs):
         for folder, parts in sources.items():
             path = f"{run.landing}/{folder}"
             if folder == "finance_erp":
-                write_pages(parts[half], path)
+                write_pages(parts[half], path, compression="gzip")
             elif folder == "network_telemetry":
                 parts[half].write.mode("append").json(path)
             else:

@@ -52,6 +52,16 @@ def test_written_pages_read_back(spark, tmp_path):
     assert all(len(json.loads(p.read_text())["data"]) <= 5 for p in (tmp_path / "pages").glob("part-*"))
 
 
+def test_compressed_pages_read_back_and_take_less_room(spark, tmp_path):
+    records = spark.range(2000).selectExpr("CAST(id AS STRING) AS invoice_id", "'SGD' AS currency", "CAST(id % 7 AS STRING) AS cost_center")
+    for kind in ("none", "gzip"):
+        write_pages(records, str(tmp_path / kind), page_rows=500, compression=kind)
+    plain, packed = (files.invoice_pages(spark, str(tmp_path / kind)).drop(files.SOURCE_FILE) for kind in ("none", "gzip"))
+    assert plain.count() == packed.count() == 2000 and plain.exceptAll(packed).isEmpty()
+    room = {kind: sum(p.stat().st_size for p in (tmp_path / kind).glob("part-*")) for kind in ("none", "gzip")}
+    assert room["gzip"] * 4 < room["none"]
+
+
 def test_csv_by_name_takes_any_order_and_keeps_added_text(spark, tmp_path):
     (tmp_path / "a.csv").write_text("sensor_id,reading_value\ns1,1.5\n")
     (tmp_path / "b.csv").write_text("reading_value,firmware,sensor_id\n2.5,0012,s2\noops,7,s3\n")
