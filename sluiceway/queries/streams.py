@@ -5,6 +5,8 @@ Each result equals its batch twin, which is what the SQL computes.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,8 @@ from sluiceway.queries.oracle import BILL_FIELDS, INVOICE_OK, LINE_OK, PROCESSED
 from sluiceway.queries.registry import SETTINGS, query
 from sluiceway.sources import files, schemas
 from sluiceway.sources.schemas import RESCUE
-from sluiceway.sources.tables import scratch, store
+from sluiceway.sources.tables import move, scratch, store
+from sluiceway.sources.versions import BATCH
 from sluiceway.streaming import flows
 from sluiceway.streaming.gold import BillingSteps, DetailsSteps, GoldRun
 from sluiceway.streaming.landing import Landing
@@ -196,13 +199,25 @@ def _bronze_tables(inputs) -> dict[str, DataFrame]:
     }
 
 
+def stage_deliveries(df: DataFrame, path: str, conditions: list) -> None:
+    """Write a table once, the rows of each delivery into a folder of its own: ``_batch=n`` holds those of the n-th condition."""
+    number = F.coalesce(*[F.when(condition, F.lit(n)) for n, condition in enumerate(conditions)])
+    df.withColumn(BATCH, number).write.partitionBy(BATCH).parquet(path)
+
+
 def _after_deliveries(inputs, run, tables: dict[str, DataFrame], splits: dict[str, list]):
-    """``run`` after each delivery of bronze tables, ``splits`` giving the condition of each one's rows; returns what the last gives."""
+    """``run`` after each delivery of bronze tables, ``splits`` giving the condition of each one's rows; returns what the last gives.
+
+    Every table is computed and written once, in its deliveries; a delivery arrives as its folder is moved into the bronze table.
+    """
     base = scratch(inputs.spark)
-    stored = {name: store(df) for name, df in tables.items()}
+    with ThreadPoolExecutor(len(splits)) as pool:
+        for job in [pool.submit(stage_deliveries, tables[name], f"{base}/staged/{name}", conditions) for name, conditions in splits.items()]:
+            job.result()
     for number in range(len(next(iter(splits.values())))):
-        for table, conditions in splits.items():
-            deliver_bronze(base, table, stored[table].where(conditions[number]), number)
+        for table in splits:
+            if not move(inputs.spark, f"{base}/staged/{table}/{BATCH}={number}", f"{base}/bronze/{table}/{BATCH}={number}"):
+                deliver_bronze(base, table, inputs.spark.createDataFrame([], tables[table].schema), number)  # it has no rows
         result = run(base)
     return result
 

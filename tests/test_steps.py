@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 from functools import reduce
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from sluiceway.operators.profile import DISTINCT_ERROR, RANK_ERROR, merged_sketc
 from sluiceway.plans.refresh import daily_refresh
 from sluiceway.queries.oracle import with_inputs
 from sluiceway.queries.registry import SETTINGS, Inputs
-from sluiceway.queries.streams import _bronze_tables, deliver_bronze
+from sluiceway.queries.streams import _after_deliveries, _bronze_tables, deliver_bronze
 from sluiceway.sources import schemas, tables
 from sluiceway.sources.parted import PART, PartedTable, touched_parts
 from sluiceway.streaming.gold import BillingSteps, DetailsSteps, GoldRun
@@ -411,3 +412,20 @@ def test_sketches_of_batches_merge_within_their_errors(spark):
     for q, name in ((0.05, "q05"), (0.5, "q50"), (0.95, "q95")):
         assert abs(got["v"][name] / 40_000 - q) < RANK_ERROR
     assert got["k"].q50 is None and got["nothing"].q50 is None
+
+
+def test_deliveries_are_written_once_and_arrive_one_by_one(spark):
+    """Tables were stored, and every delivery read all of that store and wrote its rows again."""
+    seen = []
+
+    def run(base):
+        seen.append({t: sorted(r.id for r in spark.read.schema("id bigint").parquet(f"{base}/bronze/{t}").collect()) for t in ("a", "b")})
+        return base
+
+    mark, conditions = tables.scratch_mark(), [F.col("id") % 3 == n for n in range(3)]
+    splits = {"a": conditions, "b": [F.col("id") < 5, F.col("id") < 0, F.col("id") >= 5]}
+    _after_deliveries(SimpleNamespace(spark=spark), run, {"a": spark.range(7), "b": spark.range(7)}, splits)
+    assert seen == [
+        {"a": [0, 3, 6], "b": [0, 1, 2, 3, 4]}, {"a": [0, 1, 3, 4, 6], "b": [0, 1, 2, 3, 4]}, {"a": list(range(7)), "b": list(range(7))},
+    ]
+    assert tables.scratch_mark() - mark == 1
