@@ -81,3 +81,9 @@ def test_amounts_are_rounded_once(spark):
     ]
     got = spark.createDataFrame([r[:2] for r in shares], "part double, whole double").select(money_percent("part", "whole")).collect()
     assert [r[0] for r in got] == [r[2] for r in shares]
+
+
+def test_the_history_is_built_once_before_it_is_checked(spark):
+    """Both sides of the union built it anew, in the tasks that held the windows of the checks."""
+    plan = QUERIES["scd2_checks"].run(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2 and plan.count("Window") == 1 and "o_orderkey" not in plan
