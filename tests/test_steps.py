@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 from functools import reduce
 from pathlib import Path
+from threading import Barrier
 from types import SimpleNamespace
 
 import pytest
@@ -429,3 +430,10 @@ def test_deliveries_are_written_once_and_arrive_one_by_one(spark):
         {"a": [0, 3, 6], "b": [0, 1, 2, 3, 4]}, {"a": [0, 1, 3, 4, 6], "b": [0, 1, 2, 3, 4]}, {"a": list(range(7)), "b": list(range(7))},
     ]
     assert tables.scratch_mark() - mark == 1
+
+
+def test_the_domains_of_gold_run_side_by_side():
+    """They ran one after the other; each waits here until all four have begun."""
+    begun, gold = Barrier(4), GoldRun.__new__(GoldRun)
+    gold.billing = gold.spend = gold.orders = gold.readings = SimpleNamespace(run=lambda: begun.wait(20))
+    gold.run()
