@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from sluiceway import config
 from sluiceway.operators.quarantine import bad_rows, good_rows
@@ -199,10 +200,15 @@ def _bronze_tables(inputs) -> dict[str, DataFrame]:
     }
 
 
-def stage_deliveries(df: DataFrame, path: str, conditions: list) -> None:
+def stage_deliveries(df: DataFrame, path: str, conditions: list, kind: str = "parquet", **options) -> None:
     """Write a table once, the rows of each delivery into a folder of its own: ``_batch=n`` holds those of the n-th condition."""
     number = F.coalesce(*[F.when(condition, F.lit(n)) for n, condition in enumerate(conditions)])
-    df.withColumn(BATCH, number).write.partitionBy(BATCH).parquet(path)
+    df.withColumn(BATCH, number).write.partitionBy(BATCH).format(kind).options(**options).save(path)
+
+
+def stored_deliveries(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A staged Parquet table, with the number of the delivery of each row."""
+    return spark.read.schema(StructType([*schema.fields, StructField(BATCH, IntegerType())])).parquet(path)
 
 
 def _after_deliveries(inputs, run, tables: dict[str, DataFrame], splits: dict[str, list]):
@@ -469,24 +475,40 @@ LANDED = {
     ),
 )
 def landing_rule_counts(inputs):
+    spark, base = inputs.spark, scratch(inputs.spark)
     run = landing(inputs, max_files=8)
     firmware = F.when(F.col("reading_type") == "flow", F.lit("1"))
-    sources = {
-        "billing_customer": _halves(bill_texts(inputs), "customer_name"),
-        "finance_erp": _halves(inputs.invoice_records().drop(RESCUE), "invoice_id"),
-        "network_telemetry": _halves(inputs.readings().drop(RESCUE, "seq").withColumn("firmware", firmware), "timestamp"),
-        **{name: _halves(df.drop(RESCUE), df.columns[0]) for name, df in inputs.works_orders().items()},
-    }
-    for half in (0, 1):
-        for folder, parts in sources.items():
-            path = f"{run.landing}/{folder}"
-            if folder == "finance_erp":
-                write_pages(parts[half], path, compression="gzip")
-            elif folder == "network_telemetry":
-                parts[half].write.mode("append").json(path)
-            else:
-                landed_csv(parts[half], path)
-        run.bills(), run.invoices(), run.works_orders(), run.readings()
+    records = inputs.invoice_records().drop(RESCUE)
+    readings = inputs.readings().drop(RESCUE, "seq").withColumn("firmware", firmware)
+    texts = {"billing_customer": (bill_texts(inputs), "customer_name")}
+    texts |= {name: (df.drop(RESCUE), df.columns[0]) for name, df in inputs.works_orders().items()}
+
+    def stage(folder: str, df: DataFrame, by: str, *kind: str, **options) -> None:
+        half = F.pmod(F.xxhash64(by), F.lit(2)) == 0
+        stage_deliveries(df, f"{base}/{folder}", [half, ~half], *kind, **options)
+
+    def stage_pages(number: int) -> None:
+        rows = stored_deliveries(spark, f"{base}/records", records.schema).where(F.col(BATCH) == number).drop(BATCH)
+        write_pages(rows, f"{base}/finance_erp/{BATCH}={number}", compression="gzip")
+
+    def arrive(folder: str, number: int) -> None:
+        if not move(spark, f"{base}/{folder}/{BATCH}={number}", f"{run.landing}/{folder}/delivery-{number}"):  # it has no rows
+            nothing = spark.createDataFrame([], texts[folder][0].schema if folder in texts else readings.schema)
+            landed_csv(nothing, f"{run.landing}/{folder}") if folder in texts else nothing.write.mode("append").json(f"{run.landing}/{folder}")
+
+    # Every source is computed once; the second delivery's pages are written while the first delivery lands.
+    with ThreadPoolExecutor(len(texts) + 2) as pool:
+        staged = [pool.submit(stage, name, df, by, "csv", header=True) for name, (df, by) in texts.items()]
+        staged.append(pool.submit(stage, "network_telemetry", readings, "timestamp", "json"))
+        stage("records", records, "invoice_id")
+        pages = [pool.submit(stage_pages, number) for number in (0, 1)]
+        for job in staged:
+            job.result()
+        for number in (0, 1):
+            pages[number].result()
+            for folder in (*texts, "network_telemetry", "finance_erp"):
+                arrive(folder, number)
+            run.all()
     return run.rule_counts().groupBy("dataset", "rule", "action").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
 
 

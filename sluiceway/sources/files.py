@@ -6,6 +6,7 @@ them, or is not declared, goes to the rescue column as text; nothing is lost at
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Sequence
 from urllib.parse import unquote
@@ -118,6 +119,22 @@ def with_declared_fields(df: DataFrame, record: str, schema: StructType) -> Data
     return df.withColumn("_left", rescue).drop("_fields")
 
 
+def _shapes(kind: DataType) -> str:
+    """A pattern of the types, as ``schema_of_variant`` writes them, of JSON values whose objects name declared fields only."""
+    if isinstance(kind, StructType):
+        found = "".join(f"(?:{re.escape(_quoted(f.name))}: {_shapes(f.dataType)}(?:, |(?=>)))?" for f in sorted(kind.fields, key=lambda f: f.name))
+        found = f"OBJECT<{found}>"
+    elif isinstance(kind, ArrayType):
+        found = f"ARRAY<{_shapes(kind.elementType)}>"
+    else:
+        found = r"[A-Z_]+(?:\([0-9, ]+\))?"  # an object or a list in the place of a value is none of these
+    return f"(?:{found}|VOID)"
+
+
+def _quoted(name: str) -> str:
+    return name if re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", name) else f"`{name.replace('`', '``')}`"
+
+
 def json_lines(spark: SparkSession, path: str, schema: StructType, stream: bool = False, max_files: int | None = None) -> DataFrame:
     reader = spark.readStream if stream else spark.read
     reader = _limited(reader, max_files if stream else None).option("recursiveFileLookup", True)
@@ -136,28 +153,41 @@ def invoice_pages(
     reader = spark.readStream if stream else spark.read
     reader = _limited(reader, max_files if stream else None).option("recursiveFileLookup", True)
     record = schema["data"].dataType.elementType
+    # A page whose records all fit, and name nothing beyond the declared fields, is read as a whole; the records of other pages are judged one
+    # by one. Its shape names every field of any record and is NULL if a name is there twice or the page is too long for it.
+    page = F.from_json("value", StructType([StructField("data", ArrayType(record)), StructField("_misfit", TEXT)]), {"columnNameOfCorruptRecord": "_misfit"})
+    declared = F.schema_of_variant(F.try_parse_json("value")).rlike(f"^{_shapes(schema)}$")
+    fits = F.coalesce(declared & F.col("_page._misfit").isNull() & F.forall("_page.data", lambda one: one.isNotNull()), F.lit(False))
     read = {"_data": F.from_json("value", "struct<data:array<string>>")["data"], "_fields": F.from_json("value", "map<string,string>")}
     # A page that is broken, has no data, or has data that is no list is kept as one row without a record.
     unreadable = F.col("_fields").isNull() | F.col("_data").isNull()
     texts = F.when(unreadable, F.array(F.lit(None).cast("string"))).otherwise(F.col("_data"))
     beside = F.map_filter("_fields", lambda name, _: name != "data")
     # What concerns the page goes into the exploded rows: columns beside an explode are computed, or copied, for every record.
-    rows = F.transform(
+    judged = F.transform(
         texts,
         lambda text, at: F.struct(
+            F.lit(None).cast(record).alias("_whole_record"),
             text.alias("_record"),
             F.when((at == 0) & (F.size("_beside") > 0), F.to_json("_beside")).alias("_first"),
             F.when(text.isNull(), F.col("value")).alias("_whole"),
         ),
     )
+    nothing = F.lit(None).cast("string")
+    as_read = F.transform(
+        "_page.data",
+        lambda one: F.struct(one.alias("_whole_record"), nothing.alias("_record"), nothing.alias("_first"), nothing.alias("_whole")),
+    )
     pages = (
         reader.text(path, wholetext=True)
         .select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
-        .withColumns(read)
+        .withColumn("_page", page)
+        .withColumn("_fits", fits)
+        .withColumns({name: F.when(~F.col("_fits"), column) for name, column in read.items()})
         .withColumn("_beside", beside)
-        .select(SOURCE_FILE, F.inline(rows))
+        .select(SOURCE_FILE, F.inline(F.when(F.col("_fits"), as_read).otherwise(judged)))
     )
-    pages = with_declared_fields(pages, "_record", record)
+    pages = with_declared_fields(pages, "_record", record).withColumn("_parsed", F.coalesce("_whole_record", "_parsed"))
     both = F.when(F.col("_first").isNotNull() | F.col("_left").isNotNull(), F.concat_ws("\n", "_first", "_left"))
     return pages.select(F.coalesce("_whole", both).alias(RESCUE), SOURCE_FILE, "_parsed.*")
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from sluiceway.sources.tables import children, remove
+from sluiceway.sources.tables import children, few_rows, remove
 
 PART = "_part"
 _HOLDS = f"{PART} string, number bigint"
@@ -84,8 +84,8 @@ class PartedTable:
         gathered.write.mode("overwrite").partitionBy(PART).parquet(folder)
         written = {name.partition("=")[2]: number for name in children(self.spark, folder) if name.startswith(f"{PART}=")}
         held = {p: n for p, n in self._holds(before).items() if p not in set(touched)} | written
-        state = self.spark.createDataFrame(sorted(held.items()), _HOLDS)
-        state.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/holds/n={number}")
+        state = few_rows(self.spark, sorted(held.items()), _HOLDS)
+        state.write.mode("overwrite").parquet(f"{self.path}/holds/n={number}")
         self._forget(before)
 
     def _forget(self, kept: int | None) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from sluiceway.operators.conform import union_all
 from sluiceway.operators.widen import as_type
-from sluiceway.sources.tables import exists
+from sluiceway.sources.tables import exists, few_rows
 
 BATCH = "_batch"
 _LOG = f"types string, schema string, {BATCH} int"
@@ -21,9 +21,9 @@ def _folder(path: str) -> str:
 
 
 def log_schema(spark: SparkSession, path: str, batch_id: int, schema: StructType) -> None:
-    """Note the schema a batch was written with, after its rows. A batch that is run again notes it again."""
+    """Note the schema a batch is written with, before the batch has ended. A batch that is run again notes it again."""
     row = [(json.dumps([(f.name, f.dataType.simpleString()) for f in schema.fields]), schema.json())]
-    log = spark.createDataFrame(row, "types string, schema string").coalesce(1)
+    log = few_rows(spark, row, "types string, schema string")
     log.write.mode("overwrite").parquet(f"{_folder(path)}/{BATCH}={batch_id}")
 
 

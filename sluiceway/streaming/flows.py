@@ -7,6 +7,7 @@ windows over rows belong after the hand-over to a batch table.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from sluiceway.operators.quarantine import with_verdict
 from sluiceway.operators.rules import Rule, metric_rows, observe
 from sluiceway.plans import contractors
 from sluiceway.sources import versions
-from sluiceway.sources.tables import refuse_other_owner
+from sluiceway.sources.tables import refuse_other_owner, write_json
 from sluiceway.sources.versions import BATCH
 
 METRICS = "dataset string, rule string, action string, passed long, failed long"
@@ -83,10 +84,11 @@ def append_counted(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         watched, observation = observe(read(batch) if read else batch, rule_set)
-        watched.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-        versions.log_schema(batch.sparkSession, path, batch_id, watched.schema)
-        rows = batch.sparkSession.createDataFrame(metric_rows(rule_set, dataset, observation.get), METRICS)
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{counts}/{BATCH}={batch_id}")
+        with ThreadPoolExecutor(1) as pool:  # the note does not keep the rows waiting; both are there before the batch ends
+            noted = pool.submit(versions.log_schema, batch.sparkSession, path, batch_id, watched.schema)
+            watched.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+            noted.result()
+        write_json(batch.sparkSession, f"{counts}/{BATCH}={batch_id}", metric_rows(rule_set, dataset, observation.get), METRICS)
         ran.append(batch_id)
 
     run_batches(stream, checkpoint, each)

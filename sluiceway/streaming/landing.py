@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from sluiceway.operators.conform import union_all
 from sluiceway.operators.rules import Rule
 from sluiceway.plans.refresh import Bronze
 from sluiceway.sources import files, schemas, versions
+from sluiceway.sources.tables import few_rows
 from sluiceway.streaming.flows import BATCH, METRICS, append_counted, batch_table
 
 # One folder per source, as the senders name them.
@@ -94,13 +96,22 @@ class Landing:
         lines = files.json_lines(self.spark, self._folder("sensor_readings"), schemas.READINGS, stream=True, max_files=self.max_files)
         return self._land("sensor_readings", files.with_row_id(lines), config.READING_LANDING)
 
+    def all(self) -> dict:
+        """All sources side by side: the many short micro-batches of one do not keep the others waiting."""
+        runs = {"bills": self.bills, "invoices": self.invoices, "works_orders": self.works_orders, "readings": self.readings}
+        with ThreadPoolExecutor(len(runs)) as pool:
+            jobs = {name: pool.submit(land) for name, land in runs.items()}
+            return {name: job.result() for name, job in jobs.items()}
+
     def rule_counts(self, this_run: bool = False) -> DataFrame:
         """What the rules counted in every micro-batch, of all runs or of this one: dataset, rule, action, passed, failed, batch number."""
         schema = f"{METRICS}, {BATCH} int"
-        found = [self.spark.createDataFrame([], schema)]
+        found = [few_rows(self.spark, [], schema)]
         for table, ran in self.ran.items():
             if ran or not this_run:
-                counts = self.spark.read.schema(schema).parquet(f"{self.base}/ops/landing_counts/{table}")
+                at = f"{self.base}/ops/landing_counts/{table}"
+                counts = self.spark.read.schema(schema).option("pathGlobFilter", "*.json").json(at)
+                counts = counts.unionByName(self.spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(at))  # of runs before they were JSON
                 found.append(counts.where(F.col(BATCH) >= min(ran)) if this_run else counts)
         return union_all(found)
 
@@ -120,13 +131,6 @@ def land_all(spark: SparkSession, landing: str, base: str, zones: DataFrame, max
     ``Landing.rule_counts``.
     """
     run = Landing(spark, landing, base, max_files)
-    bronze = Bronze(
-        bills=run.bills(),
-        invoices=run.invoices(),
-        works_orders=run.works_orders(),
-        readings=run.readings(),
-        zones=zones,
-        row_id="_row_id",
-    )
+    bronze = Bronze(**run.all(), zones=zones, row_id="_row_id")
     counts = run.rule_counts(this_run=True)
     return bronze, counts.groupBy("dataset", "rule", "action").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))

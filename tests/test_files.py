@@ -114,6 +114,30 @@ def test_a_page_is_parsed_once_and_not_for_every_record(spark, tmp_path):
     ]
 
 
+def test_a_page_read_as_a_whole_gives_what_its_records_give_one_by_one(spark, tmp_path, monkeypatch):
+    good = '{"invoice_id":"1","currency":null,"vendor":{"id":7,"name":"a: b"},"line_items":[{"line_no":1,"qty":2,"unit_cost":1.50},{}]}'
+    odd = [
+        "", "null", "{}", '"', '{"new":1}', '{"vendor":{"id":1,"more":2}}', '{"line_items":[{"qty":1},{"more":1}]}', '{"line_items":[{"qty":"two"}]}',
+        '{"line_items":{"qty":1}}', '{"line_items":[]}', '{"line_items":[null,"text"]}', '{"vendor":"v"}', '{"invoice_id":"1","invoice_id":null}',
+        '{"invoice_id":null,"invoice_id":"1"}', '{"project_code":{"deep":[1.0E2]}}', '{"invoice_id":12345678901234567890123,"currency":1.10}',
+        "{'invoice_id':'quoted'}", "[1]", '{"invoice_id, currency":"x"}', '{"Currency":"SGD"}', '{"vendor":{}}', '{"vendor":null,"line_items":null}',
+    ]
+    pages = [f'{{"data":[{good},{one}]}}' for one in odd] + [f'{{"data":[{one}]}}' for one in odd] + [
+        f'{{"data":[{good}],"next":2}}', f'{{"data":[{good}]}} x', f'{{"data":[{good}],"data":[]}}', '{"data":{}}', '{"other":1}', f"[{good}]", good, "",
+        '{"data":[' + ",".join([good] * 200) + "]}", "{'data':[" + good + "]}",
+    ]
+    for n, page in enumerate(pages):
+        (tmp_path / f"{n:03}.json").write_text(page)
+
+    def rows():
+        return sorted(map(str, files.invoice_pages(spark, str(tmp_path)).collect()))
+
+    whole = rows()
+    assert len(whole) > 200
+    monkeypatch.setattr(files, "_shapes", lambda kind: "none")
+    assert whole == rows()
+
+
 def test_drift_and_deliveries(spark, tmp_path):
     declared = schemas.struct(a=schemas.TEXT, b=schemas.NUMBER)
     for name, text in [("one", "a,b\nx,1.5\n"), ("two", "b,c,a\n2.5,new,y\n")]:

@@ -136,6 +136,32 @@ def test_counts_cover_every_batch_of_a_long_run(spark, tmp_path):
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
 
 
+def test_a_landing_batch_keeps_its_books_without_python_workers(spark, tmp_path, monkeypatch):
+    """What a micro-batch takes besides its rows is paid once for every few files of a backlog."""
+    folder = tmp_path / "in" / "finance_erp"
+    folder.mkdir(parents=True)
+    for i in range(4):
+        (folder / f"{i}.json").write_text('{"data":[{"invoice_id":"%d","currency":"SGD"}]}' % i)
+    run = Landing(spark, str(tmp_path / "in"), str(tmp_path / "lake"), max_files=1)
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "createDataFrame", None)  # a frame of Python rows starts a worker
+        landed = run.invoices()
+    assert landed.count() == 4 and len(run.ran["finance_invoices_raw"]) == 4
+    assert {(r.rule, r.passed, r.failed) for r in run.rule_counts().where("rule = 'valid_currency'").collect()} == {("valid_currency", 1, 0)}
+    assert len(list((tmp_path / "lake" / "ops" / "landing_counts" / "finance_invoices_raw").glob("_batch=*/rows.json"))) == 4
+
+
+def test_counts_of_runs_before_they_were_json_still_count(spark, tmp_path):
+    folder = tmp_path / "in" / "network_telemetry"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('{"sensor_id": "s"}\n')
+    run = Landing(spark, str(tmp_path / "in"), str(tmp_path / "lake"), max_files=1)
+    run.readings()
+    old = spark.createDataFrame([("bronze.sensor_readings", "no_rescued_data", "warn", 5, 2)], flows.METRICS)
+    old.coalesce(1).write.parquet(str(tmp_path / "lake" / "ops" / "landing_counts" / "sensor_readings" / "_batch=7"))
+    assert sorted((r.passed, r.failed, r._batch) for r in run.rule_counts().collect()) == [(1, 0, 0), (5, 2, 7)]
+
+
 def test_settings_need_a_clock():
     with pytest.raises(TypeError):
         Settings(lanes=4)
