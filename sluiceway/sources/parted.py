@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from sluiceway.sources.tables import children, few_rows, remove
+from sluiceway.sources.tables import children, few_rows, no_rows, remove
 
 PART = "_part"
 _HOLDS = f"{PART} string, number bigint"
@@ -64,7 +64,7 @@ class PartedTable:
         folders = self.files(parts, before)
         schema = StructType([*self.schema.fields, StructField(PART, StringType())]) if named else self.schema
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         reader = self.spark.read.schema(schema)
         if named:
             reader = reader.option("basePath", f"{self.path}/data")

@@ -8,7 +8,7 @@ rate of false hits. A batch asks the lists, then the filters, and joins exactly
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sluiceway.config import Settings
 from sluiceway.operators.dedup import keep_first
 from sluiceway.sources.parted import PART, bucket, touched_parts
-from sluiceway.sources.tables import children, remove
+from sluiceway.sources.tables import children, few_rows, remove
 from sluiceway.streaming.flows import BATCH
 from sluiceway.streaming.steps import Steps
 
@@ -55,7 +55,7 @@ class OnceRun(Steps):
     ``order`` picks the row among copies that arrive together; end it with every column that reaches the output. A NULL key is kept once, as any
     other. ``fold_every`` is the number of micro-batches whose keys stay in lists; then the buckets they fall into are read and written
     once. ``bucket_keys`` is the number of keys a bucket is expected to hold, and sizes its filter for one false hit in a hundred; more keys than that
-    cost reads, never rows.
+    cost reads, never rows. ``route`` adds columns to the rows let through, by which ``partition_by`` may lay them out.
     """
 
     def __init__(
@@ -70,11 +70,14 @@ class OnceRun(Steps):
         fold_every: int = 16,
         buckets: int = 256,
         bucket_keys: int = 1_000_000,
+        route: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+        partition_by: Sequence[str] = (),
     ):
         super().__init__(spark, base, settings, max_files)
         self.name, self.key, self.order, self.fold_every, self.buckets = name, key, list(order), fold_every, buckets
         self.bits = _PIECE * max(1, math.ceil(bucket_keys * 9.6 / _PIECE))
         self.hashes = 7
+        self.route, self.partition_by = route, list(partition_by)
         self.path, self.recent = f"{base}/appended/{name}", f"{base}/steps/{name}_recent"
         self.index = self.table(f"{name}_keys", "key string")
         self.filters = self.table(f"{name}_filters", "piece bigint, bitmap binary")
@@ -88,7 +91,7 @@ class OnceRun(Steps):
 
     def _recent_keys(self, numbers: Sequence[int]) -> DataFrame:
         if not numbers:
-            return self.spark.createDataFrame([], "key string")
+            return few_rows(self.spark, [], "key string")
         return self.spark.read.schema("key string").parquet(*[f"{self.recent}/{BATCH}={n}" for n in numbers])
 
     def _known_before(self, keys: DataFrame, number: int) -> DataFrame:
@@ -102,14 +105,16 @@ class OnceRun(Steps):
 
     def _take(self, batch: DataFrame, number: int) -> None:
         firsts = self.kept(keep_first(batch, [self.key], self.order))
-        named = firsts.select(F.col(self.key).cast("string").alias("key"))
-        keys = self.kept(named.withColumn(PART, bucket(["key"], self.buckets)))
-        listed = self._listed(number)
-        seen = self._recent_keys(listed).unionByName(self._known_before(keys, number)).select(F.col("key").alias("_seen"))
-        seen = self.kept(seen)
+        listed, self.asked = self._listed(number), []
+        seen = self._recent_keys(listed)
+        if self.index.newest(before=number) is not None:
+            named = firsts.select(F.col(self.key).cast("string").alias("key"))
+            keys = self.kept(named.withColumn(PART, bucket(["key"], self.buckets)))
+            seen = self.kept(seen.unionByName(self._known_before(keys, number)))
+        seen = seen.select(F.col("key").alias("_seen"))
         new = firsts.join(seen, F.col(self.key).cast("string").eqNullSafe(F.col("_seen")), "left_anti")
         path = f"{self.path}/{BATCH}={number}"
-        new.write.mode("overwrite").parquet(path)
+        self.route(new).write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
         written = self.spark.read.schema(new.schema).parquet(path).select(F.col(self.key).cast("string").alias("key"))
         remove(self.spark, f"{self.recent}/{BATCH}={number}")  # of an earlier attempt
         if written.isEmpty():
@@ -133,4 +138,4 @@ class OnceRun(Steps):
     def run(self, stream: DataFrame) -> DataFrame:
         """Take everything that has arrived; returns all rows let through so far."""
         self.take(stream, f"once_{self.name}", self._take)
-        return self.spark.read.schema(stream.schema).parquet(self.path).drop(BATCH)
+        return self.spark.read.schema(self.route(stream).schema).parquet(self.path).drop(BATCH)

@@ -13,11 +13,13 @@ from pyspark.sql.types import StructField, StructType
 
 from sluiceway import config
 from sluiceway.config import Settings
-from sluiceway.operators.quarantine import bad_rows, good_rows
+from sluiceway.operators.quarantine import bad_rows, good_rows, with_verdict
 from sluiceway.plans import contractors, finance
 from sluiceway.sources import schemas
 from sluiceway.sources.files import SOURCE_FILE
+from sluiceway.sources.tables import exists
 from sluiceway.streaming.flows import once_per_key, split_stream
+from sluiceway.streaming.once import OnceRun
 
 
 class Silver:
@@ -42,10 +44,21 @@ class Silver:
         return self._bronze("finance_invoices_raw", StructType([*schemas.INVOICE.fields, StructField(SOURCE_FILE, schemas.TEXT)]))
 
     def invoices(self) -> tuple[DataFrame, DataFrame]:
-        """Headers, one per invoice for the life of the checkpoint; copies of a hot invoice are thinned out by file first."""
-        once = once_per_key(self._invoice_records(), "invoice_id", [SOURCE_FILE], self.settings.lanes)
+        """Headers, one per invoice for ever; copies of a hot invoice are thinned out in each map task.
+
+        The invoices let through are kept in files, not in a stream's state, which would hold all of them in the executors' memory. A table
+        begun with such a state goes on with it.
+        """
         rule_set = [r for r in config.invoice_rules(self.settings) if r.action == "drop"]
-        return self._split("finance_invoices", finance.flatten_headers(once), rule_set)
+        if exists(self.spark, f"{self.base}/appended/finance_invoices/_spark_metadata"):
+            once = once_per_key(self._invoice_records(), "invoice_id", [SOURCE_FILE], self.settings.lanes)
+            return self._split("finance_invoices", finance.flatten_headers(once), rule_set)
+        run = OnceRun(
+            self.spark, self.base, self.settings, "finance_invoices", "invoice_id", finance.HEADER, self.max_files,
+            route=lambda rows: with_verdict(rows, rule_set, self.settings.processed_at), partition_by=["_verdict"],
+        )
+        routed = run.run(finance.flatten_headers(self._invoice_records()))
+        return good_rows(routed), bad_rows(routed)
 
     def lines(self) -> tuple[DataFrame, DataFrame]:
         return self._split("invoice_line_items", finance.incoming_lines(self._invoice_records()), config.LINE_HARD)

@@ -41,7 +41,8 @@ class Steps:
     def appended(self, table: str, schema: str) -> DataFrame:
         """The good rows of an appended table."""
         reader = self.spark.readStream.schema(f"{schema}, _verdict string").option("maxFilesPerTrigger", self.max_files)
-        return reader.parquet(f"{self.base}/appended/{table}").where("_verdict = 'good'").drop("_verdict")
+        good = reader.parquet(f"{self.base}/appended/{table}").where("_verdict = 'good'")
+        return good.select(*StructType.fromDDL(schema).names)  # without the folders' own columns
 
     def kept(self, df: DataFrame) -> DataFrame:
         """A copy for the rest of a micro-batch. Micro-batches plan without adaptive execution; what reads the copy plans with it."""

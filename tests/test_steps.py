@@ -17,12 +17,14 @@ from sluiceway.operators.changes import changed_buckets, digests, fine_bucket, s
 from sluiceway.operators.distinct import bitmaps, distinct_count, number_keys
 from sluiceway.operators.layout import cluster_rows, curve_rows
 from sluiceway.operators.profile import DISTINCT_ERROR, RANK_ERROR, merged_sketches, value_profile, value_sketches
+from sluiceway.plans import finance
 from sluiceway.plans.refresh import daily_refresh
 from sluiceway.queries.oracle import with_inputs
 from sluiceway.queries.registry import SETTINGS, Inputs
 from sluiceway.queries.streams import _after_deliveries, _bronze_tables, deliver_bronze
 from sluiceway.sources import schemas, tables
 from sluiceway.sources.parted import PART, PartedTable, touched_parts
+from sluiceway.streaming import flows
 from sluiceway.streaming.gold import BillingSteps, DetailsSteps, GoldRun
 from sluiceway.streaming.landing import Bronze
 from sluiceway.streaming.once import OnceRun, bloom_filters, may_hold
@@ -302,6 +304,39 @@ def test_neither_writer_takes_the_others_folder(gold, spark, tmp_path):
     tables.refuse_other_owner(spark, str(tmp_path / "new"), streamed=True)
 
 
+RECORD = "invoice_id string, invoice_date string, cost_center string, currency string, site_zone string, project_code string, " \
+    "vendor struct<id: string, name: string>, line_items array<struct<line_no: int, description: string, qty: int, unit_cost: double>>, _source_file string"
+
+
+def test_silver_keeps_invoices_in_files_and_not_in_the_memory_of_a_stream(spark, tmp_path):
+    base = str(tmp_path)
+    found = []
+    for number, ids in enumerate((["1", "1", "2"], ["2", "3", None, "1"], [None, "3", "4"])):
+        rows = [(i, "2000-01-02", f"c{number}", "SGD" if i != "2" else "", "Z", "P", ("v", "V"), [], f"page{n}") for n, i in enumerate(ids)]
+        deliver_bronze(base, "finance_invoices_raw", spark.createDataFrame(rows, RECORD), number)
+        good, bad = Silver(spark, base, SETTINGS).invoices()
+        found.append((sorted((r.invoice_id, r.cost_center) for r in good.collect()), sorted((str(r.invoice_id), r.cost_center, r._quarantine_reason) for r in bad.collect())))
+    assert found[0] == ([("1", "c0")], [("2", "c0", "valid_currency")])
+    assert found[2] == ([("1", "c0"), ("3", "c1"), ("4", "c2")], [("2", "c0", "valid_currency"), ("None", "c1", "valid_invoice_id")])
+    assert not [p for p in (tmp_path / "checkpoints").rglob("state")], "no key of an invoice is held in a state store"
+
+
+def test_a_table_begun_with_a_streams_state_goes_on_with_it(spark, tmp_path):
+    base = str(tmp_path)
+
+    def deliver(number, *ids):
+        rows = [(i, None, None, "SGD", None, None, None, None, "page") for i in ids]
+        deliver_bronze(base, "finance_invoices_raw", spark.createDataFrame(rows, RECORD), number)
+
+    deliver(0, "1", "2")
+    silver = Silver(spark, base, SETTINGS)
+    once = flows.once_per_key(silver._invoice_records(), "invoice_id", ["_source_file"], SETTINGS.lanes)
+    silver._split("finance_invoices", finance.flatten_headers(once), [r for r in config.invoice_rules(SETTINGS) if r.action == "drop"])
+    deliver(1, "2", "3")
+    good, bad = silver.invoices()
+    assert sorted(r.invoice_id for r in good.select("invoice_id").union(bad.select("invoice_id")).collect()) == ["1", "2", "3"]
+
+
 def test_touched_parts_names_each_once(spark):
     assert touched_parts(spark.createDataFrame([("b",), ("a",), ("b",)], f"{PART} string")) == ["a", "b"]
     assert config.PII_COLUMNS
